@@ -1,0 +1,344 @@
+"""``validate_fields`` (T7): split a table into accepted and rejected rows.
+
+Rules are grouped in blocks ``{field, validations: [...], message}``.  Every
+rule compiles to a native predicate (``dqflow.functions.rules``); a NULL
+predicate counts as a failure (D-1).
+
+Plan shape (``materialize="none"``, the default):
+
+* **OK branch** = ``filter(p1 AND p2 AND ...)``: a plain conjunction.  A NULL
+  conjunct already drops the row, so no ``coalesce`` is needed, and Catalyst
+  can push every pushable rule (``=``, ``IN``, ``>``, ``IS NOT NULL``,
+  ``startsWith`` ...) down to the columnar scan (O4).
+* **KO branch** = ``filter(NOT coalesce(p1 AND ..., false))``, then the
+  error report is built for the failing rows only (rejected rows are
+  usually few, so the labels are evaluated on little data).
+* The error report is built in a few wide projections with
+  ``array_compact`` (no higher-order lambdas), keeping whole-stage codegen.
+
+``materialize="persist"`` / ``"checkpoint"`` evaluates every rule once per
+row into per-field label arrays, materialises that annotated frame
+(executor storage, or a reliable checkpoint in ``spark.checkpoint.dir``) and
+splits it; use it for non-columnar sources, many sinks, or rules that are
+not deterministic (O8, O13).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field as dc_field
+from functools import reduce
+from typing import Any, Mapping, Sequence
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dqflow.errors import InvalidValidationConfig, ValidationException
+from dqflow.functions.rules import build_predicate, parse_entry
+from dqflow.operators.quality import DEFAULT_HOT_KEYS, DEFAULT_SALT_BUCKETS, flag_duplicates
+
+ERRORS_MAP = "validation_errors"
+ERRORS_TEXT = "validation_errors_text"
+ERRORS_ARRAY = "validation_errors_array"
+UNKNOWN_ERROR = "Unknown validation error"
+DEFAULT_MAX_ERRORS = 50
+
+_ERROR_COLS = (ERRORS_MAP, ERRORS_TEXT, ERRORS_ARRAY)
+
+
+# ---------------------------------------------------------------------------
+# Field resolution (D11): top-level names, back-quoted literal names with dots,
+# and nested struct paths all resolve; Spark's case-insensitive matching.
+# ---------------------------------------------------------------------------
+
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _find(fields: Sequence[T.StructField], name: str) -> T.StructField | None:
+    for f in fields:
+        if f.name == name:
+            return f
+    low = name.lower()
+    hits = [f for f in fields if f.name.lower() == low]
+    return hits[0] if len(hits) == 1 else None
+
+
+def resolve_field(df: DataFrame, name: Any) -> tuple[Column, T.DataType, str]:
+    """Return ``(column, data type, SQL reference)`` for a rule's ``field``."""
+    if not isinstance(name, str) or not name:
+        raise InvalidValidationConfig("Validation rule missing required 'field'")
+    top = _find(df.schema.fields, name)
+    if top is not None:
+        ref = quote(top.name)
+        return F.col(ref), top.dataType, ref
+    dt: T.DataType = df.schema
+    parts = []
+    for part in name.split("."):
+        f = _find(dt.fields, part) if isinstance(dt, T.StructType) else None
+        if f is None:
+            raise InvalidValidationConfig(f"Field '{name}' not found in dataframe. Available: {df.columns}")
+        parts.append(quote(f.name))
+        dt = f.dataType
+    ref = ".".join(parts)
+    return F.col(ref), dt, ref
+
+
+# ---------------------------------------------------------------------------
+# Compilation
+# ---------------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class CompiledRule:
+    index: int
+    field: str
+    rule: str
+    label: str
+    predicate: Column
+
+    @property
+    def failed(self) -> Column:
+        """TRUE when the rule fails; NULL counts as a failure (D-1)."""
+        return ~F.coalesce(self.predicate, F.lit(False))
+
+
+@dataclass
+class CompiledRules:
+    frame: DataFrame                 # input plus helper columns of table-level rules
+    rules: list[CompiledRule]        # grouped by field (first appearance), config order within
+    fields: list[str]
+    helper_cols: list[str] = dc_field(default_factory=list)
+
+    def by_field(self) -> list[tuple[str, list[CompiledRule]]]:
+        return [(f, [r for r in self.rules if r.field == f]) for f in self.fields]
+
+
+def compile_rules(
+    df: DataFrame,
+    rules: Any,
+    *,
+    hot_keys: int = DEFAULT_HOT_KEYS,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+) -> CompiledRules:
+    """Check every block eagerly (D-12) and compile it to predicates.
+
+    A field named by several blocks keeps all their rules, in order (D3).
+    """
+    if not isinstance(rules, list):
+        raise TypeError("Validation rules must be a list")
+    frame = df
+    helpers: list[str] = []
+    per_field: dict[str, list[tuple[str, str, Column]]] = {}
+    for block in rules:
+        if not isinstance(block, Mapping):
+            raise InvalidValidationConfig(f"Validation rule must be a dict, got {block!r}")
+        fname = block.get("field")
+        column, dtype, ref = resolve_field(df, fname)
+        entries = block.get("validations")
+        if not isinstance(entries, list) or not entries:
+            raise InvalidValidationConfig(f"Field '{fname}' has no validators defined")
+        block_msg = block.get("message")
+        if block_msg is not None and not isinstance(block_msg, str):
+            raise InvalidValidationConfig(f"Field '{fname}': 'message' must be a string")
+        for raw in entries:
+            try:
+                entry = parse_entry(raw)
+                if not entry.enabled:  # E4
+                    continue
+                if entry.type == "unique":  # E1: needs the whole table
+                    flag = f"__dq_dup_{len(helpers)}"
+                    frame = flag_duplicates(frame, column, flag, hot_keys=hot_keys, salt_buckets=salt_buckets)
+                    helpers.append(flag)
+                    pred = column.isNotNull() & ~F.col(flag)
+                else:
+                    pred = build_predicate(entry, column, dtype, ref)
+            except ValidationException as exc:
+                raise InvalidValidationConfig(f"Error in field '{fname}': {exc}") from exc
+            label = entry.message or block_msg or f"{fname}:{entry.type}"  # D-6
+            per_field.setdefault(fname, []).append((entry.type, label, pred))
+    compiled = []
+    for fname, items in per_field.items():
+        for rule, label, pred in items:
+            compiled.append(CompiledRule(len(compiled), fname, rule, label, pred))
+    return CompiledRules(frame, compiled, list(per_field), helpers)
+
+
+# ---------------------------------------------------------------------------
+# Result
+# ---------------------------------------------------------------------------
+
+@dataclass
+class ValidationResult:
+    ok: DataFrame
+    ko: DataFrame
+    compiled: CompiledRules | None
+
+    def __iter__(self):  # allows ``ok, ko = validate(...)``
+        return iter((self.ok, self.ko))
+
+    def stats(self) -> DataFrame:
+        """D-13 in one pass: total / valid / invalid counts and percentages."""
+        c = self.compiled
+        if c is None or not c.rules:
+            base = self.ok.agg(F.count(F.lit(1)).alias("total_records"))
+            counts = base.withColumn("valid_records", F.col("total_records"))
+        else:
+            passed = reduce(lambda a, b: a & b, [~r.failed for r in c.rules])
+            counts = c.frame.agg(
+                F.count(F.lit(1)).alias("total_records"),
+                F.count_if(passed).alias("valid_records"),
+            )
+        total, valid = F.col("total_records"), F.col("valid_records")
+        return counts.select(
+            total,
+            valid,
+            (total - valid).alias("invalid_records"),
+            F.when(total > 0, valid * 100.0 / total).otherwise(F.lit(0.0)).alias("valid_percentage"),
+            F.when(total > 0, (total - valid) * 100.0 / total).otherwise(F.lit(0.0)).alias("invalid_percentage"),
+        )
+
+    def failures_by_rule(self) -> DataFrame:
+        """Failing rows per rule, as one global aggregation (no explode,
+        no per-row shuffle: partial counts per task, one tiny final merge)."""
+        c = self.compiled
+        if c is None or not c.rules:
+            raise InvalidValidationConfig("failures_by_rule needs at least one rule")
+        agg = c.frame.agg(*[F.count_if(r.failed).alias(f"__dq_f{r.index}") for r in c.rules])
+        entries = F.array(*[
+            F.struct(
+                F.lit(r.index).alias("rule_index"),
+                F.lit(r.field).alias("field"),
+                F.lit(r.rule).alias("rule"),
+                F.lit(r.label).alias("message"),
+                F.col(f"__dq_f{r.index}").alias("failures"),
+            )
+            for r in c.rules
+        ])
+        return agg.select(F.inline(entries))
+
+
+def _empty_ko(df: DataFrame) -> DataFrame:
+    return df.limit(0).select(
+        "*",
+        F.lit(None).cast("map<string,array<string>>").alias(ERRORS_MAP),
+        F.lit(None).cast("string").alias(ERRORS_TEXT),
+    )
+
+
+def _field_arrays(c: CompiledRules) -> list[tuple[str, Column]]:
+    """Per field: the labels of its failing rules, in rule order (D-7)."""
+    return [
+        (fname, F.array_compact(F.array(*[F.when(r.failed, F.lit(r.label)) for r in rs])))
+        for fname, rs in c.by_field()
+    ]
+
+
+def _report(
+    annotated: DataFrame,
+    out_cols: list[str],
+    fields: list[str],
+    field_cols: list[str],
+    max_per_field: int,
+    max_per_row: int,
+    keep_array: bool,
+) -> DataFrame:
+    """Derive the error map / text / array from per-field label arrays."""
+    entries = []
+    for fname, fc in zip(fields, field_cols):
+        arr = F.col(fc)
+        kept = F.slice(arr, 1, max_per_field) if max_per_field > 0 else arr
+        entries.append(F.when(F.size(arr) > 0, F.struct(F.lit(fname).alias("key"), kept.alias("value"))))
+    flat = F.concat(*[F.col(fc) for fc in field_cols]) if len(field_cols) > 1 else F.col(field_cols[0])
+    step = annotated.select(
+        *[F.col(quote(n)) for n in out_cols],
+        F.map_from_entries(F.array_compact(F.array(*entries))).alias(ERRORS_MAP),  # D-8
+        flat.alias("__dq_flat"),
+    )
+    arr = F.col("__dq_flat")
+    n = F.size(arr)
+    if max_per_row > 0:  # D-9
+        joined = F.concat_ws("; ", F.slice(arr, 1, max_per_row))
+        text = F.when(
+            n > max_per_row,
+            F.concat(joined, F.lit("; ... (+"), (n - max_per_row).cast("string"), F.lit(" more)")),
+        ).otherwise(joined)
+    else:
+        text = F.concat_ws("; ", arr)
+    text = F.when(n == 0, F.lit(UNKNOWN_ERROR)).otherwise(text)
+    final = [F.col(quote(n_)) for n_ in out_cols] + [F.col(ERRORS_MAP), text.alias(ERRORS_TEXT)]
+    if keep_array:  # D-10: untruncated
+        final.append(arr.alias(ERRORS_ARRAY))
+    return step.select(*final)
+
+
+def _materialize(df: DataFrame, how: str) -> DataFrame:
+    if how == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if how == "checkpoint":
+        from dqflow.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    raise ValueError(f"materialize must be 'none', 'persist' or 'checkpoint', got {how!r}")
+
+
+def validate(
+    df: DataFrame,
+    rules: Any,
+    *,
+    max_errors_per_field: int = DEFAULT_MAX_ERRORS,
+    max_errors_per_row: int = DEFAULT_MAX_ERRORS,
+    keep_array: bool = False,
+    materialize: str = "none",
+    hot_keys: int = DEFAULT_HOT_KEYS,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+) -> ValidationResult:
+    """Split ``df`` into ``(ok, ko)`` by ``rules``; see the module docstring.
+
+    ``ok`` keeps the input columns unchanged (D-4).  ``ko`` adds
+    ``validation_errors`` (map field -> labels, at most
+    ``max_errors_per_field`` each), ``validation_errors_text`` (labels joined
+    by ``"; "``, at most ``max_errors_per_row`` then ``"; ... (+K more)"``)
+    and, with ``keep_array``, the untruncated ``validation_errors_array``.
+    A limit <= 0 means no limit.
+    """
+    if not isinstance(rules, list):
+        raise TypeError("Validation rules must be a list")
+    if not rules:  # D-11
+        return ValidationResult(df, _empty_ko(df), None)
+    for name in _ERROR_COLS:
+        if name in df.columns:
+            raise InvalidValidationConfig(f"input already has a column named '{name}'")
+    c = compile_rules(df, rules, hot_keys=hot_keys, salt_buckets=salt_buckets)
+    if not c.rules:  # every rule disabled
+        return ValidationResult(df, _empty_ko(df), c)
+
+    out_cols = list(df.columns)
+    fields = [f for f, _ in c.by_field()]
+    field_cols = [f"__dq_e{i}" for i in range(len(fields))]
+    arrays = [a for _, a in _field_arrays(c)]
+
+    if materialize == "none":
+        conj = reduce(lambda a, b: a & b, [r.predicate for r in c.rules])
+        ok = c.frame.filter(conj)
+        ko_rows = c.frame.filter(~F.coalesce(conj, F.lit(False)))
+        annotated = ko_rows.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)])
+    else:
+        annotated_all = _materialize(
+            c.frame.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)]), materialize
+        )
+        clean = reduce(lambda a, b: a & b, [F.size(F.col(n)) == 0 for n in field_cols])
+        ok = annotated_all.filter(clean)
+        annotated = annotated_all.filter(~clean)
+
+    if c.helper_cols or materialize != "none":
+        ok = ok.select(*[F.col(quote(n)) for n in out_cols])
+    ko = _report(annotated, out_cols, fields, field_cols, max_errors_per_field, max_errors_per_row, keep_array)
+    return ValidationResult(ok, ko, c)
+
+
+def apply_validations(df: DataFrame, rules: Any, **options: Any) -> tuple[DataFrame, DataFrame]:
+    """Library entry (D-14): ``(valid_df, invalid_df)``."""
+    res = validate(df, rules, **options)
+    return res.ok, res.ko
