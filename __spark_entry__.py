@@ -404,6 +404,35 @@ def q_ko_json_sink(spark, sf):
     return back.select("id", "name", "notes", text.alias("errors_map_text"))
 
 
+STREAM_RULES = [
+    {"field": "o_totalprice", "validations": [{"type": "greaterThan", "value": 100000}]},
+    {"field": "o_orderstatus", "validations": [{"type": "inList", "values": ["F", "O"]}]},
+]
+
+
+def _stream_orders(spark, sf) -> str:
+    """Stream the orders table through validation (availableNow) into versioned sinks."""
+    from dqflow.streaming import start_validated_stream
+
+    schema = read_table(spark, sf, "orders").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
+    base = scratch_path(spark, "stream")
+    ok = {"name": "ok", "format": "parquet", "saveMode": "overwrite", "paths": [f"{base}/ok"], "versioning": True}
+    ko = {"name": "ko", "format": "json", "saveMode": "overwrite", "paths": [f"{base}/ko"], "versioning": True}
+    start_validated_stream(stream, STREAM_RULES, ok, ko, checkpoint_location=f"{base}/_checkpoint",
+                           trigger={"availableNow": True}).awaitTermination()
+    return base
+
+
+def q_stream_ok(spark, sf):
+    return spark.read.parquet(f"{_stream_orders(spark, sf)}/ok/_versions/*").select("o_orderkey", "o_orderstatus")
+
+
+def q_stream_ko(spark, sf):
+    base = _stream_orders(spark, sf)
+    return spark.read.schema("o_orderkey long, validation_errors_text string").json(f"{base}/ko/_versions/*")
+
+
 # ---------------------------------------------------------------------------
 # Registry
 # ---------------------------------------------------------------------------
@@ -457,6 +486,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_ko_json_map": q_ko_json_sink,
         "versioned_latest": q_versioned_latest,
         "versioned_first": q_versioned_first,
+        "stream_validate_ok": q_stream_ok,
+        "stream_validate_ko": q_stream_ko,
     })
     return q
 

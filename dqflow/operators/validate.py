@@ -13,8 +13,9 @@ Plan shape (``materialize="none"``, the default):
 * **KO branch** = ``filter(NOT coalesce(p1 AND ..., false))``, then the
   error report is built for the failing rows only (rejected rows are
   usually few, so the labels are evaluated on little data).
-* The error report is built in a few wide projections with
-  ``array_compact`` (no higher-order lambdas), keeping whole-stage codegen.
+* The error report is built in a few wide projections from concatenated
+  one-or-zero element arrays (no higher-order lambdas), so the whole KO
+  branch stays in one whole-stage-codegen stage.
 
 ``materialize="persist"`` / ``"checkpoint"`` evaluates every rule once per
 row into per-field label arrays, materialises that annotated frame
@@ -226,10 +227,21 @@ def _empty_ko(df: DataFrame) -> DataFrame:
     )
 
 
+_LABELS_T = "array<string>"
+_ENTRIES_T = "array<struct<key:string,value:array<string>>>"
+
+
+def _concat_present(parts: list[Column]) -> Column:
+    """Concatenate one-or-zero element arrays.  Unlike ``array_compact`` /
+    ``filter(x -> ...)`` this has no lambda, so it stays in whole-stage codegen."""
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+
 def _field_arrays(c: CompiledRules) -> list[tuple[str, Column]]:
     """Per field: the labels of its failing rules, in rule order (D-7)."""
+    empty = F.array().cast(_LABELS_T)
     return [
-        (fname, F.array_compact(F.array(*[F.when(r.failed, F.lit(r.label)) for r in rs])))
+        (fname, _concat_present([F.when(r.failed, F.array(F.lit(r.label))).otherwise(empty) for r in rs]))
         for fname, rs in c.by_field()
     ]
 
@@ -245,14 +257,16 @@ def _report(
 ) -> DataFrame:
     """Derive the error map / text / array from per-field label arrays."""
     entries = []
+    no_entry = F.array().cast(_ENTRIES_T)
     for fname, fc in zip(fields, field_cols):
         arr = F.col(fc)
         kept = F.slice(arr, 1, max_per_field) if max_per_field > 0 else arr
-        entries.append(F.when(F.size(arr) > 0, F.struct(F.lit(fname).alias("key"), kept.alias("value"))))
-    flat = F.concat(*[F.col(fc) for fc in field_cols]) if len(field_cols) > 1 else F.col(field_cols[0])
+        entry = F.struct(F.lit(fname).alias("key"), kept.alias("value"))
+        entries.append(F.when(F.size(arr) > 0, F.array(entry)).otherwise(no_entry))
+    flat = _concat_present([F.col(fc) for fc in field_cols])
     step = annotated.select(
         *[F.col(quote(n)) for n in out_cols],
-        F.map_from_entries(F.array_compact(F.array(*entries))).alias(ERRORS_MAP),  # D-8
+        F.map_from_entries(_concat_present(entries)).alias(ERRORS_MAP),  # D-8
         flat.alias("__dq_flat"),
     )
     arr = F.col("__dq_flat")

@@ -1,0 +1,3 @@
+from dqflow.streaming.validate_stream import start_validated_stream, validate_stream
+
+__all__ = ["start_validated_stream", "validate_stream"]

@@ -167,6 +167,10 @@ DEMO = [
     ("email", "email:email", f"regexp_matches(email, {EMAIL_RE})"),
     ("c_nationkey", "c_nationkey:between", "c_nationkey >= 0 AND c_nationkey <= 20"),
 ]
+STREAM = [
+    ("o_totalprice", "o_totalprice:greaterThan", "o_totalprice > 100000"),
+    ("o_orderstatus", "o_orderstatus:inList", "o_orderstatus IN ('F', 'O')"),
+]
 DEMO_BASE = (
     "demo AS (SELECT c_custkey AS id, c_name AS name, c_nationkey, c_acctbal, "
     "CASE WHEN c_acctbal >= 5000 THEN 'high' WHEN c_acctbal >= 0 THEN 'mid' ELSE 'negative' END AS bucket, "
@@ -262,5 +266,8 @@ def oracle_queries() -> dict[str, str]:
             f"SELECT id, name, notes, {_map_text(c)} AS errors_map_text FROM contacts WHERE {_ko_where(c)}"),
         "versioned_latest": "SELECT * FROM customer",
         "versioned_first": "SELECT * FROM customer WHERE c_acctbal > 0",
+        "stream_validate_ok": f"SELECT o_orderkey, o_orderstatus FROM orders WHERE {_all_ok(STREAM)}",
+        "stream_validate_ko": f"SELECT o_orderkey, {_text(STREAM)} AS validation_errors_text FROM orders "
+                              f"WHERE {_ko_where(STREAM)}",
     })
     return q
