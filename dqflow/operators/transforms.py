@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dqflow.errors import ExecutionError, TransformationError, ValidationError
-from dqflow.operators.validate import quote, validate
+from dqflow.operators.validation import quote, validate
 
 
 @dataclass

@@ -27,6 +27,7 @@ not deterministic (O8, O13).
 from __future__ import annotations
 
 from dataclasses import dataclass, field as dc_field
+from functools import cached_property
 from functools import reduce
 from typing import Any, Mapping, Sequence
 
@@ -90,7 +91,7 @@ def resolve_field(df: DataFrame, name: Any) -> tuple[Column, T.DataType, str]:
 # Compilation
 # ---------------------------------------------------------------------------
 
-@dataclass(frozen=True)
+@dataclass
 class CompiledRule:
     index: int
     field: str
@@ -98,10 +99,14 @@ class CompiledRule:
     label: str
     predicate: Column
 
-    @property
+    @cached_property
+    def passed(self) -> Column:
+        """TRUE only when the rule holds; NULL counts as a failure (D-1)."""
+        return F.coalesce(self.predicate, F.lit(False))
+
+    @cached_property
     def failed(self) -> Column:
-        """TRUE when the rule fails; NULL counts as a failure (D-1)."""
-        return ~F.coalesce(self.predicate, F.lit(False))
+        return ~self.passed
 
 
 @dataclass
@@ -185,7 +190,7 @@ class ValidationResult:
             base = self.ok.agg(F.count(F.lit(1)).alias("total_records"))
             counts = base.withColumn("valid_records", F.col("total_records"))
         else:
-            passed = reduce(lambda a, b: a & b, [~r.failed for r in c.rules])
+            passed = reduce(lambda a, b: a & b, [r.passed for r in c.rules])
             counts = c.frame.agg(
                 F.count(F.lit(1)).alias("total_records"),
                 F.count_if(passed).alias("valid_records"),
@@ -241,7 +246,7 @@ def _field_arrays(c: CompiledRules) -> list[tuple[str, Column]]:
     """Per field: the labels of its failing rules, in rule order (D-7)."""
     empty = F.array().cast(_LABELS_T)
     return [
-        (fname, _concat_present([F.when(r.failed, F.array(F.lit(r.label))).otherwise(empty) for r in rs]))
+        (fname, _concat_present([F.when(r.passed, empty).otherwise(F.array(F.lit(r.label))) for r in rs]))
         for fname, rs in c.by_field()
     ]
 

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from dqflow.errors import TransformationError
 from dqflow.operators.transforms import StepContext, apply_transform, list_transforms
-from dqflow.operators.validate import ValidationResult
+from dqflow.operators.validation import ValidationResult
 from dqflow.sinks.writer import SinkResult, make_run_id, write_sink
 from dqflow.sources.reader import read_source
 

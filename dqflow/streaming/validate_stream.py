@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dqflow.errors import InvalidValidationConfig
 from dqflow.functions.rules import parse_entry
-from dqflow.operators.validate import ValidationResult, validate
+from dqflow.operators.validation import ValidationResult, validate
 from dqflow.sinks.writer import write_sink
 
 
