@@ -173,9 +173,11 @@ def build_flow(
             ok, ko = result.ok, result.ko
             if observe_tables:
                 ok, ko = _observe(flow, f"{sname}_ok", ok), _observe(flow, f"{sname}_ko", ko)
-            for alias, frame in ((f"{sname}_ok", ok), (f"{sname}_ko", ko), (OK_NAME, ok), (KO_NAME, ko)):
+            links = ((f"{sname}_ok", ok, input_name), (f"{sname}_ko", ko, input_name),
+                     (OK_NAME, ok, f"{sname}_ok"), (KO_NAME, ko, f"{sname}_ko"))
+            for alias, frame, parent in links:
                 tables[alias] = frame
-                flow.parents[alias], flow.kinds[alias] = input_name, "validation"
+                flow.parents[alias], flow.kinds[alias] = parent, "validation"
         else:
             tables[sname] = _observe(flow, sname, result) if observe_tables else result
             flow.parents[sname], flow.kinds[sname] = input_name, "step"
