@@ -7,11 +7,13 @@
 2. The duplicated keys are joined back with a shuffle join on
    ``(key, salt)``.  Hot keys would put all their rows into one join task,
    so the (at most ``hot_keys``) most frequent duplicated keys are found with
-   a top-k over the counts.  That set has a proven size bound, so it is
-   broadcast; rows of those keys get a salt in ``[0, salt_buckets)`` and their
-   single "duplicated" mark is replicated once per salt.  Every other key
-   keeps salt 0.  The result does not depend on the salt a row gets, so the
-   plan stays correct when a task is retried.
+   a top-k over the counts.  Only their 64-bit hashes are broadcast: at most
+   ``hot_keys`` longs, whatever the key type or length.  Rows whose key hash
+   is in that set get a salt in ``[0, salt_buckets)`` and the key's single
+   "duplicated" mark is replicated once per salt; every other key keeps
+   salt 0.  Both sides decide "hot" by the same hash, so a hash collision
+   merely salts one more key, and the result does not depend on the salt a
+   row gets: the plan stays exact, also when a task is retried.
 
 No key group is ever collected into one task or to the driver.
 """
@@ -34,7 +36,7 @@ def flag_duplicates(
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """Append boolean ``flag``: the non-null ``key`` appears on more than one row."""
-    k, n, salt, hot = "__dq_key", "__dq_n", "__dq_salt", "__dq_hot"
+    k, n, salt, hot, h = "__dq_key", "__dq_n", "__dq_salt", "__dq_hot", "__dq_hash"
     keyed = df.withColumn(k, key)
     counts = (
         keyed.where(F.col(k).isNotNull())
@@ -47,19 +49,23 @@ def flag_duplicates(
         marks = dups.select(k, F.lit(True).alias(flag))
         joined = keyed.join(marks, on=k, how="left")
     else:
-        # Size bound: at most `hot_keys` rows, so broadcasting it is safe.
-        top = dups.orderBy(F.col(n).desc()).limit(hot_keys).select(k, F.lit(True).alias(hot))
-        big = (
-            keyed.join(F.broadcast(top), on=k, how="left")
-            .withColumn(
-                salt,
-                F.when(F.col(hot), F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets)))
-                .otherwise(F.lit(0))
-                .cast("int"),
-            )
-            .drop(hot)
+        # Size bound: at most `hot_keys` rows of one long each, so broadcasting it is safe.
+        top = (
+            dups.orderBy(F.col(n).desc()).limit(hot_keys)
+            .select(F.xxhash64(k).alias(h)).distinct()
+            .select(h, F.lit(True).alias(hot))
         )
-        marks = dups.join(F.broadcast(top), on=k, how="left").select(
+
+        def mark_hot(frame: DataFrame) -> DataFrame:
+            return frame.withColumn(h, F.xxhash64(k)).join(F.broadcast(top), on=h, how="left").drop(h)
+
+        big = mark_hot(keyed).withColumn(
+            salt,
+            F.when(F.col(hot), F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets)))
+            .otherwise(F.lit(0))
+            .cast("int"),
+        ).drop(hot)
+        marks = mark_hot(dups).select(
             k,
             F.explode(
                 F.when(F.col(hot), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))

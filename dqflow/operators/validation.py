@@ -179,10 +179,16 @@ class ValidationResult:
     ok: DataFrame
     ko: DataFrame
     compiled: CompiledRules | None
+    materialized: DataFrame | None = None
 
     def __iter__(self):  # allows ``ok, ko = validate(...)``
         return iter((self.ok, self.ko))
 
+    def release(self) -> None:
+        """Drop the persisted annotated frame (``materialize="persist"``)."""
+        if self.materialized is not None:
+            self.materialized.unpersist()
+
     def stats(self) -> DataFrame:
         """D-13 in one pass: total / valid / invalid counts and percentages."""
         c = self.compiled
@@ -338,6 +344,7 @@ def validate(
     field_cols = [f"__dq_e{i}" for i in range(len(fields))]
     arrays = [a for _, a in _field_arrays(c)]
 
+    annotated_all = None
     if materialize == "none":
         conj = reduce(lambda a, b: a & b, [r.predicate for r in c.rules])
         ok = c.frame.filter(conj)
@@ -354,7 +361,7 @@ def validate(
     if c.helper_cols or materialize != "none":
         ok = ok.select(*[F.col(quote(n)) for n in out_cols])
     ko = _report(annotated, out_cols, fields, field_cols, max_errors_per_field, max_errors_per_row, keep_array)
-    return ValidationResult(ok, ko, c)
+    return ValidationResult(ok, ko, c, annotated_all)
 
 
 def apply_validations(df: DataFrame, rules: Any, **options: Any) -> tuple[DataFrame, DataFrame]:

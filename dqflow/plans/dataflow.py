@@ -30,6 +30,10 @@ from dqflow.sources.reader import read_source
 
 OK_NAME, KO_NAME = "validation_ok", "validation_ko"
 
+# Sources that are parsed row by row: evaluating the rules once and keeping
+# the annotated rows (persist) is cheaper than parsing the input twice.
+ROW_TEXT_FORMATS = frozenset({"json", "csv", "text", "xml"})
+
 
 @dataclass
 class FlowResult:
@@ -40,6 +44,20 @@ class FlowResult:
     observed: dict[str, Observation] = field(default_factory=dict)
     parents: dict[str, str | None] = field(default_factory=dict)
     kinds: dict[str, str] = field(default_factory=dict)
+    formats: dict[str, str] = field(default_factory=dict)
+
+    def source_format(self, name: str) -> str | None:
+        seen = set()
+        while name is not None and name not in seen:
+            seen.add(name)
+            if name in self.formats:
+                return self.formats[name]
+            name = self.parents.get(name)
+        return None
+
+    def release(self) -> None:
+        for v in self.validations.values():
+            v.release()
 
 
 @dataclass
@@ -138,6 +156,7 @@ def build_flow(
             raise KeyError(f"Failed to load source '{name}': {exc}") from exc
         tables[name] = _observe(flow, name, df) if observe_tables else df
         flow.parents[name], flow.kinds[name] = None, "source"
+        flow.formats[name] = str(src.get("format", "")).lower()
 
     for step in flow_spec.get("transformations", []) or []:  # X1/X2
         if not isinstance(step, Mapping):
@@ -162,6 +181,9 @@ def build_flow(
             )
         if sname in tables or sname in (OK_NAME, KO_NAME):
             raise ValueError(f"Duplicate table name '{sname}' in step list")
+        if stype == "validate_fields" and "materialize" not in params:
+            if flow.source_format(input_name) in ROW_TEXT_FORMATS:
+                params = {**params, "materialize": "persist"}
         try:
             result = apply_transform(stype, tables[input_name], params, ctx)
         except (TransformationError, ValueError, TypeError) as exc:
@@ -213,6 +235,7 @@ def write_flow(flow: FlowResult, sinks: list[Mapping[str, Any]], run_id: str, *,
     finally:
         for df in shared.values():
             df.unpersist()
+        flow.release()
 
 
 def run(

@@ -110,3 +110,23 @@ def test_source_errors(spark, tmp_path):
 def test_file_inventory(spark):
     inv = file_inventory(spark.read.parquet("/root/testdata/sf0.001/region.parquet")).collect()
     assert len(inv) == 1 and inv[0].rows == 5 and inv[0].file_size > 0
+
+
+def test_files_option(spark, tmp_path):
+    df = spark.range(0, 1000, numPartitions=8).selectExpr("id", "id % 3 AS g")
+    write_sink(df, spec(tmp_path / "f", files=2))
+    parts = [f for f in os.listdir(tmp_path / "f") if f.startswith("part-")]
+    assert len(parts) == 2 and spark.read.parquet(str(tmp_path / "f")).count() == 1000
+    with pytest.raises(ValueError):
+        write_sink(df, spec(tmp_path / "g", files=0))
+
+
+def test_partition_pruning_on_read_back(spark, frame, tmp_path):
+    write_sink(frame, spec(tmp_path / "p", partitionBy=["grp"]))
+    df = read_source(spark, {"name": "p", "format": "parquet", "path": str(tmp_path / "p")}).filter("grp = 'x'")
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    assert "PartitionFilters: [isnotnull(grp" in buf.getvalue() and df.count() == 2

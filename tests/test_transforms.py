@@ -86,3 +86,8 @@ def test_register_transform(df):
 
     assert "double_age" in list_transforms()
     assert [r.age for r in step("double_age", df, factor=3).orderBy("id").collect()] == [30, None, 90]
+
+
+def test_filter_with_subquery(df):
+    out = step("filter_rows", df, condition="id IN (SELECT id FROM range(2))")
+    assert [r.id for r in out.collect()] == [1]
