@@ -237,6 +237,7 @@ def q_derive_case(spark, sf):
 def q_derive_cast_date(spark, sf):
     return _steps(read_table(spark, sf, "orders"),
                   ("derive_column", {"column": "order_day", "expression": "CAST(o_orderdate AS DATE)"}),
+                  ("derive_column", {"column": "order_day", "expression": "CAST(order_day AS STRING)"}),
                   ("select_columns", {"columns": ["o_orderkey", "order_day"]}))
 
 

@@ -123,10 +123,18 @@ def _need(rule: str, value: Any, names: str) -> Any:
 
 
 def _count(rule: str, value: Any, names: str) -> int:
+    """A non-negative whole number; ``2``, ``2.0`` and ``"2"`` are all accepted."""
     value = _need(rule, value, names)
-    if isinstance(value, bool) or not isinstance(value, int) or value < 0:
+    n = None
+    if isinstance(value, int) and not isinstance(value, bool):
+        n = value
+    elif isinstance(value, float) and value.is_integer():
+        n = int(value)
+    elif isinstance(value, str) and value.strip().isdigit():
+        n = int(value.strip())
+    if n is None or n < 0:
         raise InvalidValidationConfig(f"{rule}: {names} must be a non-negative integer, got {value!r}")
-    return value
+    return n
 
 
 def _number(rule: str, value: Any, names: str) -> float | int:

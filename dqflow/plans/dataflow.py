@@ -200,6 +200,11 @@ def build_flow(
             for alias, frame, parent in links:
                 tables[alias] = frame
                 flow.parents[alias], flow.kinds[alias] = parent, "validation"
+            if result.compiled is not None and result.compiled.rules:
+                # quality metrics as lazy tables: computed only if a sink reads them
+                for alias, frame in ((f"{sname}_stats", result.stats()), (f"{sname}_failures", result.failures_by_rule())):
+                    tables[alias] = frame
+                    flow.parents[alias], flow.kinds[alias] = input_name, "metrics"
         else:
             tables[sname] = _observe(flow, sname, result) if observe_tables else result
             flow.parents[sname], flow.kinds[sname] = input_name, "step"

@@ -191,7 +191,7 @@ def oracle_queries() -> dict[str, str]:
         "filter_rows_null_drops": _with_contacts("SELECT id FROM contacts WHERE notes <> 'vip note'"),
         "derive_case": "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity >= 40 THEN 'large' "
                        "WHEN l_quantity >= 10 THEN 'medium' ELSE 'small' END AS qty_band FROM lineitem",
-        "derive_cast_date": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day FROM orders",
+        "derive_cast_date": "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_day FROM orders",
         "derive_literal": "SELECT o_orderkey, 's3-test' AS environment FROM orders",
         "derive_explode": "SELECT doc_id, unnest([lang, source]) AS x FROM documents",
         "derive_json": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
