@@ -28,7 +28,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field as dc_field
 from functools import cached_property
-from functools import reduce
 from typing import Any, Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -87,6 +86,15 @@ def resolve_field(df: DataFrame, name: Any) -> tuple[Column, T.DataType, str]:
     return F.col(ref), dt, ref
 
 
+def all_of(cols: Sequence[Column]) -> Column:
+    """AND of many columns as a balanced tree: depth log2(n), so hundreds of
+    rules do not overflow the JVM stack while the plan is analysed."""
+    cols = list(cols)
+    while len(cols) > 1:
+        cols = [cols[i] & cols[i + 1] if i + 1 < len(cols) else cols[i] for i in range(0, len(cols), 2)]
+    return cols[0]
+
+
 # ---------------------------------------------------------------------------
 # Compilation
 # ---------------------------------------------------------------------------
@@ -196,7 +204,7 @@ class ValidationResult:
             base = self.ok.agg(F.count(F.lit(1)).alias("total_records"))
             counts = base.withColumn("valid_records", F.col("total_records"))
         else:
-            passed = reduce(lambda a, b: a & b, [r.passed for r in c.rules])
+            passed = all_of([r.passed for r in c.rules])
             counts = c.frame.agg(
                 F.count(F.lit(1)).alias("total_records"),
                 F.count_if(passed).alias("valid_records"),
@@ -346,7 +354,7 @@ def validate(
 
     annotated_all = None
     if materialize == "none":
-        conj = reduce(lambda a, b: a & b, [r.predicate for r in c.rules])
+        conj = all_of([r.predicate for r in c.rules])
         ok = c.frame.filter(conj)
         ko_rows = c.frame.filter(~F.coalesce(conj, F.lit(False)))
         annotated = ko_rows.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)])
@@ -354,7 +362,7 @@ def validate(
         annotated_all = _materialize(
             c.frame.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)]), materialize
         )
-        clean = reduce(lambda a, b: a & b, [F.size(F.col(n)) == 0 for n in field_cols])
+        clean = all_of([F.size(F.col(n)) == 0 for n in field_cols])
         ok = annotated_all.filter(clean)
         annotated = annotated_all.filter(~clean)
 

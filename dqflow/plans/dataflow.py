@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dqflow.errors import TransformationError
+from dqflow.functions.rules import AGGREGATE_RULES
 from dqflow.operators.transforms import StepContext, apply_transform, list_transforms
 from dqflow.operators.validation import ValidationResult
 from dqflow.sinks.writer import SinkResult, make_run_id, write_sink
@@ -105,6 +106,15 @@ def _ancestors(flow: FlowResult, names: set[str]) -> set[str]:
     return seen
 
 
+def _has_table_rule(rules: Any) -> bool:
+    for block in rules if isinstance(rules, list) else []:
+        for entry in (block.get("validations") or []) if isinstance(block, Mapping) else []:
+            name = entry if isinstance(entry, str) else entry.get("type") if isinstance(entry, Mapping) else None
+            if name in AGGREGATE_RULES:
+                return True
+    return False
+
+
 def _check_document(spec: Any) -> list[Mapping[str, Any]]:
     """Structure checks before anything is read."""
     if not isinstance(spec, Mapping):
@@ -182,7 +192,9 @@ def build_flow(
         if sname in tables or sname in (OK_NAME, KO_NAME):
             raise ValueError(f"Duplicate table name '{sname}' in step list")
         if stype == "validate_fields" and "materialize" not in params:
-            if flow.source_format(input_name) in ROW_TEXT_FORMATS:
+            # One pass (persist) where recomputing per branch is the expensive part:
+            # row-text sources (parse twice) and table-level rules (aggregate + join twice).
+            if flow.source_format(input_name) in ROW_TEXT_FORMATS or _has_table_rule(params.get("validations")):
                 params = {**params, "materialize": "persist"}
         try:
             result = apply_transform(stype, tables[input_name], params, ctx)

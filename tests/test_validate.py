@@ -191,3 +191,15 @@ def test_invariants(spark, rows):
         assert r.validation_errors_text == "; ".join(exp)
         flat = [m for v in r.validation_errors.values() for m in v]
         assert flat == exp
+
+
+def test_hundreds_of_rules(spark):
+    """A wide rule set neither overflows the JVM stack nor loses labels (balanced AND tree)."""
+    df = spark.createDataFrame([(i, float(i)) for i in range(20)], "id int, x double")
+    rules = [{"field": "x", "validations": [{"type": "lessThan", "value": 10 + (i % 10), "message": f"r{i}"}]}
+             for i in range(400)]
+    res = validate(df, rules, max_errors_per_row=0, max_errors_per_field=0)
+    assert res.ok.count() == 10
+    row = {r.id: r for r in res.ko.collect()}[19]
+    assert len(row.validation_errors["x"]) == 400
+    assert res.failures_by_rule().count() == 400
