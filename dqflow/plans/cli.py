@@ -1,6 +1,7 @@
 """Command-line entry: run a dataflow document with ``spark-submit``.
 
-    spark-submit -m dqflow --config conf.json            # or: python -m dqflow --config conf.json
+    python -m dqflow --config conf.json
+    spark-submit --py-files dqflow.zip dqflow/__main__.py --config conf.json
 
 The document may live on any Hadoop-supported path (local, HDFS, object
 store); it is read through Spark.  ``${NAME}`` placeholders are replaced by

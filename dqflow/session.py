@@ -36,14 +36,22 @@ def build_session(master: str = "local[*]", app_name: str = "dqflow", **conf: st
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; created privately only if none is set."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         # Local runs and tests only: no cluster-wide folder was configured.
         configured = tempfile.mkdtemp(prefix="dqflow-ckpt-")
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
