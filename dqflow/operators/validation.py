@@ -188,6 +188,7 @@ class ValidationResult:
     ko: DataFrame
     compiled: CompiledRules | None
     materialized: DataFrame | None = None
+    clean: Column | None = None  # "no rule failed" over the materialized frame
 
     def __iter__(self):  # allows ``ok, ko = validate(...)``
         return iter((self.ok, self.ko))
@@ -203,6 +204,11 @@ class ValidationResult:
         if c is None or not c.rules:
             base = self.ok.agg(F.count(F.lit(1)).alias("total_records"))
             counts = base.withColumn("valid_records", F.col("total_records"))
+        elif self.materialized is not None:  # read the kept annotations, no re-evaluation
+            counts = self.materialized.agg(
+                F.count(F.lit(1)).alias("total_records"),
+                F.count_if(self.clean).alias("valid_records"),
+            )
         else:
             passed = all_of([r.passed for r in c.rules])
             counts = c.frame.agg(
@@ -352,7 +358,7 @@ def validate(
     field_cols = [f"__dq_e{i}" for i in range(len(fields))]
     arrays = [a for _, a in _field_arrays(c)]
 
-    annotated_all = None
+    annotated_all = clean = None
     if materialize == "none":
         conj = all_of([r.predicate for r in c.rules])
         ok = c.frame.filter(conj)
@@ -369,7 +375,7 @@ def validate(
     if c.helper_cols or materialize != "none":
         ok = ok.select(*[F.col(quote(n)) for n in out_cols])
     ko = _report(annotated, out_cols, fields, field_cols, max_errors_per_field, max_errors_per_row, keep_array)
-    return ValidationResult(ok, ko, c, annotated_all)
+    return ValidationResult(ok, ko, c, annotated_all, clean)
 
 
 def apply_validations(df: DataFrame, rules: Any, **options: Any) -> tuple[DataFrame, DataFrame]:

@@ -233,19 +233,24 @@ def write_flow(flow: FlowResult, sinks: list[Mapping[str, Any]], run_id: str, *,
                 f"Sink '{sink.get('name', 'unnamed')}' references missing input '{sink.get('input')}'. "
                 f"Available: {list(flow.tables)}"
             )
-    uses: dict[str, int] = {}
+    # Count paths per frame (not per name: ``validation_ok`` and ``<step>_ok`` are one frame).
+    uses: dict[int, int] = {}
     for sink in sinks:
-        uses[sink["input"]] = uses.get(sink["input"], 0) + len(sink.get("paths") or [])
-    shared = {}
+        key = id(flow.tables[sink["input"]])
+        uses[key] = uses.get(key, 0) + len(sink.get("paths") or [])
+    shared: dict[int, DataFrame] = {}
     if share == "auto":
-        for name, n in uses.items():
-            if n > 1:
-                shared[name] = flow.tables[name].persist(StorageLevel.MEMORY_AND_DISK)
+        for sink in sinks:
+            df = flow.tables[sink["input"]]
+            if uses[id(df)] > 1 and id(df) not in shared:
+                shared[id(df)] = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for sink in sinks:
-            df = shared.get(sink["input"], flow.tables[sink["input"]])
+            df = flow.tables[sink["input"]]
+            df = shared.get(id(df), df)
             try:
-                results = write_sink(df, sink, run_id=run_id, share="none" if shared else share)
+                # sharing across paths is decided here, for the whole flow
+                results = write_sink(df, sink, run_id=run_id, share="none")
             except Exception as exc:
                 raise RuntimeError(f"Failed to write sink '{sink.get('name', 'unnamed')}': {exc}") from exc
             flow.sinks.extend(results)

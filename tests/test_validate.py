@@ -123,6 +123,7 @@ def test_materialized_split_matches(people, materialize):
     a = [(r.id, r.validation_errors_text, dict(r.validation_errors)) for r in sorted(base.ko.collect(), key=key)]
     b = [(r.id, r.validation_errors_text, dict(r.validation_errors)) for r in sorted(mat.ko.collect(), key=key)]
     assert a == b
+    assert mat.stats().first().asDict() == base.stats().first().asDict()
 
 
 # --- E1: unique -------------------------------------------------------------
