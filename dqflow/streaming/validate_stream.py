@@ -36,6 +36,8 @@ def _reject_table_rules(rules: Any) -> None:
 def validate_stream(stream_df: DataFrame, rules: Any, **options: Any) -> ValidationResult:
     """Split a streaming frame into streaming OK / KO frames."""
     _reject_table_rules(rules)
+    if options.get("materialize", "none") != "none":
+        raise InvalidValidationConfig("a stream cannot be materialized; use start_validated_stream (per batch)")
     return validate(stream_df, rules, **options)
 
 
