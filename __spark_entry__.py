@@ -420,8 +420,11 @@ def _stream_orders(spark, sf) -> str:
     base = scratch_path(spark, "stream")
     ok = {"name": "ok", "format": "parquet", "saveMode": "overwrite", "paths": [f"{base}/ok"], "versioning": True}
     ko = {"name": "ko", "format": "json", "saveMode": "overwrite", "paths": [f"{base}/ko"], "versioning": True}
-    start_validated_stream(stream, STREAM_RULES, ok, ko, checkpoint_location=f"{base}/_checkpoint",
-                           trigger={"availableNow": True}).awaitTermination()
+    query = start_validated_stream(stream, STREAM_RULES, ok, ko, checkpoint_location=f"{base}/_checkpoint",
+                                   trigger={"availableNow": True})
+    if not query.awaitTermination(timeout=900):  # availableNow ends by itself; never wait unbounded
+        query.stop()
+        raise TimeoutError("streaming validation did not finish")
     return base
 
 
