@@ -204,3 +204,23 @@ def test_hundreds_of_rules(spark):
     row = {r.id: r for r in res.ko.collect()}[19]
     assert len(row.validation_errors["x"]) == 400
     assert res.failures_by_rule().count() == 400
+
+
+def test_hot_key_is_spread_over_join_tasks(spark):
+    """A key holding a third of the rows must not land in a single join task."""
+    n_hot, n_rest = 3000, 6000
+    rows = [(i, 0) for i in range(n_hot)] + [(n_hot + i, 1 + i // 2) for i in range(n_rest)]
+    df = spark.createDataFrame(rows, "id int, k int").repartition(8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = flag_duplicates(df, F.col("k"), "dup", hot_keys=10, salt_buckets=16)
+        per_task = flagged.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count_if((F.col("k") == 0) & F.col("dup")).alias("hot_rows")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    hot_rows = [r.hot_rows for r in per_task]
+    assert sum(hot_rows) == n_hot
+    assert max(hot_rows) <= n_hot // 4  # spread over many tasks, not one
+    assert flagged.filter("dup").count() == n_hot + n_rest
