@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from dqflow import apply_transform, validate
 from dqflow.plans.dataflow import build_flow, run
 from dqflow.operators.transforms import StepContext
-from dqflow.plans.workloads import CONTACT_RULES, SINGLE_RULES, contacts, contacts_duckdb_cte, single_rule
+from dqflow.plans.workloads import CONTACT_RULES, SINGLE_RULES, contacts, single_rule
 from dqflow.session import scratch_path
 from dqflow.sinks.writer import read_latest, read_version, write_sink
 from dqflow.sources.inventory import source_inventory

@@ -16,7 +16,7 @@ from dqflow.errors import (
 from dqflow.functions.rules import register_rule, rule_names
 from dqflow.operators.quality import flag_duplicates
 from dqflow.operators.transforms import StepContext, apply_transform, register_transform
-from dqflow.operators.validation import ValidationResult, apply_validations, validate
+from dqflow.operators.validation import ValidationResult, apply_validations, rule_predicate, validate
 from dqflow.sources.reader import read_source
 
 __all__ = [
@@ -35,5 +35,6 @@ __all__ = [
     "register_rule",
     "register_transform",
     "rule_names",
+    "rule_predicate",
     "validate",
 ]

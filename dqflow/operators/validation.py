@@ -194,6 +194,16 @@ def compile_rules(
     return CompiledRules(frame, compiled, list(per_field), helpers)
 
 
+def rule_predicate(df: DataFrame, field: str, entry: Any) -> Column:
+    """One row rule as a plain predicate on ``df[field]`` (NULL counts as failed
+    only once wrapped by ``validate``).  For building custom filters."""
+    column, dtype, ref = resolve_field(df, field)
+    parsed = parse_entry(entry)
+    if parsed.type == "unique":
+        raise InvalidValidationConfig("'unique' needs the whole table; use validate()")
+    return build_predicate(parsed, column, dtype, ref)
+
+
 # ---------------------------------------------------------------------------
 # Result
 # ---------------------------------------------------------------------------

@@ -1,6 +1,5 @@
 """Plan checks: pushdown, codegen, no Python UDFs, bounded broadcast, jobs per run."""
 
-import pytest
 
 from dqflow import validate
 from dqflow.plans.dataflow import run
