@@ -16,10 +16,7 @@ LINE_RULES = [
 
 
 def plan(df, mode="formatted"):
-    return df._jdf.queryExecution().executedPlan().toString() if mode == "executed" else _explain(df, mode)
-
-
-def _explain(df, mode):
+    """The text of ``df.explain(mode)``."""
     import contextlib
     import io
 
