@@ -56,6 +56,33 @@ def canon(cols, rows):
     return [cols[i] for i in order], sorted(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+def spark_family(dtype: str) -> str:
+    d = dtype.lower()
+    if d in ("tinyint", "smallint", "int", "bigint"):
+        return "integer"
+    if d in ("float", "double"):
+        return "floating"
+    for prefix, fam in (("decimal", "decimal"), ("string", "string"), ("varchar", "string"), ("char", "string"),
+                        ("boolean", "boolean"), ("date", "date"), ("timestamp", "timestamp"), ("array", "list"),
+                        ("map", "map"), ("struct", "struct"), ("binary", "binary")):
+        if d.startswith(prefix):
+            return fam
+    return d
+
+
+def duck_family(dtype: str) -> str:
+    d = str(dtype).upper()
+    if d in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER", "UBIGINT"):
+        return "integer"
+    if d in ("FLOAT", "DOUBLE"):
+        return "floating"
+    for prefix, fam in (("DECIMAL", "decimal"), ("VARCHAR", "string"), ("BOOLEAN", "boolean"), ("DATE", "date"),
+                        ("TIMESTAMP", "timestamp"), ("MAP", "map"), ("STRUCT", "struct"), ("BLOB", "binary")):
+        if d.startswith(prefix):
+            return fam
+    return "list" if d.endswith("[]") else d.lower()
+
+
 def compare(spark, con, sf_dir, name, qfn, sql):
     sdf = qfn(spark, sf_dir)
     srows = [tuple(r) for r in sdf.collect()]
@@ -68,6 +95,12 @@ def compare(spark, con, sf_dir, name, qfn, sql):
     problems = []
     if sc != dc:
         problems.append(f"columns spark={sc} duck={dc}")
+    else:
+        stypes = {c: spark_family(t) for c, t in sdf.dtypes}
+        dtypes = {d[0]: duck_family(d[1]) for d in res.description}
+        bad = {c: (stypes[c], dtypes[c]) for c in stypes if stypes[c] != dtypes[c]}
+        if bad:
+            problems.append(f"types differ {bad}")
     if len(sr) != len(dr):
         problems.append(f"rows spark={len(sr)} duck={len(dr)}")
     elif sr != dr:
