@@ -50,6 +50,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--config", required=True, help="path of the JSON dataflow document")
     parser.add_argument("--run-id", default=None, help="run id for versioned sinks (default: UTC timestamp)")
     parser.add_argument("--first-only", action="store_true", help="run only the first dataflow")
+    parser.add_argument("--app-name", default="dqflow", help="Spark application name")
     parser.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     parser.add_argument("--observe-tables", action="store_true", help="report row counts of every table")
     args = parser.parse_args(argv)
@@ -58,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from dqflow.plans.dataflow import run
 
-    builder = SparkSession.builder.appName("dqflow")
+    builder = SparkSession.builder.appName(args.app_name)
     if args.master:
         builder = builder.master(args.master)
     spark = builder.getOrCreate()
