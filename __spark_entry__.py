@@ -217,6 +217,14 @@ def q_source_inventory(spark, sf):
     )
 
 
+def q_source_checks(spark, sf):
+    from dqflow.sources.inventory import check_sources
+
+    doc = {"dataflows": [{"name": "all-tables", "sources": [
+        {"name": t, "format": "PARQUET", "path": f"{sf}/{t}.parquet"} for t in TABLES]}]}
+    return check_sources(spark, doc).select("name", "format", "exists", "files", "rows", (F.col("bytes") > 0).alias("has_bytes"))
+
+
 def q_filter_rows(spark, sf):
     return _steps(read_table(spark, sf, "orders"),
                   ("filter_rows", {"condition": "o_totalprice >= 250000 AND o_orderstatus = 'F'"}),
@@ -445,6 +453,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "scan_parquet_count": q_scan_count,
         "source_inventory": q_source_inventory,
+        "source_checks": q_source_checks,
         "filter_rows": q_filter_rows,
         "filter_rows_null_drops": q_filter_null_drops,
         "derive_case": q_derive_case,

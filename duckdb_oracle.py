@@ -187,6 +187,11 @@ def oracle_queries() -> dict[str, str]:
             f"SELECT '{t}' AS source, CAST(1 AS BIGINT) AS files, count(*) AS rows, true AS has_bytes FROM {t}"
             for t in TABLES
         ),
+        "source_checks": " UNION ALL ".join(
+            f"SELECT '{t}' AS name, 'parquet' AS format, true AS exists, CAST(1 AS BIGINT) AS files, count(*) AS rows, "
+            f"true AS has_bytes FROM {t}"
+            for t in TABLES
+        ),
         "filter_rows": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 250000 AND o_orderstatus = 'F'",
         "filter_rows_null_drops": _with_contacts("SELECT id FROM contacts WHERE notes <> 'vip note'"),
         "derive_case": "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity >= 40 THEN 'large' "

@@ -129,3 +129,14 @@ def test_partition_pruning_on_read_back(spark, frame, tmp_path):
     with contextlib.redirect_stdout(buf):
         df.explain()
     assert "PartitionFilters: [isnotnull(grp" in buf.getvalue() and df.count() == 2
+
+
+def test_check_sources_reports_missing(spark, tmp_path):
+    from dqflow.sources import check_sources
+
+    doc = {"dataflows": [{"name": "x", "sources": [
+        {"name": "region", "format": "PARQUET", "path": "/root/testdata/sf0.001/region.parquet"},
+        {"name": "gone", "format": "JSON", "path": str(tmp_path / "missing.json")}]}]}
+    rows = {r.name: r for r in check_sources(spark, doc).collect()}
+    assert rows["region"].exists and rows["region"].rows == 5 and rows["region"].bytes > 0
+    assert rows["gone"].exists is False and rows["gone"].rows == 0
