@@ -39,7 +39,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (3, "nan")
-        return (3, f"{v:.12g}")
+        return (3, repr(v))
     if isinstance(v, dt.datetime):
         return (4, v.replace(tzinfo=None).isoformat())
     if isinstance(v, dt.date):
