@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dqflow.errors import TransformationError
-from dqflow.functions.rules import AGGREGATE_RULES
 from dqflow.operators.transforms import StepContext, apply_transform, list_transforms
 from dqflow.operators.validation import ValidationResult
 from dqflow.sinks.writer import SinkResult, make_run_id, write_sink
@@ -31,10 +30,6 @@ from dqflow.sources.reader import read_source
 
 OK_NAME, KO_NAME = "validation_ok", "validation_ko"
 
-# Sources that are parsed row by row: evaluating the rules once and keeping
-# the annotated rows (persist) is cheaper than parsing the input twice.
-ROW_TEXT_FORMATS = frozenset({"json", "csv", "text", "xml"})
-
 
 @dataclass
 class FlowResult:
@@ -45,16 +40,6 @@ class FlowResult:
     observed: dict[str, Observation] = field(default_factory=dict)
     parents: dict[str, str | None] = field(default_factory=dict)
     kinds: dict[str, str] = field(default_factory=dict)
-    formats: dict[str, str] = field(default_factory=dict)
-
-    def source_format(self, name: str) -> str | None:
-        seen = set()
-        while name is not None and name not in seen:
-            seen.add(name)
-            if name in self.formats:
-                return self.formats[name]
-            name = self.parents.get(name)
-        return None
 
     def release(self) -> None:
         for v in self.validations.values():
@@ -106,15 +91,6 @@ def _ancestors(flow: FlowResult, names: set[str]) -> set[str]:
     return seen
 
 
-def _has_table_rule(rules: Any) -> bool:
-    for block in rules if isinstance(rules, list) else []:
-        for entry in (block.get("validations") or []) if isinstance(block, Mapping) else []:
-            name = entry if isinstance(entry, str) else entry.get("type") if isinstance(entry, Mapping) else None
-            if name in AGGREGATE_RULES:
-                return True
-    return False
-
-
 def _check_document(spec: Any) -> list[Mapping[str, Any]]:
     """Structure checks before anything is read."""
     if not isinstance(spec, Mapping):
@@ -166,7 +142,6 @@ def build_flow(
             raise KeyError(f"Failed to load source '{name}': {exc}") from exc
         tables[name] = _observe(flow, name, df) if observe_tables else df
         flow.parents[name], flow.kinds[name] = None, "source"
-        flow.formats[name] = str(src.get("format", "")).lower()
 
     for step in flow_spec.get("transformations", []) or []:  # X1/X2
         if not isinstance(step, Mapping):
@@ -191,11 +166,6 @@ def build_flow(
             )
         if sname in tables or sname in (OK_NAME, KO_NAME):
             raise ValueError(f"Duplicate table name '{sname}' in step list")
-        if stype == "validate_fields" and "materialize" not in params:
-            # One pass (persist) where recomputing per branch is the expensive part:
-            # row-text sources (parse twice) and table-level rules (aggregate + join twice).
-            if flow.source_format(input_name) in ROW_TEXT_FORMATS or _has_table_rule(params.get("validations")):
-                params = {**params, "materialize": "persist"}
         try:
             result = apply_transform(stype, tables[input_name], params, ctx)
         except (TransformationError, ValueError, TypeError) as exc:
