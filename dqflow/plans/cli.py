@@ -54,6 +54,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     parser.add_argument("--observe-tables", action="store_true", help="report row counts of every table")
     args = parser.parse_args(argv)
+    import logging
+
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
 
     from pyspark.sql import SparkSession
 

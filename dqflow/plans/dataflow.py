@@ -12,6 +12,7 @@ so a list of steps expresses a tree of tables (fan-out).
 
 from __future__ import annotations
 
+import logging
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -30,6 +31,8 @@ from dqflow.sources.reader import read_source
 
 OK_NAME, KO_NAME = "validation_ok", "validation_ko"
 
+log = logging.getLogger("dqflow")
+
 
 @dataclass
 class FlowResult:
@@ -142,6 +145,7 @@ def build_flow(
             raise KeyError(f"Failed to load source '{name}': {exc}") from exc
         tables[name] = _observe(flow, name, df) if observe_tables else df
         flow.parents[name], flow.kinds[name] = None, "source"
+        log.info("source %s: %s %s", name, src.get("format"), src.get("path"))
 
     for step in flow_spec.get("transformations", []) or []:  # X1/X2
         if not isinstance(step, Mapping):
@@ -172,6 +176,7 @@ def build_flow(
             raise RuntimeError(f"Transformation '{sname}' (type '{stype}') failed: {exc}") from exc
         except Exception as exc:
             raise RuntimeError(f"Transformation '{sname}' (type '{stype}') failed: {exc}") from exc
+        log.info("step %s (%s) <- %s", sname, stype, input_name)
         if isinstance(result, ValidationResult):  # D5
             flow.validations[sname] = result
             ok, ko = result.ok, result.ko
@@ -224,6 +229,8 @@ def write_flow(flow: FlowResult, sinks: list[Mapping[str, Any]], run_id: str, *,
             except Exception as exc:
                 raise RuntimeError(f"Failed to write sink '{sink.get('name', 'unnamed')}': {exc}") from exc
             flow.sinks.extend(results)
+            for r in results:
+                log.info("sink %s <- %s: %s rows to %s", r.sink, r.input, r.rows, r.uri)
     finally:
         for df in shared.values():
             df.unpersist()
