@@ -400,7 +400,7 @@ def q_versioned_latest(spark, sf):
 
 
 def q_versioned_first(spark, sf):
-    return read_version(spark, _versions(spark, sf), "run-1", "parquet")
+    return read_version(spark, _versions(spark, sf), "run-1")
 
 
 def q_ko_json_sink(spark, sf):

@@ -82,6 +82,9 @@ def test_versioned_latest_and_manifest(spark, frame, tmp_path):
     assert latest_version(spark, base)["version_id"] == "run_2_x"
     assert read_latest(spark, base).count() == 3
     assert read_version(spark, base, "run-1", "parquet").count() == 1
+    assert read_version(spark, base, "run-1").count() == 1  # format from the manifest
+    with pytest.raises(FileNotFoundError):
+        read_version(spark, base, "never")
     m = {r.version_id: r.rows for r in list_versions(spark, base).collect()}
     assert m == {"run-1": 1, "run_2_x": 3}
     assert os.path.isdir(f"{base}/_versions/run-1")
