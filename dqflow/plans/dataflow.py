@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from dqflow.errors import TransformationError
 from dqflow.operators.transforms import StepContext, apply_transform, list_transforms
 from dqflow.operators.validation import ValidationResult
-from dqflow.sinks.writer import SinkResult, make_run_id, write_sink
+from dqflow.sinks.writer import SinkResult, can_anchor, make_run_id, read_back, write_sink
 from dqflow.sources.reader import read_source
 
 OK_NAME, KO_NAME = "validation_ok", "validation_ko"
@@ -199,7 +199,12 @@ def build_flow(
 
 
 def write_flow(flow: FlowResult, sinks: list[Mapping[str, Any]], run_id: str, *, share: str = "auto") -> None:
-    """Write every sink.  A table feeding more than one path is persisted once."""
+    """Write every sink; a table feeding several paths is computed once.
+
+    If the table's first sink is lossless and fresh (Parquet/ORC, overwrite or
+    error mode), later sinks read that committed output back; otherwise the
+    table is persisted for the duration of the writes.
+    """
     for sink in sinks:
         if not isinstance(sink, Mapping):
             raise TypeError("sink must be a dictionary")
@@ -213,21 +218,29 @@ def write_flow(flow: FlowResult, sinks: list[Mapping[str, Any]], run_id: str, *,
     for sink in sinks:
         key = id(flow.tables[sink["input"]])
         uses[key] = uses.get(key, 0) + len(sink.get("paths") or [])
+    strategy: dict[int, str] = {}
     shared: dict[int, DataFrame] = {}
     if share == "auto":
         for sink in sinks:
             df = flow.tables[sink["input"]]
-            if uses[id(df)] > 1 and id(df) not in shared:
-                shared[id(df)] = df.persist(StorageLevel.MEMORY_AND_DISK)
+            if uses[id(df)] > 1 and id(df) not in strategy:
+                strategy[id(df)] = "reread" if can_anchor(sink) else "persist"
+                if strategy[id(df)] == "persist":
+                    shared[id(df)] = df.persist(StorageLevel.MEMORY_AND_DISK)
+    anchors: dict[int, SinkResult] = {}
     try:
         for sink in sinks:
             df = flow.tables[sink["input"]]
-            df = shared.get(id(df), df)
+            key = id(df)
+            src = shared.get(key, df)
+            if strategy.get(key) == "reread" and key in anchors:
+                src = read_back(df.sparkSession, anchors[key], df)
             try:
-                # sharing across paths is decided here, for the whole flow
-                results = write_sink(df, sink, run_id=run_id, share="none")
+                results = write_sink(src, sink, run_id=run_id, share="none" if key in shared else share)
             except Exception as exc:
                 raise RuntimeError(f"Failed to write sink '{sink.get('name', 'unnamed')}': {exc}") from exc
+            if strategy.get(key) == "reread" and key not in anchors:
+                anchors[key] = results[0]
             flow.sinks.extend(results)
             for r in results:
                 log.info("sink %s <- %s: %s rows to %s", r.sink, r.input, r.rows, r.uri)
