@@ -368,19 +368,19 @@ def parse_entry(entry: Any) -> RuleEntry:
         if message is not None and not isinstance(message, str):
             raise InvalidValidationConfig(f"'message' must be a string, got {message!r}")
     else:
-        raise InvalidValidationConfig(f"Invalid validator config: {entry!r}. Must be string or dict.")
+        raise InvalidValidationConfig(f"a rule entry is a name or a dict, not {entry!r}")
     if not name or not isinstance(name, str):
-        raise InvalidValidationConfig("Validator type not specified")
+        raise InvalidValidationConfig("a rule entry needs a 'type'")
     d = RULES.get(name)
     if d is None:
-        raise ValidatorNotFoundError(f"Unknown validator '{name}'. Available: {', '.join(rule_names())}")
+        raise ValidatorNotFoundError(f"no rule named {name!r}; known rules: {', '.join(rule_names())}")
     if d.parameterised:
         if not params:
-            raise InvalidValidationConfig(f"Validator '{name}' requires parameters: {list(d.params)}")
+            raise InvalidValidationConfig(f"rule {name!r} takes parameters {list(d.params)}; none given")
         unknown = sorted(set(params) - set(d.params))
         if unknown:
             raise InvalidValidationConfig(
-                f"Validator '{name}' got unknown parameters {unknown}; accepted: {list(d.params)}"
+                f"rule {name!r} does not take {unknown}; it takes {list(d.params)}"
             )
     return RuleEntry(name, params, message, enabled)
 

@@ -52,7 +52,7 @@ def list_transforms() -> list[str]:
 def _require(step: str, params: Mapping[str, Any], *names: str) -> None:
     missing = [n for n in names if not params.get(n)]
     if missing:
-        raise ValidationError(f"{step} missing required params: {missing}")
+        raise ValidationError(f"{step}: parameters {missing} are required")
 
 
 def _list_param(step: str, params: Mapping[str, Any], name: str) -> list:
@@ -119,11 +119,11 @@ def add_fields(df: DataFrame, params: Mapping[str, Any], ctx: StepContext) -> Da
             raise ValidationError(f"add_fields: field definition must be a dict, got {spec!r}")
         name, fn = spec.get("name"), spec.get("function")
         if not name:
-            raise ValidationError("field definition missing 'name'")
+            raise ValidationError("add_fields: every field needs a 'name'")
         if not fn:
-            raise ValidationError("field definition missing 'function'")
+            raise ValidationError("add_fields: every field needs a 'function'")
         if fn not in FIELD_FUNCTIONS:
-            raise ValidationError(f"Unsupported function '{fn}' for field '{name}'")
+            raise ValidationError(f"add_fields: function {fn!r} (field {name!r}) is not one of {sorted(FIELD_FUNCTIONS)}")
         cols[name] = FIELD_FUNCTIONS[fn](ctx)
     return df.withColumns(cols)
 
@@ -143,7 +143,7 @@ def apply_transform(step_type: str, df: DataFrame, params: Mapping[str, Any], ct
     """Run one step; unknown types list what is available."""
     fn = TRANSFORMS.get(step_type)
     if fn is None:
-        raise ValueError(f"Unknown transformation type '{step_type}'. Available: {', '.join(list_transforms())}")
+        raise ValueError(f"no step type {step_type!r}; known types: {', '.join(list_transforms())}")
     try:
         return fn(df, params, ctx or StepContext())
     except TransformationError:

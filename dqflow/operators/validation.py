@@ -39,10 +39,16 @@ from dqflow.errors import InvalidValidationConfig, ValidationException
 from dqflow.functions.rules import build_predicate, parse_entry
 from dqflow.operators.quality import DEFAULT_HOT_KEYS, DEFAULT_SALT_BUCKETS, flag_duplicates
 
+# ---------------------------------------------------------------------------
+# The report's column names, its joiner and truncation wording,
+# the fallback text and the default limits are part of the output format.
+# ---------------------------------------------------------------------------
 ERRORS_MAP = "validation_errors"
 ERRORS_TEXT = "validation_errors_text"
 ERRORS_ARRAY = "validation_errors_array"
 UNKNOWN_ERROR = "Unknown validation error"
+JOINER = "; "
+MORE_PREFIX, MORE_SUFFIX = "; ... (+", " more)"
 DEFAULT_MAX_ERRORS = 50
 
 _ERROR_COLS = (ERRORS_MAP, ERRORS_TEXT, ERRORS_ARRAY)
@@ -69,7 +75,7 @@ def _find(fields: Sequence[T.StructField], name: str) -> T.StructField | None:
 def resolve_field(df: DataFrame, name: Any) -> tuple[Column, T.DataType, str]:
     """Return ``(column, data type, SQL reference)`` for a rule's ``field``."""
     if not isinstance(name, str) or not name:
-        raise InvalidValidationConfig("Validation rule missing required 'field'")
+        raise InvalidValidationConfig("a rule block needs a 'field'")
     top = _find(df.schema.fields, name)
     if top is not None:
         ref = quote(top.name)
@@ -79,7 +85,7 @@ def resolve_field(df: DataFrame, name: Any) -> tuple[Column, T.DataType, str]:
     for part in name.split("."):
         f = _find(dt.fields, part) if isinstance(dt, T.StructType) else None
         if f is None:
-            raise InvalidValidationConfig(f"Field '{name}' not found in dataframe. Available: {df.columns}")
+            raise InvalidValidationConfig(f"no column {name!r} to validate; columns: {df.columns}")
         parts.append(quote(f.name))
         dt = f.dataType
     ref = ".".join(parts)
@@ -156,7 +162,7 @@ def compile_rules(
     A field named by several blocks keeps all their rules, in order (D3).
     """
     if not isinstance(rules, list):
-        raise TypeError("Validation rules must be a list")
+        raise TypeError("rules are a list of rule blocks")
     frame = df
     helpers: list[str] = []
     per_field: dict[str, list[tuple[str, str, Column]]] = {}
@@ -167,7 +173,7 @@ def compile_rules(
         column, dtype, ref = resolve_field(df, fname)
         entries = block.get("validations")
         if not isinstance(entries, list) or not entries:
-            raise InvalidValidationConfig(f"Field '{fname}' has no validators defined")
+            raise InvalidValidationConfig(f"rule block for {fname!r} lists no validations")
         block_msg = block.get("message")
         if block_msg is not None and not isinstance(block_msg, str):
             raise InvalidValidationConfig(f"Field '{fname}': 'message' must be a string")
@@ -184,7 +190,7 @@ def compile_rules(
                 else:
                     pred = build_predicate(entry, column, dtype, ref)
             except ValidationException as exc:
-                raise InvalidValidationConfig(f"Error in field '{fname}': {exc}") from exc
+                raise InvalidValidationConfig(f"rule for {fname!r}: {exc}") from exc
             label = entry.message or block_msg or f"{fname}:{entry.type}"  # D-6
             per_field.setdefault(fname, []).append((entry.type, label, pred))
     compiled = []
@@ -323,13 +329,13 @@ def _report(
     arr = F.col("__dq_flat")
     n = F.size(arr)
     if max_per_row > 0:  # D-9
-        joined = F.concat_ws("; ", F.slice(arr, 1, max_per_row))
+        joined = F.concat_ws(JOINER, F.slice(arr, 1, max_per_row))
         text = F.when(
             n > max_per_row,
-            F.concat(joined, F.lit("; ... (+"), (n - max_per_row).cast("string"), F.lit(" more)")),
+            F.concat(joined, F.lit(MORE_PREFIX), (n - max_per_row).cast("string"), F.lit(MORE_SUFFIX)),
         ).otherwise(joined)
     else:
-        text = F.concat_ws("; ", arr)
+        text = F.concat_ws(JOINER, arr)
     text = F.when(n == 0, F.lit(UNKNOWN_ERROR)).otherwise(text)
     final = [F.col(quote(n_)) for n_ in out_cols] + [F.col(ERRORS_MAP), text.alias(ERRORS_TEXT)]
     if keep_array:  # D-10: untruncated
@@ -369,7 +375,7 @@ def validate(
     A limit <= 0 means no limit.
     """
     if not isinstance(rules, list):
-        raise TypeError("Validation rules must be a list")
+        raise TypeError("rules are a list of rule blocks")
     if not rules:  # D-11
         return ValidationResult(df, _empty_ko(df), None)
     for name in _ERROR_COLS:

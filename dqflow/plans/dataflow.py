@@ -97,17 +97,17 @@ def _ancestors(flow: FlowResult, names: set[str]) -> set[str]:
 def _check_document(spec: Any) -> list[Mapping[str, Any]]:
     """Structure checks before anything is read."""
     if not isinstance(spec, Mapping):
-        raise TypeError("Pipeline config must be a dictionary")
+        raise TypeError("a dataflow document is a JSON object (dict)")
     flows = spec.get("dataflows")
     if not isinstance(flows, list) or not flows:
-        raise ValueError("Config must contain a non-empty 'dataflows' list")
+        raise ValueError("the document needs a non-empty list under 'dataflows'")
     for flow in flows:
         if not isinstance(flow, Mapping):
-            raise TypeError("Each dataflow must be a dictionary")
+            raise TypeError("every entry of 'dataflows' is a dict")
         if not flow.get("sources"):
-            raise ValueError("Dataflow must include at least one source")
+            raise ValueError("a dataflow reads at least one source")
         if not flow.get("sinks"):
-            raise ValueError("Dataflow must include at least one sink")
+            raise ValueError("a dataflow writes at least one sink")
     return flows
 
 
@@ -136,9 +136,9 @@ def build_flow(
     for src in flow_spec.get("sources", []):  # S8
         name = src.get("name") if isinstance(src, Mapping) else None
         if not name:
-            raise ValueError("Each source must define a non-empty 'name'")
+            raise ValueError("every source needs a name")
         if name in tables:
-            raise ValueError(f"Duplicate source name detected: '{name}'")
+            raise ValueError(f"source name {name!r} is used twice")
         try:
             df = read_source(spark, src)
         except Exception as exc:
@@ -149,27 +149,26 @@ def build_flow(
 
     for step in flow_spec.get("transformations", []) or []:  # X1/X2
         if not isinstance(step, Mapping):
-            raise TypeError("Each transformation must be a dictionary")
+            raise TypeError("every step in 'transformations' is a dict")
         stype, sname = step.get("type"), step.get("name")
         params = step.get("params") or {}
         input_name = params.get("input")
         if not stype:
-            raise ValueError(f"Transformation '{sname}' must define 'type'")
+            raise ValueError(f"step {sname!r} has no 'type'")
         if not sname:  # D13: name required
-            raise ValueError(f"Transformation of type '{stype}' must define a non-empty 'name'")
+            raise ValueError(f"a {stype!r} step has no 'name'; every step needs one")
         if not input_name:
-            raise ValueError(f"Transformation '{sname}' (type '{stype}') must define 'params.input'")
+            raise ValueError(f"step {sname!r} ({stype}) names no 'params.input'")
         if input_name not in tables:
             raise KeyError(
-                f"Transformation '{sname}' references missing input dataframe '{input_name}'. "
-                f"Available: {list(tables)}"
+                f"step {sname!r} reads {input_name!r}, which is not defined before it; known tables: {list(tables)}"
             )
         if stype not in list_transforms():
             raise ValueError(
                 f"Unsupported transformation type '{stype}' in step '{sname}'. Available: {', '.join(list_transforms())}"
             )
         if sname in tables or sname in (OK_NAME, KO_NAME):
-            raise ValueError(f"Duplicate table name '{sname}' in step list")
+            raise ValueError(f"table name {sname!r} is already taken")
         try:
             result = apply_transform(stype, tables[input_name], params, ctx)
         except (TransformationError, ValueError, TypeError) as exc:
@@ -207,11 +206,11 @@ def write_flow(flow: FlowResult, sinks: list[Mapping[str, Any]], run_id: str, *,
     """
     for sink in sinks:
         if not isinstance(sink, Mapping):
-            raise TypeError("sink must be a dictionary")
+            raise TypeError("every sink is a dict")
         if sink.get("input") not in flow.tables:
             raise KeyError(
-                f"Sink '{sink.get('name', 'unnamed')}' references missing input '{sink.get('input')}'. "
-                f"Available: {list(flow.tables)}"
+                f"sink {sink.get('name', 'unnamed')!r} writes {sink.get('input')!r}, which no source or step "
+                f"defines; known tables: {list(flow.tables)}"
             )
     # Count paths per frame (not per name: ``validation_ok`` and ``<step>_ok`` are one frame).
     uses: dict[int, int] = {}

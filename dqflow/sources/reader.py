@@ -18,18 +18,18 @@ from pyspark.sql import DataFrame, SparkSession
 def read_source(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:
     """Load ``spec['path']`` with any format Spark knows."""
     if not isinstance(spec, Mapping):
-        raise TypeError("source_config must be a dictionary")
+        raise TypeError("a source spec is a dict")
     name = spec.get("name", "unnamed")
     path = spec.get("path")
     fmt = spec.get("format")
     options = spec.get("options") or {}
     schema = spec.get("schema")
     if not path:
-        raise ValueError(f"Source '{name}' is missing required field 'path'")
+        raise ValueError(f"source {name!r}: 'path' is required")
     if not fmt:
-        raise ValueError(f"Source '{name}' is missing required field 'format'")
+        raise ValueError(f"source {name!r}: 'format' is required")
     if not isinstance(options, Mapping):
-        raise TypeError(f"Source '{name}' field 'options' must be a dictionary")
+        raise TypeError(f"source {name!r}: 'options' must be a dict")
     try:
         reader = spark.read.format(str(fmt).lower())
         if options:  # S6
@@ -38,7 +38,7 @@ def read_source(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:
             reader = reader.schema(schema)
         return reader.load(path)
     except Exception as exc:
-        raise RuntimeError(f"Failed reading source '{name}' with format '{fmt}' from '{path}': {exc}") from exc
+        raise RuntimeError(f"source {name!r} could not be read as {fmt} from {path}: {exc}") from exc
 
 
 def _opt(v: Any) -> str:

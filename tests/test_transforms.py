@@ -70,7 +70,7 @@ def test_parameter_errors(df, t, params):
 
 
 def test_unknown_type_lists_available(df):
-    with pytest.raises(ValueError, match="Available: add_fields"):
+    with pytest.raises(ValueError, match="known types: add_fields"):
         apply_transform("nope", df, {})
 
 
