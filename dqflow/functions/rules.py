@@ -37,7 +37,7 @@ DATETIME_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
 UUID_PATTERN = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 URL_PATTERN = r"^https?://[^\s/$.?#].[^\s]*$"
 
-# Keys of a rule dict that are metadata, not builder parameters.
+# Fixed value: keys of a rule dict that are metadata, not builder parameters.
 METADATA_KEYS = frozenset({"type", "message", "enabled", "description"})
 
 # Rules that need the whole table (an aggregation), not just the row.
