@@ -153,6 +153,17 @@ TYPED = {
                              [{"field": "c_nationkey", "validations": [{"type": "equals", "value": "7"}]}]),
     "rule_numeric_on_typed": ("customer", ["c_custkey"],
                               [{"field": "c_acctbal", "validations": ["numeric", "positive"]}]),
+    "rule_notEmpty_on_array": ("embeddings", ["vec_id"], [{"field": "embedding", "validations": ["notEmpty"]}]),
+    "rule_equals_on_int_flags": ("labels", ["doc_id"],
+                                 [{"field": "quality", "validations": [{"type": "equals", "value": 1}]},
+                                  {"field": "toxic", "validations": [{"type": "equals", "value": False}]}]),
+    "rule_inList_on_roles": ("conversations", ["conv_id", "turn"],
+                             [{"field": "role", "validations": [{"type": "inList", "values": ["user", "assistant"]}]}]),
+    "rule_custom_sql_on_json": ("events", ["event_id"],
+                                [{"field": "props", "validations": [
+                                    {"type": "custom_sql",
+                                     "expression": "CAST(get_json_object({column}, '$.k') AS INT) BETWEEN 10 AND 60"}]},
+                                 {"field": "value", "validations": ["nonNegative"]}]),
     "validate_cross_field": ("lineitem", ["l_orderkey", "l_linenumber"],
                              [{"field": "l_discount", "validations": [
                                  {"type": "custom_sql", "expression": "{column} <= l_tax + 0.05"}]}]),
@@ -192,6 +203,15 @@ def q_unique_documents(spark, sf):
     return _unique_flags(read_table(spark, sf, "documents"), "doc_id", "text")
 
 
+def q_unique_composite(spark, sf):
+    """Uniqueness of a composite key: derive the key, then validate it."""
+    conv = _steps(read_table(spark, sf, "conversations"),
+                  ("derive_column", {"column": "conv_turn", "expression": "concat_ws(':', conv_id, turn)"}))
+    res = validate(conv, [{"field": "conv_turn", "validations": ["unique"]}])
+    return res.ok.select("conv_id", "turn", F.lit(True).alias("unique_ok")).unionByName(
+        res.ko.select("conv_id", "turn", F.lit(False).alias("unique_ok")))
+
+
 def q_unique_lineitem(spark, sf):
     li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
     res = validate(li, [{"field": "l_orderkey", "validations": ["unique"]}])
@@ -487,6 +507,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "failures_by_rule": q_failures_by_rule,
         "unique_rule_documents": q_unique_documents,
         "unique_rule_lineitem": q_unique_lineitem,
+        "unique_rule_composite": q_unique_composite,
         "dataflow_full_ko": q_dataflow_ko,
         "dataflow_full_ok": q_dataflow_ok,
         "dataflow_written_ko": q_dataflow_written,

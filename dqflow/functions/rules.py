@@ -89,6 +89,8 @@ def _comparable(c: Column, dt: T.DataType, v: Any) -> tuple[str, Column, Column]
     if isinstance(v, bool):
         if isinstance(dt, T.BooleanType):
             return "direct", c, F.lit(v)
+        if isinstance(dt, T.NumericType):  # a 0/1 flag column
+            return "direct", c, F.lit(1 if v else 0)
         return "text", as_text(c, dt), F.lit("true" if v else "false")
     if _is_number(v):
         if isinstance(dt, T.NumericType):

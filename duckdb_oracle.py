@@ -217,6 +217,14 @@ def oracle_queries() -> dict[str, str]:
         "rule_inList_on_typed": "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber IN (1, 2, 3)",
         "rule_equals_on_typed": "SELECT c_custkey FROM customer WHERE c_nationkey = 7",
         "rule_numeric_on_typed": "SELECT c_custkey FROM customer WHERE c_acctbal IS NOT NULL AND c_acctbal > 0",
+        "rule_notEmpty_on_array": "SELECT vec_id FROM embeddings WHERE coalesce(len(embedding) > 0, false)",
+        "rule_equals_on_int_flags": "SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0",
+        "rule_inList_on_roles": "SELECT conv_id, turn FROM conversations WHERE role IN ('user', 'assistant')",
+        "rule_custom_sql_on_json": "SELECT event_id FROM events WHERE "
+                                   "coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER) BETWEEN 10 AND 60, false) "
+                                   "AND value >= 0",
+        "unique_rule_composite": "SELECT conv_id, turn, count(*) OVER (PARTITION BY conv_id, turn) = 1 AS unique_ok "
+                                 "FROM conversations",
         "validate_cross_field": "SELECT l_orderkey, l_linenumber FROM lineitem WHERE coalesce(l_discount <= l_tax + 0.05, false)",
     })
     c = CONTACT_CHECKS
