@@ -186,6 +186,21 @@ def q_text_quality(spark, sf):
     return ko.select("doc_id", "validation_errors_text")
 
 
+PART_RULES = [
+    {"field": "p_brand", "validations": [{"type": "pattern", "regex": "^Brand#[0-9]{2}$", "message": "brand code"}]},
+    {"field": "p_size", "validations": [{"type": "between", "min": 5, "max": 45}, "integer"]},
+    {"field": "p_retailprice", "validations": ["positive", {"type": "lessThan", "value": 990}]},
+    {"field": "p_type", "message": "type not sold", "validations": [
+        {"type": "inList", "values": ["ECONOMY", "SMALL", "STANDARD", "MEDIUM"]}]},
+    {"field": "p_name", "validations": [{"type": "endsWith", "suffix": "bolt"}, {"type": "maxLength", "value": 12}]},
+]
+
+
+def q_part_catalog(spark, sf):
+    ko = validate(read_table(spark, sf, "part"), PART_RULES, max_errors_per_row=3).ko
+    return ko.select("p_partkey", "validation_errors_text")
+
+
 URL_RULES = [{"field": "url", "validations": ["url", {"type": "startsWith", "prefix": "https://"}]}]
 
 
@@ -504,6 +519,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "validate_stats": q_validate_stats,
         "validate_text_quality": q_text_quality,
         "validate_urls": q_validate_urls,
+        "validate_part_catalog": q_part_catalog,
         "failures_by_rule": q_failures_by_rule,
         "unique_rule_documents": q_unique_documents,
         "unique_rule_lineitem": q_unique_lineitem,

@@ -160,6 +160,16 @@ TEXT = [
     ("lang", "lang:inList", "lang IN ('en', 'fr', 'de')"),
     ("source", "source:lengthBetween", "length(source) BETWEEN 4 AND 4"),
 ]
+PART = [
+    ("p_brand", "brand code", "regexp_matches(p_brand, '^Brand#[0-9]{2}$')"),
+    ("p_size", "p_size:between", "p_size >= 5 AND p_size <= 45"),
+    ("p_size", "p_size:integer", "p_size IS NOT NULL"),
+    ("p_retailprice", "p_retailprice:positive", "p_retailprice > 0"),
+    ("p_retailprice", "p_retailprice:lessThan", "p_retailprice < 990"),
+    ("p_type", "type not sold", "p_type IN ('ECONOMY', 'SMALL', 'STANDARD', 'MEDIUM')"),
+    ("p_name", "p_name:endsWith", "suffix(p_name, 'bolt')"),
+    ("p_name", "p_name:maxLength", "length(p_name) <= 12"),
+]
 DEMO = [
     ("name", "name:notEmpty", "name <> ''"),
     ("name", "name:pattern", "regexp_matches(name, '^Customer#[0-9]{9}$')"),
@@ -256,6 +266,8 @@ def oracle_queries() -> dict[str, str]:
         "validate_text_quality": f"SELECT doc_id, {_text(TEXT)} AS validation_errors_text FROM documents WHERE {_ko_where(TEXT)}",
         "validate_urls": f"SELECT page_id FROM pages WHERE {_ok(f'regexp_matches(url, {URL_RE})')} "
                          "AND starts_with(url, 'https://')",
+        "validate_part_catalog": f"SELECT p_partkey, {_text(PART, 3)} AS validation_errors_text FROM part "
+                                 f"WHERE {_ko_where(PART)}",
         "failures_by_rule": _with_contacts(" UNION ALL ".join(
             f"SELECT CAST({i} AS BIGINT) AS rule_index, {_lit(f)} AS field, {_lit(rule)} AS rule, {_lit(lab)} AS message, "
             f"count(*) FILTER (WHERE {_fail(p)}) AS failures FROM contacts"
