@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_HOT_KEYS = 100
 DEFAULT_SALT_BUCKETS = 32
@@ -49,15 +50,18 @@ def flag_duplicates(
         marks = dups.select(k, F.lit(True).alias(flag))
         joined = keyed.join(marks, on=k, how="left")
     else:
+        # Grouping and joins treat -0.0 and 0.0 as one key; hash them as one too.
+        key_type = keyed.schema[k].dataType
+        hashed = F.xxhash64(F.col(k) + F.lit(0.0) if isinstance(key_type, (T.FloatType, T.DoubleType)) else F.col(k))
         # Size bound: at most `hot_keys` rows of one long each, so broadcasting it is safe.
         top = (
             dups.orderBy(F.col(n).desc()).limit(hot_keys)
-            .select(F.xxhash64(k).alias(h)).distinct()
+            .select(hashed.alias(h)).distinct()
             .select(h, F.lit(True).alias(hot))
         )
 
         def mark_hot(frame: DataFrame) -> DataFrame:
-            return frame.withColumn(h, F.xxhash64(k)).join(F.broadcast(top), on=h, how="left").drop(h)
+            return frame.withColumn(h, hashed).join(F.broadcast(top), on=h, how="left").drop(h)
 
         big = mark_hot(keyed).withColumn(
             salt,

@@ -224,3 +224,10 @@ def test_hot_key_is_spread_over_join_tasks(spark):
     assert sum(hot_rows) == n_hot
     assert max(hot_rows) <= n_hot // 4  # spread over many tasks, not one
     assert flagged.filter("dup").count() == n_hot + n_rest
+
+
+def test_unique_float_keys_signed_zero_and_nan(spark):
+    df = spark.createDataFrame([(1, 0.0), (2, -0.0), (3, float("nan")), (4, float("nan")), (5, 1.5)], "id int, k double")
+    for hot, salts in ((100, 8), (0, 1)):
+        res = validate(df, [{"field": "k", "validations": ["unique"]}], hot_keys=hot, salt_buckets=salts)
+        assert {r.id for r in res.ok.collect()} == {5}
