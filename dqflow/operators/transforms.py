@@ -128,7 +128,9 @@ def add_fields(df: DataFrame, params: Mapping[str, Any], ctx: StepContext) -> Da
     return df.withColumns(cols)
 
 
-VALIDATE_OPTIONS = ("max_errors_per_field", "max_errors_per_row", "keep_array", "materialize", "hot_keys", "salt_buckets")
+VALIDATE_OPTIONS = (
+    "max_errors_per_field", "max_errors_per_row", "keep_array", "materialize", "hot_keys", "salt_buckets", "observe",
+)
 
 
 @register_transform("validate_fields")

@@ -26,12 +26,13 @@ not deterministic (O8, O13).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field as dc_field
 from functools import cached_property
 from typing import Any, Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -221,6 +222,7 @@ class ValidationResult:
     compiled: CompiledRules | None
     materialized: DataFrame | None = None
     clean: Column | None = None  # "no rule failed" over the materialized frame
+    observation: Observation | None = None  # metrics collected by the KO branch's own scan
 
     def __iter__(self):  # allows ``ok, ko = validate(...)``
         return iter((self.ok, self.ko))
@@ -256,6 +258,29 @@ class ValidationResult:
             F.when(total > 0, (total - valid) * 100.0 / total).otherwise(F.lit(0.0)).alias("invalid_percentage"),
         )
 
+    def _observed(self) -> dict:
+        if self.observation is None:
+            raise InvalidValidationConfig("validate(..., observe=True) was not used")
+        return self.observation.get  # blocks until the KO branch has run once
+
+    def observed_stats(self, spark) -> DataFrame:
+        """``stats()`` from the metrics the KO branch collected while it ran:
+        no extra scan.  Call only after the KO frame was written or collected."""
+        m = self._observed()
+        total, valid = int(m["total_records"]), int(m["valid_records"])
+        pct = (lambda x: x * 100.0 / total) if total else (lambda x: 0.0)
+        return spark.createDataFrame(
+            [(total, valid, total - valid, pct(valid), pct(total - valid))],
+            "total_records long, valid_records long, invalid_records long, "
+            "valid_percentage double, invalid_percentage double",
+        )
+
+    def observed_failures(self, spark) -> DataFrame:
+        """``failures_by_rule()`` from the KO branch's collected metrics (see ``observed_stats``)."""
+        m = self._observed()
+        rows = [(r.index, r.field, r.rule, r.label, int(m[f"__dq_f{r.index}"])) for r in self.compiled.rules]
+        return spark.createDataFrame(rows, "rule_index int, field string, rule string, message string, failures long")
+
     def failures_by_rule(self) -> DataFrame:
         """Failing rows per rule, as one global aggregation (no explode,
         no per-row shuffle: partial counts per task, one tiny final merge)."""
@@ -364,9 +389,16 @@ def validate(
     materialize: str = "none",
     hot_keys: int = DEFAULT_HOT_KEYS,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    observe: bool = False,
 ) -> ValidationResult:
     """Split ``df`` into ``(ok, ko)`` by ``rules``; see the module docstring.
 
+    ``observe=True`` makes the KO branch count, while it scans, the total and
+    valid rows and the failures of every rule (an ``Observation`` placed above
+    the scan, below the KO filter; the OK branch keeps its pushdown).  After
+    the KO frame has run once, ``observed_stats`` / ``observed_failures``
+    return those numbers without another pass over the data.
+
     ``ok`` keeps the input columns unchanged (D-4).  ``ko`` adds
     ``validation_errors`` (map field -> labels, at most
     ``max_errors_per_field`` each), ``validation_errors_text`` (labels joined
@@ -390,15 +422,26 @@ def validate(
     field_cols = [f"__dq_e{i}" for i in range(len(fields))]
     arrays = [a for _, a in _field_arrays(c)]
 
+    observation = None
+    observed_frame = c.frame
+    if observe:
+        observation = Observation(f"dqflow_validate_{uuid.uuid4().hex}")
+        observed_frame = c.frame.observe(
+            observation,
+            F.count(F.lit(1)).alias("total_records"),
+            F.count_if(all_of([r.passed for r in cheap_first(c.rules)])).alias("valid_records"),
+            *[F.count_if(r.failed).alias(f"__dq_f{r.index}") for r in c.rules],
+        )
+
     annotated_all = clean = None
     if materialize == "none":
         conj = all_of([r.predicate for r in cheap_first(c.rules)])
         ok = c.frame.filter(conj)
-        ko_rows = c.frame.filter(~F.coalesce(conj, F.lit(False)))
+        ko_rows = observed_frame.filter(~F.coalesce(conj, F.lit(False)))
         annotated = ko_rows.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)])
     else:
         annotated_all = _materialize(
-            c.frame.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)]), materialize
+            observed_frame.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)]), materialize
         )
         clean = all_of([F.size(F.col(n)) == 0 for n in field_cols])
         ok = annotated_all.filter(clean)
@@ -407,7 +450,7 @@ def validate(
     if c.helper_cols or materialize != "none":
         ok = ok.select(*[F.col(quote(n)) for n in out_cols])
     ko = _report(annotated, out_cols, fields, field_cols, max_errors_per_field, max_errors_per_row, keep_array)
-    return ValidationResult(ok, ko, c, annotated_all, clean)
+    return ValidationResult(ok, ko, c, annotated_all, clean, observation)
 
 
 def apply_validations(df: DataFrame, rules: Any, **options: Any) -> tuple[DataFrame, DataFrame]:

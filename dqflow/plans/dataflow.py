@@ -43,6 +43,7 @@ class FlowResult:
     observed: dict[str, Observation] = field(default_factory=dict)
     parents: dict[str, str | None] = field(default_factory=dict)
     kinds: dict[str, str] = field(default_factory=dict)
+    metric_tables: dict[str, tuple[str, str]] = field(default_factory=dict)  # name -> (step, "stats"|"failures")
 
     def release(self) -> None:
         for v in self.validations.values():
@@ -132,6 +133,7 @@ def build_flow(
     """
     flow = FlowResult(flow_spec.get("name", "unnamed"), {})
     tables = flow.tables
+    sink_inputs = {sk.get("input") for sk in flow_spec.get("sinks") or [] if isinstance(sk, Mapping)}
 
     for src in flow_spec.get("sources", []):  # S8
         name = src.get("name") if isinstance(src, Mapping) else None
@@ -169,6 +171,10 @@ def build_flow(
             )
         if sname in tables or sname in (OK_NAME, KO_NAME):
             raise ValueError(f"table name {sname!r} is already taken")
+        if stype == "validate_fields" and "observe" not in params and (
+                {f"{sname}_stats", f"{sname}_failures"} & sink_inputs):
+            # metrics are written: let the KO branch count them while it scans
+            params = {**params, "observe": True}
         try:
             result = apply_transform(stype, tables[input_name], params, ctx)
         except (TransformationError, ValueError, TypeError) as exc:
@@ -191,6 +197,7 @@ def build_flow(
                 for alias, frame in ((f"{sname}_stats", result.stats()), (f"{sname}_failures", result.failures_by_rule())):
                     tables[alias] = frame
                     flow.parents[alias], flow.kinds[alias] = input_name, "metrics"
+                    flow.metric_tables[alias] = (sname, alias.rsplit("_", 1)[1])
         else:
             tables[sname] = _observe(flow, sname, result) if observe_tables else result
             flow.parents[sname], flow.kinds[sname] = input_name, "step"
@@ -227,17 +234,25 @@ def write_flow(flow: FlowResult, sinks: list[Mapping[str, Any]], run_id: str, *,
                 if strategy[id(df)] == "persist":
                     shared[id(df)] = df.persist(StorageLevel.MEMORY_AND_DISK)
     anchors: dict[int, SinkResult] = {}
+    written: set[int] = set()
+    # Metrics tables last: by then the KO branch they observe has usually run.
+    ordered = [sk for sk in sinks if sk["input"] not in flow.metric_tables] + \
+              [sk for sk in sinks if sk["input"] in flow.metric_tables]
     try:
-        for sink in sinks:
+        for sink in ordered:
             df = flow.tables[sink["input"]]
             key = id(df)
             src = shared.get(key, df)
+            observed = _observed_metrics(flow, sink["input"], written)
+            if observed is not None:
+                src = observed
             if strategy.get(key) == "reread" and key in anchors:
                 src = read_back(df.sparkSession, anchors[key], df)
             try:
                 results = write_sink(src, sink, run_id=run_id, share="none" if key in shared else share)
             except Exception as exc:
                 raise RuntimeError(f"Failed to write sink '{sink.get('name', 'unnamed')}': {exc}") from exc
+            written.add(key)
             if strategy.get(key) == "reread" and key not in anchors:
                 anchors[key] = results[0]
             flow.sinks.extend(results)
@@ -249,6 +264,18 @@ def write_flow(flow: FlowResult, sinks: list[Mapping[str, Any]], run_id: str, *,
         flow.release()
 
 
+def _observed_metrics(flow: FlowResult, name: str, written: set[int]) -> DataFrame | None:
+    """The metrics table ``name`` from its step's KO-branch observation, if that branch already ran."""
+    if name not in flow.metric_tables:
+        return None
+    step, which = flow.metric_tables[name]
+    result = flow.validations[step]
+    if result.observation is None or id(flow.tables[f"{step}_ko"]) not in written:
+        return None
+    spark = result.ko.sparkSession
+    return result.observed_stats(spark) if which == "stats" else result.observed_failures(spark)
+
+
 def run(
     spark: SparkSession,
     spec: Mapping[str, Any],

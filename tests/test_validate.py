@@ -231,3 +231,11 @@ def test_unique_float_keys_signed_zero_and_nan(spark):
     for hot, salts in ((100, 8), (0, 1)):
         res = validate(df, [{"field": "k", "validations": ["unique"]}], hot_keys=hot, salt_buckets=salts)
         assert {r.id for r in res.ok.collect()} == {5}
+
+
+def test_observed_metrics_match_aggregates(people, spark):
+    res = validate(people, RULES, observe=True)
+    res.ko.write.format("noop").mode("overwrite").save()
+    assert res.observed_stats(spark).first().asDict() == res.stats().first().asDict()
+    key = lambda r: r.rule_index
+    assert sorted(res.observed_failures(spark).collect(), key=key) == sorted(res.failures_by_rule().collect(), key=key)
