@@ -2,9 +2,10 @@
 
 ``run(spark, spec)`` turns a JSON-like document into lazy DataFrames held in
 a name -> DataFrame registry, then writes the sinks.  The only Spark jobs are
-the sink writes (one per path; a frame feeding several paths is persisted
-once).  Row counts for the run report come from ``Observation`` metrics
-collected by those writes (X4), not from extra ``count()`` jobs.
+the sink writes, one per path; a frame feeding several paths is computed once
+(later paths re-read the first committed Parquet/ORC output, or the frame is
+persisted).  Row counts for the run report and a validate step's metrics come
+from ``Observation``s collected by those writes (X4), not from extra jobs.
 
 Every step has exactly one input, but any earlier name may be that input,
 so a list of steps expresses a tree of tables (fan-out).
@@ -23,7 +24,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dqflow.errors import TransformationError
 from dqflow.operators.transforms import StepContext, apply_transform, list_transforms
 from dqflow.operators.validation import ValidationResult
 from dqflow.sinks.writer import SinkResult, can_anchor, make_run_id, read_back, write_sink
@@ -177,10 +177,8 @@ def build_flow(
             params = {**params, "observe": True}
         try:
             result = apply_transform(stype, tables[input_name], params, ctx)
-        except (TransformationError, ValueError, TypeError) as exc:
-            raise RuntimeError(f"Transformation '{sname}' (type '{stype}') failed: {exc}") from exc
-        except Exception as exc:
-            raise RuntimeError(f"Transformation '{sname}' (type '{stype}') failed: {exc}") from exc
+        except Exception as exc:  # name the step in whatever went wrong
+            raise RuntimeError(f"step {sname!r} ({stype}) failed: {exc}") from exc
         log.info("step %s (%s) <- %s", sname, stype, input_name)
         if isinstance(result, ValidationResult):  # D5
             flow.validations[sname] = result
@@ -251,7 +249,7 @@ def write_flow(flow: FlowResult, sinks: list[Mapping[str, Any]], run_id: str, *,
             try:
                 results = write_sink(src, sink, run_id=run_id, share="none" if key in shared else share)
             except Exception as exc:
-                raise RuntimeError(f"Failed to write sink '{sink.get('name', 'unnamed')}': {exc}") from exc
+                raise RuntimeError(f"sink {sink.get('name', 'unnamed')!r} failed: {exc}") from exc
             written.add(key)
             if strategy.get(key) == "reread" and key not in anchors:
                 anchors[key] = results[0]
