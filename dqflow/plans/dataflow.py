@@ -144,7 +144,7 @@ def build_flow(
         try:
             df = read_source(spark, src)
         except Exception as exc:
-            raise KeyError(f"Failed to load source '{name}': {exc}") from exc
+            raise KeyError(f"source {name!r} could not be loaded: {exc}") from exc
         tables[name] = _observe(flow, name, df) if observe_tables else df
         flow.parents[name], flow.kinds[name] = None, "source"
         log.info("source %s: %s %s", name, src.get("format"), src.get("path"))
