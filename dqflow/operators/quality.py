@@ -5,15 +5,17 @@
 1. ``groupBy(key).count()`` with map-side partial aggregation, so a hot key
    costs one partial row per input task, not one shuffled row per input row.
 2. The duplicated keys are joined back with a shuffle join on
-   ``(key, salt)``.  Hot keys would put all their rows into one join task,
-   so the (at most ``hot_keys``) most frequent duplicated keys are found with
-   a top-k over the counts.  Only their 64-bit hashes are broadcast: at most
-   ``hot_keys`` longs, whatever the key type or length.  Rows whose key hash
-   is in that set get a salt in ``[0, salt_buckets)`` and the key's single
-   "duplicated" mark is replicated once per salt; every other key keeps
-   salt 0.  Both sides decide "hot" by the same hash, so a hash collision
-   merely salts one more key, and the result does not depend on the salt a
-   row gets: the plan stays exact, also when a task is retried.
+   ``(key, salt)``.  A hot key would put all its rows into one join task, so
+   the (at most ``hot_keys``) most frequent duplicated keys are found with a
+   top-k over the counts, and each gets ``ceil(count / rows_per_salt)`` salts:
+   the split grows with the size of the group, so no join task receives more
+   than about ``rows_per_salt`` rows of one key.  Only ``(key hash, salts)``
+   pairs are broadcast: at most ``hot_keys`` small rows, whatever the key type
+   or length.  Rows of a hot key spread over its salts; the key's single
+   "duplicated" mark is replicated once per salt; every other key keeps salt
+   0.  Both sides look up the same hash, so a hash collision merely salts one
+   more key, and the result does not depend on the salt a row gets: the plan
+   stays exact, also when a task is retried.
 
 No key group is ever collected into one task or to the driver.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_HOT_KEYS = 100
-DEFAULT_SALT_BUCKETS = 32
+DEFAULT_ROWS_PER_SALT = 1_000_000
 
 
 def flag_duplicates(
@@ -34,10 +36,10 @@ def flag_duplicates(
     flag: str,
     *,
     hot_keys: int = DEFAULT_HOT_KEYS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
 ) -> DataFrame:
     """Append boolean ``flag``: the non-null ``key`` appears on more than one row."""
-    k, n, salt, hot, h = "__dq_key", "__dq_n", "__dq_salt", "__dq_hot", "__dq_hash"
+    k, n, salt, salts, h = "__dq_key", "__dq_n", "__dq_salt", "__dq_salts", "__dq_hash"
     keyed = df.withColumn(k, key)
     counts = (
         keyed.where(F.col(k).isNotNull())
@@ -46,34 +48,32 @@ def flag_duplicates(
     )
     dups = counts.where(F.col(n) > 1)
 
-    if hot_keys <= 0 or salt_buckets <= 1:
+    if hot_keys <= 0 or rows_per_salt <= 0:
         marks = dups.select(k, F.lit(True).alias(flag))
         joined = keyed.join(marks, on=k, how="left")
     else:
         # Grouping and joins treat -0.0 and 0.0 as one key; hash them as one too.
         key_type = keyed.schema[k].dataType
         hashed = F.xxhash64(F.col(k) + F.lit(0.0) if isinstance(key_type, (T.FloatType, T.DoubleType)) else F.col(k))
-        # Size bound: at most `hot_keys` rows of one long each, so broadcasting it is safe.
+        # Size bound: at most `hot_keys` rows of two numbers, so broadcasting it is safe.
         top = (
             dups.orderBy(F.col(n).desc()).limit(hot_keys)
-            .select(hashed.alias(h)).distinct()
-            .select(h, F.lit(True).alias(hot))
+            .select(hashed.alias(h), F.col(n))
+            .groupBy(h).agg(F.sum(n).alias(n))
+            .select(h, F.ceil(F.col(n) / F.lit(rows_per_salt)).cast("int").alias(salts))
+            .where(F.col(salts) > 1)
         )
 
-        def mark_hot(frame: DataFrame) -> DataFrame:
-            return frame.withColumn(h, hashed).join(F.broadcast(top), on=h, how="left").drop(h)
+        def with_salts(frame: DataFrame) -> DataFrame:
+            return (frame.withColumn(h, hashed).join(F.broadcast(top), on=h, how="left").drop(h)
+                    .withColumn(salts, F.coalesce(F.col(salts), F.lit(1))))
 
-        big = mark_hot(keyed).withColumn(
-            salt,
-            F.when(F.col(hot), F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets)))
-            .otherwise(F.lit(0))
-            .cast("int"),
-        ).drop(hot)
-        marks = mark_hot(dups).select(
+        big = with_salts(keyed).withColumn(
+            salt, F.pmod(F.monotonically_increasing_id(), F.col(salts)).cast("int")
+        ).drop(salts)
+        marks = with_salts(dups).select(
             k,
-            F.explode(
-                F.when(F.col(hot), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
-            ).alias(salt),
+            F.explode(F.sequence(F.lit(0), F.col(salts) - 1)).alias(salt),
             F.lit(True).alias(flag),
         )
         joined = big.join(marks, on=[k, salt], how="left").drop(salt)

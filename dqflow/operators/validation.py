@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from dqflow.errors import InvalidValidationConfig, ValidationException
 from dqflow.functions.rules import build_predicate, parse_entry
-from dqflow.operators.quality import DEFAULT_HOT_KEYS, DEFAULT_SALT_BUCKETS, flag_duplicates
+from dqflow.operators.quality import DEFAULT_HOT_KEYS, DEFAULT_ROWS_PER_SALT, flag_duplicates
 
 # ---------------------------------------------------------------------------
 # The report's column names, its joiner and truncation wording,
@@ -156,7 +156,7 @@ def compile_rules(
     rules: Any,
     *,
     hot_keys: int = DEFAULT_HOT_KEYS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
 ) -> CompiledRules:
     """Check every block eagerly (D-12) and compile it to predicates.
 
@@ -185,7 +185,7 @@ def compile_rules(
                     continue
                 if entry.type == "unique":  # E1: needs the whole table
                     flag = f"__dq_dup_{len(helpers)}"
-                    frame = flag_duplicates(frame, column, flag, hot_keys=hot_keys, salt_buckets=salt_buckets)
+                    frame = flag_duplicates(frame, column, flag, hot_keys=hot_keys, rows_per_salt=rows_per_salt)
                     helpers.append(flag)
                     pred = column.isNotNull() & ~F.col(flag)
                 else:
@@ -388,7 +388,7 @@ def validate(
     keep_array: bool = False,
     materialize: str = "none",
     hot_keys: int = DEFAULT_HOT_KEYS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
     observe: bool = False,
 ) -> ValidationResult:
     """Split ``df`` into ``(ok, ko)`` by ``rules``; see the module docstring.
@@ -413,7 +413,7 @@ def validate(
     for name in _ERROR_COLS:
         if name in df.columns:
             raise InvalidValidationConfig(f"input already has a column named '{name}'")
-    c = compile_rules(df, rules, hot_keys=hot_keys, salt_buckets=salt_buckets)
+    c = compile_rules(df, rules, hot_keys=hot_keys, rows_per_salt=rows_per_salt)
     if not c.rules:  # every rule disabled
         return ValidationResult(df, _empty_ko(df), c)
 

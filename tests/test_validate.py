@@ -128,12 +128,12 @@ def test_materialized_split_matches(people, materialize):
 
 # --- E1: unique -------------------------------------------------------------
 
-@pytest.mark.parametrize("hot_keys,salts", [(100, 32), (1, 4), (0, 1)])
-def test_unique_matches_brute_force(spark, hot_keys, salts):
+@pytest.mark.parametrize("hot_keys,per_salt", [(100, 1_000_000), (100, 40), (1, 7), (0, 1)])
+def test_unique_matches_brute_force(spark, hot_keys, per_salt):
     rnd = random.Random(7)
     keys = [0] * 300 + [rnd.randint(1, 200) for _ in range(500)] + [None] * 20  # key 0 holds ~36%
     df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k int").repartition(5)
-    res = validate(df, [{"field": "k", "validations": ["unique"]}], hot_keys=hot_keys, salt_buckets=salts)
+    res = validate(df, [{"field": "k", "validations": ["unique"]}], hot_keys=hot_keys, rows_per_salt=per_salt)
     counts = collections.Counter(k for k in keys if k is not None)
     expected_ok = {i for i, k in enumerate(keys) if k is not None and counts[k] == 1}
     assert {r.id for r in res.ok.collect()} == expected_ok
@@ -143,7 +143,7 @@ def test_unique_matches_brute_force(spark, hot_keys, salts):
 
 def test_flag_duplicates_keeps_rows(spark):
     df = spark.createDataFrame([(i, i % 3) for i in range(30)] + [(99, 7)], "id int, k int")
-    out = flag_duplicates(df, F.col("k"), "dup", hot_keys=2, salt_buckets=3)
+    out = flag_duplicates(df, F.col("k"), "dup", hot_keys=2, rows_per_salt=3)
     rows = {r.id: r.dup for r in out.collect()}
     assert len(rows) == 31 and rows[99] is False and all(rows[i] for i in range(30))
 
@@ -214,7 +214,7 @@ def test_hot_key_is_spread_over_join_tasks(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        flagged = flag_duplicates(df, F.col("k"), "dup", hot_keys=10, salt_buckets=16)
+        flagged = flag_duplicates(df, F.col("k"), "dup", hot_keys=10, rows_per_salt=200)
         per_task = flagged.groupBy(F.spark_partition_id().alias("p")).agg(
             F.count_if((F.col("k") == 0) & F.col("dup")).alias("hot_rows")).collect()
     finally:
@@ -228,8 +228,8 @@ def test_hot_key_is_spread_over_join_tasks(spark):
 
 def test_unique_float_keys_signed_zero_and_nan(spark):
     df = spark.createDataFrame([(1, 0.0), (2, -0.0), (3, float("nan")), (4, float("nan")), (5, 1.5)], "id int, k double")
-    for hot, salts in ((100, 8), (0, 1)):
-        res = validate(df, [{"field": "k", "validations": ["unique"]}], hot_keys=hot, salt_buckets=salts)
+    for hot, per_salt in ((100, 1), (0, 1)):
+        res = validate(df, [{"field": "k", "validations": ["unique"]}], hot_keys=hot, rows_per_salt=per_salt)
         assert {r.id for r in res.ok.collect()} == {5}
 
 
