@@ -1,0 +1,3 @@
+from dqflow.plans.dataflow import build_flow, run, write_flow
+
+__all__ = ["build_flow", "run", "write_flow"]
