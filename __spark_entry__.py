@@ -413,6 +413,26 @@ def q_sink_roundtrip(fmt: str, spark, sf):
     return reader.load(out).select(*orders.columns)
 
 
+def q_sink_roundtrip_text(spark, sf):
+    """K4: a text sink holds one JSON document per row; read it back as JSON lines."""
+    orders = read_table(spark, sf, "orders")
+    out = scratch_path(spark, "sink-text")
+    write_sink(orders, {"name": "t", "format": "text", "saveMode": "overwrite", "paths": [out]})
+    return spark.read.schema(ORDERS_DDL).json(out).select(*orders.columns)
+
+
+def q_sink_csv_error_map(spark, sf):
+    """K4: CSV cannot hold a map, so the error map is written as JSON text and parsed back."""
+    ko = validate(contacts(spark, sf), CONTACT_RULES).ko.select("id", "validation_errors")
+    out = scratch_path(spark, "sink-csv-map")
+    write_sink(ko, {"name": "c", "format": "csv", "saveMode": "overwrite", "paths": [out], "options": {"header": True}})
+    back = spark.read.option("header", "true").schema("id long, validation_errors string").csv(out)
+    errors = F.from_json("validation_errors", "map<string,array<string>>")
+    entries = F.array_sort(F.map_entries(errors))
+    text = F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ","))), "|")
+    return back.select("id", text.alias("errors_map_text"))
+
+
 def q_sink_partitioned(spark, sf):
     orders = read_table(spark, sf, "orders")
     out = scratch_path(spark, "sink-part")
@@ -533,6 +553,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_roundtrip_parquet": partial(q_sink_roundtrip, "parquet"),
         "sink_roundtrip_orc": partial(q_sink_roundtrip, "orc"),
         "sink_partitioned": q_sink_partitioned,
+        "sink_roundtrip_text": q_sink_roundtrip_text,
+        "sink_csv_error_map": q_sink_csv_error_map,
         "sink_ko_json_map": q_ko_json_sink,
         "versioned_latest": q_versioned_latest,
         "versioned_first": q_versioned_first,

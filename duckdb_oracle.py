@@ -287,6 +287,9 @@ def oracle_queries() -> dict[str, str]:
         "sink_roundtrip_parquet": ORDERS_ALL,
         "sink_roundtrip_orc": ORDERS_ALL,
         "sink_partitioned": ORDERS_ALL,
+        "sink_roundtrip_text": ORDERS_ALL,
+        "sink_csv_error_map": _with_contacts(
+            f"SELECT id, {_map_text(c)} AS errors_map_text FROM contacts WHERE {_ko_where(c)}"),
         "sink_ko_json_map": _with_contacts(
             f"SELECT id, name, notes, {_map_text(c)} AS errors_map_text FROM contacts WHERE {_ko_where(c)}"),
         "versioned_latest": "SELECT * FROM customer",
