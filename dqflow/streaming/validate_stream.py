@@ -18,6 +18,7 @@ from typing import Any, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dqflow.errors import InvalidValidationConfig
@@ -50,22 +51,30 @@ def start_validated_stream(
     checkpoint_location: str,
     trigger: Mapping[str, Any] | None = None,
     query_name: str | None = None,
+    metrics_sink: Mapping[str, Any] | None = None,
     **options: Any,
 ) -> StreamingQuery:
     """Validate every micro-batch and write OK / KO rows to their sinks.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
     ``{"availableNow": True}`` or ``{"processingTime": "1 minute"}``).
+    With ``metrics_sink``, each batch also writes its failures per rule
+    (``batch_id, rule_index, field, rule, message, failures``), counted by the
+    KO write's own scan: no extra pass over the batch.
     """
     _reject_table_rules(rules)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            res = validate(batch, rules, **options)
+            res = validate(batch, rules, observe=metrics_sink is not None, **options)
             run_id = f"batch-{batch_id}"
             write_sink(res.ok, ok_sink, run_id=run_id)
             write_sink(res.ko, ko_sink, run_id=run_id)
+            if metrics_sink is not None:
+                failures = res.observed_failures(batch.sparkSession)
+                write_sink(failures.select(F.lit(batch_id).cast("long").alias("batch_id"), "*"),
+                           metrics_sink, run_id=run_id)
         finally:
             batch.unpersist()
 

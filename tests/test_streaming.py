@@ -39,3 +39,17 @@ def test_foreach_batch_versions(spark, tmp_path):
                                 trigger={"availableNow": True})
     q2.awaitTermination()
     assert spark.read.parquet(f"{base}/ok/_versions/*").count() == n_ok
+
+
+def test_per_batch_failure_metrics(spark, tmp_path):
+    base = str(tmp_path)
+    ok = {"name": "ok", "format": "parquet", "saveMode": "overwrite", "paths": [f"{base}/ok"], "versioning": True}
+    ko = {"name": "ko", "format": "parquet", "saveMode": "overwrite", "paths": [f"{base}/ko"], "versioning": True}
+    metrics = {"name": "m", "format": "json", "saveMode": "overwrite", "paths": [f"{base}/metrics"], "versioning": True}
+    q = start_validated_stream(_stream(spark), RULES, ok, ko, checkpoint_location=f"{base}/ckpt",
+                               trigger={"availableNow": True}, metrics_sink=metrics)
+    q.awaitTermination()
+    m = spark.read.json(f"{base}/metrics/_versions/*").collect()
+    total = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    assert [(r.batch_id, r.rule) for r in m] == [(0, "greaterThan")]
+    assert m[0].failures == total.filter("NOT (o_totalprice > 100000)").count()
