@@ -10,6 +10,7 @@ need (O12).  Row counts are not taken here; the dataflow attaches an
 
 from __future__ import annotations
 
+import weakref
 from typing import Any, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,19 @@ def _opt(v: Any) -> str:
     return str(v)
 
 
+# Resolved table frames per session: a DataFrame is an immutable plan, so one
+# resolution (schema from the Parquet footers, file listing) serves every query.
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def read_table(spark: SparkSession, base_dir: str, table: str) -> DataFrame:
-    """Shortcut for the parquet tables of one scale-factor directory."""
-    return read_source(spark, {"name": table, "format": "parquet", "path": f"{base_dir.rstrip('/')}/{table}.parquet"})
+    """A Parquet table ``<base_dir>/<table>.parquet`` of an immutable table directory.
+
+    The table is resolved once per session, so later reads start no
+    schema-inference job; filters and projections still reach the scan.
+    """
+    path = f"{base_dir.rstrip('/')}/{table}.parquet"
+    tables = _TABLES.setdefault(spark, {})
+    if path not in tables:
+        tables[path] = read_source(spark, {"name": table, "format": "parquet", "path": path})
+    return tables[path]
