@@ -374,6 +374,32 @@ def demo_document(sf: str, out: str | None = None) -> dict:
     }]}
 
 
+def fanout_document(sf: str) -> dict:
+    """X2 fan-out and D5: two branches of one source, each validated by its own step."""
+    return {"dataflows": [{"name": "orders-fanout",
+        "sources": [{"name": "orders", "format": "PARQUET", "path": f"{sf}/orders.parquet"}],
+        "transformations": [
+            {"name": "finished", "type": "filter_rows", "params": {"input": "orders", "condition": "o_orderstatus = 'F'"}},
+            {"name": "open", "type": "filter_rows", "params": {"input": "orders", "condition": "o_orderstatus = 'O'"}},
+            {"name": "check_finished", "type": "validate_fields", "params": {"input": "finished", "validations": [
+                {"field": "o_totalprice", "validations": [{"type": "greaterThan", "value": 50000}]}]}},
+            {"name": "check_open", "type": "validate_fields", "params": {"input": "open", "validations": [
+                {"field": "o_orderpriority", "validations": [{"type": "startsWith", "prefix": "1-"}]}]}},
+        ],
+        "sinks": [{"name": "unused", "input": "validation_ko", "format": "PARQUET", "saveMode": "OVERWRITE",
+                   "paths": ["/unused"]}]}]}
+
+
+def q_dataflow_fanout(spark, sf):
+    flow = build_flow(spark, fanout_document(sf)["dataflows"][0], StepContext(run_id="q"))
+    t = flow.tables
+    # the fixed name points to the latest validate step; each step keeps its own names
+    if t["validation_ko"] is not t["check_open_ko"]:
+        raise RuntimeError("validation_ko should name the latest validate step's rejected rows")
+    return t["check_finished_ko"].select("o_orderkey", F.lit("finished").alias("branch"), "validation_errors_text") \
+        .unionByName(t["check_open_ko"].select("o_orderkey", F.lit("open").alias("branch"), "validation_errors_text"))
+
+
 def q_dataflow_ko(spark, sf):
     flow = build_flow(spark, demo_document(sf)["dataflows"][0], StepContext(run_id="q"))
     return flow.tables["validation_ko"].select("id", "bucket", "validation_errors_text")
@@ -546,6 +572,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unique_rule_composite": q_unique_composite,
         "dataflow_full_ko": q_dataflow_ko,
         "dataflow_full_ok": q_dataflow_ok,
+        "dataflow_fanout": q_dataflow_fanout,
         "dataflow_written_ko": q_dataflow_written,
         "dataflow_written_ok": q_dataflow_written_ok,
         "sink_roundtrip_json": partial(q_sink_roundtrip, "json"),

@@ -279,6 +279,10 @@ def oracle_queries() -> dict[str, str]:
         "dataflow_full_ko": f"WITH {DEMO_BASE} SELECT id, bucket, {_text(DEMO)} AS validation_errors_text "
                             f"FROM demo WHERE {_ko_where(DEMO)}",
         "dataflow_full_ok": f"WITH {DEMO_BASE} SELECT id, bucket, true AS has_ts FROM demo WHERE {_all_ok(DEMO)}",
+        "dataflow_fanout": "SELECT o_orderkey, 'finished' AS branch, 'o_totalprice:greaterThan' AS validation_errors_text "
+                           "FROM orders WHERE o_orderstatus = 'F' AND NOT coalesce(o_totalprice > 50000, false) "
+                           "UNION ALL SELECT o_orderkey, 'open' AS branch, 'o_orderpriority:startsWith' AS validation_errors_text "
+                           "FROM orders WHERE o_orderstatus = 'O' AND NOT coalesce(starts_with(o_orderpriority, '1-'), false)",
         "dataflow_written_ko": f"WITH {DEMO_BASE} SELECT id, bucket, {_text(DEMO)} AS validation_errors_text "
                                f"FROM demo WHERE {_ko_where(DEMO)}",
         "dataflow_written_ok": f"WITH {DEMO_BASE} SELECT id, bucket FROM demo WHERE {_all_ok(DEMO)}",
