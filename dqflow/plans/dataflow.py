@@ -134,6 +134,9 @@ def build_flow(
     flow = FlowResult(flow_spec.get("name", "unnamed"), {})
     tables = flow.tables
     sink_inputs = {sk.get("input") for sk in flow_spec.get("sinks") or [] if isinstance(sk, Mapping)}
+    referenced = sink_inputs | {
+        (st.get("params") or {}).get("input") for st in flow_spec.get("transformations") or [] if isinstance(st, Mapping)
+    }
 
     for src in flow_spec.get("sources", []):  # S8
         name = src.get("name") if isinstance(src, Mapping) else None
@@ -191,11 +194,13 @@ def build_flow(
                 tables[alias] = frame
                 flow.parents[alias], flow.kinds[alias] = parent, "validation"
             if result.compiled is not None and result.compiled.rules:
-                # quality metrics as lazy tables: computed only if a sink reads them
-                for alias, frame in ((f"{sname}_stats", result.stats()), (f"{sname}_failures", result.failures_by_rule())):
-                    tables[alias] = frame
-                    flow.parents[alias], flow.kinds[alias] = input_name, "metrics"
-                    flow.metric_tables[alias] = (sname, alias.rsplit("_", 1)[1])
+                # quality metrics as tables, built only when a sink or step reads them
+                # (always available as flow.validations[step].stats() / .failures_by_rule())
+                for alias, build in ((f"{sname}_stats", result.stats), (f"{sname}_failures", result.failures_by_rule)):
+                    if alias in referenced:
+                        tables[alias] = build()
+                        flow.parents[alias], flow.kinds[alias] = input_name, "metrics"
+                        flow.metric_tables[alias] = (sname, alias.rsplit("_", 1)[1])
         else:
             tables[sname] = _observe(flow, sname, result) if observe_tables else result
             flow.parents[sname], flow.kinds[sname] = input_name, "step"
