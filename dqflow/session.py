@@ -22,6 +22,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # No Python call-site capture per Column call: several fewer JVM round trips
+    # each, which dominates plan building for wide rule sets.  Errors keep their
+    # messages, without the Python call site.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
