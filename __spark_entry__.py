@@ -112,6 +112,12 @@ def q_validate_same_field(spark, sf):
     return ko.select("id", "validation_errors_text", text.alias("errors_map_text"))
 
 
+def q_validate_annotated(spark, sf):
+    """Every row flagged in one pass (write it partitioned by is_valid for a one-scan split)."""
+    every = validate(contacts(spark, sf), CONTACT_RULES).annotated()
+    return every.select("id", "is_valid", "validation_errors_text")
+
+
 def q_validate_stats(spark, sf):
     s = validate(contacts(spark, sf), CONTACT_RULES).stats()
     return s.select(
@@ -563,6 +569,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "validate_same_field_twice": q_validate_same_field,
         "validate_disabled_rule": q_validate_disabled_rule,
         "validate_stats": q_validate_stats,
+        "validate_annotated": q_validate_annotated,
         "validate_text_quality": q_text_quality,
         "validate_urls": q_validate_urls,
         "validate_part_catalog": q_part_catalog,

@@ -48,6 +48,7 @@ ERRORS_MAP = "validation_errors"
 ERRORS_TEXT = "validation_errors_text"
 ERRORS_ARRAY = "validation_errors_array"
 UNKNOWN_ERROR = "Unknown validation error"
+VALID_FLAG = "is_valid"
 JOINER = "; "
 MORE_PREFIX, MORE_SUFFIX = "; ... (+", " more)"
 DEFAULT_MAX_ERRORS = 50
@@ -223,6 +224,7 @@ class ValidationResult:
     materialized: DataFrame | None = None
     clean: Column | None = None  # "no rule failed" over the materialized frame
     observation: Observation | None = None  # metrics collected by the KO branch's own scan
+    _all: Any = dc_field(default=None, repr=False)  # builds the annotated table on demand
 
     def __iter__(self):  # allows ``ok, ko = validate(...)``
         return iter((self.ok, self.ko))
@@ -258,6 +260,17 @@ class ValidationResult:
             F.when(total > 0, (total - valid) * 100.0 / total).otherwise(F.lit(0.0)).alias("invalid_percentage"),
         )
 
+    def annotated(self) -> DataFrame:
+        """Every input row with ``is_valid`` and the error columns (NULL for valid rows).
+
+        One pass serves both outputs: write it with ``partitionBy("is_valid")``
+        to get accepted and rejected rows from a single scan and a single job,
+        with no persisted copy.
+        """
+        if self._all is None:
+            raise InvalidValidationConfig("no rules, nothing to annotate")
+        return self._all()
+
     def _observed(self) -> dict:
         if self.observation is None:
             raise InvalidValidationConfig("validate(..., observe=True) was not used")
@@ -450,7 +463,21 @@ def validate(
     if c.helper_cols or materialize != "none":
         ok = ok.select(*[F.col(quote(n)) for n in out_cols])
     ko = _report(annotated, out_cols, fields, field_cols, max_errors_per_field, max_errors_per_row, keep_array)
-    return ValidationResult(ok, ko, c, annotated_all, clean, observation)
+
+    def annotate_all() -> DataFrame:
+        if VALID_FLAG in out_cols:
+            raise InvalidValidationConfig(f"input already has a column named '{VALID_FLAG}'")
+        every = annotated_all if annotated_all is not None else \
+            c.frame.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)])
+        every = every.withColumn(VALID_FLAG, all_of([F.size(F.col(n)) == 0 for n in field_cols]))
+        rep = _report(every, out_cols + [VALID_FLAG], fields, field_cols,
+                      max_errors_per_field, max_errors_per_row, keep_array)
+        failed = ~F.col(VALID_FLAG)
+        extra = [ERRORS_MAP, ERRORS_TEXT] + ([ERRORS_ARRAY] if keep_array else [])
+        return rep.select(*[F.col(quote(n)) for n in out_cols], F.col(VALID_FLAG),
+                          *[F.when(failed, F.col(e)).alias(e) for e in extra])
+
+    return ValidationResult(ok, ko, c, annotated_all, clean, observation, annotate_all)
 
 
 def apply_validations(df: DataFrame, rules: Any, **options: Any) -> tuple[DataFrame, DataFrame]:

@@ -201,6 +201,9 @@ def build_flow(
                         tables[alias] = build()
                         flow.parents[alias], flow.kinds[alias] = input_name, "metrics"
                         flow.metric_tables[alias] = (sname, alias.rsplit("_", 1)[1])
+                if f"{sname}_all" in referenced:  # every row, flagged: one scan for both outputs
+                    tables[f"{sname}_all"] = result.annotated()
+                    flow.parents[f"{sname}_all"], flow.kinds[f"{sname}_all"] = input_name, "validation"
         else:
             tables[sname] = _observe(flow, sname, result) if observe_tables else result
             flow.parents[sname], flow.kinds[sname] = input_name, "step"

@@ -242,6 +242,9 @@ def oracle_queries() -> dict[str, str]:
         "validate_ok": _with_contacts(f"SELECT id FROM contacts WHERE {_all_ok(c)}"),
         "validate_ko_text": _with_contacts(
             f"SELECT id, {_text(c)} AS validation_errors_text FROM contacts WHERE {_ko_where(c)}"),
+        "validate_annotated": _with_contacts(
+            f"SELECT id, {_all_ok(c)} AS is_valid, CASE WHEN {_ko_where(c)} THEN {_text(c)} END AS validation_errors_text "
+            "FROM contacts"),
         "validate_ko_map": _with_contacts(
             f"SELECT id, {_map_text(c)} AS errors_map_text FROM contacts WHERE {_ko_where(c)}"),
         "validate_ko_array": _with_contacts(

@@ -239,3 +239,15 @@ def test_observed_metrics_match_aggregates(people, spark):
     assert res.observed_stats(spark).first().asDict() == res.stats().first().asDict()
     key = lambda r: r.rule_index
     assert sorted(res.observed_failures(spark).collect(), key=key) == sorted(res.failures_by_rule().collect(), key=key)
+
+
+def test_annotated_table_one_pass(people, spark, tmp_path):
+    res = validate(people, RULES)
+    every = res.annotated()
+    assert every.columns == people.columns + ["is_valid", "validation_errors", "validation_errors_text"]
+    rows = {r.id: r for r in every.collect()}
+    assert rows[1].is_valid and rows[1].validation_errors is None and rows[1].validation_errors_text is None
+    ko = {r.id: r.validation_errors_text for r in res.ko.collect()}
+    assert {i: rows[i].validation_errors_text for i in ko} == ko
+    every.write.partitionBy("is_valid").parquet(str(tmp_path / "split"))
+    assert spark.read.parquet(str(tmp_path / "split" / "is_valid=false")).count() == 3
