@@ -17,11 +17,15 @@ Plan shape (``materialize="none"``, the default):
   one-or-zero element arrays (no higher-order lambdas), so the whole KO
   branch stays in one whole-stage-codegen stage.
 
+``annotated()`` is the cache-free single pass: every row with ``is_valid`` and
+the report (NULL when valid); written with ``partitionBy("is_valid")`` it
+yields both outputs from one scan and one job.
+
 ``materialize="persist"`` / ``"checkpoint"`` evaluates every rule once per
 row into per-field label arrays, materialises that annotated frame
 (executor storage, or a reliable checkpoint in ``spark.checkpoint.dir``) and
-splits it; use it for non-columnar sources, many sinks, or rules that are
-not deterministic (O8, O13).
+splits it; use it for rules that are not deterministic (the two branches must
+see one evaluation) or an expensive upstream (O8, O13).
 """
 
 from __future__ import annotations
@@ -170,7 +174,7 @@ def compile_rules(
     per_field: dict[str, list[tuple[str, str, Column]]] = {}
     for block in rules:
         if not isinstance(block, Mapping):
-            raise InvalidValidationConfig(f"Validation rule must be a dict, got {block!r}")
+            raise InvalidValidationConfig(f"a rule block is a dict, not {block!r}")
         fname = block.get("field")
         column, dtype, ref = resolve_field(df, fname)
         entries = block.get("validations")
@@ -178,7 +182,7 @@ def compile_rules(
             raise InvalidValidationConfig(f"rule block for {fname!r} lists no validations")
         block_msg = block.get("message")
         if block_msg is not None and not isinstance(block_msg, str):
-            raise InvalidValidationConfig(f"Field '{fname}': 'message' must be a string")
+            raise InvalidValidationConfig(f"rule block for {fname!r}: 'message' must be text")
         for raw in entries:
             try:
                 entry = parse_entry(raw)
