@@ -91,3 +91,25 @@ def test_jobs_equal_sink_paths(spark, tmp_path):
     assert all(n.startswith("save") or n.startswith("load") for n in names)
     rows = {r.path.rsplit("/", 1)[-1]: r.rows for r in res.flow().sinks}
     assert rows["ko1"] == rows["ko2"] and rows["ok"] + rows["ko1"] == read_table(spark, SF_SMALL, "lineitem").count()
+
+
+FORBIDDEN_NODES = (
+    "CartesianProduct",          # all pairs
+    "BroadcastNestedLoopJoin",   # all pairs, one side broadcast unchecked
+    "BatchEvalPython",           # row-at-a-time Python UDF
+    "ArrowEvalPython",           # Python in the hot path
+    "FlatMapGroupsInPandas",     # a whole group in one Python call
+    "MapInPandas",
+)
+
+
+def test_registered_queries_plan_hygiene(spark):
+    import __spark_entry__ as entry
+
+    bad = {}
+    for name, fn in entry.queries().items():
+        text = plan(fn(spark, SF_SMALL), "formatted")
+        hits = [n for n in FORBIDDEN_NODES if n in text]
+        if hits:
+            bad[name] = hits
+    assert not bad, bad
