@@ -87,6 +87,10 @@ def test_versioned_latest_and_manifest(spark, frame, tmp_path):
         read_version(spark, base, "never")
     m = {r.version_id: r.rows for r in list_versions(spark, base).collect()}
     assert m == {"run-1": 1, "run_2_x": 3}
+    write_sink(frame.limit(2), s, run_id="run-1")  # same run id again: the version is replaced
+    m = {r.version_id: r.rows for r in list_versions(spark, base).collect()}
+    assert m == {"run-1": 2, "run_2_x": 3} and latest_version(spark, base)["version_id"] == "run-1"
+    assert read_version(spark, base, "run-1").count() == 2
     assert os.path.isdir(f"{base}/_versions/run-1")
     write_sink(frame, spec(tmp_path / "nv", versioning=False))
     assert not os.path.exists(tmp_path / "nv" / "_versions")
