@@ -229,6 +229,7 @@ class ValidationResult:
     clean: Column | None = None  # "no rule failed" over the materialized frame
     observation: Observation | None = None  # metrics collected by the KO branch's own scan
     _all: Any = dc_field(default=None, repr=False)  # builds the annotated table on demand
+    observation_all: Observation | None = None  # same metrics, collected by the annotated table's scan
 
     def __iter__(self):  # allows ``ok, ko = validate(...)``
         return iter((self.ok, self.ko))
@@ -275,15 +276,17 @@ class ValidationResult:
             raise InvalidValidationConfig("no rules, nothing to annotate")
         return self._all()
 
-    def _observed(self) -> dict:
-        if self.observation is None:
+    def _observed(self, source: str) -> dict:
+        obs = self.observation_all if source == "all" else self.observation
+        if obs is None:
             raise InvalidValidationConfig("validate(..., observe=True) was not used")
-        return self.observation.get  # blocks until the KO branch has run once
+        return obs.get  # blocks until that frame has run once
 
-    def observed_stats(self, spark) -> DataFrame:
-        """``stats()`` from the metrics the KO branch collected while it ran:
-        no extra scan.  Call only after the KO frame was written or collected."""
-        m = self._observed()
+    def observed_stats(self, spark, source: str = "ko") -> DataFrame:
+        """``stats()`` from the metrics collected while the KO branch (``source="ko"``)
+        or the annotated table (``"all"``) ran: no extra scan.  Call only after
+        that frame was written or collected."""
+        m = self._observed(source)
         total, valid = int(m["total_records"]), int(m["valid_records"])
         pct = (lambda x: x * 100.0 / total) if total else (lambda x: 0.0)
         return spark.createDataFrame(
@@ -292,9 +295,9 @@ class ValidationResult:
             "valid_percentage double, invalid_percentage double",
         )
 
-    def observed_failures(self, spark) -> DataFrame:
-        """``failures_by_rule()`` from the KO branch's collected metrics (see ``observed_stats``)."""
-        m = self._observed()
+    def observed_failures(self, spark, source: str = "ko") -> DataFrame:
+        """``failures_by_rule()`` from collected metrics (see ``observed_stats``)."""
+        m = self._observed(source)
         rows = [(r.index, r.field, r.rule, r.label, int(m[f"__dq_f{r.index}"])) for r in self.compiled.rules]
         return spark.createDataFrame(rows, "rule_index int, field string, rule string, message string, failures long")
 
@@ -439,16 +442,18 @@ def validate(
     field_cols = [f"__dq_e{i}" for i in range(len(fields))]
     arrays = [a for _, a in _field_arrays(c)]
 
+    def metrics() -> list[Column]:
+        return [
+            F.count(F.lit(1)).alias("total_records"),
+            F.count_if(all_of([r.passed for r in cheap_first(c.rules)])).alias("valid_records"),
+            *[F.count_if(r.failed).alias(f"__dq_f{r.index}") for r in c.rules],
+        ]
+
     observation = None
     observed_frame = c.frame
     if observe:
         observation = Observation(f"dqflow_validate_{uuid.uuid4().hex}")
-        observed_frame = c.frame.observe(
-            observation,
-            F.count(F.lit(1)).alias("total_records"),
-            F.count_if(all_of([r.passed for r in cheap_first(c.rules)])).alias("valid_records"),
-            *[F.count_if(r.failed).alias(f"__dq_f{r.index}") for r in c.rules],
-        )
+        observed_frame = c.frame.observe(observation, *metrics())
 
     annotated_all = clean = None
     if materialize == "none":
@@ -471,8 +476,12 @@ def validate(
     def annotate_all() -> DataFrame:
         if VALID_FLAG in out_cols:
             raise InvalidValidationConfig(f"input already has a column named '{VALID_FLAG}'")
+        source = c.frame
+        if observe and annotated_all is None:
+            result.observation_all = Observation(f"dqflow_validate_all_{uuid.uuid4().hex}")
+            source = c.frame.observe(result.observation_all, *metrics())
         every = annotated_all if annotated_all is not None else \
-            c.frame.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)])
+            source.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)])
         every = every.withColumn(VALID_FLAG, all_of([F.size(F.col(n)) == 0 for n in field_cols]))
         rep = _report(every, out_cols + [VALID_FLAG], fields, field_cols,
                       max_errors_per_field, max_errors_per_row, keep_array)
@@ -481,7 +490,8 @@ def validate(
         return rep.select(*[F.col(quote(n)) for n in out_cols], F.col(VALID_FLAG),
                           *[F.when(failed, F.col(e)).alias(e) for e in extra])
 
-    return ValidationResult(ok, ko, c, annotated_all, clean, observation, annotate_all)
+    result = ValidationResult(ok, ko, c, annotated_all, clean, observation, annotate_all)
+    return result
 
 
 def apply_validations(df: DataFrame, rules: Any, **options: Any) -> tuple[DataFrame, DataFrame]:

@@ -276,10 +276,17 @@ def _observed_metrics(flow: FlowResult, name: str, written: set[int]) -> DataFra
         return None
     step, which = flow.metric_tables[name]
     result = flow.validations[step]
-    if result.observation is None or id(flow.tables[f"{step}_ko"]) not in written:
+    all_frame = flow.tables.get(f"{step}_all")
+    if result.observation is not None and id(flow.tables[f"{step}_ko"]) in written:
+        source = "ko"
+    elif result.observation_all is not None and all_frame is not None and id(all_frame) in written:
+        source = "all"
+    else:
         return None
     spark = result.ko.sparkSession
-    return result.observed_stats(spark) if which == "stats" else result.observed_failures(spark)
+    if which == "stats":
+        return result.observed_stats(spark, source)
+    return result.observed_failures(spark, source)
 
 
 def run(
