@@ -53,6 +53,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--app-name", default="dqflow", help="Spark application name")
     parser.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     parser.add_argument("--observe-tables", action="store_true", help="report row counts of every table")
+    parser.add_argument("--explain", action="store_true",
+                        help="print the physical plan of every sink input and exit without writing")
     args = parser.parse_args(argv)
     import logging
 
@@ -68,6 +70,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = builder.getOrCreate()
     try:
         doc = load_document(spark, args.config)
+        if args.explain:
+            result = run(spark, doc, run_id=args.run_id, all_dataflows=not args.first_only, write=False)
+            for flow_spec, flow in zip(doc["dataflows"], result.flows):
+                for sink in flow_spec.get("sinks") or []:
+                    print(f"== dataflow {flow.name!r}, sink {sink.get('name')!r} <- {sink.get('input')!r} ==")
+                    flow.tables[sink["input"]].explain("formatted")
+            return 0
         result = run(spark, doc, run_id=args.run_id, all_dataflows=not args.first_only,
                      observe_tables=args.observe_tables)
         result.report(spark).show(truncate=False)
