@@ -233,8 +233,9 @@ def test_unique_float_keys_signed_zero_and_nan(spark):
         assert {r.id for r in res.ok.collect()} == {5}
 
 
-def test_observed_metrics_match_aggregates(people, spark):
-    res = validate(people, RULES, observe=True)
+@pytest.mark.parametrize("materialize", ["none", "persist", "checkpoint"])
+def test_observed_metrics_match_aggregates(people, spark, materialize):
+    res = validate(people, RULES, observe=True, materialize=materialize)
     res.ko.write.format("noop").mode("overwrite").save()
     assert res.observed_stats(spark).first().asDict() == res.stats().first().asDict()
     key = lambda r: r.rule_index
