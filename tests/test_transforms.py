@@ -91,3 +91,12 @@ def test_register_transform(df):
 def test_filter_with_subquery(df):
     out = step("filter_rows", df, condition="id IN (SELECT id FROM range(2))")
     assert [r.id for r in out.collect()] == [1]
+
+
+def test_placeholder_resolution():
+    from dqflow.plans.cli import resolve_placeholders
+
+    env = {"BASE": "/data", "RUN": "r1"}
+    doc = {"path": "${BASE}/in.json", "paths": ["${BASE}/out/${RUN}", "${MISSING}/x"], "n": 3, "nested": {"v": "${RUN}"}}
+    out = resolve_placeholders(doc, env)
+    assert out == {"path": "/data/in.json", "paths": ["/data/out/r1", "${MISSING}/x"], "n": 3, "nested": {"v": "r1"}}
