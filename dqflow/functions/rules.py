@@ -99,7 +99,9 @@ def _comparable(c: Column, dt: T.DataType, v: Any) -> tuple[str, Column, Column]
     if isinstance(v, str):
         if _is_text(dt):
             return "direct", c, F.lit(v)
-        if isinstance(dt, (T.NumericType, T.BooleanType)):
+        if isinstance(dt, T.BooleanType):  # "true" / "false" (and Spark's other boolean spellings)
+            return "direct", c, F.lit(v).try_cast("boolean")
+        if isinstance(dt, T.NumericType):
             return "number", as_double(c, dt), F.lit(v).try_cast("double")
         if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             return "direct", c, F.lit(v).try_cast(dt)
