@@ -252,3 +252,16 @@ def test_annotated_table_one_pass(people, spark, tmp_path):
     assert {i: rows[i].validation_errors_text for i in ko} == ko
     every.write.partitionBy("is_valid").parquet(str(tmp_path / "split"))
     assert spark.read.parquet(str(tmp_path / "split" / "is_valid=false")).count() == 3
+
+
+def test_awkward_field_names(spark):
+    df = spark.createDataFrame([(1, None, "x", "a"), (2, "v", None, "b")], "id int, `my col` string, `we``ird` string, Name string")
+    rules = [{"field": "my col", "validations": ["notNull", {"type": "custom_sql", "expression": "{column} <> 'z'"}]},
+             {"field": "we`ird", "validations": ["notNull"]},
+             {"field": "NAME", "validations": [{"type": "equals", "value": "a"}]}]
+    res = validate(df, rules)
+    assert res.ok.count() == 0
+    ko = {r.id: (dict(r.validation_errors), r.validation_errors_text) for r in res.ko.collect()}
+    assert ko[1] == ({"my col": ["my col:notNull", "my col:custom_sql"]}, "my col:notNull; my col:custom_sql")
+    assert ko[2] == ({"we`ird": ["we`ird:notNull"], "NAME": ["NAME:equals"]}, "we`ird:notNull; NAME:equals")
+    assert res.ok.columns == df.columns
