@@ -100,3 +100,10 @@ def test_placeholder_resolution():
     doc = {"path": "${BASE}/in.json", "paths": ["${BASE}/out/${RUN}", "${MISSING}/x"], "n": 3, "nested": {"v": "${RUN}"}}
     out = resolve_placeholders(doc, env)
     assert out == {"path": "/data/in.json", "paths": ["/data/out/r1", "${MISSING}/x"], "n": 3, "nested": {"v": "r1"}}
+
+
+def test_select_star_and_struct_paths(spark):
+    df = spark.createDataFrame([(1, (2, "x"))], "id int, s struct<a:int,b:string>")
+    assert step("select_columns", df, columns=["*"]).columns == ["id", "s"]
+    out = step("select_columns", df, columns=["s.b", "id"])
+    assert out.columns == ["b", "id"] and out.first().b == "x"
