@@ -265,3 +265,18 @@ def test_awkward_field_names(spark):
     assert ko[1] == ({"my col": ["my col:notNull", "my col:custom_sql"]}, "my col:notNull; my col:custom_sql")
     assert ko[2] == ({"we`ird": ["we`ird:notNull"], "NAME": ["NAME:equals"]}, "we`ird:notNull; NAME:equals")
     assert res.ok.columns == df.columns
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.one_of(st.none(), st.integers(0, 6), st.sampled_from(["a", "b", "zz"]).map(lambda s: 100 + len(s))),
+             min_size=0, max_size=60),
+    st.integers(0, 5),
+    st.integers(1, 8),
+)
+def test_flag_duplicates_random(spark, keys, hot_keys, per_salt):
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k int")
+    out = flag_duplicates(df, F.col("k"), "dup", hot_keys=hot_keys, rows_per_salt=per_salt)
+    got = {r.id: r.dup for r in out.collect()}
+    counts = collections.Counter(k for k in keys if k is not None)
+    assert got == {i: (k is not None and counts[k] > 1) for i, k in enumerate(keys)}
