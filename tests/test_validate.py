@@ -280,3 +280,63 @@ def test_flag_duplicates_random(spark, keys, hot_keys, per_salt):
     got = {r.id: r.dup for r in out.collect()}
     counts = collections.Counter(k for k in keys if k is not None)
     assert got == {i: (k is not None and counts[k] > 1) for i, k in enumerate(keys)}
+
+
+VALUES = st.one_of(st.none(), st.sampled_from(["", "a", "ab", "abc", "cab", "b1", "12", "-4", "7.5", "150", "x y"]))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(VALUES, VALUES), min_size=1, max_size=20), st.integers(0, 4), st.integers(0, 3))
+def test_report_matches_model(spark, rows, max_row, max_field):
+    import re
+
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "id int, a string, b string")
+    rules = [
+        {"field": "a", "message": "bad a", "validations": [
+            {"type": "minLength", "value": 2}, {"type": "pattern", "regex": "^[a-c]+$", "message": "a letters"},
+            {"type": "startsWith", "prefix": "a"}]},
+        {"field": "b", "validations": [{"type": "between", "min": 0, "max": 100}, {"type": "contains", "substring": "1"},
+                                       {"type": "equals", "value": "12"}]},
+    ]
+    res = validate(df, rules, max_errors_per_row=max_row, max_errors_per_field=max_field)
+
+    def num(v):
+        try:
+            return float(v)
+        except (TypeError, ValueError):
+            return None
+
+    def model(a, b):
+        fa, fb = [], []
+        if a is None or len(a) < 2:
+            fa.append("bad a")
+        if a is None or not re.search("^[a-c]+$", a):
+            fa.append("a letters")
+        if a is None or not a.startswith("a"):
+            fa.append("bad a")
+        n = num(b)
+        if n is None or not (0 <= n <= 100):
+            fb.append("b:between")
+        if b is None or "1" not in b:
+            fb.append("b:contains")
+        if b != "12":
+            fb.append("b:equals")
+        return fa, fb
+
+    expected_ko = {}
+    for i, (a, b) in enumerate(rows):
+        fa, fb = model(a, b)
+        flat = fa + fb
+        if not flat:
+            continue
+        shown = flat[:max_row] if max_row > 0 else flat
+        text = "; ".join(shown)
+        if max_row > 0 and len(flat) > max_row:
+            text += f"; ... (+{len(flat) - max_row} more)"
+        cut = (lambda xs: xs[:max_field] if max_field > 0 else xs)
+        emap = {k: cut(v) for k, v in (("a", fa), ("b", fb)) if v}
+        expected_ko[i] = (text, emap)
+    got = {r.id: (r.validation_errors_text, {k: list(v) for k, v in r.validation_errors.items()})
+           for r in res.ko.collect()}
+    assert got == expected_ko
+    assert {r.id for r in res.ok.collect()} == set(range(len(rows))) - set(expected_ko)
