@@ -161,3 +161,18 @@ def test_multi_path_rereads_committed_output(spark, tmp_path):
     write_sink(df, {"name": "m2", "format": "parquet", "saveMode": "append",
                     "paths": [str(tmp_path / "a"), str(tmp_path / "c")]})
     assert spark.read.parquet(str(tmp_path / "c")).count() == 2
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+def test_ko_frame_roundtrip_with_nested_report(spark, tmp_path, fmt):
+    df = spark.createDataFrame([(1, None, "7"), (2, "", "x"), (3, "ok", "5")], "id int, a string, b string")
+    ko = validate(df, [{"field": "a", "validations": ["notNull", "notEmpty"]},
+                       {"field": "b", "validations": ["integer"]}], keep_array=True).ko
+    write_sink(ko, spec(tmp_path / fmt, fmt))
+    back = spark.read.schema(ko.schema).format(fmt).load(str(tmp_path / fmt))
+
+    def norm(rows):
+        return sorted((r.id, r.a, r.b, sorted((k, list(v)) for k, v in r.validation_errors.items()),
+                       r.validation_errors_text, list(r.validation_errors_array)) for r in rows)
+
+    assert norm(back.collect()) == norm(ko.collect())
