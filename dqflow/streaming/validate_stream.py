@@ -30,7 +30,8 @@ from dqflow.sinks.writer import write_sink
 def _reject_table_rules(rules: Any) -> None:
     for block in rules if isinstance(rules, list) else []:
         for entry in (block.get("validations") or []) if isinstance(block, Mapping) else []:
-            if parse_entry(entry).type == "unique":
+            parsed = parse_entry(entry)
+            if parsed.type == "unique" and parsed.enabled:
                 raise InvalidValidationConfig("the 'unique' rule needs the whole table; it cannot run on a stream")
 
 

@@ -20,6 +20,8 @@ def test_stream_split_stays_streaming(spark):
     assert res.ok.isStreaming and res.ko.isStreaming
     with pytest.raises(InvalidValidationConfig):
         validate_stream(_stream(spark), [{"field": "o_orderkey", "validations": ["unique"]}])
+    disabled = [{"field": "o_orderkey", "validations": [{"type": "unique", "enabled": False}, "notNull"]}]
+    assert validate_stream(_stream(spark), disabled).ok.isStreaming
 
 
 def test_foreach_batch_versions(spark, tmp_path):
