@@ -95,6 +95,20 @@ def _ancestors(flow: FlowResult, names: set[str]) -> set[str]:
     return seen
 
 
+def _defined_names(flow: Mapping[str, Any]) -> set[str]:
+    """Every table name a dataflow can define, known before anything is read."""
+    names = {src.get("name") for src in flow.get("sources") or [] if isinstance(src, Mapping)}
+    for step in flow.get("transformations") or []:
+        if not isinstance(step, Mapping):
+            continue
+        name = step.get("name")
+        names.add(name)
+        if step.get("type") == "validate_fields":
+            names |= {f"{name}_{suffix}" for suffix in ("ok", "ko", "all", "stats", "failures")}
+            names |= {OK_NAME, KO_NAME}
+    return names
+
+
 def _check_document(spec: Any) -> list[Mapping[str, Any]]:
     """Structure checks before anything is read."""
     if not isinstance(spec, Mapping):
@@ -109,6 +123,13 @@ def _check_document(spec: Any) -> list[Mapping[str, Any]]:
             raise ValueError("a dataflow reads at least one source")
         if not flow.get("sinks"):
             raise ValueError("a dataflow writes at least one sink")
+        known = _defined_names(flow)
+        for sink in flow["sinks"]:
+            if isinstance(sink, Mapping) and sink.get("input") not in known:
+                raise KeyError(
+                    f"sink {sink.get('name', 'unnamed')!r} writes {sink.get('input')!r}, which no source or step "
+                    f"defines; known tables: {sorted(n for n in known if n)}"
+                )
     return flows
 
 
