@@ -109,6 +109,32 @@ def _defined_names(flow: Mapping[str, Any]) -> set[str]:
     return names
 
 
+def _check_steps(flow: Mapping[str, Any]) -> None:
+    """Steps in order: required fields, known types, unique names, inputs defined earlier."""
+    defined = {src.get("name") for src in flow.get("sources") or [] if isinstance(src, Mapping)}
+    for step in flow.get("transformations") or []:
+        if not isinstance(step, Mapping):
+            raise TypeError("every step in 'transformations' is a dict")
+        stype, sname = step.get("type"), step.get("name")
+        input_name = (step.get("params") or {}).get("input")
+        if not stype:
+            raise ValueError(f"step {sname!r} has no 'type'")
+        if not sname:
+            raise ValueError(f"a {stype!r} step has no 'name'; every step needs one")
+        if stype not in list_transforms():
+            raise ValueError(f"step {sname!r}: no step type {stype!r}; known types: {', '.join(list_transforms())}")
+        if not input_name:
+            raise ValueError(f"step {sname!r} ({stype}) names no 'params.input'")
+        if input_name not in defined:
+            raise KeyError(f"step {sname!r} reads {input_name!r}, which is not defined before it; "
+                           f"known tables: {sorted(n for n in defined if n)}")
+        if sname in defined and sname not in (OK_NAME, KO_NAME):
+            raise ValueError(f"table name {sname!r} is already taken")
+        defined.add(sname)
+        if stype == "validate_fields":
+            defined |= {f"{sname}_{suffix}" for suffix in ("ok", "ko", "all", "stats", "failures")} | {OK_NAME, KO_NAME}
+
+
 def _check_document(spec: Any) -> list[Mapping[str, Any]]:
     """Structure checks before anything is read."""
     if not isinstance(spec, Mapping):
@@ -123,6 +149,7 @@ def _check_document(spec: Any) -> list[Mapping[str, Any]]:
             raise ValueError("a dataflow reads at least one source")
         if not flow.get("sinks"):
             raise ValueError("a dataflow writes at least one sink")
+        _check_steps(flow)
         known = _defined_names(flow)
         for sink in flow["sinks"]:
             if isinstance(sink, Mapping) and sink.get("input") not in known:
