@@ -305,4 +305,5 @@ def oracle_queries() -> dict[str, str]:
         "stream_validate_ko": f"SELECT o_orderkey, {_text(STREAM)} AS validation_errors_text FROM orders "
                               f"WHERE {_ko_where(STREAM)}",
     })
+    q["failures_by_rule_observed"] = q["failures_by_rule"]
     return q
