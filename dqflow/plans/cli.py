@@ -53,6 +53,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--app-name", default="dqflow", help="Spark application name")
     parser.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     parser.add_argument("--observe-tables", action="store_true", help="report row counts of every table")
+    parser.add_argument("--parallel-sinks", type=int, default=4,
+                        help="sink writes of different tables that may run at the same time (1 = one by one)")
     parser.add_argument("--explain", action="store_true",
                         help="print the physical plan of every sink input and exit without writing")
     args = parser.parse_args(argv)
@@ -78,7 +80,7 @@ def main(argv: list[str] | None = None) -> int:
                     flow.tables[sink["input"]].explain("formatted")
             return 0
         result = run(spark, doc, run_id=args.run_id, all_dataflows=not args.first_only,
-                     observe_tables=args.observe_tables)
+                     observe_tables=args.observe_tables, parallel_sinks=args.parallel_sinks)
         result.report(spark).show(truncate=False)
         return 0
     except Exception as exc:  # noqa: BLE001 - command-line boundary

@@ -14,12 +14,14 @@ so a list of steps expresses a tree of tables (fan-out).
 from __future__ import annotations
 
 import logging
+import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any, Mapping
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,9 @@ OK_NAME, KO_NAME = "validation_ok", "validation_ko"
 
 log = logging.getLogger("dqflow")
 
+# Sink writes of different tables that may run at the same time.
+DEFAULT_PARALLEL_SINKS = 4
+
 
 @dataclass
 class FlowResult:
@@ -258,12 +263,23 @@ def build_flow(
     return flow
 
 
-def write_flow(flow: FlowResult, sinks: list[Mapping[str, Any]], run_id: str, *, share: str = "auto") -> None:
+def write_flow(
+    flow: FlowResult,
+    sinks: list[Mapping[str, Any]],
+    run_id: str,
+    *,
+    share: str = "auto",
+    parallel: int = DEFAULT_PARALLEL_SINKS,
+) -> None:
     """Write every sink; a table feeding several paths is computed once.
 
     If the table's first sink is lossless and fresh (Parquet/ORC, overwrite or
     error mode), later sinks read that committed output back; otherwise the
     table is persisted for the duration of the writes.
+
+    Sinks of different tables are independent jobs and run concurrently (up to
+    ``parallel`` at a time, sharing the cluster); the sinks of one table run in
+    order, and metrics tables run last, after the KO writes they observe.
     """
     for sink in sinks:
         if not isinstance(sink, Mapping):
@@ -289,30 +305,60 @@ def write_flow(flow: FlowResult, sinks: list[Mapping[str, Any]], run_id: str, *,
                     shared[id(df)] = df.persist(StorageLevel.MEMORY_AND_DISK)
     anchors: dict[int, SinkResult] = {}
     written: set[int] = set()
-    # Metrics tables last: by then the KO branch they observe has usually run.
-    ordered = [sk for sk in sinks if sk["input"] not in flow.metric_tables] + \
-              [sk for sk in sinks if sk["input"] in flow.metric_tables]
-    try:
-        for sink in ordered:
-            df = flow.tables[sink["input"]]
-            key = id(df)
-            src = shared.get(key, df)
+    done: dict[int, list[SinkResult]] = {}
+    lock = threading.Lock()
+
+    def write_one(idx: int, sink: Mapping[str, Any]) -> None:
+        df = flow.tables[sink["input"]]
+        key = id(df)
+        src = shared.get(key, df)
+        with lock:
             observed = _observed_metrics(flow, sink["input"], written)
-            if observed is not None:
-                src = observed
-            if strategy.get(key) == "reread" and key in anchors:
-                src = read_back(df.sparkSession, anchors[key], df)
-            try:
-                results = write_sink(src, sink, run_id=run_id, share="none" if key in shared else share)
-            except Exception as exc:
-                raise RuntimeError(f"sink {sink.get('name', 'unnamed')!r} failed: {exc}") from exc
+            anchor = anchors.get(key)
+        if observed is not None:
+            src = observed
+        if strategy.get(key) == "reread" and anchor is not None:
+            src = read_back(df.sparkSession, anchor, df)
+        try:
+            results = write_sink(src, sink, run_id=run_id, share="none" if key in shared else share)
+        except Exception as exc:
+            raise RuntimeError(f"sink {sink.get('name', 'unnamed')!r} failed: {exc}") from exc
+        with lock:
             written.add(key)
             if strategy.get(key) == "reread" and key not in anchors:
                 anchors[key] = results[0]
-            flow.sinks.extend(results)
-            for r in results:
-                log.info("sink %s <- %s: %s rows to %s", r.sink, r.input, r.rows, r.uri)
+            done[idx] = results
+        for r in results:
+            log.info("sink %s <- %s: %s rows to %s", r.sink, r.input, r.rows, r.uri)
+
+    def write_group(items: list[tuple[int, Mapping[str, Any]]]) -> None:
+        for idx, sink in items:
+            write_one(idx, sink)
+
+    groups: dict[int, list[tuple[int, Mapping[str, Any]]]] = {}
+    metrics: list[tuple[int, Mapping[str, Any]]] = []
+    for idx, sink in enumerate(sinks):
+        if sink["input"] in flow.metric_tables:
+            metrics.append((idx, sink))  # last: by then the KO branch they observe has run
+        else:
+            groups.setdefault(id(flow.tables[sink["input"]]), []).append((idx, sink))
+    try:
+        if parallel > 1 and len(groups) > 1:
+            session = next(iter(flow.tables.values())).sparkSession
+            target = inheritable_thread_target(session)(write_group)  # threads keep job group, tags, properties
+            with ThreadPoolExecutor(max_workers=min(parallel, len(groups))) as pool:
+                futures = [pool.submit(target, items) for items in groups.values()]
+            errors = [f.exception() for f in futures]
+            first = next((e for e in errors if e is not None), None)
+            if first is not None:
+                raise first
+        else:
+            for items in groups.values():
+                write_group(items)
+        write_group(metrics)
     finally:
+        for idx in sorted(done):  # the report keeps the declared sink order
+            flow.sinks.extend(done[idx])
         for df in shared.values():
             df.unpersist()
         flow.release()
@@ -347,6 +393,7 @@ def run(
     write: bool = True,
     observe_tables: bool = False,
     share: str = "auto",
+    parallel_sinks: int = DEFAULT_PARALLEL_SINKS,
 ) -> RunResult:
     """Run a dataflow document.  ``all_dataflows=False`` runs only the first (E5)."""
     flows = _check_document(spec)
@@ -359,6 +406,6 @@ def run(
     for flow_spec in flows:
         flow = build_flow(spark, flow_spec, ctx, observe_tables=observe_tables)
         if write:
-            write_flow(flow, list(flow_spec.get("sinks", [])), rid, share=share)
+            write_flow(flow, list(flow_spec.get("sinks", [])), rid, share=share, parallel=parallel_sinks)
         results.append(flow)
     return RunResult(rid, ts, results)
