@@ -16,7 +16,9 @@ from __future__ import annotations
 
 from typing import Any, Mapping
 
-from pyspark import StorageLevel
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -70,8 +72,13 @@ def start_validated_stream(
         try:
             res = validate(batch, rules, observe=metrics_sink is not None, **options)
             run_id = f"batch-{batch_id}"
-            write_sink(res.ok, ok_sink, run_id=run_id)
-            write_sink(res.ko, ko_sink, run_id=run_id)
+            # OK and KO are independent jobs over the persisted batch: write them side by side.
+            write = inheritable_thread_target(batch.sparkSession)(write_sink)
+            with ThreadPoolExecutor(max_workers=2) as pool:
+                pending = [pool.submit(write, res.ok, ok_sink, run_id=run_id),
+                           pool.submit(write, res.ko, ko_sink, run_id=run_id)]
+            for f in pending:
+                f.result()  # re-raises a failed write
             if metrics_sink is not None:
                 failures = res.observed_failures(batch.sparkSession)
                 write_sink(failures.select(F.lit(batch_id).cast("long").alias("batch_id"), "*"),
