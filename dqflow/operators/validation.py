@@ -425,6 +425,10 @@ def validate(
     by ``"; "``, at most ``max_errors_per_row`` then ``"; ... (+K more)"``)
     and, with ``keep_array``, the untruncated ``validation_errors_array``.
     A limit <= 0 means no limit.
+
+    ``hot_keys`` / ``rows_per_salt`` tune the ``unique`` rule's skew handling:
+    the ``hot_keys`` most frequent duplicated keys are split over
+    ``ceil(count / rows_per_salt)`` join tasks each (``hot_keys=0``: plain join).
     """
     if not isinstance(rules, list):
         raise TypeError("rules are a list of rule blocks")
