@@ -215,6 +215,27 @@ def q_part_catalog(spark, sf):
     return ko.select("p_partkey", "validation_errors_text")
 
 
+SUPPLIER_RULES = [
+    {"field": "s_acctbal", "validations": [{"type": "nonNegative", "message": "negative balance"}]},
+    {"field": "s_name", "validations": [{"type": "pattern", "regex": "^Supplier#[0-9]{9}$"}]},
+    {"field": "s_nationkey", "validations": [{"type": "between", "min": 0, "max": 19}]},
+]
+CONVERSATION_RULES = [
+    {"field": "role", "validations": [{"type": "inList", "values": ["user", "assistant"]}]},
+    {"field": "text", "validations": [{"type": "minLength", "value": 30}, {"type": "maxLength", "value": 1500}]},
+    {"field": "turn", "validations": ["positive"]},
+]
+
+
+def q_suppliers(spark, sf):
+    return validate(read_table(spark, sf, "supplier"), SUPPLIER_RULES).ko.select("s_suppkey", "validation_errors_text")
+
+
+def q_conversations(spark, sf):
+    ko = validate(read_table(spark, sf, "conversations"), CONVERSATION_RULES).ko
+    return ko.select("conv_id", "turn", "validation_errors_text")
+
+
 URL_RULES = [{"field": "url", "validations": ["url", {"type": "startsWith", "prefix": "https://"}]}]
 
 
@@ -581,6 +602,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "validate_text_quality": q_text_quality,
         "validate_urls": q_validate_urls,
         "validate_part_catalog": q_part_catalog,
+        "validate_suppliers": q_suppliers,
+        "validate_conversations": q_conversations,
         "failures_by_rule": q_failures_by_rule,
         "failures_by_rule_observed": q_failures_observed,
         "unique_rule_documents": q_unique_documents,

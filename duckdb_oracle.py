@@ -170,6 +170,17 @@ PART = [
     ("p_name", "p_name:endsWith", "suffix(p_name, 'bolt')"),
     ("p_name", "p_name:maxLength", "length(p_name) <= 12"),
 ]
+SUPPLIERS = [
+    ("s_acctbal", "negative balance", "s_acctbal >= 0"),
+    ("s_name", "s_name:pattern", "regexp_matches(s_name, '^Supplier#[0-9]{9}$')"),
+    ("s_nationkey", "s_nationkey:between", "s_nationkey >= 0 AND s_nationkey <= 19"),
+]
+CONVERSATIONS = [
+    ("role", "role:inList", "role IN ('user', 'assistant')"),
+    ("text", "text:minLength", "length(text) >= 30"),
+    ("text", "text:maxLength", "length(text) <= 1500"),
+    ("turn", "turn:positive", "turn > 0"),
+]
 DEMO = [
     ("name", "name:notEmpty", "name <> ''"),
     ("name", "name:pattern", "regexp_matches(name, '^Customer#[0-9]{9}$')"),
@@ -271,6 +282,10 @@ def oracle_queries() -> dict[str, str]:
                          "AND starts_with(url, 'https://')",
         "validate_part_catalog": f"SELECT p_partkey, {_text(PART, 3)} AS validation_errors_text FROM part "
                                  f"WHERE {_ko_where(PART)}",
+        "validate_suppliers": f"SELECT s_suppkey, {_text(SUPPLIERS)} AS validation_errors_text FROM supplier "
+                              f"WHERE {_ko_where(SUPPLIERS)}",
+        "validate_conversations": f"SELECT conv_id, turn, {_text(CONVERSATIONS)} AS validation_errors_text "
+                                  f"FROM conversations WHERE {_ko_where(CONVERSATIONS)}",
         "failures_by_rule": _with_contacts(" UNION ALL ".join(
             f"SELECT CAST({i} AS BIGINT) AS rule_index, {_lit(f)} AS field, {_lit(rule)} AS rule, {_lit(lab)} AS message, "
             f"count(*) FILTER (WHERE {_fail(p)}) AS failures FROM contacts"
