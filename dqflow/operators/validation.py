@@ -356,13 +356,18 @@ def _report(
     max_per_field: int,
     max_per_row: int,
     keep_array: bool,
+    rules_per_field: Sequence[int],
 ) -> DataFrame:
-    """Derive the error map / text / array from per-field label arrays."""
+    """Derive the error map / text / array from per-field label arrays.
+
+    A limit that a field (or row) cannot reach with its number of rules is
+    left out of the plan: no per-row slice or branch that would never apply.
+    """
     entries = []
     no_entry = F.array().cast(_ENTRIES_T)
-    for fname, fc in zip(fields, field_cols):
+    for fname, fc, n_rules in zip(fields, field_cols, rules_per_field):
         arr = F.col(fc)
-        kept = F.slice(arr, 1, max_per_field) if max_per_field > 0 else arr
+        kept = F.slice(arr, 1, max_per_field) if 0 < max_per_field < n_rules else arr
         entry = F.struct(F.lit(fname).alias("key"), kept.alias("value"))
         entries.append(F.when(F.size(arr) > 0, F.array(entry)).otherwise(no_entry))
     flat = _concat_present([F.col(fc) for fc in field_cols])
@@ -373,7 +378,7 @@ def _report(
     )
     arr = F.col("__dq_flat")
     n = F.size(arr)
-    if max_per_row > 0:  # D-9
+    if 0 < max_per_row < sum(rules_per_field):  # D-9
         joined = F.concat_ws(JOINER, F.slice(arr, 1, max_per_row))
         text = F.when(
             n > max_per_row,
@@ -475,7 +480,9 @@ def validate(
 
     if c.helper_cols or materialize != "none":
         ok = ok.select(*[F.col(quote(n)) for n in out_cols])
-    ko = _report(annotated, out_cols, fields, field_cols, max_errors_per_field, max_errors_per_row, keep_array)
+    per_field = [len(rs) for _, rs in c.by_field()]
+    ko = _report(annotated, out_cols, fields, field_cols, max_errors_per_field, max_errors_per_row, keep_array,
+                 per_field)
 
     def annotate_all() -> DataFrame:
         if VALID_FLAG in out_cols:
@@ -488,7 +495,7 @@ def validate(
             source.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)])
         every = every.withColumn(VALID_FLAG, all_of([F.size(F.col(n)) == 0 for n in field_cols]))
         rep = _report(every, out_cols + [VALID_FLAG], fields, field_cols,
-                      max_errors_per_field, max_errors_per_row, keep_array)
+                      max_errors_per_field, max_errors_per_row, keep_array, per_field)
         failed = ~F.col(VALID_FLAG)
         extra = [ERRORS_MAP, ERRORS_TEXT] + ([ERRORS_ARRAY] if keep_array else [])
         return rep.select(*[F.col(quote(n)) for n in out_cols], F.col(VALID_FLAG),
