@@ -357,12 +357,18 @@ def _report(
     max_per_row: int,
     keep_array: bool,
     rules_per_field: Sequence[int],
+    only_when: Column | None = None,
 ) -> DataFrame:
     """Derive the error map / text / array from per-field label arrays.
 
     A limit that a field (or row) cannot reach with its number of rules is
     left out of the plan: no per-row slice or branch that would never apply.
+    With ``only_when`` the report is built only for rows where it holds (NULL
+    elsewhere); CASE WHEN evaluates its branch lazily, so other rows skip it.
     """
+    def gated(c: Column) -> Column:
+        return c if only_when is None else F.when(only_when, c)
+
     entries = []
     no_entry = F.array().cast(_ENTRIES_T)
     for fname, fc, n_rules in zip(fields, field_cols, rules_per_field):
@@ -373,8 +379,8 @@ def _report(
     flat = _concat_present([F.col(fc) for fc in field_cols])
     step = annotated.select(
         *[F.col(quote(n)) for n in out_cols],
-        F.map_from_entries(_concat_present(entries)).alias(ERRORS_MAP),  # D-8
-        flat.alias("__dq_flat"),
+        gated(F.map_from_entries(_concat_present(entries))).alias(ERRORS_MAP),  # D-8
+        gated(flat).alias("__dq_flat"),
     )
     arr = F.col("__dq_flat")
     n = F.size(arr)
@@ -386,7 +392,7 @@ def _report(
         ).otherwise(joined)
     else:
         text = F.concat_ws(JOINER, arr)
-    text = F.when(n == 0, F.lit(UNKNOWN_ERROR)).otherwise(text)
+    text = gated(F.when(n == 0, F.lit(UNKNOWN_ERROR)).otherwise(text))
     final = [F.col(quote(n_)) for n_ in out_cols] + [F.col(ERRORS_MAP), text.alias(ERRORS_TEXT)]
     if keep_array:  # D-10: untruncated
         final.append(arr.alias(ERRORS_ARRAY))
@@ -494,12 +500,9 @@ def validate(
         every = annotated_all if annotated_all is not None else \
             source.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)])
         every = every.withColumn(VALID_FLAG, all_of([F.size(F.col(n)) == 0 for n in field_cols]))
-        rep = _report(every, out_cols + [VALID_FLAG], fields, field_cols,
-                      max_errors_per_field, max_errors_per_row, keep_array, per_field)
-        failed = ~F.col(VALID_FLAG)
-        extra = [ERRORS_MAP, ERRORS_TEXT] + ([ERRORS_ARRAY] if keep_array else [])
-        return rep.select(*[F.col(quote(n)) for n in out_cols], F.col(VALID_FLAG),
-                          *[F.when(failed, F.col(e)).alias(e) for e in extra])
+        return _report(every, out_cols + [VALID_FLAG], fields, field_cols,
+                       max_errors_per_field, max_errors_per_row, keep_array, per_field,
+                       only_when=~F.col(VALID_FLAG))
 
     result = ValidationResult(ok, ko, c, annotated_all, clean, observation, annotate_all)
     return result
