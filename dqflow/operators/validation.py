@@ -293,13 +293,15 @@ class ValidationResult:
             [(total, valid, total - valid, pct(valid), pct(total - valid))],
             "total_records long, valid_records long, invalid_records long, "
             "valid_percentage double, invalid_percentage double",
-        )
+        ).coalesce(1)
 
     def observed_failures(self, spark, source: str = "ko") -> DataFrame:
         """``failures_by_rule()`` from collected metrics (see ``observed_stats``)."""
         m = self._observed(source)
         rows = [(r.index, r.field, r.rule, r.label, int(m[f"__dq_f{r.index}"])) for r in self.compiled.rules]
-        return spark.createDataFrame(rows, "rule_index int, field string, rule string, message string, failures long")
+        # one row per rule: a bounded table, kept in one partition (one output file)
+        return spark.createDataFrame(
+            rows, "rule_index int, field string, rule string, message string, failures long").coalesce(1)
 
     def failures_by_rule(self) -> DataFrame:
         """Failing rows per rule, as one global aggregation (no explode,
