@@ -176,3 +176,18 @@ def test_ko_frame_roundtrip_with_nested_report(spark, tmp_path, fmt):
                        r.validation_errors_text, list(r.validation_errors_array)) for r in rows)
 
     assert norm(back.collect()) == norm(ko.collect())
+
+
+def test_inventory_over_several_sources(spark, tmp_path):
+    from dqflow.sources import check_sources, source_inventory
+
+    csv = tmp_path / "c.csv"
+    csv.write_text("id;v\n1;a\n2;b\n3;c\n")
+    sources = {"region": spark.read.parquet("/root/testdata/sf0.001/region.parquet"),
+               "nation": spark.read.parquet("/root/testdata/sf0.001/nation.parquet")}
+    inv = {r.source: r.rows for r in source_inventory(sources).collect()}
+    assert inv == {"region": 5, "nation": 25}
+    doc = {"dataflows": [{"name": "c", "sources": [
+        {"name": "c", "format": "CSV", "path": str(csv), "options": {"header": True, "delimiter": ";"}}]}]}
+    row = check_sources(spark, doc).first()
+    assert (row.name, row.format, row.exists, row.files, row.rows) == ("c", "csv", True, 1, 3)
