@@ -191,3 +191,14 @@ def test_inventory_over_several_sources(spark, tmp_path):
         {"name": "c", "format": "CSV", "path": str(csv), "options": {"header": True, "delimiter": ";"}}]}]}
     row = check_sources(spark, doc).first()
     assert (row.name, row.format, row.exists, row.files, row.rows) == ("c", "csv", True, 1, 3)
+
+
+def test_scratch_lives_under_the_configured_checkpoint_dir(spark):
+    from dqflow.session import checkpoint_dir, scratch_path
+
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    base = checkpoint_dir(spark)
+    if configured:  # the cluster's shared folder is used, not a private temp folder
+        assert configured.rstrip("/").split(":")[-1] in base
+    p1, p2 = scratch_path(spark, "t"), scratch_path(spark, "t")
+    assert p1 != p2 and p1.startswith(base.rstrip("/") + "/dqflow-t-")
