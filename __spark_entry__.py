@@ -7,6 +7,8 @@ hand-written DuckDB SQL over the same tables; column names match.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -565,6 +567,13 @@ def q_stream_ko(spark, sf):
 # Registry
 # ---------------------------------------------------------------------------
 
+def _llm():
+    """The training-data operators' queries, where that subpackage is installed."""
+    if importlib.util.find_spec("dqflow.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return None
+    return importlib.import_module("dqflow.llm.queries")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "scan_parquet_count": q_scan_count,
@@ -627,10 +636,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_validate_ok": q_stream_ok,
         "stream_validate_ko": q_stream_ko,
     })
+    if llm := _llm():
+        q.update(llm.queries())
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     from duckdb_oracle import oracle_queries
 
-    return oracle_queries()
+    sql = oracle_queries()
+    if llm := _llm():
+        sql.update(llm.oracle_sql())
+    return sql
