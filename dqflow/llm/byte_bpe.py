@@ -1,15 +1,15 @@
 """Byte-level BPE encoding and decoding.
 
-Encoding keeps documents where they are.  Each task packs documents into blocks of bounded size
-and lists the distinct words (pre-tokens) of a block as arrays of byte ids; Spark's higher-order
-functions fold the ranked merges over every distinct word, once per block, with the rank map as a
-literal of the plan; the ids of the words are then laid out along each document.  There is no
-shuffle, so neither a hot key nor the growth of the vocabulary of the corpus matters, and a lost
-task is run again from its input.
+Each task packs documents into blocks of bounded size and lists the distinct words (pre-tokens)
+of a block.  Words are dealt to shards by hash, so that equal words of all blocks meet; there,
+Spark's higher-order functions fold the ranked merges over the byte array of each distinct word,
+with the rank map as a literal of the plan.  The ids go back to the blocks, packed, and are laid
+out along each document.  Texts are shuffled once, compressed, to meet their ids.
 
-The fold keeps ``parts`` (token ids) and ``ranks`` (rank of each neighbouring pair).  One step
-merges the leftmost pair of the lowest rank and looks up the two pairs that changed, which is the
-definition of byte-pair encoding by ranks, so the ids are those of the library.
+Every word costs one merge fold for ``FOLD_WORDS`` requests or fewer, a hot word as well as a rare
+one; requests are worked off in rows of that size, so no group is ever held whole.  A block is
+known by a hash of its rows; if a second reading of the input should cut it differently the job
+stops with an error instead of giving wrong ids.
 
 Decoding concatenates the binary piece of each id.
 
@@ -23,16 +23,28 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 import json
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqflow.llm import pretokens
-
-NO_RANK = 2**31 - 1
+from dqflow.llm.frames import col
+
+#: Beyond the length of any word.
+WHOLE = 1 << 30
+#: Stands at both ends of a word while it is folded; no id, and above every id.
+EDGE = 65535
+#: An empty place of the rank map.
+FREE = 1 << 62
+#: Text bytes of a block, and words folded as one row.
+BLOCK_BYTES = 6 << 20
+FOLD_WORDS = 100_000
 #: Sizes of the two tables of the rank map (any that hold the map will do).
 TABLE_SIZES = (150001, 175003, 300007, 350003, 600011, 700001, 1200007, 1400017)
 
@@ -42,17 +54,18 @@ def pieces_of(path: str) -> tuple[bytes, ...]:
     """The bytes of each id of a rank file (lines of base64 token and rank)."""
     with open(path, "rb") as f:
         found = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, f)}
-    if sorted(found) != list(range(len(found))) or len(found) > 65536:
-        raise ValueError("ranks must be 0..n-1, at most 65536 of them")
+    if sorted(found) != list(range(len(found))) or len(found) > EDGE:
+        raise ValueError("ranks must be 0..n-1, at most 65535 of them")
     return tuple(found[i] for i in range(len(found)))
 
 
 @functools.cache
-def rank_map(path: str) -> str:
-    """JSON of the rank map: pair of ids -> id of their concatenation, in two hashed tables.
+def rank_map(path: str) -> tuple[str, tuple[int, int]]:
+    """The rank map as JSON, and the sizes of its two tables.
 
-    A pair ``left * 65536 + right`` lies at ``pair % size`` of one of the two tables, as
-    ``pair * 65536 + id``, so a look-up reads two places whatever the vocabulary's size.
+    A pair of ids (``left * 65536 + right``) maps to the id of its concatenation.  Its entry,
+    ``pair * 65536 + id``, lies at ``pair % size`` of one of the tables, so a look-up reads two
+    places whatever the vocabulary's size.
     """
     pieces = pieces_of(path)
     ids = {p: i for i, p in enumerate(pieces)}
@@ -63,19 +76,19 @@ def rank_map(path: str) -> str:
                 pairs[a << 16 | b] = i
     for sizes in zip(TABLE_SIZES[::2], TABLE_SIZES[1::2], strict=True):
         if len(pairs) < sizes[0] and (tables := _placed(pairs, sizes)):
-            return json.dumps({"a": tables[0], "b": tables[1]}, separators=(",", ":"))
+            return json.dumps({"a": tables[0], "b": tables[1]}, separators=(",", ":")), sizes
     raise ValueError("the rank map does not fit the largest tables")
 
 
 def _placed(pairs: dict[int, int], sizes: tuple[int, int]) -> list[list[int]] | None:
     """Two tables in which each pair has one of its two places."""
-    tables = [[0] * sizes[0], [0] * sizes[1]]
+    tables = [[FREE] * sizes[0], [FREE] * sizes[1]]
     for pair, value in pairs.items():
         entry, side = pair << 16 | value, 0
         for _ in range(500):
             at = (entry >> 16) % sizes[side]
             entry, tables[side][at] = tables[side][at], entry
-            if not entry:
+            if entry == FREE:
                 break
             side = 1 - side
         else:
@@ -83,77 +96,208 @@ def _placed(pairs: dict[int, int], sizes: tuple[int, int]) -> list[list[int]] |
     return tables
 
 
-def _look_up(tables: Column, left: Column, right: Column) -> Column:
-    """Id of the concatenation of two ids, NO_RANK where it is no token or a side is missing."""
-    pair = left.cast("bigint") * 65536 + right
-    entry = [F.get(t, (pair % F.size(t)).cast("int")) for t in (tables["a"], tables["b"])]
-    found = F.when(F.shiftright(entry[0], 16) == pair, entry[0]).when(F.shiftright(entry[1], 16) == pair, entry[1])
-    return F.coalesce(found.bitwiseAND(F.lit(65535)).cast("int"), F.lit(NO_RANK))
+def merged(word: Column, tables: Column, sizes: tuple[int, int]) -> Column:
+    """Ids of one word, given as the array of the ids of its bytes between two ``EDGE``.
 
+    The fold keeps ``parts`` (ids) and ``ranks`` (of each neighbouring pair).  A step merges the
+    leftmost pair of the lowest rank and looks up the two pairs that changed.
+    """
 
-def merged(word: Column, tables: Column) -> Column:
-    """The ids of one word, given as the array of the ids of its bytes."""
-    pairs = F.zip_with(word, F.slice(word, F.lit(2), F.size(word)), lambda a, b: _look_up(tables, a, b))
-    start = F.struct(word.alias("parts"), pairs.alias("ranks"))
+    def rank(left: Column, right: Column) -> Column:
+        # An entry of another pair, or none, differs above the lowest 16 bits: no rank.
+        pair = F.shiftleft(left, 16).bitwiseOR(right)
+        own = F.shiftleft(pair, 16)
+        return F.least(*(F.get(tables[t], (pair % size).cast("int")).bitwiseXOR(own) for t, size in zip("ab", sizes, strict=True)))
 
-    def step(state: Column, _: Column) -> Column:
-        low = F.array_min(state["ranks"])
-        at = F.array_position(state["ranks"], low).cast("int")
+    whole = F.lit(WHOLE)
+    start = F.struct(word.alias("parts"), F.zip_with(F.slice(word, F.lit(1), F.size(word) - 1), F.slice(word, F.lit(2), whole), rank).alias("ranks"))
 
+    def step(state: Column, _: Column) -> Column:
         def joined(x: Column) -> Column:
-            parts, ranks, i, new = x["parts"], x["ranks"], x["i"], F.array(x["new"])
-            before = F.slice(parts, F.lit(1), i - 1)
-            after = F.slice(parts, i + 2, F.size(parts))
-            left = F.when(i > 1, F.array(_look_up(tables, F.get(parts, i - 2), x["new"]))).otherwise(F.array().cast("array<int>"))
-            right = F.array(_look_up(tables, x["new"], F.get(parts, i + 1)))
+            parts, ranks, i, new = state["parts"], state["ranks"], x["i"], x["low"]
             return F.struct(
-                F.concat(before, new, after).alias("parts"),
-                F.concat(F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right,
-                         F.slice(ranks, i + 2, F.size(ranks))).alias("ranks"))
+                F.concat(F.slice(parts, F.lit(1), i - 1), F.array(new), F.slice(parts, i + 2, whole)).alias("parts"),
+                F.concat(F.slice(ranks, F.lit(1), i - 2), F.array(rank(F.get(parts, i - 2), new), rank(new, F.get(parts, i + 1))),
+                         F.slice(ranks, i + 2, whole)).alias("ranks"))
+
+        def merge(low: Column) -> Column:
+            at = F.array_position(state["ranks"], low).cast("int")
+            bound = F.transform(F.array(F.struct(at.alias("i"), low.alias("low"))), joined)
+            return F.when(low >= EDGE, state).otherwise(F.get(bound, F.lit(0)))
 
-        bound = F.struct(state["parts"].alias("parts"), state["ranks"].alias("ranks"), at.alias("i"), low.alias("new"))
-        return F.when(low == NO_RANK, state).otherwise(F.get(F.transform(F.array(bound), joined), F.lit(0)))
+        return F.get(F.transform(F.array(F.array_min(state["ranks"])), merge), F.lit(0))
 
     return F.aggregate(word, start, step, lambda state: state["parts"])
 
 
 def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, ids array<int>) of each row.  ``vocabulary``: a rank file on every machine."""
+    spark = df.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = 2 * tasks
     kind = df.schema[id_column].dataType.simpleString()
+    rows = df.select(col(id_column).alias("id"), F.coalesce(col(text_column), F.lit("")).alias("text"))
 
     def blocks(batches):
+        """(block, its rows); a block is known by a hash of what it holds."""
+        for batch in pretokens.by_bytes(batches, most=BLOCK_BYTES):
+            held = _stream(batch)
+            yield xxhash.xxh64_intdigest(held) - 2**63, batch, held
+
+    def asked(batches):
+        for block, batch, _ in blocks(batches):
+            _, _, words = pretokens.distinct(batch.column("text").to_pylist())
+            shard = _shards(words, shards)
+            order = np.argsort(shard, kind="stable")
+            cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
+            for a, b in itertools.pairwise([*cuts.tolist(), len(order)]):
+                yield _rows(block=[block], shard=[int(shard[order[a]])], blob=[_packed(words.take(pa.array(order[a:b])))])
+
+    def kept(batches):
+        for block, _, held in blocks(batches):
+            yield _rows(block=[block], shard=[-1], blob=[_zip(held)])
+
+    def gathered(batches):
+        """Distinct words of many requests at once, and where each request's words are among them."""
+        held, size = [], 0
         first = np.array([pieces_of(vocabulary).index(bytes([b])) for b in range(256)], np.int32)
-        for batch in pretokens.by_bytes(batches):
-            index, pieces, words = pretokens.distinct(batch.column("text").to_pylist())
-            data, offsets = pretokens.ragged(words)
-            spelled = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(first[data]))
-            yield pa.RecordBatch.from_arrays(
-                [_one(batch.column("id")), _one(pa.array(pieces.astype(np.int32))), _one(pa.array(index.astype(np.int32))), _one(spelled)],
-                ["ids", "pieces", "index", "words"])
 
-    def laid_out(batches):
+        def row():
+            every = pa.concat_arrays([w for _, _, w in held]).dictionary_encode()
+            data, offsets = pretokens.ragged(every.dictionary)
+            n = np.diff(offsets)
+            spelled = np.full(len(data) + 2 * len(n), EDGE, np.int64)
+            place = np.arange(len(data)) + np.repeat(2 * np.arange(len(n)) + 1, n)
+            spelled[place] = first[data]
+            ends = offsets + 2 * np.arange(len(offsets))
+            return _rows(
+                block=[[b for b, _, _ in held]], shard=[[s for _, s, _ in held]], sizes=[[len(w) for _, _, w in held]],
+                index=[every.indices.to_pylist()],
+                words=pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(spelled))))
+
+        for batch in batches:
+            for block, shard, blob in zip(*(batch.column(c).to_pylist() for c in ("block", "shard", "blob")), strict=True):
+                words = _unpacked(blob)
+                held.append((block, shard, words))
+                size += len(words)
+                if size >= FOLD_WORDS:
+                    yield row()
+                    held, size = [], 0
+        if held:
+            yield row()
+
+    def answered(batches):
         for batch in batches:
-            for row in range(batch.num_rows):
-                ids, pieces, index, words = (batch.column(c)[row].values for c in ("ids", "pieces", "index", "words"))
-                offsets = np.asarray(words.offsets).astype(np.int64)
-                tokens = np.asarray(words.values)
-                index, pieces = np.asarray(index), np.asarray(pieces).astype(np.int64)
-                size = np.diff(offsets)[index]
-                out = tokens[np.repeat(offsets[index] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-                ends = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(pieces))]
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out, pa.int32()))], ["id", "ids"])
-
-    rows = df.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    packed = rows.mapInArrow(blocks, f"ids array<{kind}>, pieces array<int>, index array<int>, words array<array<int>>")
-    literal = F.from_json(F.lit(rank_map(vocabulary)), "a array<bigint>, b array<bigint>")
-    # The inner of the two transforms binds the literal once for a block.
-    folded = F.get(F.transform(F.array(literal), lambda tables: F.transform("words", lambda w: merged(w, tables))), F.lit(0))
-    return packed.withColumn("words", folded).mapInArrow(laid_out, f"id {kind}, ids array<int>").withColumnRenamed("id", id_column)
-
-
-def _one(values: pa.Array) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            for r in range(batch.num_rows):
+                block, shard, sizes, index, words = (batch.column(c)[r].values for c in ("block", "shard", "sizes", "index", "words"))
+                offsets, values = np.asarray(words.offsets).astype(np.int64), np.asarray(words.values)
+                ends = np.cumsum(np.asarray(sizes))
+                for b, s, places in zip(block.to_pylist(), shard.to_pylist(), np.split(np.asarray(index), ends[:-1]), strict=True):
+                    out, size = _taken(values, offsets[places], np.diff(offsets)[places])
+                    out, size = out[out != EDGE], size - 2
+                    yield _rows(block=[b], shard=[s], blob=[_zip(size.astype("<u4").tobytes() + out.astype("<u2").tobytes())])
+
+    def laid_out(batches):
+        now, texts, answers = None, [], {}  # equal blocks are one block with several texts
+        for batch in itertools.chain(batches, [None]):
+            each = zip(*(batch.column(c).to_pylist() for c in ("block", "shard", "blob")), strict=True) if batch is not None else [(None, 0, b"")]
+            for block, shard, blob in each:
+                if block != now:
+                    if texts:
+                        out = _ids_of(pa.ipc.open_stream(_unzip(texts[0])).read_all().to_batches()[0], list(answers.values()), shards)
+                        yield from itertools.repeat(out, len(texts))
+                    now, texts, answers = block, [], {}
+                if shard < 0:
+                    texts.append(blob)
+                else:
+                    answers[shard] = blob
+
+    literal, sizes = rank_map(vocabulary)
+    tables = F.from_json(F.lit(literal), "a array<bigint>, b array<bigint>")
+    blob = "block long, shard int, blob binary"
+    requests = rows.mapInArrow(asked, blob).repartition(tasks, "shard")
+    listed = requests.mapInArrow(gathered, "block array<bigint>, shard array<int>, sizes array<int>, index array<int>, words array<array<bigint>>")
+    # The outer transform binds the literal once for all words.
+    folded = F.get(F.transform(F.array(tables), lambda t: F.transform("words", lambda w: merged(w, t, sizes))), F.lit(0))
+    answers = listed.withColumn("words", folded).mapInArrow(answered, blob)
+    spread = answers.unionByName(rows.mapInArrow(kept, blob)).repartition(tasks, "block").sortWithinPartitions("block", "shard")
+    return spread.mapInArrow(laid_out, f"id {kind}, ids array<int>").withColumnRenamed("id", id_column)
+
+
+def _stream(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _zip(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _unzip(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _rows(**columns) -> pa.RecordBatch:
+    types = {"block": pa.int64(), "shard": pa.int32(), "blob": pa.binary(), "sizes": pa.list_(pa.int32()), "index": pa.list_(pa.int32())}
+    if isinstance(columns["block"][0], list):
+        types |= {"block": pa.list_(pa.int64()), "shard": pa.list_(pa.int32())}
+    return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, types[k]) for k, v in columns.items()], list(columns))
+
+
+def _shards(words: pa.Array, shards: int) -> np.ndarray:
+    """Shard of each word, by its bytes alone."""
+    data, offsets = pretokens.ragged(words)
+    n = np.diff(offsets)
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], n)
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(int(n.max()), 0x9E3779B97F4A7C15, np.uint64))
+        value = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * power[place], offsets[:-1])
+        value = (value ^ value >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((value >> np.uint64(33)) % np.uint64(shards)).astype(np.int32)
+
+
+def _packed(words: pa.Array) -> bytes:
+    data, offsets = pretokens.ragged(words)
+    return _zip(len(words).to_bytes(4, "little") + np.diff(offsets).astype("<u4").tobytes() + data.tobytes())
+
+
+def _unpacked(blob: bytes) -> pa.Array:
+    raw = _unzip(blob)
+    n = int.from_bytes(raw[:4], "little")
+    offsets = np.append(0, np.cumsum(np.frombuffer(raw, "<u4", n, 4))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(raw[4 + 4 * n:])])
+
+
+def _taken(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``values[begin:begin + size]`` end to end, and their sizes."""
+    ends = np.cumsum(size)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)], size
+
+
+def _ids_of(batch: pa.RecordBatch, answers: list[bytes], shards: int) -> pa.RecordBatch:
+    """Ids of a block's documents from the answers of the shards, in order of shard."""
+    index, pieces, words = pretokens.distinct(batch.column("text").to_pylist())
+    order = np.argsort(_shards(words, shards), kind="stable")
+    raw = [_unzip(a) for a in answers]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    # Each answer: a 32-bit size for each word, then 16-bit ids; the number of words follows from the sum.
+    shard_words = np.bincount(_shards(words, shards), minlength=shards)
+    shard_words = shard_words[shard_words > 0]
+    if len(shard_words) != len(raw):
+        raise RuntimeError("the input was cut into other blocks when it was read again; write it to a table first")
+    sizes = np.concatenate([np.frombuffer(r, "<u4", n) for r, n in zip(raw, shard_words, strict=True)])
+    tokens = np.concatenate([np.frombuffer(r, "<u2", offset=4 * n) for r, n in zip(raw, shard_words, strict=True)])
+    if len(tokens) != sizes.sum():
+        raise RuntimeError("the input was cut into other blocks when it was read again; write it to a table first")
+    begin = (np.cumsum(sizes) - sizes).astype(np.int64)
+    index = place[index]
+    out, size = _taken(tokens, begin[index], sizes[index].astype(np.int64))
+    ends = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(pieces))]
+    return pa.RecordBatch.from_arrays(
+        [batch.column("id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out.astype(np.int32)))], ["id", "ids"])
 
 
 def decode(df: DataFrame, vocabulary: str, ids_column: str = "ids") -> DataFrame:

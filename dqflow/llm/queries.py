@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqflow.llm import byte_bpe, token_counts
+from dqflow.llm import byte_bpe, decontamination, token_counts
 from dqflow.sources.reader import read_table
 
 #: Rank files and vocabularies; the paths exist on every machine.
@@ -21,14 +21,59 @@ def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return byte_bpe.digests(back)
 
 
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    documents = read_table(spark, sf, "documents").select("doc_id", "text")
+    found = decontamination.scan(documents, read_table(spark, sf, "benchmark"))
+    hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("item_ids"), ",").cast("binary"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"))
+
+
 def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     counts = token_counts.token_counts(read_table(spark, sf, "documents"), public_tokenizers.path(COUNT_VOCABULARY))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
 def queries() -> dict:
-    return {"op5_byte_bpe": op5_byte_bpe, "op10_token_counts": op10_token_counts}
+    return {
+        "op5_byte_bpe": op5_byte_bpe,
+        "op6_decontamination": op6_decontamination,
+        "op10_token_counts": op10_token_counts,
+    }
+
+
+#: DuckDB SQL; texts are cut into words by the contract's pattern.
+OP6_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+win AS (
+    SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS t
+    FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+at AS (
+    SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS t
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+found AS (SELECT at.r, at.i, at.n, win.item FROM at JOIN win ON at.n = win.n AND at.t = win.t),
+hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
+items AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+    FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits ON hits.r = d.r LEFT JOIN items ON items.r = d.r
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_decontamination": OP6_SQL}
