@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import hashlib
 import itertools
 import json
 
@@ -34,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqflow.llm import pretokens
-from dqflow.llm.frames import col
+from dqflow.llm.frames import col, with_arrow_columns
 
 #: Beyond the length of any word.
 WHOLE = 1 << 30
@@ -130,8 +129,9 @@ def merged(word: Column, tables: Column, sizes: tuple[int, int]) -> Column:
     return F.aggregate(word, start, step, lambda state: state["parts"])
 
 
-def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, ids array<int>) of each row.  ``vocabulary``: a rank file on every machine."""
+def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text", packed: bool = False) -> DataFrame:
+    """(id, ids array<int>) of each row; ``packed``: ids as little-endian unsigned 32-bit integers in
+    a binary.  ``vocabulary``: a rank file on every machine."""
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = 2 * tasks
@@ -176,7 +176,7 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
                 words=pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(spelled))))
 
         for batch in batches:
-            for block, shard, blob in zip(*(batch.column(c).to_pylist() for c in ("block", "shard", "blob")), strict=True):
+            for block, shard, blob in _each(batch):
                 words = _unpacked(blob)
                 held.append((block, shard, words))
                 size += len(words)
@@ -200,11 +200,10 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
     def laid_out(batches):
         now, texts, answers = None, [], {}  # equal blocks are one block with several texts
         for batch in itertools.chain(batches, [None]):
-            each = zip(*(batch.column(c).to_pylist() for c in ("block", "shard", "blob")), strict=True) if batch is not None else [(None, 0, b"")]
-            for block, shard, blob in each:
+            for block, shard, blob in _each(batch) if batch is not None else [(None, 0, b"")]:
                 if block != now:
                     if texts:
-                        out = _ids_of(pa.ipc.open_stream(_unzip(texts[0])).read_all().to_batches()[0], list(answers.values()), shards)
+                        out = _ids_of(pa.ipc.open_stream(_unzip(texts[0])).read_next_batch(), list(answers.values()), shards, packed)
                         yield from itertools.repeat(out, len(texts))
                     now, texts, answers = block, [], {}
                 if shard < 0:
@@ -221,7 +220,14 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
     folded = F.get(F.transform(F.array(tables), lambda t: F.transform("words", lambda w: merged(w, t, sizes))), F.lit(0))
     answers = listed.withColumn("words", folded).mapInArrow(answered, blob)
     spread = answers.unionByName(rows.mapInArrow(kept, blob)).repartition(tasks, "block").sortWithinPartitions("block", "shard")
-    return spread.mapInArrow(laid_out, f"id {kind}, ids array<int>").withColumnRenamed("id", id_column)
+    return spread.mapInArrow(laid_out, f"id {kind}, ids {'binary' if packed else 'array<int>'}").withColumnRenamed("id", id_column)
+
+
+def _each(batch: pa.RecordBatch):
+    """The batch's rows one by one; blobs are copied only when their turn comes."""
+    columns = [batch.column(c) for c in ("block", "shard", "blob")]
+    for row in range(batch.num_rows):
+        yield tuple(c[row].as_py() for c in columns)
 
 
 def _stream(batch: pa.RecordBatch) -> bytes:
@@ -276,7 +282,7 @@ def _taken(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.
     return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)], size
 
 
-def _ids_of(batch: pa.RecordBatch, answers: list[bytes], shards: int) -> pa.RecordBatch:
+def _ids_of(batch: pa.RecordBatch, answers: list[bytes], shards: int, packed: bool) -> pa.RecordBatch:
     """Ids of a block's documents from the answers of the shards, in order of shard."""
     index, pieces, words = pretokens.distinct(batch.column("text").to_pylist())
     order = np.argsort(_shards(words, shards), kind="stable")
@@ -296,44 +302,34 @@ def _ids_of(batch: pa.RecordBatch, answers: list[bytes], shards: int) -> pa.Reco
     index = place[index]
     out, size = _taken(tokens, begin[index], sizes[index].astype(np.int64))
     ends = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(pieces))]
-    return pa.RecordBatch.from_arrays(
-        [batch.column("id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out.astype(np.int32)))], ["id", "ids"])
+    out = out.astype("<u4")
+    if packed:
+        ids = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(out)])
+    else:
+        ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out.view(np.int32)))
+    return pa.RecordBatch.from_arrays([batch.column("id"), ids], ["id", "ids"])
 
 
 def decode(df: DataFrame, vocabulary: str, ids_column: str = "ids") -> DataFrame:
-    """``df`` with the binary column ``decoded``: the pieces of its ids, end to end."""
+    """``df`` with the binary column ``decoded``: the pieces of its ids (an array or packed), end to end."""
 
-    def joined(batches):
+    def make(batch):
         pieces = pieces_of(vocabulary)
         size = np.array([len(p) for p in pieces], np.int64)
         data, begin = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(size) - size
-        for batch in batches:
-            lists = batch.column(ids_column)
-            out = []
-            for row in lists:
-                ids = np.asarray(row.values) if row.is_valid else np.zeros(0, np.int32)
-                if len(ids) and (ids.dtype.kind == "f" or ids.min() < 0 or ids.max() >= len(size)):
-                    raise ValueError("an id is outside the vocabulary")
-                n = size[ids]
-                out.append(data[np.repeat(begin[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())].tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "decoded")
-    return df.drop("decoded").mapInArrow(joined, f"{schema}, decoded binary")
-
-
-def digests(df: DataFrame, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256); ids hashed as little-endian unsigned 32-bit integers."""
-    kind = df.schema[id_column].dataType.simpleString()
-
-    def hashed(batches):
-        for batch in batches:
-            rows = [np.asarray(x.values, "<u4") for x in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([len(x) for x in rows], pa.int64()),
-                 pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in rows], pa.string()),
-                 batch.column("decoded_sha256")], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    rows = df.select(F.col(id_column).alias("id"), F.col(ids_column).alias("ids"), F.sha2("decoded", 256).alias("decoded_sha256"))
-    out = rows.mapInArrow(hashed, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    return out.withColumnRenamed("id", id_column)
+        out = []
+        for row in batch.column(ids_column):
+            if not row.is_valid:
+                ids = np.zeros(0, np.int64)
+            elif pa.types.is_binary(row.type):
+                ids = np.frombuffer(row.as_py(), "<u4")
+            elif row.values.null_count:
+                raise ValueError("an id is null")
+            else:
+                ids = np.asarray(row.values)
+            if len(ids) and (ids.min() < 0 or ids.max() >= len(size)):
+                raise ValueError("an id is outside the vocabulary")
+            out.append(_taken(data, begin[ids], size[ids])[0].tobytes())
+        return [pa.array(out, pa.binary())]
+
+    return with_arrow_columns(df, "decoded binary", make)

@@ -255,5 +255,5 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text_column: str = "text"
         long = [[s for s in each if s[1] - s[0] > max_span] for each in spans]
         return [pa.array([cut(t, s) if s else t for t, s in zip(texts, long, strict=True)], pa.string())]
 
-    done = with_arrow_columns(stays.withColumnRenamed(text_column, text_column), "cut__ string", make)
+    done = with_arrow_columns(stays, "cut__ string", make)
     return done.withColumn(text_column, F.col("cut__")).select(*[col(c) for c in df.columns])

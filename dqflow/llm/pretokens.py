@@ -20,7 +20,9 @@ import tiktoken
 
 LETTER, NUMBER, OTHER, SPACE, EDGE = range(5)
 #: Text bytes one task works on at a time.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 8 << 20
+#: Characters split at once.
+SLICE_CHARS = 1 << 20
 
 
 @functools.cache
@@ -68,24 +70,41 @@ def split(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
     data = joined.encode()
     if len(data) != len(cp):
         width = 1 + (cp >= 0x80).view(np.uint8) + (cp >= 0x800).view(np.uint8) + (cp >= 0x10000).view(np.uint8)
-        byte = np.cumsum(width, dtype=np.int64) - width
+        byte = np.cumsum(width, dtype=np.int32) - width
         at = byte[at]
     return data, np.append(at, len(data)), edge
 
 
+def _slices(texts: list[str]) -> Iterator[list[str]]:
+    first = size = 0
+    for k, text in enumerate(texts):
+        if size and size + len(text) > SLICE_CHARS:
+            yield texts[first:k]
+            first, size = k, 0
+        size += len(text)
+    yield texts[first:]
+
+
 def distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(word index of each piece, pieces of each text, distinct words as binary).
 
     Edge pieces are left out of the first; the dictionary may hold one unused word.
     """
-    data, at, edge = split(texts)
-    pieces = pa.Array.from_buffers(
-        pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
-    found = pieces.dictionary_encode()
-    index = found.indices.to_numpy(zero_copy_only=False)
-    where = np.flatnonzero(edge)
-    counts = np.diff(where, prepend=-1) - 1
-    return index[~edge], counts, found.dictionary
+    index, counts, words = [], [], []
+    for some in _slices(texts):
+        data, at, edge = split(some)
+        pieces = pa.Array.from_buffers(
+            pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
+        found = pieces.dictionary_encode()
+        index.append(found.indices.to_numpy(zero_copy_only=False)[~edge])
+        counts.append(np.diff(np.flatnonzero(edge), prepend=-1) - 1)
+        words.append(found.dictionary)
+    if len(words) == 1:
+        return index[0], counts[0], words[0]
+    every = pa.concat_arrays(words).dictionary_encode()
+    place = every.indices.to_numpy(zero_copy_only=False)
+    first = np.cumsum([0, *map(len, words)])
+    return np.concatenate([place[i + f] for i, f in zip(index, first, strict=False)]), np.concatenate(counts), every.dictionary
 
 
 def ragged(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:

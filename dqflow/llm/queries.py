@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import os
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqflow.llm import byte_bpe, decontamination, token_counts
+from dqflow.llm import byte_bpe, chat_format, decontamination, multiset_fingerprint, pii, quality, secret_scan, simhash, substring_dedup, token_counts
 from dqflow.sources.reader import read_table
 
 #: Rank files and vocabularies; the paths exist on every machine.
@@ -15,10 +18,47 @@ COUNT_VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    done = substring_dedup.dedup(read_table(spark, sf, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op2_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    documents = read_table(spark, sf, "documents").select("doc_id", "text")
+    ratio = secret_scan.log_ratio(secret_scan.labelled_counts(documents))
+    found = secret_scan.scan(documents, ratio).select("doc_id", "secret_spans")
+    each = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("secret_spans", lambda s: s["kind"] != "random")
+    count = lambda kind: F.size(F.filter("secret_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, secret_scan.KINDS), F.sha2(each(base), 256).alias("base_sha256"), each(F.col("secret_spans")).alias("spans"))
+
+
+def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    columns = ("conv_id", "turn", "role", "text")
+    own = read_table(spark, sf, "conversations").select(*columns)
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = own.unionByName(control).withColumn("parts", chat_format.text_part(F.coalesce("text", F.lit(""))))
+    done = chat_format.format_chat(rows)
+    turns = F.transform(chat_format.read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = chat_format.under_mask(F.col("formatted"), F.col("loss_spans"))
+    return done.withColumn("turns", turns).withColumn("loss", loss).select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = public_tokenizers.path(MULTI_RANKS)
-    back = byte_bpe.decode(byte_bpe.encode(read_table(spark, sf, "documents"), ranks), ranks)
-    return byte_bpe.digests(back)
+    back = byte_bpe.decode(byte_bpe.encode(read_table(spark, sf, "documents"), ranks, packed=True), ranks)
+    tokens = F.floor(F.octet_length("ids") / 4).cast("long")
+    return back.select("doc_id", tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,18 +71,71 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         (hit > 0).alias("contaminated"))
 
 
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    found = quality.classify(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+    return found.select("doc_id", "lang", "perplexity", "threshold", "keep")
+
+
+def op8_pii_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    done = pii.pseudonymise(read_table(spark, sf, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "text", *[f"n_{kind}" for kind in pii.KINDS])
+
+
+def op9_multiset_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    return multiset_fingerprint.against_next(read_table(spark, sf, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     counts = token_counts.token_counts(read_table(spark, sf, "documents"), public_tokenizers.path(COUNT_VOCABULARY))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def _importable(query):
+    """The query, run so that Python workers find this library where the driver found it."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        paths = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(":")
+        if root not in paths:
+            spark.sparkContext.environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
+        return query(spark, sf)
+
+    return run
+
+
 def queries() -> dict:
-    return {
+    found = {
+        "op1_substring_dedup": op1_substring_dedup,
+        "op2_secret_scan": op2_secret_scan,
+        "op3_chat_format": op3_chat_format,
+        "op4_simhash": op4_simhash,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_decontamination": op6_decontamination,
+        "op7_quality": op7_quality,
+        "op8_pii_surrogates": op8_pii_surrogates,
+        "op9_multiset_fingerprint": op9_multiset_fingerprint,
         "op10_token_counts": op10_token_counts,
     }
-
+    return {name: _importable(query) for name, query in found.items()}
+
+
+OP3_SQL = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+    SELECT *, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;') AS t,
+        replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'), chr(10), '&NewLine;') AS r
+    FROM c)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length('<|turn|>' || r || chr(10) || t || '<|end|>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
 
 #: DuckDB SQL; texts are cut into words by the contract's pattern.
 OP6_SQL = r"""
@@ -60,10 +153,10 @@ win AS (
     SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS t
     FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT n FROM win),
-at AS (
+placed AS (
     SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS t
     FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
-found AS (SELECT at.r, at.i, at.n, win.item FROM at JOIN win ON at.n = win.n AND at.t = win.t),
+found AS (SELECT p.r, p.i, p.n, win.item FROM placed p JOIN win ON p.n = win.n AND p.t = win.t),
 hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
 items AS (
     SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
@@ -76,4 +169,4 @@ FROM d LEFT JOIN hits ON hits.r = d.r LEFT JOIN items ON items.r = d.r
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontamination": OP6_SQL}
+    return {"op3_chat_format": OP3_SQL, "op6_decontamination": OP6_SQL}
