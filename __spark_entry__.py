@@ -8,7 +8,6 @@ hand-written DuckDB SQL over the same tables; column names match.
 from __future__ import annotations
 
 import importlib
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -568,10 +567,11 @@ def q_stream_ko(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _llm():
-    """The training-data operators' queries, where that subpackage is installed."""
-    if importlib.util.find_spec("dqflow.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+    """The training-data operators' queries, where that subpackage can be imported."""
+    try:
+        return importlib.import_module("dqflow.llm.queries")
+    except ImportError:
         return None
-    return importlib.import_module("dqflow.llm.queries")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

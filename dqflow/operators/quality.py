@@ -5,17 +5,19 @@
 1. ``groupBy(key).count()`` with map-side partial aggregation, so a hot key
    costs one partial row per input task, not one shuffled row per input row.
 2. The duplicated keys are joined back with a shuffle join on
-   ``(key, salt)``.  A hot key would put all its rows into one join task, so
-   the (at most ``hot_keys``) most frequent duplicated keys are found with a
-   top-k over the counts, and each gets ``ceil(count / rows_per_salt)`` salts:
-   the split grows with the size of the group, so no join task receives more
-   than about ``rows_per_salt`` rows of one key.  Only ``(key hash, salts)``
-   pairs are broadcast: at most ``hot_keys`` small rows, whatever the key type
-   or length.  Rows of a hot key spread over its salts; the key's single
-   "duplicated" mark is replicated once per salt; every other key keeps salt
-   0.  Both sides look up the same hash, so a hash collision merely salts one
-   more key, and the result does not depend on the salt a row gets: the plan
-   stays exact, also when a task is retried.
+   ``(key, salt)``.  Every key with more than ``rows_per_salt`` rows gets
+   ``ceil(count / rows_per_salt)`` salts, so no join task receives more than
+   about ``rows_per_salt`` rows of one key, however many such keys there are.
+   ``(key hash, salts)`` of these keys are broadcast.  ``rows_per_salt`` is
+   raised to ``total rows / HOT_KEYS`` where that is more, so the broadcast
+   holds fewer than ``HOT_KEYS`` pairs of numbers at any size of the table, and
+   a key below it is at most one in ``HOT_KEYS`` of all rows.
+   Rows of a hot key spread over its salts; the key's single "duplicated" mark
+   is replicated once per salt; every other key keeps salt 0.  Both sides look
+   up the same hash, so a hash collision merely salts one more key, and the
+   result does not depend on the salt a row gets: the plan stays exact, also
+   when a task is retried.
+3. Rows with a NULL key match nothing; they are spread over ``NULL_SALTS``.
 
 No key group is ever collected into one task or to the driver.
 """
@@ -26,8 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_HOT_KEYS = 100
 DEFAULT_ROWS_PER_SALT = 1_000_000
+HOT_KEYS = 100_000
+NULL_SALTS = 4096
 
 
 def flag_duplicates(
@@ -35,47 +38,46 @@ def flag_duplicates(
     key: Column,
     flag: str,
     *,
-    hot_keys: int = DEFAULT_HOT_KEYS,
+    counted: DataFrame | None = None,
     rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
 ) -> DataFrame:
-    """Append boolean ``flag``: the non-null ``key`` appears on more than one row."""
+    """Append boolean ``flag``: the non-null ``key`` appears on more than one row
+    of ``counted`` (by default of ``df`` itself; ``df`` may be a filtered part of it)."""
+    if rows_per_salt < 1:
+        raise ValueError("rows_per_salt is at least 1")
     k, n, salt, salts, h = "__dq_key", "__dq_n", "__dq_salt", "__dq_salts", "__dq_hash"
     keyed = df.withColumn(k, key)
     counts = (
-        keyed.where(F.col(k).isNotNull())
+        (df if counted is None else counted).select(key.alias(k))
+        .where(F.col(k).isNotNull())
         .groupBy(k)
         .agg(F.count(F.lit(1)).alias(n))
     )
     dups = counts.where(F.col(n) > 1)
+    # Grouping and joins treat -0.0 and 0.0 as one key; hash them as one too.
+    key_type = keyed.schema[k].dataType
+    hashed = F.xxhash64(F.col(k) + F.lit(0.0) if isinstance(key_type, (T.FloatType, T.DoubleType)) else F.col(k))
+    share = counts.agg(F.coalesce(F.sum(n), F.lit(0)).alias("total")).select(
+        F.greatest(F.lit(rows_per_salt).cast("long"), F.ceil(F.col("total") / HOT_KEYS)).alias("share"))
+    per_salt = share.scalar()
+    hot = (
+        dups.where(F.col(n) > per_salt)
+        .select(hashed.alias(h), F.ceil(F.col(n) / per_salt).cast("int").alias(salts))
+        .groupBy(h).agg(F.sum(salts).cast("int").alias(salts))
+    )
 
-    if hot_keys <= 0 or rows_per_salt <= 0:
-        marks = dups.select(k, F.lit(True).alias(flag))
-        joined = keyed.join(marks, on=k, how="left")
-    else:
-        # Grouping and joins treat -0.0 and 0.0 as one key; hash them as one too.
-        key_type = keyed.schema[k].dataType
-        hashed = F.xxhash64(F.col(k) + F.lit(0.0) if isinstance(key_type, (T.FloatType, T.DoubleType)) else F.col(k))
-        # Size bound: at most `hot_keys` rows of two numbers, so broadcasting it is safe.
-        top = (
-            dups.orderBy(F.col(n).desc()).limit(hot_keys)
-            .select(hashed.alias(h), F.col(n))
-            .groupBy(h).agg(F.sum(n).alias(n))
-            .select(h, F.ceil(F.col(n) / F.lit(rows_per_salt)).cast("int").alias(salts))
-            .where(F.col(salts) > 1)
-        )
-
-        def with_salts(frame: DataFrame) -> DataFrame:
-            return (frame.withColumn(h, hashed).join(F.broadcast(top), on=h, how="left").drop(h)
-                    .withColumn(salts, F.coalesce(F.col(salts), F.lit(1))))
-
-        big = with_salts(keyed).withColumn(
-            salt, F.pmod(F.monotonically_increasing_id(), F.col(salts)).cast("int")
-        ).drop(salts)
-        marks = with_salts(dups).select(
-            k,
-            F.explode(F.sequence(F.lit(0), F.col(salts) - 1)).alias(salt),
-            F.lit(True).alias(flag),
-        )
-        joined = big.join(marks, on=[k, salt], how="left").drop(salt)
+    def with_salts(frame: DataFrame) -> DataFrame:
+        return (frame.withColumn(h, hashed).join(F.broadcast(hot), on=h, how="left").drop(h)
+                .withColumn(salts, F.coalesce(F.col(salts), F.lit(1))))
 
+    spread = F.when(F.col(k).isNull(), F.lit(NULL_SALTS)).otherwise(F.col(salts))
+    big = with_salts(keyed).withColumn(
+        salt, F.pmod(F.monotonically_increasing_id(), spread).cast("int")
+    ).drop(salts)
+    marks = with_salts(dups).select(
+        k,
+        F.explode(F.sequence(F.lit(0), F.col(salts) - 1)).alias(salt),
+        F.lit(True).alias(flag),
+    )
+    joined = big.join(marks, on=[k, salt], how="left").drop(salt)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop(k)

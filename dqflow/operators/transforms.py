@@ -129,7 +129,7 @@ def add_fields(df: DataFrame, params: Mapping[str, Any], ctx: StepContext) -> Da
 
 
 VALIDATE_OPTIONS = (
-    "max_errors_per_field", "max_errors_per_row", "keep_array", "materialize", "hot_keys", "rows_per_salt", "observe",
+    "max_errors_per_field", "max_errors_per_row", "keep_array", "materialize", "rows_per_salt", "observe",
 )
 
 

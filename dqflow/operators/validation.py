@@ -13,9 +13,9 @@ Plan shape (``materialize="none"``, the default):
 * **KO branch** = ``filter(NOT coalesce(p1 AND ..., false))``, then the
   error report is built for the failing rows only (rejected rows are
   usually few, so the labels are evaluated on little data).
-* The error report is built in a few wide projections from concatenated
-  one-or-zero element arrays (no higher-order lambdas), so the whole KO
-  branch stays in one whole-stage-codegen stage.
+* Each rule's label is a small expression of its own.  Filters and report are
+  kept out of whole-stage codegen, where all rules would become one method
+  too large for the JVM to compile (see ``split_filter``).
 
 ``annotated()`` is the cache-free single pass: every row with ``is_valid`` and
 the report (NULL when valid); written with ``partitionBy("is_valid")`` it
@@ -24,8 +24,10 @@ yields both outputs from one scan and one job.
 ``materialize="persist"`` / ``"checkpoint"`` evaluates every rule once per
 row into per-field label arrays, materialises that annotated frame
 (executor storage, or a reliable checkpoint in ``spark.checkpoint.dir``) and
-splits it; use it for rules that are not deterministic (the two branches must
-see one evaluation) or an expensive upstream (O8, O13).
+splits it; use it for an expensive upstream (O8).  Where the input or a rule is
+not deterministic (``rand()``, ``uuid()``), the two branches must see one
+evaluation that survives a lost executor, so ``"checkpoint"`` is used whatever
+was asked for (O13).
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from dataclasses import dataclass, field as dc_field
 from functools import cached_property
 from typing import Any, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -42,11 +45,11 @@ from pyspark.sql import types as T
 
 from dqflow.errors import InvalidValidationConfig, ValidationException
 from dqflow.functions.rules import build_predicate, parse_entry
-from dqflow.operators.quality import DEFAULT_HOT_KEYS, DEFAULT_ROWS_PER_SALT, flag_duplicates
+from dqflow.operators.quality import DEFAULT_ROWS_PER_SALT, flag_duplicates
 
 # ---------------------------------------------------------------------------
 # The report's column names, its joiner and truncation wording,
-# the fallback text and the default limits are part of the output format.
+# and the fallback text are part of the output format.
 # ---------------------------------------------------------------------------
 ERRORS_MAP = "validation_errors"
 ERRORS_TEXT = "validation_errors_text"
@@ -55,7 +58,7 @@ UNKNOWN_ERROR = "Unknown validation error"
 VALID_FLAG = "is_valid"
 JOINER = "; "
 MORE_PREFIX, MORE_SUFFIX = "; ... (+", " more)"
-DEFAULT_MAX_ERRORS = 50
+DEFAULT_MAX_ERRORS = 0  # no limit: every label is kept
 
 _ERROR_COLS = (ERRORS_MAP, ERRORS_TEXT, ERRORS_ARRAY)
 
@@ -108,6 +111,9 @@ _RULE_COST = {
     "minLength": 2, "maxLength": 2, "lengthBetween": 2,
 }
 _DEFAULT_COST = 3  # regular expressions, SQL rules, user rules
+_PUSHABLE_COST = 1
+# Rules that together stay well below the size of method the JVM compiles.
+FEW_RULES = 4
 
 
 def cheap_first(rules: Sequence["CompiledRule"]) -> list["CompiledRule"]:
@@ -123,6 +129,22 @@ def all_of(cols: Sequence[Column]) -> Column:
     return cols[0]
 
 
+def split_filter(rules: Sequence["CompiledRule"]) -> Column:
+    """TRUE when every rule holds.  Cheap rules are plain conjuncts, so they reach the
+    scan.  The others are tested through a lambda, which keeps the filter out of
+    whole-stage codegen: there all rules would be one method, and beyond 8,000 bytes
+    of bytecode the JVM only interprets it; outside, Spark cuts code into small methods."""
+    ordered = cheap_first(rules)
+    cheap = [r.predicate for r in ordered if _RULE_COST.get(r.rule, _DEFAULT_COST) <= _PUSHABLE_COST]
+    rest = [r.passed for r in ordered if _RULE_COST.get(r.rule, _DEFAULT_COST) > _PUSHABLE_COST]
+    out = cheap
+    if len(rules) > FEW_RULES:
+        out = cheap + [F.forall(F.array(*(rest or [F.lit(True)])), lambda p: p)]
+    else:
+        out = cheap + rest
+    return all_of(out)
+
+
 # ---------------------------------------------------------------------------
 # Compilation
 # ---------------------------------------------------------------------------
@@ -151,6 +173,23 @@ class CompiledRules:
     rules: list[CompiledRule]        # grouped by field (first appearance), config order within
     fields: list[str]
     helper_cols: list[str] = dc_field(default_factory=list)
+    source: DataFrame | None = None  # the input
+    unique: list[tuple[Column, str]] = dc_field(default_factory=list)  # (key, flag) of each table-level rule
+    rows_per_salt: int = DEFAULT_ROWS_PER_SALT
+
+    def row_rules(self) -> list["CompiledRule"]:
+        return [r for r in self.rules if r.rule != "unique"]
+
+    def after_row_rules(self) -> DataFrame:
+        """``frame`` without the rows that fail a row rule: these are dropped at the
+        scan, before any key is joined; keys are counted over the whole input."""
+        rules = self.row_rules()
+        if not self.unique or not rules:
+            return self.frame
+        out = self.source.filter(split_filter(rules))
+        for key, flag in self.unique:
+            out = flag_duplicates(out, key, flag, counted=self.source, rows_per_salt=self.rows_per_salt)
+        return out
 
     def by_field(self) -> list[tuple[str, list[CompiledRule]]]:
         return [(f, [r for r in self.rules if r.field == f]) for f in self.fields]
@@ -160,7 +199,6 @@ def compile_rules(
     df: DataFrame,
     rules: Any,
     *,
-    hot_keys: int = DEFAULT_HOT_KEYS,
     rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
 ) -> CompiledRules:
     """Check every block eagerly (D-12) and compile it to predicates.
@@ -171,6 +209,7 @@ def compile_rules(
         raise TypeError("rules are a list of rule blocks")
     frame = df
     helpers: list[str] = []
+    unique: list[tuple[Column, str]] = []
     per_field: dict[str, list[tuple[str, str, Column]]] = {}
     for block in rules:
         if not isinstance(block, Mapping):
@@ -190,8 +229,9 @@ def compile_rules(
                     continue
                 if entry.type == "unique":  # E1: needs the whole table
                     flag = f"__dq_dup_{len(helpers)}"
-                    frame = flag_duplicates(frame, column, flag, hot_keys=hot_keys, rows_per_salt=rows_per_salt)
+                    frame = flag_duplicates(frame, column, flag, counted=df, rows_per_salt=rows_per_salt)
                     helpers.append(flag)
+                    unique.append((column, flag))
                     pred = column.isNotNull() & ~F.col(flag)
                 else:
                     pred = build_predicate(entry, column, dtype, ref)
@@ -203,7 +243,7 @@ def compile_rules(
     for fname, items in per_field.items():
         for rule, label, pred in items:
             compiled.append(CompiledRule(len(compiled), fname, rule, label, pred))
-    return CompiledRules(frame, compiled, list(per_field), helpers)
+    return CompiledRules(frame, compiled, list(per_field), helpers, df, unique, rows_per_salt)
 
 
 def rule_predicate(df: DataFrame, field: str, entry: Any) -> Column:
@@ -276,17 +316,25 @@ class ValidationResult:
             raise InvalidValidationConfig("no rules, nothing to annotate")
         return self._all()
 
-    def _observed(self, source: str) -> dict:
+    def _observed(self, source: str) -> dict | None:
         obs = self.observation_all if source == "all" else self.observation
         if obs is None:
             raise InvalidValidationConfig("validate(..., observe=True) was not used")
-        return obs.get  # blocks until that frame has run once
+        try:
+            found = obs.get  # blocks until that frame has run once
+        except Py4JJavaError as exc:
+            if "assertion failed" not in str(exc):
+                raise
+            return None  # the metrics' place was optimised away: nothing was counted
+        return found if "total_records" in found else None
 
     def observed_stats(self, spark, source: str = "ko") -> DataFrame:
         """``stats()`` from the metrics collected while the KO branch (``source="ko"``)
         or the annotated table (``"all"``) ran: no extra scan.  Call only after
         that frame was written or collected."""
         m = self._observed(source)
+        if m is None:  # the optimiser removed the scan: count directly
+            return self.stats().coalesce(1)
         total, valid = int(m["total_records"]), int(m["valid_records"])
         pct = (lambda x: x * 100.0 / total) if total else (lambda x: 0.0)
         return spark.createDataFrame(
@@ -298,6 +346,8 @@ class ValidationResult:
     def observed_failures(self, spark, source: str = "ko") -> DataFrame:
         """``failures_by_rule()`` from collected metrics (see ``observed_stats``)."""
         m = self._observed(source)
+        if m is None:
+            return self.failures_by_rule().coalesce(1)
         rows = [(r.index, r.field, r.rule, r.label, int(m[f"__dq_f{r.index}"])) for r in self.compiled.rules]
         # one row per rule: a bounded table, kept in one partition (one output file)
         return spark.createDataFrame(
@@ -331,23 +381,16 @@ def _empty_ko(df: DataFrame) -> DataFrame:
     )
 
 
-_LABELS_T = "array<string>"
-_ENTRIES_T = "array<struct<key:string,value:array<string>>>"
-
-
-def _concat_present(parts: list[Column]) -> Column:
-    """Concatenate one-or-zero element arrays.  Unlike ``array_compact`` /
-    ``filter(x -> ...)`` this has no lambda, so it stays in whole-stage codegen."""
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+def _present(parts: list[Column]) -> Column:
+    """The non-null values of ``parts`` as an array.  The lambda keeps the projection out
+    of whole-stage codegen, so that each value's code is a small method of its own (see
+    ``split_filter``)."""
+    return F.filter(F.array(*parts), lambda x: x.isNotNull())
 
 
 def _field_arrays(c: CompiledRules) -> list[tuple[str, Column]]:
     """Per field: the labels of its failing rules, in rule order (D-7)."""
-    empty = F.array().cast(_LABELS_T)
-    return [
-        (fname, _concat_present([F.when(r.passed, empty).otherwise(F.array(F.lit(r.label))) for r in rs]))
-        for fname, rs in c.by_field()
-    ]
+    return [(fname, _present([F.when(r.failed, F.lit(r.label)) for r in rs])) for fname, rs in c.by_field()]
 
 
 def _report(
@@ -372,16 +415,15 @@ def _report(
         return c if only_when is None else F.when(only_when, c)
 
     entries = []
-    no_entry = F.array().cast(_ENTRIES_T)
     for fname, fc, n_rules in zip(fields, field_cols, rules_per_field):
         arr = F.col(fc)
         kept = F.slice(arr, 1, max_per_field) if 0 < max_per_field < n_rules else arr
         entry = F.struct(F.lit(fname).alias("key"), kept.alias("value"))
-        entries.append(F.when(F.size(arr) > 0, F.array(entry)).otherwise(no_entry))
-    flat = _concat_present([F.col(fc) for fc in field_cols])
+        entries.append(F.when(F.size(arr) > 0, entry))
+    flat = F.flatten(F.array(*[F.col(fc) for fc in field_cols]))
     step = annotated.select(
         *[F.col(quote(n)) for n in out_cols],
-        gated(F.map_from_entries(_concat_present(entries))).alias(ERRORS_MAP),  # D-8
+        gated(F.map_from_entries(_present(entries))).alias(ERRORS_MAP),  # D-8
         gated(flat).alias("__dq_flat"),
     )
     arr = F.col("__dq_flat")
@@ -401,6 +443,14 @@ def _report(
     return step.select(*final)
 
 
+def _deterministic(df: DataFrame, c: CompiledRules) -> bool:
+    """Whether reading ``df`` and its row rules twice gives the same rows and verdicts."""
+    rules = c.row_rules()
+    probe = df.select(*[r.passed.alias(f"__dq_{r.index}") for r in rules]) if rules else df
+    jdf = getattr(probe, "_jdf", None)  # a Spark Connect frame has no plan to ask
+    return jdf is None or bool(jdf.queryExecution().analyzed().deterministic())
+
+
 def _materialize(df: DataFrame, how: str) -> DataFrame:
     if how == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -420,7 +470,6 @@ def validate(
     max_errors_per_row: int = DEFAULT_MAX_ERRORS,
     keep_array: bool = False,
     materialize: str = "none",
-    hot_keys: int = DEFAULT_HOT_KEYS,
     rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
     observe: bool = False,
 ) -> ValidationResult:
@@ -437,11 +486,10 @@ def validate(
     ``max_errors_per_field`` each), ``validation_errors_text`` (labels joined
     by ``"; "``, at most ``max_errors_per_row`` then ``"; ... (+K more)"``)
     and, with ``keep_array``, the untruncated ``validation_errors_array``.
-    A limit <= 0 means no limit.
+    A limit <= 0 means no limit, which is the default.
 
-    ``hot_keys`` / ``rows_per_salt`` tune the ``unique`` rule's skew handling:
-    the ``hot_keys`` most frequent duplicated keys are split over
-    ``ceil(count / rows_per_salt)`` join tasks each (``hot_keys=0``: plain join).
+    ``rows_per_salt`` tunes the ``unique`` rule's skew handling: a key with more
+    rows is split over ``ceil(count / rows_per_salt)`` join tasks.
     """
     if not isinstance(rules, list):
         raise TypeError("rules are a list of rule blocks")
@@ -450,7 +498,7 @@ def validate(
     for name in _ERROR_COLS:
         if name in df.columns:
             raise InvalidValidationConfig(f"input already has a column named '{name}'")
-    c = compile_rules(df, rules, hot_keys=hot_keys, rows_per_salt=rows_per_salt)
+    c = compile_rules(df, rules, rows_per_salt=rows_per_salt)
     if not c.rules:  # every rule disabled
         return ValidationResult(df, _empty_ko(df), c)
 
@@ -472,10 +520,12 @@ def validate(
         observation = Observation(f"dqflow_validate_{uuid.uuid4().hex}")
         observed_frame = c.frame.observe(observation, *metrics())
 
+    if not df.isStreaming and not _deterministic(df, c):
+        materialize = "checkpoint"
     annotated_all = clean = None
     if materialize == "none":
-        conj = all_of([r.predicate for r in cheap_first(c.rules)])
-        ok = c.frame.filter(conj)
+        conj = split_filter(c.rules)
+        ok = c.after_row_rules().filter(conj)
         ko_rows = observed_frame.filter(~F.coalesce(conj, F.lit(False)))
         annotated = ko_rows.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)])
     else:

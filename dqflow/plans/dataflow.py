@@ -100,23 +100,24 @@ def _ancestors(flow: FlowResult, names: set[str]) -> set[str]:
     return seen
 
 
-def _defined_names(flow: Mapping[str, Any]) -> set[str]:
-    """Every table name a dataflow can define, known before anything is read."""
-    names = {src.get("name") for src in flow.get("sources") or [] if isinstance(src, Mapping)}
-    for step in flow.get("transformations") or []:
-        if not isinstance(step, Mapping):
-            continue
-        name = step.get("name")
-        names.add(name)
-        if step.get("type") == "validate_fields":
-            names |= {f"{name}_{suffix}" for suffix in ("ok", "ko", "all", "stats", "failures")}
-            names |= {OK_NAME, KO_NAME}
-    return names
+_SUFFIXES = ("ok", "ko", "all", "stats", "failures")
+
 
+def _check_steps(flow: Mapping[str, Any]) -> set[str]:
+    """Steps in order: required fields, known types, unique names, inputs defined earlier.
 
-def _check_steps(flow: Mapping[str, Any]) -> None:
-    """Steps in order: required fields, known types, unique names, inputs defined earlier."""
-    defined = {src.get("name") for src in flow.get("sources") or [] if isinstance(src, Mapping)}
+    Returns every table name the dataflow can define.  A validate step takes its derived
+    names too, whether or not they are read, so no other table can hide one of them."""
+    defined: set[str] = set()
+    for src in flow.get("sources") or []:
+        name = src.get("name") if isinstance(src, Mapping) else None
+        if not name:
+            raise ValueError("every source needs a name")
+        if name in defined:
+            raise ValueError(f"source name {name!r} is used twice")
+        if name in (OK_NAME, KO_NAME):
+            raise ValueError(f"table name {name!r} is kept for validate steps")
+        defined.add(name)
     for step in flow.get("transformations") or []:
         if not isinstance(step, Mapping):
             raise TypeError("every step in 'transformations' is a dict")
@@ -132,12 +133,17 @@ def _check_steps(flow: Mapping[str, Any]) -> None:
             raise ValueError(f"step {sname!r} ({stype}) names no 'params.input'")
         if input_name not in defined:
             raise KeyError(f"step {sname!r} reads {input_name!r}, which is not defined before it; "
-                           f"known tables: {sorted(n for n in defined if n)}")
-        if sname in defined and sname not in (OK_NAME, KO_NAME):
-            raise ValueError(f"table name {sname!r} is already taken")
-        defined.add(sname)
+                           f"known tables: {sorted(defined)}")
+        takes = {sname}
+        if stype == "validate_fields":
+            takes |= {f"{sname}_{suffix}" for suffix in _SUFFIXES}
+        for name in sorted(takes):
+            if name in defined or name in (OK_NAME, KO_NAME):
+                raise ValueError(f"step {sname!r}: table name {name!r} is already taken")
+        defined |= takes
         if stype == "validate_fields":
-            defined |= {f"{sname}_{suffix}" for suffix in ("ok", "ko", "all", "stats", "failures")} | {OK_NAME, KO_NAME}
+            defined |= {OK_NAME, KO_NAME}
+    return defined
 
 
 def _check_document(spec: Any) -> list[Mapping[str, Any]]:
@@ -154,13 +160,12 @@ def _check_document(spec: Any) -> list[Mapping[str, Any]]:
             raise ValueError("a dataflow reads at least one source")
         if not flow.get("sinks"):
             raise ValueError("a dataflow writes at least one sink")
-        _check_steps(flow)
-        known = _defined_names(flow)
+        known = _check_steps(flow)
         for sink in flow["sinks"]:
             if isinstance(sink, Mapping) and sink.get("input") not in known:
                 raise KeyError(
                     f"sink {sink.get('name', 'unnamed')!r} writes {sink.get('input')!r}, which no source or step "
-                    f"defines; known tables: {sorted(n for n in known if n)}"
+                    f"defines; known tables: {sorted(known)}"
                 )
     return flows
 
@@ -178,8 +183,10 @@ def build_flow(
     *,
     observe_tables: bool = False,
 ) -> FlowResult:
-    """Build the registry of lazy DataFrames for one dataflow (no job runs).
+    """Build the registry of lazy DataFrames for one dataflow.
 
+    No job runs but those that a step itself needs: schema inference of a source, and the
+    checkpoint of a validate step whose input or rules are not deterministic.
     ``observe_tables`` attaches a row-count ``Observation`` to every source and
     step output.  It is off by default: a metrics node between a scan and a
     later filter stops that filter from being pushed into the scan.
@@ -191,12 +198,9 @@ def build_flow(
         (st.get("params") or {}).get("input") for st in flow_spec.get("transformations") or [] if isinstance(st, Mapping)
     }
 
+    _check_steps(flow_spec)
     for src in flow_spec.get("sources", []):  # S8
-        name = src.get("name") if isinstance(src, Mapping) else None
-        if not name:
-            raise ValueError("every source needs a name")
-        if name in tables:
-            raise ValueError(f"source name {name!r} is used twice")
+        name = src["name"]
         try:
             df = read_source(spark, src)
         except Exception as exc:
@@ -205,28 +209,9 @@ def build_flow(
         flow.parents[name], flow.kinds[name] = None, "source"
         log.info("source %s: %s %s", name, src.get("format"), src.get("path"))
 
-    for step in flow_spec.get("transformations", []) or []:  # X1/X2
-        if not isinstance(step, Mapping):
-            raise TypeError("every step in 'transformations' is a dict")
-        stype, sname = step.get("type"), step.get("name")
-        params = step.get("params") or {}
-        input_name = params.get("input")
-        if not stype:
-            raise ValueError(f"step {sname!r} has no 'type'")
-        if not sname:  # D13: name required
-            raise ValueError(f"a {stype!r} step has no 'name'; every step needs one")
-        if not input_name:
-            raise ValueError(f"step {sname!r} ({stype}) names no 'params.input'")
-        if input_name not in tables:
-            raise KeyError(
-                f"step {sname!r} reads {input_name!r}, which is not defined before it; known tables: {list(tables)}"
-            )
-        if stype not in list_transforms():
-            raise ValueError(
-                f"Unsupported transformation type '{stype}' in step '{sname}'. Available: {', '.join(list_transforms())}"
-            )
-        if sname in tables or sname in (OK_NAME, KO_NAME):
-            raise ValueError(f"table name {sname!r} is already taken")
+    for step in flow_spec.get("transformations", []) or []:  # X1/X2, checked above
+        stype, sname, params = step["type"], step["name"], step["params"]
+        input_name = params["input"]
         if stype == "validate_fields" and "observe" not in params and (
                 {f"{sname}_stats", f"{sname}_failures"} & sink_inputs):
             # metrics are written: let the KO branch count them while it scans
@@ -324,7 +309,8 @@ def write_flow(
         except Exception as exc:
             raise RuntimeError(f"sink {sink.get('name', 'unnamed')!r} failed: {exc}") from exc
         with lock:
-            written.add(key)
+            if all(r.rows is not None for r in results):  # not a write that was skipped
+                written.add(key)
             if strategy.get(key) == "reread" and key not in anchors:
                 anchors[key] = results[0]
             done[idx] = results

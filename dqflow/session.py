@@ -50,6 +50,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else "connect"
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # Local runs and tests only: no cluster-wide folder was configured.
         configured = tempfile.mkdtemp(prefix="dqflow-ckpt-")
         if sc is None:

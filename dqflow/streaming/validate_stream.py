@@ -6,14 +6,17 @@ table-level ``unique`` rule needs the whole table and is rejected here.
 
 ``start_validated_stream`` runs the split inside ``foreachBatch``: each
 micro-batch is persisted once, split, and both halves are written with the
-ordinary sink writer.  With versioned sinks every batch lands in
-``_versions/batch-<id>``; a batch replayed after a failure overwrites its own
-version, so the output is exactly-once even though ``foreachBatch`` itself is
-at-least-once.
+ordinary sink writer.  Every batch lands in ``_versions/<query id>-<batch id>``;
+a batch replayed after a failure overwrites its own version, so the output is
+exactly-once even though ``foreachBatch`` itself is at-least-once.  The query id
+is that of the checkpoint, so streams with different checkpoints never share a
+version.  Sinks that are not versioned must overwrite or fail: a replayed batch
+would append its rows again.
 """
 
 from __future__ import annotations
 
+import json
 from typing import Any, Mapping
 
 from concurrent.futures import ThreadPoolExecutor
@@ -26,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from dqflow.errors import InvalidValidationConfig
 from dqflow.functions.rules import parse_entry
 from dqflow.operators.validation import ValidationResult, validate
-from dqflow.sinks.writer import write_sink
+from dqflow.sinks.writer import versioning_enabled, write_sink
 
 
 def _reject_table_rules(rules: Any) -> None:
@@ -66,12 +69,24 @@ def start_validated_stream(
     KO write's own scan: no extra pass over the batch.
     """
     _reject_table_rules(rules)
+    for sink in filter(None, (ok_sink, ko_sink, metrics_sink)):
+        if str(sink.get("saveMode", "")).lower() == "append" and not versioning_enabled(sink):
+            raise InvalidValidationConfig(
+                f"sink {sink.get('name', 'unnamed')!r} appends: a replayed batch would be written twice; use versioning")
+    query_id: list[str] = []
+
+    def stream_id(spark) -> str:
+        """The id that the checkpoint keeps for its query, over all restarts."""
+        if not query_id:
+            held = spark.read.text(f"{checkpoint_location.rstrip('/')}/metadata").first()[0]
+            query_id.append(json.loads(held)["id"])
+        return query_id[0]
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             res = validate(batch, rules, observe=metrics_sink is not None, **options)
-            run_id = f"batch-{batch_id}"
+            run_id = f"{stream_id(batch.sparkSession)}-batch-{batch_id}"
             # OK and KO are independent jobs over the persisted batch: write them side by side.
             write = inheritable_thread_target(batch.sparkSession)(write_sink)
             with ThreadPoolExecutor(max_workers=2) as pool:

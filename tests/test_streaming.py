@@ -3,6 +3,7 @@
 import pytest
 
 from dqflow import InvalidValidationConfig
+from dqflow.sinks.writer import read_versions
 from dqflow.streaming import start_validated_stream, validate_stream
 
 from conftest import SF_SMALL
@@ -32,15 +33,15 @@ def test_foreach_batch_versions(spark, tmp_path):
                                trigger={"availableNow": True})
     q.awaitTermination()
     total = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    n_ok = spark.read.parquet(f"{base}/ok/_versions/*").count()
-    n_ko = spark.read.json(f"{base}/ko/_versions/*").count()
+    n_ok = read_versions(spark, f"{base}/ok").count()
+    n_ko = read_versions(spark, f"{base}/ko").count()
     assert n_ok == total.filter("o_totalprice > 100000").count()
     assert n_ok + n_ko == total.count()
     # restarting from the checkpoint processes nothing new
     q2 = start_validated_stream(_stream(spark), RULES, ok, ko, checkpoint_location=f"{base}/ckpt",
                                 trigger={"availableNow": True})
     q2.awaitTermination()
-    assert spark.read.parquet(f"{base}/ok/_versions/*").count() == n_ok
+    assert read_versions(spark, f"{base}/ok").count() == n_ok
 
 
 def test_per_batch_failure_metrics(spark, tmp_path):
@@ -51,7 +52,25 @@ def test_per_batch_failure_metrics(spark, tmp_path):
     q = start_validated_stream(_stream(spark), RULES, ok, ko, checkpoint_location=f"{base}/ckpt",
                                trigger={"availableNow": True}, metrics_sink=metrics)
     q.awaitTermination()
-    m = spark.read.json(f"{base}/metrics/_versions/*").collect()
+    m = read_versions(spark, f"{base}/metrics").collect()
     total = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     assert [(r.batch_id, r.rule) for r in m] == [(0, "greaterThan")]
     assert m[0].failures == total.filter("NOT (o_totalprice > 100000)").count()
+
+
+def test_two_streams_into_one_base(spark, tmp_path):
+    """Batch ids start again with each checkpoint; the versions of the two streams stay apart."""
+    base = str(tmp_path)
+    ok = {"name": "ok", "format": "parquet", "saveMode": "overwrite", "paths": [f"{base}/ok"], "versioning": True}
+    ko = {"name": "ko", "format": "json", "saveMode": "overwrite", "paths": [f"{base}/ko"], "versioning": True}
+    for k in (1, 2):
+        start_validated_stream(_stream(spark), RULES, ok, ko, checkpoint_location=f"{base}/ckpt{k}", trigger={"availableNow": True}).awaitTermination()
+    total = spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+    both = read_versions(spark, f"{base}/ok").unionByName(read_versions(spark, f"{base}/ko"), allowMissingColumns=True)
+    assert both.count() == 2 * total and both.select("version_id").distinct().count() == 2
+
+
+def test_appending_sinks_are_rejected(spark, tmp_path):
+    sink = {"name": "a", "format": "parquet", "saveMode": "APPEND", "paths": [str(tmp_path / "a")]}
+    with pytest.raises(InvalidValidationConfig):
+        start_validated_stream(_stream(spark), RULES, sink, sink, checkpoint_location=str(tmp_path / "c"))

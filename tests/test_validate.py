@@ -128,12 +128,12 @@ def test_materialized_split_matches(people, materialize):
 
 # --- E1: unique -------------------------------------------------------------
 
-@pytest.mark.parametrize("hot_keys,per_salt", [(100, 1_000_000), (100, 40), (1, 7), (0, 1)])
-def test_unique_matches_brute_force(spark, hot_keys, per_salt):
+@pytest.mark.parametrize("per_salt", [1_000_000, 40, 7, 1])
+def test_unique_matches_brute_force(spark, per_salt):
     rnd = random.Random(7)
     keys = [0] * 300 + [rnd.randint(1, 200) for _ in range(500)] + [None] * 20  # key 0 holds ~36%
     df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k int").repartition(5)
-    res = validate(df, [{"field": "k", "validations": ["unique"]}], hot_keys=hot_keys, rows_per_salt=per_salt)
+    res = validate(df, [{"field": "k", "validations": ["unique"]}], rows_per_salt=per_salt)
     counts = collections.Counter(k for k in keys if k is not None)
     expected_ok = {i for i, k in enumerate(keys) if k is not None and counts[k] == 1}
     assert {r.id for r in res.ok.collect()} == expected_ok
@@ -143,7 +143,7 @@ def test_unique_matches_brute_force(spark, hot_keys, per_salt):
 
 def test_flag_duplicates_keeps_rows(spark):
     df = spark.createDataFrame([(i, i % 3) for i in range(30)] + [(99, 7)], "id int, k int")
-    out = flag_duplicates(df, F.col("k"), "dup", hot_keys=2, rows_per_salt=3)
+    out = flag_duplicates(df, F.col("k"), "dup", rows_per_salt=3)
     rows = {r.id: r.dup for r in out.collect()}
     assert len(rows) == 31 and rows[99] is False and all(rows[i] for i in range(30))
 
@@ -214,7 +214,7 @@ def test_hot_key_is_spread_over_join_tasks(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        flagged = flag_duplicates(df, F.col("k"), "dup", hot_keys=10, rows_per_salt=200)
+        flagged = flag_duplicates(df, F.col("k"), "dup", rows_per_salt=200)
         per_task = flagged.groupBy(F.spark_partition_id().alias("p")).agg(
             F.count_if((F.col("k") == 0) & F.col("dup")).alias("hot_rows")).collect()
     finally:
@@ -228,8 +228,8 @@ def test_hot_key_is_spread_over_join_tasks(spark):
 
 def test_unique_float_keys_signed_zero_and_nan(spark):
     df = spark.createDataFrame([(1, 0.0), (2, -0.0), (3, float("nan")), (4, float("nan")), (5, 1.5)], "id int, k double")
-    for hot, per_salt in ((100, 1), (0, 1)):
-        res = validate(df, [{"field": "k", "validations": ["unique"]}], hot_keys=hot, rows_per_salt=per_salt)
+    for per_salt in (1, 100):
+        res = validate(df, [{"field": "k", "validations": ["unique"]}], rows_per_salt=per_salt)
         assert {r.id for r in res.ok.collect()} == {5}
 
 
@@ -271,12 +271,11 @@ def test_awkward_field_names(spark):
 @given(
     st.lists(st.one_of(st.none(), st.integers(0, 6), st.sampled_from(["a", "b", "zz"]).map(lambda s: 100 + len(s))),
              min_size=0, max_size=60),
-    st.integers(0, 5),
     st.integers(1, 8),
 )
-def test_flag_duplicates_random(spark, keys, hot_keys, per_salt):
+def test_flag_duplicates_random(spark, keys, per_salt):
     df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k int")
-    out = flag_duplicates(df, F.col("k"), "dup", hot_keys=hot_keys, rows_per_salt=per_salt)
+    out = flag_duplicates(df, F.col("k"), "dup", rows_per_salt=per_salt)
     got = {r.id: r.dup for r in out.collect()}
     counts = collections.Counter(k for k in keys if k is not None)
     assert got == {i: (k is not None and counts[k] > 1) for i, k in enumerate(keys)}
@@ -340,3 +339,67 @@ def test_report_matches_model(spark, rows, max_row, max_field):
            for r in res.ko.collect()}
     assert got == expected_ko
     assert {r.id for r in res.ok.collect()} == set(range(len(rows))) - set(expected_ko)
+
+
+def _spread(spark, rows, schema="id int, k int", per_salt=200):
+    """Rows of each key in each task of the join that marks duplicates."""
+    df = spark.createDataFrame(rows, schema).repartition(8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        flagged = flag_duplicates(df, F.col("k"), "dup", rows_per_salt=per_salt)
+        return flagged.groupBy(F.spark_partition_id().alias("p"), "k").agg(F.count(F.lit(1)).alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_every_hot_key_is_spread(spark):
+    """Two hundred keys over the limit: each is split, not only the first of them."""
+    tasks = _spread(spark, [(i, i % 200) for i in range(200 * 400)], per_salt=50)
+    most = collections.Counter()
+    for r in tasks:
+        most[r.k] = max(most[r.k], r.n)
+    assert max(most.values()) <= 250  # of 400 rows in eight salts
+
+
+def test_null_keys_are_spread(spark):
+    tasks = _spread(spark, [(i, None if i % 2 else i) for i in range(20000)])
+    nulls = [r.n for r in tasks if r.k is None]
+    assert sum(nulls) == 10000 and max(nulls) <= 2000
+
+
+def test_unique_counts_over_all_rows_with_row_rules(spark):
+    df = spark.createDataFrame([(1, 7, "a"), (2, 7, ""), (3, 8, "b"), (4, 9, ""), (5, None, "c")], "id int, k int, s string")
+    res = validate(df, [{"field": "k", "validations": ["unique"]}, {"field": "s", "validations": ["notEmpty"]}])
+    assert [r.id for r in res.ok.collect()] == [3]  # id 1 repeats a key whose other row fails
+    assert sorted(r.id for r in res.ko.collect()) == [1, 2, 4, 5]
+
+
+def test_labels_are_not_cut_by_default(spark):
+    df = spark.createDataFrame([(None,)], "a string")
+    rules = [{"field": "a", "validations": [{"type": "minLength", "value": k, "message": f"m{k}"} for k in range(1, 121)]}]
+    row = validate(df, rules).ko.first()
+    assert len(row.validation_errors["a"]) == 120 and row.validation_errors_text.count(";") == 119
+
+
+@pytest.mark.parametrize("materialize", ["none", "persist"])
+def test_no_row_is_lost_without_determinism(spark, materialize):
+    df = spark.range(1000)
+    for source, rules in (
+            (df, [{"field": "id", "validations": [{"type": "custom_sql", "expression": "rand() > 0.5"}]}]),
+            (df.withColumn("u", F.expr("uuid()")), [{"field": "u", "validations": [{"type": "custom_sql", "expression": "{column} < '8'"}]}])):
+        res = validate(source, rules, materialize=materialize)
+        ok, ko = {r.id for r in res.ok.collect()}, {r.id for r in res.ko.collect()}
+        assert not ok & ko and len(ok) + len(ko) == 1000
+        assert res.ko.where("validation_errors_text = 'Unknown validation error'").count() == 0
+
+
+def test_observed_failures_when_no_row_can_fail(spark):
+    df = spark.range(5)  # a column that is never null
+    res = validate(df, [{"field": "id", "validations": ["notNull"]}], observe=True)
+    res.ko.write.format("noop").mode("overwrite").save()
+    assert [(r.rule, r.failures) for r in res.observed_failures(spark).collect()] == [("notNull", 0)]
+    assert res.observed_stats(spark).first().total_records == 5
