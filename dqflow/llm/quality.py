@@ -245,3 +245,11 @@ def classify(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_c
     threshold = F.coalesce("own", every)
     return out.select("r." + quoted(id_column), "text_hash", "r.lang", "perplexity", threshold.alias("threshold"),
                       F.coalesce(F.col("perplexity") <= threshold, F.lit(True)).alias("keep"))
+
+
+def keep_good(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """``df`` without the rows that ``classify`` rejects."""
+    found = classify(df, labels, id_column, text_column, **options).where("NOT keep")
+    gone = _table(found.select(col(id_column).alias("gone_id"), "text_hash").distinct(), "kn-rejected")
+    text_hash = F.xxhash64(F.coalesce(col(text_column), F.lit("")))
+    return df.join(gone, col(id_column).eqNullSafe(gone["gone_id"]) & (text_hash == gone["text_hash"]), "left_anti")

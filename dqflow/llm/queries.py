@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from dqflow.llm import byte_bpe, chat_format, decontamination, multiset_fingerprint, pii, quality, secret_scan, simhash, substring_dedup, token_counts
 from dqflow.sources.reader import read_table
 
@@ -116,6 +117,7 @@ def queries() -> dict:
         "op8_pii_surrogates": op8_pii_surrogates,
         "op9_multiset_fingerprint": op9_multiset_fingerprint,
         "op10_token_counts": op10_token_counts,
+        "pipeline": corpus_pipeline.run,
     }
     return {name: _importable(query) for name, query in found.items()}
 

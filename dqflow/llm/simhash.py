@@ -203,9 +203,10 @@ def links(distinct: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                     shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """(id, simhash long, component_id, text_hash) of each row.
+    """(id, simhash long, component_id, text_hash, group) of each row.
 
-    ``component_id``: the smallest id that can be reached over links; ``text_hash``: XXH64 of the text."""
+    ``component_id``: the smallest id that can be reached over links; ``text_hash``: XXH64 of the
+    text; ``group``: the component's smallest fingerprint."""
     spark = df.sparkSession
     rows = df.select(col(id_column).alias("id"), F.coalesce(col(text_column), F.lit("")).alias("text"))
     path = scratch_path(spark, "simhash")
@@ -213,8 +214,20 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     hashed = spark.read.parquet(path)
     named = hashed.groupBy("simhash").agg(F.min("id").alias("least"))
     roots = components(links(named, max_distance))
-    linked = named.join(roots, named["simhash"] == roots["node"])
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_linked = linked.select("simhash", "root").join(least, "root").select("simhash", "component_id")
-    names = named.join(of_linked, "simhash", "left").select("simhash", F.coalesce("component_id", "least").alias("component_id"))
-    return hashed.join(names, "simhash").select(F.col("id").alias(id_column), "simhash", "component_id", "text_hash")
+    group = named.join(roots, named["simhash"] == roots["node"], "left").select("simhash", "least", F.coalesce("root", "simhash").alias("group"))
+    least = group.groupBy("group").agg(F.min("least").alias("component_id"))
+    names = group.select("simhash", "group").join(least, "group")
+    return hashed.join(names, "simhash").select(F.col("id").alias(id_column), "simhash", "component_id", "text_hash", "group")
+
+
+def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """``df`` with one row of each component: that of the smallest id (null ids last), then text hash."""
+    found = near_duplicates(df, id_column, text_column, **options).withColumnRenamed(id_column, "kept_id")
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("kept_id").isNull(), "kept_id", "text_hash")).alias("first"))
+    path = scratch_path(df.sparkSession, "simhash-kept")
+    first.select("first.*").select("kept_id", "text_hash").distinct().write.parquet(path)
+    kept = df.sparkSession.read.parquet(path)
+    text_hash = F.xxhash64(F.coalesce(col(text_column), F.lit("")))
+    out = df.join(kept, col(id_column).eqNullSafe(kept["kept_id"]) & (text_hash == kept["text_hash"]), "left_semi")
+    repeated = found.groupBy("kept_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return out.dropDuplicates([id_column, text_column]) if repeated.take(1) else out
