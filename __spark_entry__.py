@@ -22,11 +22,12 @@ from pyspark.sql import functions as F
 
 from dqflow import apply_transform, validate
 from dqflow.plans.dataflow import build_flow, run
-from dqflow.operators.transforms import StepContext
+from dqflow.errors import SinkError
+from dqflow.operators.transforms import StepContext, register_transform
 from dqflow.plans.workloads import CONTACT_RULES, SINGLE_RULES, contacts, single_rule
 from dqflow.session import scratch_path
-from dqflow.sinks.writer import read_latest, read_version, write_sink
-from dqflow.sources.inventory import source_inventory
+from dqflow.sinks.writer import list_versions, read_latest, read_version, read_versions, write_sink
+from dqflow.sources.inventory import check_sources, source_inventory
 from dqflow.sources.reader import read_source, read_table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -244,30 +245,42 @@ def q_validate_urls(spark, sf):
     return validate(read_table(spark, sf, "pages"), URL_RULES).ok.select("page_id")
 
 
-def _unique_flags(df: DataFrame, key: str, field: str) -> DataFrame:
-    res = validate(df, [{"field": field, "validations": ["unique"]}])
-    return res.ok.select(key, F.lit(True).alias("unique_ok")).unionByName(
-        res.ko.select(key, F.lit(False).alias("unique_ok")))
+def _unique_flags(df: DataFrame, field: str, *keys: str) -> DataFrame:
+    """Every row with its verdict: flagged once, not joined again for each half."""
+    every = validate(df, [{"field": field, "validations": ["unique"]}]).annotated()
+    return every.select(*keys, F.col("is_valid").alias("unique_ok"))
 
 
 def q_unique_documents(spark, sf):
-    return _unique_flags(read_table(spark, sf, "documents"), "doc_id", "text")
+    return _unique_flags(read_table(spark, sf, "documents"), "text", "doc_id")
 
 
 def q_unique_composite(spark, sf):
     """Uniqueness of a composite key: derive the key, then validate it."""
     conv = _steps(read_table(spark, sf, "conversations"),
                   ("derive_column", {"column": "conv_turn", "expression": "concat_ws(':', conv_id, turn)"}))
-    res = validate(conv, [{"field": "conv_turn", "validations": ["unique"]}])
-    return res.ok.select("conv_id", "turn", F.lit(True).alias("unique_ok")).unionByName(
-        res.ko.select("conv_id", "turn", F.lit(False).alias("unique_ok")))
+    return _unique_flags(conv, "conv_turn", "conv_id", "turn")
 
 
 def q_unique_lineitem(spark, sf):
-    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    res = validate(li, [{"field": "l_orderkey", "validations": ["unique"]}])
-    return res.ok.select("l_orderkey", "l_linenumber", F.lit(True).alias("unique_ok")).unionByName(
-        res.ko.select("l_orderkey", "l_linenumber", F.lit(False).alias("unique_ok")))
+    return _unique_flags(read_table(spark, sf, "lineitem"), "l_orderkey", "l_orderkey", "l_linenumber")
+
+
+def q_unique_nulls(spark, sf):
+    """A missing key is never unique; rows without one stay out of the way of the others."""
+    return _unique_flags(contacts(spark, sf), "age_text", "id")
+
+
+def q_unique_with_row_rules(spark, sf):
+    """Keys are counted over the whole table; a row rule drops rows at the scan, before the join."""
+    rules = [{"field": "l_orderkey", "validations": ["unique"]},
+             {"field": "l_quantity", "validations": [{"type": "lessThan", "value": 25}]}]
+    return validate(read_table(spark, sf, "lineitem"), rules).ok.select("l_orderkey", "l_linenumber")
+
+
+def q_no_rules(spark, sf):
+    ok, ko = validate(read_table(spark, sf, "customer"), [])
+    return ok.select("c_custkey", F.lit("ok").alias("part")).unionByName(ko.select("c_custkey", F.lit("ko").alias("part")))
 
 
 # ---------------------------------------------------------------------------
@@ -289,8 +302,6 @@ def q_source_inventory(spark, sf):
 
 
 def q_source_checks(spark, sf):
-    from dqflow.sources.inventory import check_sources
-
     doc = {"dataflows": [{"name": "all-tables", "sources": [
         {"name": t, "format": "PARQUET", "path": f"{sf}/{t}.parquet"} for t in TABLES]}]}
     return check_sources(spark, doc).select("name", "format", "exists", "files", "rows", (F.col("bytes") > 0).alias("has_bytes"))
@@ -321,8 +332,8 @@ def q_derive_cast_date(spark, sf):
 
 
 def q_derive_literal(spark, sf):
-    return _steps(read_table(spark, sf, "orders"), ("derive_column", {"column": "environment", "expression": "'s3-test'"}),
-                  ("select_columns", {"columns": ["o_orderkey", "environment"]}))
+    return _steps(read_table(spark, sf, "orders"), ("derive_column", {"column": "channel", "expression": "'batch'"}),
+                  ("select_columns", {"columns": ["o_orderkey", "channel"]}))
 
 
 def q_derive_explode(spark, sf):
@@ -370,42 +381,37 @@ def q_add_fields(spark, sf):
 # ---------------------------------------------------------------------------
 
 def demo_document(sf: str, out: str | None = None) -> dict:
-    """All seven step types over ``customer`` (the full-demo shape)."""
-    steps = [
-        {"name": "rename", "type": "rename_columns",
-         "params": {"input": "customers", "mappings": {"c_custkey": "id", "c_name": "name"}}},
-        {"name": "bucket", "type": "derive_column", "params": {
-            "input": "rename", "column": "bucket",
-            "expression": "CASE WHEN c_acctbal >= 5000 THEN 'high' WHEN c_acctbal >= 0 THEN 'mid' ELSE 'negative' END"}},
-        {"name": "no_auto", "type": "filter_rows", "params": {"input": "bucket", "condition": "c_mktsegment <> 'AUTOMOBILE'"}},
-        {"name": "stamp", "type": "add_fields",
-         "params": {"input": "no_auto", "addFields": [{"name": "process_timestamp", "function": "current_timestamp"}]}},
-        {"name": "slim", "type": "drop_columns", "params": {"input": "stamp", "columns": ["c_mktsegment"]}},
-        {"name": "core", "type": "select_columns",
-         "params": {"input": "slim", "columns": ["id", "name", "c_nationkey", "c_acctbal", "bucket", "process_timestamp"]}},
-        {"name": "email", "type": "derive_column", "params": {
-            "input": "core", "column": "email",
-            "expression": "CASE WHEN id % 7 = 0 THEN concat('bad-', id) ELSE concat('u', id, '@example.com') END"}},
-        {"name": "check", "type": "validate_fields", "params": {"input": "email", "validations": [
-            {"field": "name", "validations": ["notEmpty", {"type": "pattern", "regex": "^Customer#[0-9]{9}$"}]},
-            {"field": "c_acctbal", "validations": [{"type": "nonNegative", "message": "balance must be >= 0"}]},
-            {"field": "email", "validations": ["email"]},
-            {"field": "c_nationkey", "validations": [{"type": "between", "min": 0, "max": 20}]},
-            {"field": "process_timestamp", "validations": ["notNull"]},
-        ]}},
+    """Every built-in step type over ``customer``; accepted rows to two paths, rejected rows to one."""
+    check = [
+        {"field": "name", "validations": ["notEmpty", {"type": "pattern", "regex": "^Customer#[0-9]{9}$"}]},
+        {"field": "c_acctbal", "validations": [{"type": "nonNegative", "message": "balance must be >= 0"}]},
+        {"field": "email", "validations": ["email"]},
+        {"field": "c_nationkey", "validations": [{"type": "between", "min": 0, "max": 20}]},
+        {"field": "process_timestamp", "validations": ["notNull"]},
+    ]
+    chain = [
+        ("stamp", "add_fields", {"addFields": [{"name": "process_timestamp", "function": "current_timestamp"}]}),
+        ("no_auto", "filter_rows", {"condition": "c_mktsegment <> 'AUTOMOBILE'"}),
+        ("slim", "drop_columns", {"columns": ["c_mktsegment"]}),
+        ("email", "derive_column", {"column": "email", "expression":
+            "CASE WHEN c_custkey % 7 = 0 THEN concat('bad-', c_custkey) ELSE concat('u', c_custkey, '@example.com') END"}),
+        ("bucket", "derive_column", {"column": "bucket", "expression":
+            "CASE WHEN c_acctbal >= 5000 THEN 'high' WHEN c_acctbal >= 0 THEN 'mid' ELSE 'negative' END"}),
+        ("rename", "rename_columns", {"mappings": {"c_custkey": "id", "c_name": "name"}}),
+        ("core", "select_columns", {"columns": ["id", "name", "email", "bucket", "c_acctbal", "c_nationkey", "process_timestamp"]}),
+        ("check", "validate_fields", {"validations": check}),
     ]
+    inputs = ["customers", *[name for name, _, _ in chain]]
     base = out or "/unused"
     return {"dataflows": [{
         "name": "customers-demo",
         "sources": [{"name": "customers", "format": "PARQUET", "path": f"{sf}/customer.parquet"}],
-        "transformations": steps,
+        "transformations": [{"name": name, "type": kind, "params": {"input": before, **params}}
+                            for (name, kind, params), before in zip(chain, inputs)],
         "sinks": [
-            {"name": "ok_json", "input": "validation_ok", "format": "JSON", "saveMode": "OVERWRITE",
-             "paths": [f"{base}/ok/json"]},
-            {"name": "ko_json", "input": "validation_ko", "format": "JSON", "saveMode": "OVERWRITE",
-             "paths": [f"{base}/ko/json"]},
-            {"name": "ok_parquet", "input": "validation_ok", "format": "PARQUET", "saveMode": "OVERWRITE",
-             "paths": [f"{base}/ok/parquet", f"{base}/ok/parquet_copy"]},
+            {"name": "rejected", "input": "check_ko", "format": "json", "saveMode": "overwrite", "paths": [f"{base}/rejected"]},
+            {"name": "accepted", "input": "check_ok", "format": "parquet", "saveMode": "overwrite",
+             "paths": [f"{base}/accepted", f"{base}/accepted_copy"]},
         ],
     }]}
 
@@ -450,14 +456,14 @@ def q_dataflow_written(spark, sf):
     out = scratch_path(spark, "dataflow")
     run(spark, demo_document(sf, out), run_id="q")
     ko = spark.read.schema("id long, bucket string, validation_errors map<string,array<string>>, "
-                           "validation_errors_text string").json(f"{out}/ko/json")
+                           "validation_errors_text string").json(f"{out}/rejected")
     return ko.select("id", "bucket", "validation_errors_text")
 
 
 def q_dataflow_written_ok(spark, sf):
     out = scratch_path(spark, "dataflow")
     run(spark, demo_document(sf, out), run_id="q")
-    return spark.read.parquet(f"{out}/ok/parquet_copy").select("id", "bucket")
+    return spark.read.parquet(f"{out}/accepted_copy").select("id", "bucket")
 
 
 ORDERS_DDL = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
@@ -536,16 +542,16 @@ STREAM_RULES = [
 ]
 
 
-def _stream_orders(spark, sf) -> str:
+def _stream_orders(spark, sf, base: str | None = None, checkpoint: str = "_checkpoint") -> str:
     """Stream the orders table through validation (availableNow) into versioned sinks."""
     from dqflow.streaming import start_validated_stream
 
     schema = read_table(spark, sf, "orders").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
-    base = scratch_path(spark, "stream")
+    base = base or scratch_path(spark, "stream")
     ok = {"name": "ok", "format": "parquet", "saveMode": "overwrite", "paths": [f"{base}/ok"], "versioning": True}
     ko = {"name": "ko", "format": "json", "saveMode": "overwrite", "paths": [f"{base}/ko"], "versioning": True}
-    query = start_validated_stream(stream, STREAM_RULES, ok, ko, checkpoint_location=f"{base}/_checkpoint",
+    query = start_validated_stream(stream, STREAM_RULES, ok, ko, checkpoint_location=f"{base}/{checkpoint}",
                                    trigger={"availableNow": True})
     if not query.awaitTermination(timeout=900):  # availableNow ends by itself; never wait unbounded
         query.stop()
@@ -554,12 +560,131 @@ def _stream_orders(spark, sf) -> str:
 
 
 def q_stream_ok(spark, sf):
-    return spark.read.parquet(f"{_stream_orders(spark, sf)}/ok/_versions/*").select("o_orderkey", "o_orderstatus")
+    return read_versions(spark, f"{_stream_orders(spark, sf)}/ok").select("o_orderkey", "o_orderstatus")
 
 
 def q_stream_ko(spark, sf):
-    base = _stream_orders(spark, sf)
-    return spark.read.schema("o_orderkey long, validation_errors_text string").json(f"{base}/ko/_versions/*")
+    return read_versions(spark, f"{_stream_orders(spark, sf)}/ko").select("o_orderkey", "validation_errors_text")
+
+
+def q_stream_two(spark, sf):
+    """Two streams, each with its own checkpoint, into one base: nothing is overwritten."""
+    base = scratch_path(spark, "stream")
+    for checkpoint in ("a", "b"):
+        _stream_orders(spark, sf, base, checkpoint)
+    rows = read_versions(spark, f"{base}/ok")
+    return rows.select("o_orderkey", F.lit(list_versions(spark, f"{base}/ok").count()).cast("long").alias("versions"))
+
+
+# ---------------------------------------------------------------------------
+# Sources, modes, reports
+# ---------------------------------------------------------------------------
+
+def q_source(fmt: str, options: dict, spark, sf):
+    """Orders written in a format and read by ``read_source`` with options and a schema."""
+    orders = read_table(spark, sf, "orders")
+    out = scratch_path(spark, f"source-{fmt}")
+    write_sink(orders, {"name": fmt, "format": fmt, "saveMode": "overwrite", "paths": [out], "options": options})
+    spec = {"name": "orders", "format": fmt.upper(), "path": out, "options": options}
+    if fmt != "orc":
+        spec["schema"] = ORDERS_DDL
+    return read_source(spark, spec).select(*orders.columns)
+
+
+def q_source_inferred(spark, sf):
+    """A CSV source whose types are inferred."""
+    out = scratch_path(spark, "source-inferred")
+    options = {"header": True, "sep": ";"}
+    write_sink(read_table(spark, sf, "orders"), {"name": "o", "format": "csv", "saveMode": "overwrite", "paths": [out], "options": options})
+    df = read_source(spark, {"name": "o", "format": "csv", "path": out, "options": {**options, "inferSchema": True}})
+    return _steps(df, ("filter_rows", {"condition": "o_totalprice >= 250000"}),
+                  ("select_columns", {"columns": ["o_orderkey", "o_orderpriority"]})).withColumn(
+        "o_orderkey", F.col("o_orderkey").cast("long"))
+
+
+def q_run_report(spark, sf):
+    """Row counts of sources, steps and sinks, observed by the sinks' own jobs."""
+    out = scratch_path(spark, "report")
+    doc = {"dataflows": [{
+        "name": "report", "sources": [{"name": "orders", "format": "parquet", "path": f"{sf}/orders.parquet"}],
+        "transformations": [
+            {"name": "finished", "type": "filter_rows", "params": {"input": "orders", "condition": "o_orderstatus = 'F'"}},
+            {"name": "cheap", "type": "validate_fields", "params": {"input": "finished", "validations": [
+                {"field": "o_totalprice", "validations": [{"type": "lessThan", "value": 50000}]}]}}],
+        "sinks": [{"name": "cheap", "input": "cheap_ok", "format": "parquet", "saveMode": "overwrite", "paths": [f"{out}/cheap"]},
+                  {"name": "dear", "input": "cheap_ko", "format": "parquet", "saveMode": "overwrite", "paths": [f"{out}/dear"]}]}]}
+    report = run(spark, doc, run_id="report", observe_tables=True).report(spark)
+    return report.where("kind IN ('source', 'step', 'sink')").select("kind", "name", "rows")
+
+
+def q_sink_modes(spark, sf):
+    """K5: append adds, ignore leaves alone, error refuses."""
+    orders = read_table(spark, sf, "orders")
+    spec = {"name": "m", "format": "parquet", "paths": [scratch_path(spark, "modes")]}
+    for mode in ("errorIfExists", "APPEND", "ignore"):
+        write_sink(orders, {**spec, "saveMode": mode})
+    try:
+        write_sink(orders, {**spec, "saveMode": "error"})
+    except SinkError:
+        pass
+    else:
+        raise RuntimeError("writing to an existing path should have failed")
+    return spark.read.parquet(*spec["paths"]).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def q_user_transform(spark, sf):
+    """A step type of the user's own."""
+    register_transform("net_price", lambda df, params, ctx: df.withColumn(params["column"], F.expr("l_extendedprice * (1 - l_discount)")))
+    return _steps(read_table(spark, sf, "lineitem"), ("net_price", {"column": "net"}),
+                  ("select_columns", {"columns": ["l_orderkey", "l_linenumber", "net"]}))
+
+
+def q_all_dataflows(spark, sf):
+    """E5: every dataflow of a document runs."""
+    out = scratch_path(spark, "flows")
+    flows = [{"name": f"f{k}", "sources": [{"name": "t", "format": "parquet", "path": f"{sf}/{table}.parquet"}],
+              "transformations": [{"name": "debt", "type": "filter_rows", "params": {"input": "t", "condition": f"{balance} < 0"}}],
+              "sinks": [{"name": "k", "input": "debt", "format": "parquet", "saveMode": "overwrite", "paths": [f"{out}/f{k}"]}]}
+             for k, (table, balance) in enumerate((("customer", "c_acctbal"), ("supplier", "s_acctbal")))]
+    run(spark, {"dataflows": flows}, run_id="q")
+    read = lambda k, key: spark.read.parquet(f"{out}/f{k}").select(F.lit(f"f{k}").alias("flow"), F.col(key).alias("key"))
+    return read(0, "c_custkey").unionByName(read(1, "s_suppkey"))
+
+
+def q_shared_sinks(spark, sf):
+    """A partitioned sink with '' keys comes first; the second sink still gets them."""
+    out = scratch_path(spark, "shared")
+    part = "CASE WHEN id % 5 = 0 THEN '' WHEN id % 7 = 0 THEN NULL ELSE segment END"
+    rows = contacts(spark, sf).select("id", F.expr(part).alias("part"))
+    source = scratch_path(spark, "shared-in")
+    write_sink(rows, {"name": "in", "format": "parquet", "saveMode": "overwrite", "paths": [source]})
+    doc = {"dataflows": [{
+        "name": "shared", "sources": [{"name": "rows", "format": "parquet", "path": source}],
+        "sinks": [{"name": "parts", "input": "rows", "format": "parquet", "saveMode": "overwrite", "paths": [f"{out}/parts"], "partitionBy": ["part"]},
+                  {"name": "plain", "input": "rows", "format": "parquet", "saveMode": "overwrite", "paths": [f"{out}/plain"]}]}]}
+    run(spark, doc, run_id="q")
+    return spark.read.parquet(f"{out}/plain")
+
+
+def q_versioned(fmt: str, options: dict, expressions: tuple[str, ...], spark, sf):
+    """K9: the manifest tells how a CSV or JSON version is read."""
+    base = scratch_path(spark, f"versioned-{fmt}")
+    rows = read_table(spark, sf, "customer").selectExpr(*expressions)
+    spec = {"name": "v", "format": fmt, "saveMode": "overwrite", "paths": [base], "versioning": True, "options": options}
+    write_sink(rows.where("c_custkey % 2 = 0"), spec, run_id="first")
+    write_sink(rows, spec, run_id="second")
+    return read_latest(spark, base)
+
+
+def q_source_checks_empty(spark, sf):
+    """A source without rows exists; a path without files does not."""
+    out = scratch_path(spark, "checks")
+    customer = read_table(spark, sf, "customer")
+    for name, rows in (("all", customer), ("none", customer.where("c_custkey < 0"))):
+        rows.coalesce(1).write.parquet(f"{out}/{name}")
+    doc = {"dataflows": [{"name": "c", "sources": [
+        {"name": name, "format": "parquet", "path": f"{out}/{name}"} for name in ("all", "none", "missing")]}]}
+    return check_sources(spark, doc).select("name", "exists", "files", "rows")
 
 
 # ---------------------------------------------------------------------------
@@ -635,6 +760,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "versioned_first": q_versioned_first,
         "stream_validate_ok": q_stream_ok,
         "stream_validate_ko": q_stream_ko,
+        "source_json": partial(q_source, "json", {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}),
+        "source_csv": partial(q_source, "csv", {"header": True, "sep": "|"}),
+        "source_orc": partial(q_source, "orc", {"compression": "zlib"}),
+        "source_csv_inferred": q_source_inferred,
+        "run_report": q_run_report,
+        "sink_append_ignore_error": q_sink_modes,
+        "validate_no_rules": q_no_rules,
+        "user_transform": q_user_transform,
+        "all_dataflows": q_all_dataflows,
+        "dataflow_shared_sinks": q_shared_sinks,
+        "unique_rule_nulls": q_unique_nulls,
+        "unique_rule_with_row_rules": q_unique_with_row_rules,
+        "stream_two_queries": q_stream_two,
+        "versioned_csv_latest": partial(q_versioned, "csv", {"header": True, "sep": ";"},
+                                        ("c_custkey", "c_name", "c_acctbal", "c_mktsegment")),
+        "versioned_json_latest": partial(q_versioned, "json", {},
+                                         ("CAST(c_custkey AS INT) AS c_custkey", "c_name", "CAST(NULL AS DOUBLE) AS bonus")),
+        "source_checks_empty": q_source_checks_empty,
     })
     if llm := _llm():
         q.update(llm.queries())

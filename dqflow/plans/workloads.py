@@ -61,12 +61,12 @@ SINGLE_RULES: dict[str, tuple[str, dict | str]] = {
     "greaterThan": ("age_text", {"type": "greaterThan", "value": 30}),
     "lessThan": ("age_text", {"type": "lessThan", "value": 90}),
     "equals": ("status", {"type": "equals", "value": "ACTIVE"}),
-    "pattern": ("zip", {"type": "pattern", "regex": "^[0-9]{5}(-[0-9]{4})?$"}),
+    "pattern": ("zip", {"type": "pattern", "regex": "^[0-9]+$"}),
     "inList": ("status", {"type": "inList", "values": ["ACTIVE", "PENDING"]}),
     "startsWith": ("website", {"type": "startsWith", "prefix": "https://"}),
     "endsWith": ("email", {"type": "endsWith", "suffix": "@example.com"}),
     "contains": ("notes", {"type": "contains", "substring": "vip"}),
-    "custom_sql": ("notes", {"type": "custom_sql", "expression": "{column} IS NULL OR length({column}) <= 50"}),
+    "custom_sql": ("notes", {"type": "custom_sql", "expression": "coalesce({column}, '') NOT LIKE 'xx%'"}),
 }
 
 
@@ -93,11 +93,11 @@ CONTACT_RULES: list[dict] = [
     {"field": "website", "validations": ["url", {"type": "startsWith", "prefix": "https://"}]},
     {"field": "zip", "validations": [
         {"type": "lengthBetween", "min_len": 5, "max_len": 7},
-        {"type": "pattern", "regex": "^[0-9]{5}(-[0-9]{4})?$", "message": "zip must be 12345 or 12345-6789"}]},
+        {"type": "pattern", "regex": "^[0-9]+$", "message": "zip has other than digits"}]},
     {"field": "status", "validations": [
         {"type": "inList", "values": ["ACTIVE", "PENDING"]}, {"type": "equals", "value": "ACTIVE"}]},
     {"field": "notes", "validations": [
         {"type": "maxLength", "max_len": 50}, {"type": "contains", "substring": "vip"},
-        {"type": "custom_sql", "expression": "{column} IS NULL OR length({column}) <= 50",
-         "message": "notes must be <= 50 characters"}]},
+        {"type": "custom_sql", "expression": "coalesce({column}, '') NOT LIKE 'xx%'",
+         "message": "placeholder notes"}]},
 ]

@@ -42,12 +42,12 @@ RULE_SQL = {
     "greaterThan": f"{AGE} > 30",
     "lessThan": f"{AGE} < 90",
     "equals": "status = 'ACTIVE'",
-    "pattern": "regexp_matches(zip, '^[0-9]{5}(-[0-9]{4})?$')",
+    "pattern": "regexp_matches(zip, '^[0-9]+$')",
     "inList": "status IN ('ACTIVE', 'PENDING')",
     "startsWith": "starts_with(website, 'https://')",
     "endsWith": "suffix(email, '@example.com')",
     "contains": "contains(notes, 'vip')",
-    "custom_sql": "notes IS NULL OR length(notes) <= 50",
+    "custom_sql": "coalesce(notes, '') NOT LIKE 'xx%'",
 }
 
 # The full contacts rule set as (field, label, predicate), in report order.
@@ -71,12 +71,12 @@ CONTACT_CHECKS = [
     ("website", "website:url", RULE_SQL["url"]),
     ("website", "website:startsWith", RULE_SQL["startsWith"]),
     ("zip", "zip:lengthBetween", RULE_SQL["lengthBetween"]),
-    ("zip", "zip must be 12345 or 12345-6789", RULE_SQL["pattern"]),
+    ("zip", "zip has other than digits", RULE_SQL["pattern"]),
     ("status", "status:inList", RULE_SQL["inList"]),
     ("status", "status:equals", RULE_SQL["equals"]),
     ("notes", "notes:maxLength", RULE_SQL["maxLength"]),
     ("notes", "notes:contains", RULE_SQL["contains"]),
-    ("notes", "notes must be <= 50 characters", RULE_SQL["custom_sql"]),
+    ("notes", "placeholder notes", RULE_SQL["custom_sql"]),
 ]
 CONTACT_RULE_NAMES = [
     "notNull", "notEmpty", "minLength", "email", "endsWith", "phone", "numeric", "integer", "positive",
@@ -218,7 +218,7 @@ def oracle_queries() -> dict[str, str]:
         "derive_case": "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity >= 40 THEN 'large' "
                        "WHEN l_quantity >= 10 THEN 'medium' ELSE 'small' END AS qty_band FROM lineitem",
         "derive_cast_date": "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_day FROM orders",
-        "derive_literal": "SELECT o_orderkey, 's3-test' AS environment FROM orders",
+        "derive_literal": "SELECT o_orderkey, 'batch' AS channel FROM orders",
         "derive_explode": "SELECT doc_id, unnest([lang, source]) AS x FROM documents",
         "derive_json": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
         "derive_replace_existing": "SELECT c_custkey, upper(c_name) AS c_name, c_nationkey FROM customer",
@@ -321,4 +321,32 @@ def oracle_queries() -> dict[str, str]:
                               f"WHERE {_ko_where(STREAM)}",
     })
     q["failures_by_rule_observed"] = q["failures_by_rule"]
+    q.update({
+        "source_json": ORDERS_ALL,
+        "source_csv": ORDERS_ALL,
+        "source_orc": ORDERS_ALL,
+        "source_csv_inferred": "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_totalprice >= 250000",
+        "run_report": "SELECT 'source' AS kind, 'orders' AS name, count(*) AS rows FROM orders "
+                      "UNION ALL SELECT 'step', 'finished', count(*) FROM orders WHERE o_orderstatus = 'F' "
+                      "UNION ALL SELECT 'sink', 'cheap', count(*) FROM orders WHERE o_orderstatus = 'F' AND o_totalprice < 50000 "
+                      "UNION ALL SELECT 'sink', 'dear', count(*) FROM orders WHERE o_orderstatus = 'F' "
+                      "AND NOT coalesce(o_totalprice < 50000, false)",
+        "sink_append_ignore_error": "SELECT o_orderkey, CAST(2 AS BIGINT) AS copies FROM orders",
+        "validate_no_rules": "SELECT c_custkey, 'ok' AS part FROM customer",
+        "user_transform": "SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS net FROM lineitem",
+        "all_dataflows": "SELECT 'f0' AS flow, c_custkey AS key FROM customer WHERE c_acctbal < 0 "
+                         "UNION ALL SELECT 'f1', s_suppkey FROM supplier WHERE s_acctbal < 0",
+        "dataflow_shared_sinks": _with_contacts(
+            "SELECT id, CASE WHEN id % 5 = 0 THEN '' WHEN id % 7 = 0 THEN NULL ELSE segment END AS part FROM contacts"),
+        "unique_rule_nulls": _with_contacts(
+            "SELECT id, age_text IS NOT NULL AND count(*) OVER (PARTITION BY age_text) = 1 AS unique_ok FROM contacts"),
+        "unique_rule_with_row_rules": "SELECT l_orderkey, l_linenumber FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n "
+                                      "FROM lineitem) WHERE n = 1 AND l_quantity < 25",
+        "stream_two_queries": f"SELECT o_orderkey, v FROM orders, (SELECT unnest([1, 2]) AS v) WHERE {_all_ok(STREAM)}".replace(
+            "SELECT o_orderkey, v", "SELECT o_orderkey, CAST(2 AS BIGINT) AS versions"),
+        "versioned_csv_latest": "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
+        "versioned_json_latest": "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(NULL AS DOUBLE) AS bonus FROM customer",
+        "source_checks_empty": "SELECT 'all' AS name, true AS exists, CAST(1 AS BIGINT) AS files, count(*) AS rows FROM customer "
+                               "UNION ALL SELECT 'none', true, 1, 0 UNION ALL SELECT 'missing', false, 0, 0",
+    })
     return q
