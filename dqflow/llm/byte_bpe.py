@@ -172,7 +172,7 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
             ends = offsets + 2 * np.arange(len(offsets))
             return _rows(
                 block=[[b for b, _, _ in held]], shard=[[s for _, s, _ in held]], sizes=[[len(w) for _, _, w in held]],
-                index=[every.indices.to_pylist()],
+                starts=[np.cumsum([1, *(len(w) for _, _, w in held[:-1])])], index=pa.ListArray.from_arrays(pa.array([0, len(every)], pa.int32()), every.indices),
                 words=pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(spelled))))
 
         for batch in batches:
@@ -186,40 +186,43 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
         if held:
             yield row()
 
-    def answered(batches):
-        for batch in batches:
-            for r in range(batch.num_rows):
-                block, shard, sizes, index, words = (batch.column(c)[r].values for c in ("block", "shard", "sizes", "index", "words"))
-                offsets, values = np.asarray(words.offsets).astype(np.int64), np.asarray(words.values)
-                ends = np.cumsum(np.asarray(sizes))
-                for b, s, places in zip(block.to_pylist(), shard.to_pylist(), np.split(np.asarray(index), ends[:-1]), strict=True):
-                    out, size = _taken(values, offsets[places], np.diff(offsets)[places])
-                    out, size = out[out != EDGE], size - 2
-                    yield _rows(block=[b], shard=[s], blob=[_zip(size.astype("<u4").tobytes() + out.astype("<u2").tobytes())])
-
     def laid_out(batches):
         now, texts, answers = None, [], {}  # equal blocks are one block with several texts
         for batch in itertools.chain(batches, [None]):
-            for block, shard, blob in _each(batch) if batch is not None else [(None, 0, b"")]:
+            for row in range(batch.num_rows if batch is not None else 1):
+                block, shard = (batch.column(c)[row].as_py() for c in ("block", "shard")) if batch is not None else (None, 0)
                 if block != now:
                     if texts:
-                        out = _ids_of(pa.ipc.open_stream(_unzip(texts[0])).read_next_batch(), list(answers.values()), shards, packed)
+                        out = _ids_of(pa.ipc.open_stream(_unzip(texts[0])).read_next_batch(), answers, shards, packed)
                         yield from itertools.repeat(out, len(texts))
                     now, texts, answers = block, [], {}
+                if block is None:
+                    break
                 if shard < 0:
-                    texts.append(blob)
+                    texts.append(batch.column("blob")[row].as_py())
                 else:
-                    answers[shard] = blob
+                    words = batch.column("ids")[row].values
+                    answers[shard] = np.diff(np.asarray(words.offsets)), np.asarray(words.flatten()).astype(np.uint16)
 
     literal, sizes = rank_map(vocabulary)
     tables = F.from_json(F.lit(literal), "a array<bigint>, b array<bigint>")
-    blob = "block long, shard int, blob binary"
-    requests = rows.mapInArrow(asked, blob).repartition(tasks, "shard")
-    listed = requests.mapInArrow(gathered, "block array<bigint>, shard array<int>, sizes array<int>, index array<int>, words array<array<bigint>>")
-    # The outer transform binds the literal once for all words.
-    folded = F.get(F.transform(F.array(tables), lambda t: F.transform("words", lambda w: merged(w, t, sizes))), F.lit(0))
-    answers = listed.withColumn("words", folded).mapInArrow(answered, blob)
-    spread = answers.unionByName(rows.mapInArrow(kept, blob)).repartition(tasks, "block").sortWithinPartitions("block", "shard")
+    requests = rows.mapInArrow(asked, "block long, shard int, blob binary").repartition(tasks, "shard")
+    listed = requests.mapInArrow(
+        gathered, "block array<bigint>, shard array<int>, sizes array<int>, starts array<int>, index array<int>, words array<array<bigint>>")
+
+    def answered(words: Column) -> Column:
+        """Each request with the ids of its words."""
+        inner = lambda w: F.transform(F.slice(w, F.lit(2), F.size(w) - 2), lambda x: x.cast("int"))
+        request = lambda r: F.struct(
+            F.get("block", r).alias("block"), F.get("shard", r).alias("shard"), F.lit(None).cast("binary").alias("blob"),
+            F.transform(F.slice("index", F.get("starts", r), F.get("sizes", r)), lambda i: inner(F.get(words, i))).alias("ids"))
+        return F.transform(F.sequence(F.lit(0), F.size("block") - 1), request)
+
+    # The outer transforms bind the literal, and the folded words, once for a row.
+    folded = lambda t: F.transform("words", lambda w: merged(w, t, sizes))
+    each = F.get(F.transform(F.array(F.get(F.transform(F.array(tables), folded), F.lit(0))), answered), F.lit(0))
+    kept_rows = rows.mapInArrow(kept, "block long, shard int, blob binary").withColumn("ids", F.lit(None).cast("array<array<int>>"))
+    spread = listed.select(F.inline(each)).unionByName(kept_rows).repartition(tasks, "block").sortWithinPartitions("block", "shard")
     return spread.mapInArrow(laid_out, f"id {kind}, ids {'binary' if packed else 'array<int>'}").withColumnRenamed("id", id_column)
 
 
@@ -246,7 +249,7 @@ def _unzip(data: bytes) -> bytes:
 
 
 def _rows(**columns) -> pa.RecordBatch:
-    types = {"block": pa.int64(), "shard": pa.int32(), "blob": pa.binary(), "sizes": pa.list_(pa.int32()), "index": pa.list_(pa.int32())}
+    types = {"block": pa.int64(), "shard": pa.int32(), "blob": pa.binary(), "sizes": pa.list_(pa.int32()), "starts": pa.list_(pa.int32())}
     if isinstance(columns["block"][0], list):
         types |= {"block": pa.list_(pa.int64()), "shard": pa.list_(pa.int32())}
     return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, types[k]) for k, v in columns.items()], list(columns))
@@ -282,22 +285,18 @@ def _taken(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.
     return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)], size
 
 
-def _ids_of(batch: pa.RecordBatch, answers: list[bytes], shards: int, packed: bool) -> pa.RecordBatch:
-    """Ids of a block's documents from the answers of the shards, in order of shard."""
+def _ids_of(batch: pa.RecordBatch, answers: dict, shards: int, packed: bool) -> pa.RecordBatch:
+    """Ids of a block's documents from the answers (sizes, ids) of the shards to its words."""
     index, pieces, words = pretokens.distinct(batch.column("text").to_pylist())
-    order = np.argsort(_shards(words, shards), kind="stable")
-    raw = [_unzip(a) for a in answers]
+    shard = _shards(words, shards)
+    order = np.argsort(shard, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    # Each answer: a 32-bit size for each word, then 16-bit ids; the number of words follows from the sum.
-    shard_words = np.bincount(_shards(words, shards), minlength=shards)
-    shard_words = shard_words[shard_words > 0]
-    if len(shard_words) != len(raw):
-        raise RuntimeError("the input was cut into other blocks when it was read again; write it to a table first")
-    sizes = np.concatenate([np.frombuffer(r, "<u4", n) for r, n in zip(raw, shard_words, strict=True)])
-    tokens = np.concatenate([np.frombuffer(r, "<u2", offset=4 * n) for r, n in zip(raw, shard_words, strict=True)])
-    if len(tokens) != sizes.sum():
+    wanted, n = np.unique(shard, return_counts=True)
+    if sorted(answers) != wanted.tolist() or any(len(answers[s][0]) != k for s, k in zip(wanted.tolist(), n.tolist(), strict=True)):
         raise RuntimeError("the input was cut into other blocks when it was read again; write it to a table first")
+    sizes = np.concatenate([answers[s][0] for s in wanted.tolist()])
+    tokens = np.concatenate([answers[s][1] for s in wanted.tolist()])
     begin = (np.cumsum(sizes) - sizes).astype(np.int64)
     index = place[index]
     out, size = _taken(tokens, begin[index], sizes[index].astype(np.int64))
