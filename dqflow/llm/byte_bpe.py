@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import heapq
 import itertools
 import json
 
@@ -44,6 +45,9 @@ FREE = 1 << 62
 #: Text bytes of a block, and words folded as one row.
 BLOCK_BYTES = 6 << 20
 FOLD_WORDS = 100_000
+#: Bytes of a word that is folded; the fold's work grows with the square of a word's length, so a
+#: longer word is merged by a heap where its document is laid out.
+FOLD_BYTES = 256
 #: Sizes of the two tables of the rank map (any that hold the map will do).
 TABLE_SIZES = (150001, 175003, 300007, 350003, 600011, 700001, 1200007, 1400017)
 
@@ -147,6 +151,9 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
     def asked(batches):
         for block, batch, _ in blocks(batches):
             _, _, words = pretokens.distinct(batch.column("text").to_pylist())
+            words = words.filter(_folded(words))
+            if not len(words):
+                continue
             shard = _shards(words, shards)
             order = np.argsort(shard, kind="stable")
             cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
@@ -193,7 +200,7 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
                 block, shard = (batch.column(c)[row].as_py() for c in ("block", "shard")) if batch is not None else (None, 0)
                 if block != now:
                     if texts:
-                        out = _ids_of(pa.ipc.open_stream(_unzip(texts[0])).read_next_batch(), answers, shards, packed)
+                        out = _ids_of(pa.ipc.open_stream(_unzip(texts[0])).read_next_batch(), answers, shards, vocabulary, packed)
                         yield from itertools.repeat(out, len(texts))
                     now, texts, answers = block, [], {}
                 if block is None:
@@ -285,18 +292,61 @@ def _taken(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.
     return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)], size
 
 
-def _ids_of(batch: pa.RecordBatch, answers: dict, shards: int, packed: bool) -> pa.RecordBatch:
+def _folded(words: pa.Array) -> pa.Array:
+    return pa.compute.less_equal(pa.compute.binary_length(words), FOLD_BYTES)
+
+
+@functools.cache
+def _ranks(path: str) -> dict[bytes, int]:
+    return {p: i for i, p in enumerate(pieces_of(path))}
+
+
+def merged_long(data: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word of any length; the pairs wait in a heap by rank, then place."""
+    n = len(data)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    rank = [ranks.get(data[i:i + 2]) if i + 1 < n else None for i in range(n)]
+    heap = [(r, i) for i, r in enumerate(rank) if r is not None]
+    heapq.heapify(heap)
+    while heap:
+        r, i = heapq.heappop(heap)
+        if rank[i] != r:  # merged or changed since
+            continue
+        j = after[i]
+        k = after[i] = after[j]
+        rank[j] = None
+        if k < n:
+            before[k] = i
+        for x, end in ((i, after[k] if k < n else None), (before[i], k)):
+            if x >= 0:
+                rank[x] = ranks.get(data[x:end]) if end is not None else None
+                if rank[x] is not None:
+                    heapq.heappush(heap, (rank[x], x))
+    out, i = [], 0
+    while i < n:
+        out.append(ranks[data[i:after[i]]])
+        i = after[i]
+    return out
+
+
+def _ids_of(batch: pa.RecordBatch, answers: dict, shards: int, vocabulary: str, packed: bool) -> pa.RecordBatch:
     """Ids of a block's documents from the answers (sizes, ids) of the shards to its words."""
     index, pieces, words = pretokens.distinct(batch.column("text").to_pylist())
-    shard = _shards(words, shards)
-    order = np.argsort(shard, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
+    folded = np.asarray(_folded(words))
+    short, long = np.flatnonzero(folded), np.flatnonzero(~folded)
+    shard = _shards(words.filter(pa.array(folded)), shards) if len(short) else np.zeros(0, np.int32)
+    place = np.empty(len(words), np.int64)
+    place[np.r_[short[np.argsort(shard, kind="stable")], long]] = np.arange(len(words))
     wanted, n = np.unique(shard, return_counts=True)
     if sorted(answers) != wanted.tolist() or any(len(answers[s][0]) != k for s, k in zip(wanted.tolist(), n.tolist(), strict=True)):
         raise RuntimeError("the input was cut into other blocks when it was read again; write it to a table first")
-    sizes = np.concatenate([answers[s][0] for s in wanted.tolist()])
-    tokens = np.concatenate([answers[s][1] for s in wanted.tolist()])
+    found = [answers[s] for s in wanted.tolist()]
+    for w in long.tolist():
+        ids = merged_long(words[w].as_py(), _ranks(vocabulary))
+        found.append((np.array([len(ids)], np.int32), np.array(ids, np.uint16)))
+    if not found:
+        found = [(np.zeros(0, np.int32), np.zeros(0, np.uint16))]
+    sizes, tokens = (np.concatenate([f[k] for f in found]) for k in (0, 1))
     begin = (np.cumsum(sizes) - sizes).astype(np.int64)
     index = place[index]
     out, size = _taken(tokens, begin[index], sizes[index].astype(np.int64))
