@@ -39,7 +39,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/=-"
 SYMBOLS = len(ALPHABET) + 1
 #: Characters of an identifier that is a sample, and of a string that may be a secret.
 SAMPLE_LENGTH, STRING_LENGTH = 6, 16
-RATIO, RATIO_PER_CHARACTER = 12.0, 0.6
+RATIO, RATIO_PER_CHARACTER = 10.0, 0.3
 
 
 def _table() -> np.ndarray:
