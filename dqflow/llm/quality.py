@@ -1,8 +1,8 @@
 """Quality classifier: an interpolated modified Kneser-Ney model over characters.
 
 The model is trained on trusted text (labelled good) and scores every document; documents whose
-perplexity exceeds a quantile of the trusted documents' perplexities of their language are of low
-quality.
+perplexity exceeds a quantile of trusted documents' perplexities of their language are of low
+quality.  Of the trusted documents, one in ``HELD_OUT`` is kept out of the training for that.
 
 All statistics are Spark aggregates and joins over n-gram codes.  A character is ``BITS`` bits, so
 an n-gram is one number, its context is the number shifted and its suffix the number masked.
@@ -41,7 +41,10 @@ from dqflow.session import scratch_path
 
 ORDER = 5
 BITS = 12
-QUANTILE = 0.985
+#: A language's threshold: this quantile of its trusted documents' perplexities, times the margin.
+QUANTILE, MARGIN = 0.985, 1.1
+#: One trusted document in so many (by a hash of its id) sets the thresholds; the others train.
+HELD_OUT = 5
 #: Text bytes of a block.
 BLOCK_BYTES = 32 << 20
 #: Trusted ids that are sent to every task; more are joined by shuffle.
@@ -116,7 +119,8 @@ def model(top: DataFrame, order: int = ORDER) -> tuple[DataFrame, float]:
     for k in range(1, order + 1):
         t = probable[k].withColumn("back", F.lit(None).cast("double"))
         if k < order:
-            t = probable[k].join(context[k + 1].select(F.col("context").alias("gram"), "back"), "gram", "left")
+            # A context of start signs alone is no n-gram itself: it has a weight and no probability.
+            t = probable[k].join(context[k + 1].select(F.col("context").alias("gram"), "back"), "gram", "full")
         t = t.select(F.col("gram").bitwiseOR(F.lit(k << TAG)).alias("gram"), F.col("p").cast("float").alias("p"), F.col("back").cast("float").alias("back"))
         every = t if every is None else every.unionByName(t)
     unseen = context[1].select(F.col("back") / alphabet).first()
@@ -125,7 +129,8 @@ def model(top: DataFrame, order: int = ORDER) -> tuple[DataFrame, float]:
 
 def _asked(codes: np.ndarray, order: int) -> np.ndarray:
     """The n-grams of all orders, as the model's table names them, of distinct n-grams of the highest."""
-    return np.concatenate([np.unique(codes & ((1 << BITS * k) - 1)) | k << TAG for k in range(order, 0, -1)])
+    start = [sum(START << BITS * i for i in range(k)) | k << TAG for k in range(1, order)]  # contexts of start signs alone
+    return np.concatenate([np.unique(codes & ((1 << BITS * k) - 1)) | k << TAG for k in range(order, 0, -1)] + [np.array(start, np.int64)])
 
 
 def _log_probabilities(codes: np.ndarray, gram: np.ndarray, p: np.ndarray, back: np.ndarray, unseen: float, order: int) -> np.ndarray:
@@ -139,6 +144,7 @@ def _log_probabilities(codes: np.ndarray, gram: np.ndarray, p: np.ndarray, back:
     for k in range(order, 0, -1):
         key = codes[left] & ((1 << BITS * k) - 1)
         at, hit = place(key | k << TAG)
+        hit &= ~np.isnan(p[at]) if len(gram) else False
         out[left[hit]] = weight[left[hit]] + np.log(p[at[hit]])
         left, key = left[~hit], key[~hit]
         if k > 1:  # an unseen n-gram after a seen context pays the context's weight
@@ -229,20 +235,22 @@ def trusted_ids(labels: DataFrame, id_column: str = "doc_id", label_column: str
 
 
 def classify(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
-             quantile: float = QUANTILE, order: int = ORDER) -> DataFrame:
+             quantile: float = QUANTILE, margin: float = MARGIN, order: int = ORDER) -> DataFrame:
     """(id, text_hash, lang, perplexity, threshold, keep) of each row."""
     good = trusted_ids(labels, id_column)
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
     trusted = df.join(good, col(id_column) == good["id"], "left_semi")
-    known, unseen = model(counts(trusted, order, text_column), order)
+    # What a model was trained on looks better to it than like text; thresholds come from the rest.
+    apart = F.pmod(F.xxhash64(col(id_column)), F.lit(HELD_OUT)) == 0
+    known, unseen = model(counts(trusted.where(~apart), order, text_column), order)
     rows = _table(perplexities(df, known, unseen, id_column, text_column, lang_column, order), "kn-scores")
-    held = rows.join(good, col(id_column) == good["id"], "left_semi").where("perplexity is not null")
+    held = rows.join(good, col(id_column) == good["id"], "left_semi").where(apart).where("perplexity is not null")
     by_lang = held.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("own"))
     overall = held.agg(F.percentile_approx("perplexity", quantile, 10000)).first()[0]
     every = F.lit(overall).cast("double")
     out = rows.alias("r").join(by_lang.alias("l"), F.col("r.lang").eqNullSafe(F.col("l.lang")), "left")
-    threshold = F.coalesce("own", every)
+    threshold = F.coalesce("own", every) * margin
     return out.select("r." + quoted(id_column), "text_hash", "r.lang", "perplexity", threshold.alias("threshold"),
                       F.coalesce(F.col("perplexity") <= threshold, F.lit(True)).alias("keep"))
 
