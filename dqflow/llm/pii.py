@@ -11,7 +11,7 @@ word by word), so one entity gets one surrogate in all its spellings and documen
 All distinct entities of the corpus are checked against each other: a surrogate that two would
 share, or that is itself an entity of the corpus, is drawn again by all but the smallest, until
 none is left.  These tables are keyed by entity and written to the shared folder.  Only documents
-with an entity are shuffled, to meet their surrogates; a hot entity is one row on one side of that
+that may hold an entity are shuffled, to meet their surrogates; a hot entity is one row on one side of that
 join and a splittable key on the other.
 
 Defined cases: null text stays null and has no entities; repeated rows are each rewritten; rows
@@ -39,7 +39,7 @@ _TITLES = {
 _TITLE = "(?:" + "|".join(sorted((t for ts in _TITLES.values() for t in ts), key=len, reverse=True)) + ")"
 #: Patterns by kind, tried in this order where several match at one place.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w)(?!\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.+-])[2-6](?:[ -]?\d){12,18}(?![\w-])",
@@ -50,6 +50,8 @@ PATTERNS = {
     "person": rf"(?<!\p{{L}}){_TITLE}\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?(?!\p{{L}})",
 }
 KINDS = tuple(PATTERNS)
+#: What any text with an entity has: a digit, "@" or a title.
+MAYBE = "[0-9@]"
 DETECT = "|".join(PATTERNS.values())
 
 #: Given names by gender and script (fixed values), and syllables of family names.
@@ -73,10 +75,12 @@ def _found(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(DETECT), F.lit(0))
 
 
-def counts(text: Column) -> list[Column]:
-    """n_<kind> of each kind in a text."""
-    kinds = F.transform(_found(text), _kind_column)
-    return [F.size(F.filter(kinds, lambda k: k == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]  # noqa: B023
+def _maybe(text: Column) -> Column:
+    """Whether a text can hold an entity; cheap, so that the detection runs on few texts."""
+    out = text.rlike(MAYBE)
+    for title in (t for ts in _TITLES.values() for t in ts):
+        out = out | text.contains(f"{title} ") | text.contains(f"{title}. ")
+    return F.coalesce(out, F.lit(False))
 
 
 def _kind_column(m: Column) -> Column:
@@ -212,19 +216,23 @@ def _rendered(parts: DataFrame, drawn: DataFrame) -> DataFrame:
 def pseudonymise(df: DataFrame, key: str = DEFAULT_KEY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``df`` with surrogates in place of entities, and ``n_<kind>`` long of each kind of entity."""
     names = [f"n_{k}" for k in KINDS]
-    rows = df.select(*kept(df, *names, "pii_id", "pii_hash", "pii_new"))
+    rows = df.select(*kept(df, *names, "pii_id", "pii_hash", "pii_found"))
     text = col(text_column)
-    dirty = rows.where(text.rlike(DETECT))
-    keyed = dirty.withColumns({"pii_id": col(id_column), "pii_hash": F.xxhash64(text)})
-    hits = _table(keyed.select("pii_id", "pii_hash", F.posexplode(_found(text)).alias("place", "raw")).distinct(), "pii-hits")
-    parts = _table(_entities(hits.select("raw").distinct().withColumn("kind", _kind_column(F.col("raw")))), "pii-parts")
+    keyed = rows.where(_maybe(text)).withColumns({"pii_id": col(id_column), "pii_hash": F.xxhash64(text)})
+    hits = keyed.select("pii_id", "pii_hash", F.posexplode(_found(text)).alias("place", "raw")).distinct()
+    hits = _table(hits.withColumn("kind", _kind_column(F.col("raw"))), "pii-hits")
+    parts = _table(_entities(hits.select("raw", "kind").distinct()), "pii-parts")
     drawn = surrogates(parts.select("entity", "norm").distinct(), key)
     placed = hits.join(_rendered(parts, drawn), "raw").groupBy("pii_id", "pii_hash").agg(
-        F.array_sort(F.collect_list(F.struct("place", "surrogate"))).alias("pii_new"))
-    met = keyed.alias("d").join(placed.alias("p"), F.col("d.pii_id").eqNullSafe(F.col("p.pii_id")) & (F.col("d.pii_hash") == F.col("p.pii_hash")))
+        F.array_sort(F.collect_list(F.struct("place", "surrogate", "kind"))).alias("pii_found"))
+    # Only texts that may hold an entity are shuffled.
+    same = F.col("d.pii_id").eqNullSafe(F.col("p.pii_id")) & (F.col("d.pii_hash") == F.col("p.pii_hash"))
+    met = keyed.alias("d").join(placed.alias("p"), same, "left")
     between = F.split(text, DETECT, -1)
-    new = F.array_join(F.zip_with(between, F.concat("p.pii_new.surrogate", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    columns = [col(c) for c in rows.columns]
-    clean = rows.where(~F.coalesce(text.rlike(DETECT), F.lit(False))).select(*columns, *[F.lit(0).cast("long").alias(n) for n in names])
-    changed = met.select(*[new.alias(c) if c == text_column else F.col("d." + quoted(c)) for c in rows.columns], *counts(text))
+    new = F.array_join(F.zip_with(between, F.concat("p.pii_found.surrogate", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+    new = F.when(F.col("p.pii_found").isNull(), text).otherwise(new)
+    of_kind = lambda kind: F.coalesce(F.size(F.filter("p.pii_found", lambda x: x["kind"] == kind)), F.lit(0))
+    n = [F.when(F.col("p.pii_found").isNull(), 0).otherwise(of_kind(k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    changed = met.select(*[new.alias(c) if c == text_column else F.col("d." + quoted(c)) for c in rows.columns], *n)
+    clean = rows.where(~_maybe(text)).select(*[col(c) for c in rows.columns], *[F.lit(0).cast("long").alias(c) for c in names])
     return clean.unionByName(changed)
