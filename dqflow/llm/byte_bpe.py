@@ -43,8 +43,8 @@ EDGE = 65535
 #: An empty place of the rank map.
 FREE = 1 << 62
 #: Text bytes of a block, and words folded as one row.
-BLOCK_BYTES = 6 << 20
-FOLD_WORDS = 100_000
+BLOCK_BYTES = 4 << 20
+FOLD_WORDS = 40_000
 #: Bytes of a word that is folded; the fold's work grows with the square of a word's length, so a
 #: longer word is merged by a heap where its document is laid out.
 FOLD_BYTES = 256
