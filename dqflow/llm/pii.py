@@ -178,8 +178,10 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(entity, norm, surrogate) of distinct (entity, norm): no two of an entity's kind share a
     surrogate, and no surrogate is one of the norms."""
     settled, waiting, draw = None, entities.withColumn("draw", F.lit(0)), 0
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
-        drawn = _table(waiting.withColumn("surrogate", _surrogate(key)), "pii-drawn")
+        # Rows are small and drawing is not: a fixed number of tasks, not as few as their bytes need.
+        drawn = _table(waiting.repartition(tasks, "entity", "norm").withColumn("surrogate", _surrogate(key)), "pii-drawn")
         free = drawn.join(entities.select("entity", F.col("norm").alias("surrogate")), ["entity", "surrogate"], "left_anti")
         if settled is not None:
             free = free.join(settled, ["entity", "surrogate"], "left_anti")
