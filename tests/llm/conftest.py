@@ -12,15 +12,6 @@ os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("P
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from dqflow.session import build_session
-
-    s = build_session("local[4]", app_name="dqflow-llm-tests", **{"spark.sql.shuffle.partitions": "4"})
-    yield s
-    s.stop()
-
-
 @pytest.fixture(scope="session")
 def documents(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")

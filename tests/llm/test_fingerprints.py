@@ -3,7 +3,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import ODD
+from .conftest import ODD
 from dqflow.llm import multiset_fingerprint as mf
 
 

@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import ODD
+from .conftest import ODD
 from dqflow.llm import pii
 
 ROWS = [

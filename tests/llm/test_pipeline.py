@@ -5,11 +5,11 @@ import tiktoken
 
 import __spark_entry__ as entry
 import corpus_pipeline as cp
-from conftest import SF
+from .conftest import SF
 from dqflow.llm import decontamination as dc
 from dqflow.llm import pii, quality, simhash
-from test_decontamination import plain
-from test_simhash import plain_components
+from .test_decontamination import plain
+from .test_simhash import plain_components
 
 
 def test_stages_and_run(spark):

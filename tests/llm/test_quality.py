@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ODD, SF
+from .conftest import ODD, SF
 from dqflow.llm import quality as ql
 
 

@@ -4,7 +4,7 @@ import string
 
 import numpy as np
 
-from conftest import ODD
+from .conftest import ODD
 from dqflow.llm import secret_scan as ss
 
 TEXTS = [

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import xxhash
 
-from conftest import ODD
+from .conftest import ODD
 from dqflow.llm import simhash as sh
 from dqflow.llm.components import components
 

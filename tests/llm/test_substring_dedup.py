@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from conftest import ODD
+from .conftest import ODD
 from dqflow.llm import substring_dedup as sd
 
 

@@ -9,7 +9,7 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from conftest import ODD
+from .conftest import ODD
 from dqflow.llm import byte_bpe, pretokens, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
