@@ -1,8 +1,8 @@
 """Quality classifier: an interpolated modified Kneser-Ney model over characters.
 
-The model is trained on trusted text (labelled good) and scores every document; documents whose
-perplexity exceeds a quantile of trusted documents' perplexities of their language are of low
-quality.  Of the trusted documents, one in ``HELD_OUT`` is kept out of the training for that.
+The model is trained on trusted text (labelled good and not toxic) and scores every document;
+documents whose perplexity exceeds a quantile of trusted documents' perplexities of their language
+are of low quality.  Of the trusted documents, one in ``HELD_OUT`` is kept out of the training for that.
 
 All statistics are Spark aggregates and joins over n-gram codes.  A character is ``BITS`` bits, so
 an n-gram is one number, its context is the number shifted and its suffix the number masked.
@@ -22,8 +22,9 @@ before a text are a start sign.
 
 Defined cases: null or empty text has perplexity null and stays; rows of a language without
 trusted documents are held against the quantile of all trusted documents, without any the
-documents all stay; a null language is a language; labels repeated for an id count as good only if
-all are; repeated rows each give a row; an empty table gives an empty result.
+documents all stay; a null language is a language; an id with several labels is trusted only if all
+are good and not toxic, a null label is neither; labels without a column of toxicity are held to
+quality alone; repeated rows each give a row; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -230,8 +231,11 @@ def _unzip(blob: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_next_batch()
 
 
-def trusted_ids(labels: DataFrame, id_column: str = "doc_id", label_column: str = "quality") -> DataFrame:
-    return labels.groupBy(col(id_column).alias("id")).agg(F.min(F.coalesce(col(label_column), F.lit(0))).alias("good")).where("good = 1").select("id")
+def trusted_ids(labels: DataFrame, id_column: str = "doc_id", label_column: str = "quality", toxic_column: str = "toxic") -> DataFrame:
+    good = col(label_column) == 1
+    if toxic_column in labels.columns:
+        good &= col(toxic_column) == 0
+    return labels.groupBy(col(id_column).alias("id")).agg(F.min(F.coalesce(good, F.lit(False))).alias("good")).where("good").select("id")
 
 
 def classify(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",

@@ -90,3 +90,18 @@ def test_odd_rows(spark, odd, empty):
     nothing = spark.createDataFrame([], "doc_id long, quality int")
     assert all(r.keep for r in ql.classify(df, nothing).collect()) and ql.keep_good(df, nothing).count() == len(ODD)
     assert ql.classify(empty, labels).count() == 0
+
+
+def test_toxic_documents_are_not_trusted(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 1, None), (4, 0, 0), (5, 1, 0), (5, 1, 1), (6, 1, 0), (6, 1, 0), (7, None, 0)],
+                                   "doc_id long, quality int, toxic int")
+    assert sorted(r.id for r in ql.trusted_ids(labels).collect()) == [1, 6]
+    assert sorted(r.id for r in ql.trusted_ids(labels.drop("toxic")).collect()) == [1, 2, 3, 5, 6]
+
+
+def test_toxic_documents_do_not_train(spark):
+    """Words of toxic documents alone stay unknown to the model."""
+    rows = [(k, "a plain sentence of ordinary words", "en") for k in range(40)] + [(k, "zqxj vkwz qqzx", "en") for k in range(40, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, int(k >= 40)) for k in range(58)], "doc_id long, quality int, toxic int")
+    assert {r.doc_id for r in ql.classify(docs, labels).collect() if not r.keep} == set(range(40, 60))
