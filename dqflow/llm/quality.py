@@ -2,16 +2,21 @@
 
 The model is trained on trusted text (labelled good and not toxic) and scores every document;
 documents whose perplexity exceeds a quantile of trusted documents' perplexities of their language
-are of low quality.  Of the trusted documents, one in ``HELD_OUT`` is kept out of the training for that.
+are of low quality.  What a model was trained on looks better to it than like text, so models are
+cross-fitted: ids are dealt by a hash into ``HELD_OUT`` folds, there is a model for each fold,
+trained on the trusted documents of the others, and every document, trusted or not, is scored by
+the model of its own fold.  So all trusted documents of a language set its quantile, by models that
+saw none of them.  A language with fewer than ``MIN_TRUSTED`` trusted ids sets no threshold, and
+its documents stay: other languages say nothing of how usual they are.
 
 All statistics are Spark aggregates and joins over n-gram codes.  A character is ``BITS`` bits, so
 an n-gram is one number, its context is the number shifted and its suffix the number masked.
 Counts of the highest order come from the trusted texts (summed per task first); counts of a lower
 order are the distinct left extensions of an n-gram in the order above.  ``model`` joins counts,
 contexts' totals and the order below into interpolated probabilities, order by order, all sharded
-by n-gram.
+by n-gram.  The models of the folds are columns of one table, so they cost wider rows, not more.
 
-Scoring: texts are dealt into blocks by a hash of the row.  The distinct n-grams of a block, of all
+Scoring: the texts of a fold are dealt into blocks by a hash of the row.  The distinct n-grams of a block, of all
 orders, are joined with the model, and what it has of them goes back to the block, where each
 document's mean log-probability is taken; an unseen n-gram backs off through its contexts'
 weights.  So the model is never sent whole to a task, a hot n-gram is one row per block, and a
@@ -20,9 +25,9 @@ block's size is bounded.  What is gathered grows with the corpus.
 Characters beyond ``BITS`` bits share codes with others of their kind.  The ``order - 1`` places
 before a text are a start sign.
 
-Defined cases: null or empty text has perplexity null and stays; rows of a language without
-trusted documents are held against the quantile of all trusted documents, without any the
-documents all stay; a null language is a language; an id with several labels is trusted only if all
+Defined cases: null or empty text has perplexity null and stays, as has any text whose fold's model
+has nothing to train on; rows of a language with too few trusted documents have an infinite
+threshold and stay; a null language is a language; an id with several labels is trusted only if all
 are good and not toxic, a null label is neither; labels without a column of toxicity are held to
 quality alone; repeated rows each give a row; an empty table gives an empty result.
 """
@@ -34,7 +39,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqflow.llm.frames import col, quoted
@@ -44,8 +49,10 @@ ORDER = 5
 BITS = 12
 #: A language's threshold: this quantile of its trusted documents' perplexities, times the margin.
 QUANTILE, MARGIN = 0.985, 1.1
-#: One trusted document in so many (by a hash of its id) sets the thresholds; the others train.
+#: Folds; a fold's documents are scored by a model of the other folds' trusted documents.
 HELD_OUT = 5
+#: A language needs so many trusted ids to set a threshold; of fewer, no quantile says where its good text ends.
+MIN_TRUSTED = 20
 #: Text bytes of a block.
 BLOCK_BYTES = 32 << 20
 #: Trusted ids that are sent to every task; more are joined by shuffle.
@@ -74,58 +81,79 @@ def _table(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def counts(trusted: DataFrame, order: int = ORDER, text_column: str = "text") -> DataFrame:
-    """(gram, n) of the highest order, over all trusted texts."""
+def _fold(id_: Column, text_hash: Column) -> Column:
+    """The fold of a row, by its id; rows without one are never trusted and dealt by their texts."""
+    return F.pmod(F.when(id_.isNull(), text_hash).otherwise(F.xxhash64(id_)), F.lit(HELD_OUT)).cast("int")
+
+
+def counts(trusted: DataFrame, order: int = ORDER, text_column: str = "text", fold: Column | None = None) -> DataFrame:
+    """(gram, n) of the highest order, over all trusted texts; by ``fold`` (gram, n0, n1, ...), each over all but a fold's texts."""
+    apart = fold is not None
+    names = [f"n{f}" for f in range(HELD_OUT)] if apart else ["n"]
 
     def counted(batches):
         for batch in batches:
-            codes = [_codes(t.as_py(), order) for t in batch.column("text") if t.as_py()]
-            if codes:
-                gram, n = np.unique(np.concatenate(codes), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n.astype(np.int64))], ["gram", "n"])
+            rows = [(f, _codes(t, order)) for f, t in zip(batch.column("fold").to_pylist(), batch.column("text").to_pylist(), strict=True) if t]
+            if rows:
+                gram, place, every = np.unique(np.concatenate([c for _, c in rows]), return_inverse=True, return_counts=True)
+                of = np.repeat([f for f, _ in rows], [len(c) for _, c in rows])
+                n = [every - np.bincount(place[of == f], minlength=len(gram)) for f in range(len(names))] if apart else [every]
+                yield pa.RecordBatch.from_arrays([pa.array(gram), *(pa.array(x.astype(np.int64)) for x in n)], ["gram", *names])
 
-    return trusted.select(col(text_column).alias("text")).mapInArrow(counted, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    rows = trusted.select((fold if apart else F.lit(0)).alias("fold"), col(text_column).alias("text"))
+    found = rows.mapInArrow(counted, "gram long, " + ", ".join(f"{n} long" for n in names))
+    return found.groupBy("gram").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def model(top: DataFrame, order: int = ORDER) -> tuple[DataFrame, float]:
-    """Table (gram, p, back) of all orders, and the probability of a character never seen.
+def model(top: DataFrame, order: int = ORDER) -> tuple[DataFrame, list[float | None]]:
+    """Table (gram, p, back) of all orders, and the probability of a character never seen (null without any text).
 
     ``gram`` carries its order above ``TAG``; ``p`` is the interpolated probability of its last
-    character, ``back`` the weight it leaves, as a context, to the order below (null: never one)."""
+    character (null: not seen), ``back`` the weight it leaves, as a context, to the order below
+    (null: never one).  Columns n0, n1, ... of ``top`` give a model each: p0, back0, p1, ..."""
+    each = [c[1:] for c in top.columns if c != "gram"]
     tables = {order: _table(top, "kn-counts")}
     for k in range(order - 1, 0, -1):
         mask = (1 << BITS * k) - 1
-        tables[k] = _table(tables[k + 1].groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "kn-counts")
-    alphabet = tables[1].count() + 1
+        left = [F.count_if(F.col(f"n{f}") > 0).alias(f"n{f}") for f in each]
+        tables[k] = _table(tables[k + 1].groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(*left), "kn-counts")
+    alphabet = {f: n + 1 for f, n in zip(each, tables[1].agg(*[F.count_if(F.col(f"n{f}") > 0) for f in each]).first(), strict=True)}
     context: dict[int, DataFrame] = {}
     probable: dict[int, DataFrame] = {}
     for k in range(1, order + 1):
         # Discounts of counts 1, 2 and more, from the counts of counts.
-        seen = {r["n"]: r["c"] for r in tables[k].where("n <= 4").groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
-        n1, n2, n3, n4 = (seen.get(i, 0) for i in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 else 0.5
-        d = [0.0] + [min(max(i - (i + 1) * y * b / a, 0.05), float(i)) if a else 0.5 * i for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        discount = F.when(F.col("n") == 1, d[1]).when(F.col("n") == 2, d[2]).otherwise(d[3])
-        counted = tables[k].withColumns({"context": F.shiftright("gram", BITS), "discount": discount})
-        context[k] = _table(counted.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("discount") / F.sum("n")).alias("back")), "kn-contexts")
+        seen = tables[k].agg(*[F.count_if(F.col(f"n{f}") == i).alias(f"{f}_{i}") for f in each for i in (1, 2, 3, 4)]).first()
+        discount = {}
+        for f in each:
+            n1, n2, n3, n4 = (seen[f"{f}_{i}"] for i in (1, 2, 3, 4))
+            y = n1 / (n1 + 2 * n2) if n1 else 0.5
+            d = [0.0] + [min(max(i - (i + 1) * y * b / a, 0.05), float(i)) if a else 0.5 * i for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+            n = F.col(f"n{f}")
+            discount[f] = F.when(n == 0, d[0]).when(n == 1, d[1]).when(n == 2, d[2]).otherwise(d[3])
+        counted = tables[k].withColumn("context", F.shiftright("gram", BITS))
+        sums = [x for f in each for x in (F.sum(f"n{f}").alias(f"total{f}"), F.try_divide(F.sum(discount[f]), F.sum(f"n{f}")).alias(f"back{f}"))]
+        context[k] = _table(counted.groupBy("context").agg(*sums), "kn-contexts")
         rows = counted.join(context[k], "context")
         if k == 1:
-            below = F.lit(1.0 / alphabet)
+            below = {f: F.lit(1.0 / alphabet[f]) for f in each}
         else:
             rows = rows.withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << BITS * (k - 1)) - 1)))
-            rows = rows.join(probable[k - 1].select(F.col("gram").alias("suffix"), F.col("p").alias("below")), "suffix")
-            below = F.col("below")
-        probable[k] = _table(rows.select("gram", ((F.col("n") - F.col("discount")) / F.col("total") + F.col("back") * below).alias("p")), "kn-order")
+            rows = rows.join(probable[k - 1].select(F.col("gram").alias("suffix"), *[F.col(f"p{f}").alias(f"below{f}") for f in each]), "suffix")
+            below = {f: F.col(f"below{f}") for f in each}
+        p = [F.when(F.col(f"n{f}") > 0, (F.col(f"n{f}") - discount[f]) / F.col(f"total{f}") + F.col(f"back{f}") * below[f]).alias(f"p{f}") for f in each]
+        probable[k] = _table(rows.select("gram", *p), "kn-order")
     every = None
     for k in range(1, order + 1):
-        t = probable[k].withColumn("back", F.lit(None).cast("double"))
         if k < order:
             # A context of start signs alone is no n-gram itself: it has a weight and no probability.
-            t = probable[k].join(context[k + 1].select(F.col("context").alias("gram"), "back"), "gram", "full")
-        t = t.select(F.col("gram").bitwiseOR(F.lit(k << TAG)).alias("gram"), F.col("p").cast("float").alias("p"), F.col("back").cast("float").alias("back"))
+            t = probable[k].join(context[k + 1].select(F.col("context").alias("gram"), *[f"back{f}" for f in each]), "gram", "full")
+        else:
+            t = probable[k].withColumns({f"back{f}": F.lit(None).cast("double") for f in each})
+        values = [F.col(c).cast("float").alias(c) for f in each for c in (f"p{f}", f"back{f}")]
+        t = t.select(F.col("gram").bitwiseOR(F.lit(k << TAG)).alias("gram"), *values)
         every = t if every is None else every.unionByName(t)
-    unseen = context[1].select(F.col("back") / alphabet).first()
-    return _table(every, "kn-model"), float(unseen[0]) if unseen else 1.0
+    unseen = context[1].select(*[F.col(f"back{f}") / alphabet[f] for f in each]).first()
+    return _table(every, "kn-model"), list(unseen) if unseen else [None] * len(each)
 
 
 def _asked(codes: np.ndarray, order: int) -> np.ndarray:
@@ -156,15 +184,20 @@ def _log_probabilities(codes: np.ndarray, gram: np.ndarray, p: np.ndarray, back:
     return out
 
 
-def perplexities(df: DataFrame, known: DataFrame, unseen: float, id_column: str = "doc_id", text_column: str = "text",
+def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id_column: str = "doc_id", text_column: str = "text",
                  lang_column: str = "lang", order: int = ORDER) -> DataFrame:
-    """(id, text_hash, lang, perplexity) of each row, by the model's table ``known``."""
+    """(id, text_hash, lang, perplexity) of each row, by the model's table ``known``; of several models, by that of its fold."""
     rows = df.select(col(id_column).alias("id"), col(lang_column).cast("string").alias("lang"), F.coalesce(col(text_column), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
+    each = [c[1:] for c in known.columns if c.startswith("p")]
+    folds = len(each)
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    rows = rows.withColumn("fold", _fold(F.col("id"), F.col("text_hash")) if folds > 1 else F.lit(0))
+    sizes = {r["fold"]: r["size"] for r in rows.groupBy("fold").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
+    blocks = F.get(F.array(*[F.lit(max(1, -(-sizes.get(f, 0) // BLOCK_BYTES))) for f in range(folds)]), F.col("fold"))
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.withColumn("text_hash", F.xxhash64("text")).withColumn("block", F.pmod(F.xxhash64("id", "text_hash"), F.lit(blocks)).cast("int"))
+    # A block's fold is its number modulo the folds.
+    rows = rows.withColumn("block", (F.col("fold") + folds * F.pmod(F.xxhash64("id", "text_hash"), blocks)).cast("int")).drop("fold")
 
     def packed(batches):
         for batch in batches:
@@ -197,6 +230,7 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: float, id_column: str
 
     def scored(left, right):
         gram, p, back = (right.column(c).to_numpy() for c in ("gram", "p", "back"))
+        rare = unseen[left.column("block")[0].as_py() % folds]
         by = np.argsort(gram)
         gram, p, back = gram[by], p[by].astype(np.float64), back[by].astype(np.float64)
         out = []
@@ -205,17 +239,18 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: float, id_column: str
             codes = [_codes(t.as_py(), order) for t in held.column("text")]
             n = np.array([len(c) for c in codes])
             grams, place = np.unique(np.concatenate(codes), return_inverse=True)
-            each = np.append(_log_probabilities(grams, gram, p, back, unseen, order)[place], 0.0)
+            each = np.append(_log_probabilities(grams, gram, p, back, rare or 1.0, order)[place], 0.0)
             some = n > 0
             mean = np.full(len(n), np.nan)
             if some.any():
                 mean[some] = np.add.reduceat(each[:-1], (np.cumsum(n) - n)[some]) / n[some]
-            values = pa.array(np.exp(-mean), pa.float64(), mask=~some)
+            values = pa.array(np.exp(-mean), pa.float64(), mask=~some if rare else np.ones(len(n), bool))
             out.append(pa.RecordBatch.from_arrays([held.column("id"), held.column("text_hash"), held.column("lang"), values], ["id", "text_hash", "lang", "perplexity"]))
         return pa.Table.from_batches(out)
 
     asked = texts.sortWithinPartitions("block").mapInArrow(listed, "block int, gram long")
-    answers = asked.join(known, "gram").select("block", "gram", "p", "back")
+    own = lambda c: F.get(F.array(*[c + f for f in each]), F.col("block") % folds).alias(c)
+    answers = asked.join(known, "gram").select("block", "gram", own("p"), own("back")).where("p IS NOT NULL OR back IS NOT NULL")
     met = texts.groupBy("block").cogroup(answers.groupBy("block"))
     return met.applyInArrow(scored, f"id {kind}, text_hash long, lang string, perplexity double").withColumnRenamed("id", id_column)
 
@@ -245,16 +280,15 @@ def classify(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_c
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
     trusted = df.join(good, col(id_column) == good["id"], "left_semi")
-    # What a model was trained on looks better to it than like text; thresholds come from the rest.
-    apart = F.pmod(F.xxhash64(col(id_column)), F.lit(HELD_OUT)) == 0
-    known, unseen = model(counts(trusted.where(~apart), order, text_column), order)
+    fold = _fold(col(id_column), F.xxhash64(F.coalesce(col(text_column), F.lit(""))))
+    known, unseen = model(counts(trusted, order, text_column, fold), order)
     rows = _table(perplexities(df, known, unseen, id_column, text_column, lang_column, order), "kn-scores")
-    held = rows.join(good, col(id_column) == good["id"], "left_semi").where(apart).where("perplexity is not null")
+    held = rows.join(good, col(id_column) == good["id"], "left_semi").where("perplexity is not null")
     by_lang = held.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("own"))
-    overall = held.agg(F.percentile_approx("perplexity", quantile, 10000)).first()[0]
-    every = F.lit(overall).cast("double")
+    ids = held.select("lang", col(id_column).alias("id")).distinct().groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    by_lang = by_lang.join(ids.where(F.col("n") >= MIN_TRUSTED), F.col("lang").eqNullSafe(F.col("of")), "left_semi")
     out = rows.alias("r").join(by_lang.alias("l"), F.col("r.lang").eqNullSafe(F.col("l.lang")), "left")
-    threshold = F.coalesce("own", every) * margin
+    threshold = F.coalesce("own", F.lit(float("inf"))) * margin
     return out.select("r." + quoted(id_column), "text_hash", "r.lang", "perplexity", threshold.alias("threshold"),
                       F.coalesce(F.col("perplexity") <= threshold, F.lit(True)).alias("keep"))
 

@@ -105,3 +105,24 @@ def test_toxic_documents_do_not_train(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(k, 1, int(k >= 40)) for k in range(58)], "doc_id long, quality int, toxic int")
     assert {r.doc_id for r in ql.classify(docs, labels).collect() if not r.keep} == set(range(40, 60))
+
+
+def test_every_trusted_document_is_scored_unseen(spark):
+    """Each by a model of the other folds; all of a language set its threshold, too few set none."""
+    r = random.Random(7)
+    texts = ["".join(r.choices("abcde ", k=r.randint(20, 60))) for _ in range(90)]
+    langs = ["en"] * 60 + ["sw"] * ql.MIN_TRUSTED + [None] * 9 + ["yo"]
+    df = spark.createDataFrame([(k, t, g) for k, (t, g) in enumerate(zip(texts, langs, strict=True))], "doc_id long, text string, lang string")
+    df = df.union(spark.createDataFrame([(100, "\u4e2d\u6587 ngôn ngữ", "yo"), (101, "ἐν ἀρχῇ", "grc"), (102, "zzqq" * 9, "sw")], df.schema))
+    fold = {x.doc_id: x.f for x in df.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(ql.HELD_OUT)).alias("f")).collect()}
+    rows = {x.doc_id: x for x in ql.classify(df, df.where("doc_id < 90").selectExpr("doc_id", "1 AS quality", "0 AS toxic")).collect()}
+    for f in range(ql.HELD_OUT):
+        probability = plain_model([t for k, t in enumerate(texts) if fold[k] != f], ql.ORDER)
+        for k in [k for k in range(90) if fold[k] == f]:
+            assert math.isclose(rows[k].perplexity, plain_perplexity(probability, texts[k], ql.ORDER), rel_tol=1e-4)
+    for lang in ("en", "sw"):
+        own = [rows[k].perplexity for k in range(90) if rows[k].lang == lang]
+        assert all(math.isclose(x.threshold, max(own) * ql.MARGIN) for x in rows.values() if x.lang == lang)
+    # Languages with too few trusted documents, or none, keep theirs.
+    assert {k for k, x in rows.items() if not x.keep} == {102}
+    assert all(math.isinf(x.threshold) for x in rows.values() if x.lang not in ("en", "sw"))
