@@ -2,8 +2,8 @@
 
 Detection is one regular expression of all kinds.  A surrogate is drawn from a keyed SHA-512 of
 the entity, so it cannot be reversed without the key, and has the type and format of what it
-replaces: digits for digits, letters for letters, the same separators and case; a card keeps its
-network digit and its check digit stays valid; an address of the internet comes from a reserved
+replaces: digits for digits, letters for letters, the same separators and case; a card, which is
+one only by its check digit, keeps its network digit and a valid check digit; an address of the internet comes from a reserved
 block; mail goes to the reserved top-level domain ``example``; a name keeps title, gender and
 script.  Entities are compared in a normal form (mail in lower case, numbers as digits, names
 word by word), so one entity gets one surrogate in all its spellings and documents.
@@ -35,19 +35,27 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _TITLES = {
     "m": ("Mr", "Herr", "Señor", "Sr", "Monsieur", "г-н", "господин"),
     "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Mlle", "г-жа", "госпожа"),
+    "n": ("Dr", "Dra", "Prof", "Doctor", "Professor", "Mx", "д-р", "доктор", "профессор"),
 }
 _TITLE = "(?:" + "|".join(sorted((t for ts in _TITLES.values() for t in ts), key=len, reverse=True)) + ")"
+_HEAD = rf"(?:{_TITLE}\.? )+"
+_WORD = r"\p{Lu}[\p{L}\p{M}]*(?:['’-]\p{L}[\p{L}\p{M}]*)*"
+_NAME = rf"(?:(?:\p{{Lu}}\.-?)+(?:{_WORD})?|{_WORD})"
+_MAIL = r"[\p{L}\p{M}\p{N}._%+-]"
 #: Patterns by kind, tried in this order where several match at one place.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
+    "email": rf"(?<!{_MAIL}){_MAIL}{{1,64}}+@(?:[\p{{L}}\p{{M}}\p{{N}}-]{{1,63}}\.){{1,8}}\p{{L}}[\p{{L}}\p{{M}}]{{1,23}}(?![\p{{L}}\p{{M}}\p{{N}}-])",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w)(?!\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.+-])[2-6](?:[ -]?\d){12,18}(?![\w-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)"
              r"|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\w)"
-             r"|(?<![\w.-])\d{3}([.-])\d{3}\1\d{4}(?![\w-])",
+             r"|(?<![\w.-])\d{3}(?<s>[ .-])\d{3}\k<s>\d{4}(?![\w-])"
+             r"|(?<![\w.+-])1[ .-]\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?![\w-])"
+             # Trunk prefix; nine digits at least, so dates are none.
+             r"|(?<![\w.+/-])(?=0(?:[ ./-]?\d){8,11}(?![\w-]))0\d{1,4}(?:(?<t>[ .-])\d{2,4}(?:\k<t>\d{2,4}){1,4}|[ /-]\d{5,8})(?![\w-])",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    "person": rf"(?<!\p{{L}}){_TITLE}\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?(?!\p{{L}})",
+    "person": rf"(?<!\p{{L}}){_HEAD}{_NAME}(?: {_NAME})*(?!\p{{L}})",
 }
 KINDS = tuple(PATTERNS)
 #: What any text with an entity has: a digit, "@" or a title.
@@ -61,6 +69,8 @@ _GIVEN = {
     ("m", "cyrillic"): "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Никита Олег Павел Роман Семён Фёдор",
     ("f", "cyrillic"): "Анна Вера Галина Дарья Ева Жанна Зоя Инна Карина Лариса Мария Нина Ольга Полина Софья Юлия",
 }
+for _script in ("latin", "cyrillic"):
+    _GIVEN["n", _script] = _GIVEN["m", _script] + " " + _GIVEN["f", _script]
 _SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga go ka ke ko la le lo ma me mo na ne no pa pe po ra re ro sa se so ta te to va ve vo za ze zo",
     "cyrillic": "ба бе бо ва ве во га го да де до жа за зе зо ка ке ко ла ле ло ма ме мо на не но па пе по ра ре ро са се со та те то",
@@ -83,33 +93,43 @@ def _maybe(text: Column) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def _card(m: Column) -> Column:
+    """The first run of a match's groups of digits that is a card by its check digit; null if none is."""
+    groups = F.split(m, "(?<=[ -])")
+    n = F.size(groups)
+    run = lambda i: F.transform(F.sequence(n - i, F.lit(1), F.lit(-1)), lambda k: F.rtrim(F.array_join(F.slice(groups, i + 1, k), ""), F.lit(" -")))
+    digits = lambda t: F.regexp_replace(t, "[^0-9]", "")
+    valid = lambda t: t.rlike("^[2-6]([ -]?[0-9]){12,18}$") & (_luhn(digits(t)) % 10 == 0)
+    return F.get(F.filter(F.flatten(F.transform(F.sequence(F.lit(0), n - 1), run)), valid), F.lit(0))
+
+
 def _kind_column(m: Column) -> Column:
+    """The kind of a match; "none" is a long number that is no card and has no other number in it."""
     return (F.when(m.contains("@"), "email").when(m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ip")
             .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn").when(m.rlike("^[A-Z]{2}[0-9]{2}"), "iban")
-            .when(m.rlike(r"^\p{L}"), "person").when(m.rlike("^[2-6]([ -]?[0-9]){12,18}$"), "card").otherwise("phone"))
+            .when(m.rlike(r"^\p{L}"), "person").when(~m.rlike("^[2-6]([ -]?[0-9]){12,18}$"), "phone")
+            .when(_card(m).isNotNull(), "card").when(m.rlike(PATTERNS["phone"] + "|" + PATTERNS["ssn"]), "phone").otherwise("none"))
 
 
 def _entities(found: DataFrame) -> DataFrame:
-    """(raw, kind, part, entity, norm): what a distinct match consists of, in normal form.
+    """(raw, kind, word, entity, norm): what a distinct match consists of, in normal form.
 
     ``entity`` is the kind of thing a surrogate is drawn for; names are drawn word by word."""
     raw, kind = F.col("raw"), F.col("kind")
-    digits = F.regexp_replace(raw, "[^0-9]", "")
-    names = F.split(F.regexp_replace(raw, rf"^{_TITLE}\.? ", ""), " ")
+    digits = F.regexp_replace(F.when(kind == "card", _card(raw)).otherwise(raw), "[^0-9]", "")
+    names = F.split(F.regexp_replace(raw, f"^{_HEAD}", ""), " ")
     title = F.regexp_extract(raw, rf"^({_TITLE})", 1)
-    gender = F.when(title.isin(*_TITLES["f"]), "f").otherwise("m")
+    gender = F.when(title.isin(*_TITLES["f"]), "f").when(title.isin(*_TITLES["n"]), "n").otherwise("m")
     script = lambda word: F.when(word.rlike(r"^\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    family = F.element_at(names, -1)
-    person = F.array(
-        F.struct(F.lit("family").alias("part"), F.concat(F.lit("family_"), script(family)).alias("entity"), F.lower(family).alias("norm")))
-    given = names[0]
-    person = F.when(F.size(names) == 1, person).otherwise(F.concat(person, F.array(F.struct(
-        F.lit("given").alias("part"), F.concat(F.lit("given_"), gender, F.lit("_"), script(given)).alias("entity"), F.lower(given).alias("norm")))))
+    # The last word is the family's, all before it are given names.
+    person = F.transform(names, lambda word, i: F.struct(
+        i.alias("word"), F.concat(F.when(i == F.size(names) - 1, "family_").otherwise(F.concat(F.lit("given_"), gender, F.lit("_"))), script(word)).alias("entity"),
+        F.lower(word).alias("norm")))
     norm = (F.when(kind == "email", F.lower(raw)).when(kind == "ip", raw)
             .when(kind == "iban", F.replace(raw, F.lit(" "), F.lit("")))
             .when(kind == "phone", F.concat(F.when(raw.startswith("+"), F.concat(F.regexp_extract(raw, r"^\+(\d{1,3})", 1), F.lit("+"))).otherwise(""), digits))
             .otherwise(digits))
-    whole = F.array(F.struct(F.lit("whole").alias("part"), kind.alias("entity"), norm.alias("norm")))
+    whole = F.array(F.struct(F.lit(0).alias("word"), kind.alias("entity"), norm.alias("norm")))
     parts = F.when(kind == "person", person).otherwise(whole)
     return found.select("raw", "kind", F.explode(parts).alias("p")).select("raw", "kind", "p.*")
 
@@ -126,7 +146,8 @@ def _surrogate(key: str) -> Column:
         def mapped(text: Column, skip: int = 0) -> Column:
             """Digits to digits and letters to letters, but for the first ``skip`` characters."""
             one = lambda c, i: (F.when(i < skip, c).when(c.rlike("[0-9]"), (at(i) % 10).cast("string"))
-                                .when(c.rlike("[a-z]"), F.char(at(i) % 26 + 97)).when(c.rlike("[A-Z]"), F.char(at(i) % 26 + 65)).otherwise(c))
+                                .when(c.rlike("[a-z]"), F.char(at(i) % 26 + 97)).when(c.rlike("[A-Z]"), F.char(at(i) % 26 + 65))
+                                .when(c.rlike(r"[\p{L}\p{M}\p{N}]"), F.char(at(i) % 26 + 97)).otherwise(c))
             return F.array_join(F.transform(F.split(text, ""), one), "")
 
         # A country's code before "+" stays; a number does not begin with 0 unless it did.
@@ -153,8 +174,8 @@ def _surrogate(key: str) -> Column:
             name = F.array_join(F.transform(F.sequence(F.lit(1), F.least(F.col("draw") + 3, F.lit(60))), lambda i: F.get(parts, (at(i * 2) * 256 + at(i * 2 + 1)) % 40)), "")  # noqa: B023
             out = out.when(entity == f"family_{script}", name)
             more = F.when(F.col("draw") > 0, F.substr(name, F.lit(1), F.col("draw") * 2)).otherwise("")
-            for gender in "mf":
-                given = F.get(F.expr(_quoted(_GIVEN[gender, script])), at(F.lit(0)) % 16)
+            for gender in "mfn":
+                given = F.get(F.expr(_quoted(_GIVEN[gender, script])), at(F.lit(0)) % len(_GIVEN[gender, script].split()))
                 out = out.when(entity == f"given_{gender}_{script}", F.lower(F.concat(given, more)))
         return out
 
@@ -197,18 +218,20 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 def _rendered(parts: DataFrame, drawn: DataFrame) -> DataFrame:
     """(raw, surrogate): the surrogates of a match's parts in the match's own format."""
-    joined = parts.join(drawn, ["entity", "norm"]).groupBy("raw", "kind").agg(
-        F.max(F.when(F.col("part") == "given", F.col("surrogate"))).alias("given"),
-        F.max(F.when(F.col("part") != "given", F.col("surrogate"))).alias("main"))
+    words = F.array_sort(F.collect_list(F.struct("word", "surrogate")))
+    joined = parts.join(drawn, ["entity", "norm"]).groupBy("raw", "kind").agg(F.array_join(words["surrogate"], " ").alias("main"))
     raw, main = F.col("raw"), F.col("main")
+    card = F.when(F.col("kind") == "card", _card(raw)).otherwise(raw)
+    before = F.call_function("substring_index", raw, card, F.lit(1))
     digits = F.substring_index(main, "+", -1)
-    filled = F.array_join(F.transform(F.split(raw, ""), lambda c, i: F.when(
-        c.rlike("[0-9]"), F.substr(digits, F.length(F.regexp_replace(F.substr(raw, F.lit(1), i + 1), "[^0-9]", "")), F.lit(1))).otherwise(c)), "")
+    filled = F.array_join(F.transform(F.split(card, ""), lambda c, i: F.when(
+        c.rlike("[0-9]"), F.substr(digits, F.length(F.regexp_replace(F.substr(card, F.lit(1), i + 1), "[^0-9]", "")), F.lit(1))).otherwise(c)), "")
+    filled = F.concat(before, filled, F.substr(raw, F.length(before) + F.length(card) + 1))
     spaced = F.array_join(F.transform(F.split(raw, ""), lambda c, i: F.when(c == " ", c).otherwise(
         F.substr(main, F.length(F.replace(F.substr(raw, F.lit(1), i + 1), F.lit(" "), F.lit(""))), F.lit(1)))), "")
     upper = raw == F.upper(raw)
-    head = F.regexp_extract(raw, rf"^{_TITLE}\.? ", 0)
-    name = F.concat_ws(" ", F.initcap("given"), F.initcap("main"))
+    head = F.regexp_extract(raw, f"^{_HEAD}", 0)
+    name = F.initcap("main")
     shown = (F.when(F.col("kind") == "email", F.when(upper, F.upper(main)).otherwise(main)).when(F.col("kind") == "ip", main)
              .when(F.col("kind") == "iban", spaced)
              .when(F.col("kind") == "person", F.concat(head, F.when(upper, F.upper(name)).otherwise(name))).otherwise(filled))
@@ -223,9 +246,9 @@ def pseudonymise(df: DataFrame, key: str = DEFAULT_KEY, id_column: str = "doc_id
     keyed = rows.where(_maybe(text)).withColumns({"pii_id": col(id_column), "pii_hash": F.xxhash64(text)})
     hits = keyed.select("pii_id", "pii_hash", F.posexplode(_found(text)).alias("place", "raw")).distinct()
     hits = _table(hits.withColumn("kind", _kind_column(F.col("raw"))), "pii-hits")
-    parts = _table(_entities(hits.select("raw", "kind").distinct()), "pii-parts")
+    parts = _table(_entities(hits.where("kind <> 'none'").select("raw", "kind").distinct()), "pii-parts")
     drawn = surrogates(parts.select("entity", "norm").distinct(), key)
-    placed = hits.join(_rendered(parts, drawn), "raw").groupBy("pii_id", "pii_hash").agg(
+    placed = hits.join(_rendered(parts, drawn), "raw", "left").withColumn("surrogate", F.coalesce("surrogate", "raw")).groupBy("pii_id", "pii_hash").agg(
         F.array_sort(F.collect_list(F.struct("place", "surrogate", "kind"))).alias("pii_found"))
     # Only texts that may hold an entity are shuffled.
     same = F.col("d.pii_id").eqNullSafe(F.col("p.pii_id")) & (F.col("d.pii_hash") == F.col("p.pii_hash"))

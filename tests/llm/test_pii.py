@@ -70,3 +70,30 @@ def test_odd_rows_and_plan(spark, odd, empty):
     assert pii.pseudonymise(empty).count() == 0
     plan = pii.pseudonymise(odd.withColumn("n_email", F.lit(1)))._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+WHOLE = {
+    "person": ["Mrs Anna-Maria Smith-Jones", "Mr John Michael Smith", "Mr O'Brien", "Mr. J. Smith", "Dr. Anna Smith", "Herr Prof. Dr. Jörg Müller-Lüdenscheidt"],
+    "email": ["jörg.müller@example.de", "info@müller.de", "иван@почта.рф"],
+    "phone": ["415 555 0123", "1-800-555-0199", "01 23 45 67 89", "0171 2345678", "+1 (264) 555-5961"],
+    "card": ["4111 1111 1111 1111", "4568668072826647"],
+}
+
+
+def test_nothing_of_an_entity_is_left(spark):
+    cases = [(kind, x) for kind, xs in WHOLE.items() for x in xs]
+    for (kind, x), r in zip(cases, sorted(run(spark, [(k, f"ask {x}, now") for k, (_, x) in enumerate(cases)])), strict=True):
+        assert r[f"n_{kind}"] == 1 and sum(r[f"n_{k}"] for k in pii.KINDS) == 1, x
+        assert r.text.startswith("ask ") and r.text.endswith(", now")
+        left = {w.lower() for w in re.findall(r"[^\W\d]{2,}", x)} & {w.lower() for w in re.findall(r"[^\W\d]{2,}", r.text)}
+        assert left <= {"mr", "mrs", "dr", "herr", "prof", "example"}, (x, r.text)  # titles, and the domain of all surrogates
+        assert kind != "email" or r.text.isascii()
+        assert not re.search(r"\d", x) or re.sub(r"\D", "", r.text) != re.sub(r"\D", "", x)
+
+
+def test_a_card_has_a_check_digit(spark):
+    texts = ["no card 4111 1111 1111 1112 here", "id 4568668072826649", "2 4111 1111 1111 1111 12", "on 01.02.2024 and 01-02-2024"]
+    got = sorted(run(spark, list(enumerate(texts))))
+    assert [got[k].text for k in (0, 1, 3)] == [texts[k] for k in (0, 1, 3)] and got[0].n_card == got[1].n_card == 0
+    found = re.fullmatch(r"2 (4\d{3} \d{4} \d{4} \d{4}) 12", got[2].text)
+    assert found and luhn(found[1]) and "1111 1111" not in found[1] and got[2].n_card == 1
