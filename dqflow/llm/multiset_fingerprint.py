@@ -1,7 +1,7 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs.
 
 A fingerprint is the sum of one wide vector per paragraph: ``EXACT`` lanes modulo 2**64, uniform
-in all bits, and ``SIGNS`` lanes modulo 2**16 to which each paragraph adds +1 or -1.  Sums do not
+in all bits, and ``SIGNS`` signed lanes modulo 2**32 to which each paragraph adds +1 or -1.  Sums do not
 depend on order, and a paragraph is inserted or deleted by adding or subtracting its vector
 (``plus``, ``minus``), so a fingerprint follows an edit without reading the rest.  Equal multisets
 have equal fingerprints; different ones agree with a chance of about 2**-256.  The likeness of two
@@ -9,7 +9,8 @@ fingerprints is the cosine of their sign lanes, which estimates how much of the
 counts) they share, to about 1 / sqrt(SIGNS); negative estimates count as 0.
 
 A paragraph is a line that is not blank; lines over ``LONG_LINE`` characters are cut after ends
-of sentences.  White space around a paragraph does not count.
+of sentences, and what is still longer after words that a hash picks (in words as long, after
+characters), and before ``PIECE`` characters are passed.  White space around a paragraph does not count.
 
 ``against_next`` pairs each document with the next in descending id.  Ids are dealt into ranges;
 each range is sorted on its own, and the first document of the range below is sent along as a
@@ -25,6 +26,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,25 +39,52 @@ from pyspark.sql import functions as F
 from dqflow.llm.frames import col
 
 EXACT, SIGNS = 4, 256
-WIDTH = 8 * EXACT + 2 * SIGNS
+WIDTH = 8 * EXACT + 4 * SIGNS
 LONG_LINE = 120
+#: The longest piece of what is still longer: a long text has several, also in its first half.
+PIECE = LONG_LINE // 2
 #: Text characters fingerprinted at once.
 CHUNK_CHARS = 4 << 20
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
+_WORD = re.compile(r"\S+\s*")
+
+
+def _ends(line: str) -> Iterator[tuple[int, bool]]:
+    """Where a line can be cut, and whether its content says so there."""
+    for m in _WORD.finditer(line):
+        if m.end() - m.start() > PIECE:
+            for i in range(m.start() + 4, m.end()):
+                yield i, zlib.crc32(line[i - 4:i].encode()) % 32 == 0
+        yield m.end(), zlib.crc32(m[0].rstrip().encode()) % 8 == 0
+
+
+def _pieces(line: str) -> Iterator[str]:
+    start = last = 0
+    for end, stop in _ends(line):
+        if end - start > PIECE and last > start:
+            yield line[start:last]
+            start = last
+        if stop:
+            yield line[start:end]
+            start = end
+        last = end
+    yield line[start:]
 
 
 def paragraphs(text: str) -> list[bytes]:
     out = []
     for line in text.split("\n"):
         for part in _SENTENCE.split(line) if len(line) > LONG_LINE else (line,):
-            if part := part.strip():
-                out.append(part.encode())
+            part = part.strip()
+            for piece in _pieces(part) if len(part) > LONG_LINE else (part,):
+                if piece := piece.strip():
+                    out.append(piece.encode())
     return out
 
 
 class Vectors:
-    """Fingerprints of several texts: ``exact`` (n, EXACT) uint64 and ``signs`` (n, SIGNS) int16."""
+    """Fingerprints of several texts: ``exact`` (n, EXACT) uint64 and ``signs`` (n, SIGNS) int32."""
 
     def __init__(self, exact: np.ndarray, signs: np.ndarray):
         self.exact, self.signs = exact, signs
@@ -63,7 +93,7 @@ class Vectors:
     def of(cls, texts: list[str]) -> Vectors:
         parts = [paragraphs(t) for t in texts]
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        exact, signs = np.zeros((len(texts), EXACT), np.uint64), np.zeros((len(texts), SIGNS), np.int16)
+        exact, signs = np.zeros((len(texts), EXACT), np.uint64), np.zeros((len(texts), SIGNS), np.int32)
         at, some = 0, np.flatnonzero(sizes)
         while at < len(some):  # rows of about 50,000 paragraphs at a time; a longer text alone
             to = at + max(1, int(np.searchsorted(np.cumsum(sizes[some[at:]]), 50_000, "right")))
@@ -75,14 +105,14 @@ class Vectors:
             exact[rows] = np.add.reduceat(np.ascontiguousarray(table[:, :8 * EXACT]).view("<u8"), first, axis=0)
             bits = np.unpackbits(table[:, 8 * EXACT:], axis=1)
             ones = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
-            signs[rows] = (2 * ones - sizes[rows, None]).astype(np.int16)  # modulo 2**16
+            signs[rows] = (2 * ones - sizes[rows, None]).astype(np.int32)  # modulo 2**32
             at = to
         return cls(exact, signs)
 
     @classmethod
     def read(cls, fingerprints: list[str]) -> Vectors:
         raw = np.frombuffer(bytes.fromhex("".join(fingerprints)), np.uint8).reshape(-1, WIDTH)
-        return cls(np.ascontiguousarray(raw[:, :8 * EXACT]).view("<u8"), np.ascontiguousarray(raw[:, 8 * EXACT:]).view("<i2"))
+        return cls(np.ascontiguousarray(raw[:, :8 * EXACT]).view("<u8"), np.ascontiguousarray(raw[:, 8 * EXACT:]).view("<i4"))
 
     def __getitem__(self, rows) -> Vectors:
         return Vectors(self.exact[rows], self.signs[rows])
@@ -94,7 +124,7 @@ class Vectors:
         return Vectors(self.exact - other.exact, self.signs - other.signs)
 
     def hex(self) -> list[str]:
-        raw = np.concatenate([self.exact.astype("<u8").view(np.uint8), self.signs.astype("<i2").view(np.uint8)], axis=1)
+        raw = np.concatenate([self.exact.astype("<u8").view(np.uint8), self.signs.astype("<i4").view(np.uint8)], axis=1)
         return [row.tobytes().hex() for row in raw]
 
     def likeness(self, other: Vectors) -> np.ndarray:

@@ -60,3 +60,18 @@ def test_likeness_follows_overlap():
     near = v[[0, 0, 0]].likeness(v)
     assert near[0] == 1.0 and abs(near[1] - 0.5) < 0.15 and near[2] < 0.2
     assert np.all(mf.Vectors.of(["", ""])[[0]].likeness(mf.Vectors.of([""])) == 1.0)
+
+
+def test_very_frequent_lines():
+    v = mf.Vectors.of(["same line\n" * 40_000, "same line\n" * 20_000 + "other\n" * 100])
+    assert v[[0]].likeness(v[[1]])[0] > 0.9
+    assert mf.Vectors.read(v.hex()).likeness(v).tolist() == [1.0, 1.0] and v.plus(v).minus(v).hex() == v.hex()
+
+
+def test_long_lines_share_what_is_kept():
+    words = " ".join(f"word{k * k % 97}" for k in range(200))
+    for text in (words, "word " * 60, "".join(chr(0x4E00 + k * k % 997) for k in range(400)), "word" * 60):
+        own, new = mf.paragraphs(text.strip()), mf.paragraphs(mf.edit(text.strip(), "#" * 10_000))
+        assert len(own) > 1 and set(own) & set(new) and all(len(p.decode()) <= mf.LONG_LINE for p in own)
+    # A word in front changes the first pieces only.
+    assert len(set(mf.paragraphs(words)) & set(mf.paragraphs("more " + words))) > len(set(mf.paragraphs(words))) / 2
