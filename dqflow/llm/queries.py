@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dqflow.llm import byte_bpe, chat_format, decontamination, multiset_fingerprint, pii, quality, secret_scan, simhash, substring_dedup, token_counts
+from dqflow.llm import bit_sliced, byte_bpe, chat_format, decontamination, multiset_fingerprint, pii, quality, secret_scan, simhash, substring_dedup, token_counts
 from dqflow.sources.reader import read_table
 
 #: Rank files and vocabularies; the paths exist on every machine.
@@ -91,6 +91,10 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_bit_sliced_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return bit_sliced.top_k(read_table(spark, sf, "embeddings"), k=10, is_query=F.col("vec_id") % 100 == 0)
+
+
 def _importable(query):
     """The query, run so that Python workers find this library where the driver found it."""
 
@@ -117,6 +121,7 @@ def queries() -> dict:
         "op8_pii_surrogates": op8_pii_surrogates,
         "op9_multiset_fingerprint": op9_multiset_fingerprint,
         "op10_token_counts": op10_token_counts,
+        "op11_bit_sliced_topk": op11_bit_sliced_topk,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _importable(query) for name, query in found.items()}
@@ -169,6 +174,20 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN hits ON hits.r = d.r LEFT JOIN items ON items.r = d.r
 """
 
+#: Finite components only; a shorter vector is as if filled with zeros.
+OP11_SQL = r"""
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS s
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.r AS qr, q.vec_id AS query_id, c.r, c.vec_id,
+        CAST(coalesce(list_sum(list_transform(list_zip(q.s, c.s, true), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id NULLS LAST, r) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3_SQL, "op6_decontamination": OP6_SQL}
+    return {"op3_chat_format": OP3_SQL, "op6_decontamination": OP6_SQL, "op11_bit_sliced_topk": OP11_SQL}
