@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dqflow.llm import bit_sliced, byte_bpe, chat_format, decontamination, multiset_fingerprint, pii, quality, secret_scan, simhash, substring_dedup, token_counts
+from dqflow.llm import bit_sliced, byte_bpe, chat_format, decontamination, multiset_fingerprint, pii, quality, secret_scan, simhash, substring_dedup, token_counts, whitening
 from dqflow.sources.reader import read_table
 
 #: Rank files and vocabularies; the paths exist on every machine.
@@ -95,6 +95,13 @@ def op11_bit_sliced_topk(spark: SparkSession, sf: str) -> DataFrame:
     return bit_sliced.top_k(read_table(spark, sf, "embeddings"), k=10, is_query=F.col("vec_id") % 100 == 0)
 
 
+def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    done = whitening.whiten(read_table(spark, sf, "embeddings"), most=8)
+    # A long holds the deviations of tables of up to some millions of such rows; beyond it they are null here.
+    return done.withColumn("deviation", F.col("deviation").try_cast("long")).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 def _importable(query):
     """The query, run so that Python workers find this library where the driver found it."""
 
@@ -122,6 +129,7 @@ def queries() -> dict:
         "op9_multiset_fingerprint": op9_multiset_fingerprint,
         "op10_token_counts": op10_token_counts,
         "op11_bit_sliced_topk": op11_bit_sliced_topk,
+        "op13_embedding_whitening": op13_embedding_whitening,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _importable(query) for name, query in found.items()}
