@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dqflow.llm import bit_sliced, byte_bpe, chat_format, decontamination, multiset_fingerprint, pii, quality, secret_scan, simhash, substring_dedup, token_counts, whitening
+from dqflow.llm import bit_sliced, byte_bpe, chat_format, decontamination, multiset_fingerprint, pii, prefix_trie, quality, secret_scan, simhash, substring_dedup, token_counts, whitening
 from dqflow.sources.reader import read_table
 
 #: Rank files and vocabularies; the paths exist on every machine.
@@ -95,6 +95,12 @@ def op11_bit_sliced_topk(spark: SparkSession, sf: str) -> DataFrame:
     return bit_sliced.top_k(read_table(spark, sf, "embeddings"), k=10, is_query=F.col("vec_id") % 100 == 0)
 
 
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    turns = prefix_trie.placed_turns(read_table(spark, sf, "conversations"))
+    base, heads = F.col("conv_id") - F.col("conv_id") % 5, F.crc32(F.col("conv_id").cast("string")) % 9
+    return prefix_trie.trie(*prefix_trie.with_shared_heads(turns, base, heads, most=8))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
     done = whitening.whiten(read_table(spark, sf, "embeddings"), most=8)
     # A long holds the deviations of tables of up to some millions of such rows; beyond it they are null here.
@@ -129,6 +135,7 @@ def queries() -> dict:
         "op9_multiset_fingerprint": op9_multiset_fingerprint,
         "op10_token_counts": op10_token_counts,
         "op11_bit_sliced_topk": op11_bit_sliced_topk,
+        "op12_prefix_trie": op12_prefix_trie,
         "op13_embedding_whitening": op13_embedding_whitening,
         "pipeline": corpus_pipeline.run,
     }
@@ -196,6 +203,39 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+#: The checksum of an id's digits goes byte by byte, eight shifts each.
+OP12_SQL = r"""
+WITH own AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (
+    SELECT conv_id, ts, xor(list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+        lambda crc, byte: list_reduce(
+            list_prepend(xor(crc, byte), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+            lambda s, z: xor(s >> 1, CASE WHEN s % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END))), CAST(4294967295 AS BIGINT)) % 9 AS h
+    FROM own),
+c AS (
+    SELECT h.conv_id, list_concat(coalesce(b.ts, [])[1:h.h], h.ts[h.h + 1:]) AS ts
+    FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 5),
+m AS (SELECT conv_id, len(ts) AS n, d, ts[1:d] AS k FROM (SELECT conv_id, ts, unnest(range(0, len(ts) + 1)) AS d FROM c)),
+node AS (
+    SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, count(*) FILTER (n = d) AS n_ends,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+    FROM m GROUP BY d, k),
+child AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+below AS (
+    SELECT x.d, x.k, sum(CASE WHEN y.n_ends = y.n_convs THEN 1 ELSE 0 END) AS n_leaves,
+        sum(CASE WHEN y.d = 0 THEN 0 ELSE (y.n_convs - 1) * strlen(y.k[y.d].text) END) AS saved
+    FROM node x JOIN node y ON y.d >= x.d AND y.k[1:x.d] = x.k GROUP BY x.d, x.k)
+SELECT node.conv_id, node.d AS depth, parent.conv_id AS parent_conv_id, node.n_convs, coalesce(child.n, 0) AS n_children,
+    CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node JOIN below ON below.d = node.d AND below.k = node.k
+LEFT JOIN child ON child.d = node.d AND child.k = node.k
+LEFT JOIN node parent ON parent.d = node.d - 1 AND parent.k = node.k[1:node.d - 1]
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3_SQL, "op6_decontamination": OP6_SQL, "op11_bit_sliced_topk": OP11_SQL}
+    return {"op3_chat_format": OP3_SQL, "op6_decontamination": OP6_SQL, "op11_bit_sliced_topk": OP11_SQL, "op12_prefix_trie": OP12_SQL}
