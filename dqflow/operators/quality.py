@@ -53,11 +53,14 @@ def flag_duplicates(
         .groupBy(k)
         .agg(F.count(F.lit(1)).alias(n))
     )
-    dups = counts.where(F.col(n) > 1)
+    # A stage of its own: with its size known, Spark joins a small set of keys by broadcast and
+    # the rows are not shuffled.  They wait for it, as ``hot`` is made from it.
+    dups = counts.where(F.col(n) > 1).repartition(F.col(k))
     # Grouping and joins treat -0.0 and 0.0 as one key; hash them as one too.
     key_type = keyed.schema[k].dataType
     hashed = F.xxhash64(F.col(k) + F.lit(0.0) if isinstance(key_type, (T.FloatType, T.DoubleType)) else F.col(k))
-    share = counts.agg(F.coalesce(F.sum(n), F.lit(0)).alias("total")).select(
+    # Rows under a duplicated key are as many as matter: fewer than HOT_KEYS keys can hold more than this share of them.
+    share = dups.agg(F.coalesce(F.sum(n), F.lit(0)).alias("total")).select(
         F.greatest(F.lit(rows_per_salt).cast("long"), F.ceil(F.col("total") / HOT_KEYS)).alias("share"))
     per_salt = share.scalar()
     hot = (

@@ -13,16 +13,16 @@ Plan shape (``materialize="none"``, the default):
 * **KO branch** = ``filter(NOT coalesce(p1 AND ..., false))``, then the
   error report is built for the failing rows only (rejected rows are
   usually few, so the labels are evaluated on little data).
-* Each rule's label is a small expression of its own.  Filters and report are
-  kept out of whole-stage codegen, where all rules would become one method
-  too large for the JVM to compile (see ``split_filter``).
+* All rules of a branch are compiled in one operator, the filter or the
+  projection of the labels, which is kept out of whole-stage codegen, where they
+  would become one method too large for the JVM to compile (see ``beside``).
 
 ``annotated()`` is the cache-free single pass: every row with ``is_valid`` and
 the report (NULL when valid); written with ``partitionBy("is_valid")`` it
 yields both outputs from one scan and one job.
 
 ``materialize="persist"`` / ``"checkpoint"`` evaluates every rule once per
-row into per-field label arrays, materialises that annotated frame
+row into a few bit masks, materialises that annotated frame
 (executor storage, or a reliable checkpoint in ``spark.checkpoint.dir``) and
 splits it; use it for an expensive upstream (O8).  Where the input or a rule is
 not deterministic (``rand()``, ``uuid()``), the two branches must see one
@@ -32,6 +32,7 @@ was asked for (O13).
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass, field as dc_field
 from functools import cached_property
@@ -60,6 +61,13 @@ JOINER = "; "
 MORE_PREFIX, MORE_SUFFIX = "; ... (+", " more)"
 DEFAULT_MAX_ERRORS = 0  # no limit: every label is kept
 
+# Columns that hold a row's failed rules, a bit each, while a report is built, and the rules of
+# one column (the table of its reports has 2^n entries).
+MASK = "__dq_failed"
+PART_RULES = 7
+# Parts whose look-ups together stay well below the size of method the JVM compiles.
+FEW_PARTS = 5
+
 _ERROR_COLS = (ERRORS_MAP, ERRORS_TEXT, ERRORS_ARRAY)
 
 
@@ -129,20 +137,20 @@ def all_of(cols: Sequence[Column]) -> Column:
     return cols[0]
 
 
+def beside(column: Column) -> Column:
+    """Always TRUE.  An operator that holds a lambda is left out of whole-stage codegen, where all
+    rules would be one method, and beyond 8,000 bytes of bytecode the JVM only interprets a method.
+    Outside, Spark compiles the operator's expressions into small methods.  Only what lies under
+    the lambda is interpreted, so it stands beside the rules and reads one ``column``."""
+    return F.forall(F.array(column), lambda _: F.lit(True))
+
+
 def split_filter(rules: Sequence["CompiledRule"]) -> Column:
-    """TRUE when every rule holds.  Cheap rules are plain conjuncts, so they reach the
-    scan.  The others are tested through a lambda, which keeps the filter out of
-    whole-stage codegen: there all rules would be one method, and beyond 8,000 bytes
-    of bytecode the JVM only interprets it; outside, Spark cuts code into small methods."""
+    """TRUE when every rule holds: a plain conjunction, cheap rules first, so that they reach the
+    scan and spare a failing row the expensive ones."""
     ordered = cheap_first(rules)
-    cheap = [r.predicate for r in ordered if _RULE_COST.get(r.rule, _DEFAULT_COST) <= _PUSHABLE_COST]
-    rest = [r.passed for r in ordered if _RULE_COST.get(r.rule, _DEFAULT_COST) > _PUSHABLE_COST]
-    out = cheap
-    if len(rules) > FEW_RULES:
-        out = cheap + [F.forall(F.array(*(rest or [F.lit(True)])), lambda p: p)]
-    else:
-        out = cheap + rest
-    return all_of(out)
+    conj = all_of([r.predicate if _RULE_COST.get(r.rule, _DEFAULT_COST) <= _PUSHABLE_COST else r.passed for r in ordered])
+    return conj & beside(ordered[0].column) if len(rules) > FEW_RULES else conj
 
 
 # ---------------------------------------------------------------------------
@@ -156,6 +164,7 @@ class CompiledRule:
     rule: str
     label: str
     predicate: Column
+    column: Column
 
     @cached_property
     def passed(self) -> Column:
@@ -210,7 +219,7 @@ def compile_rules(
     frame = df
     helpers: list[str] = []
     unique: list[tuple[Column, str]] = []
-    per_field: dict[str, list[tuple[str, str, Column]]] = {}
+    per_field: dict[str, list[tuple[str, str, Column, Column]]] = {}
     for block in rules:
         if not isinstance(block, Mapping):
             raise InvalidValidationConfig(f"a rule block is a dict, not {block!r}")
@@ -238,11 +247,11 @@ def compile_rules(
             except ValidationException as exc:
                 raise InvalidValidationConfig(f"rule for {fname!r}: {exc}") from exc
             label = entry.message or block_msg or f"{fname}:{entry.type}"  # D-6
-            per_field.setdefault(fname, []).append((entry.type, label, pred))
+            per_field.setdefault(fname, []).append((entry.type, label, pred, column))
     compiled = []
     for fname, items in per_field.items():
-        for rule, label, pred in items:
-            compiled.append(CompiledRule(len(compiled), fname, rule, label, pred))
+        for rule, label, pred, column in items:
+            compiled.append(CompiledRule(len(compiled), fname, rule, label, pred, column))
     return CompiledRules(frame, compiled, list(per_field), helpers, df, unique, rows_per_salt)
 
 
@@ -381,66 +390,116 @@ def _empty_ko(df: DataFrame) -> DataFrame:
     )
 
 
-def _present(parts: list[Column]) -> Column:
-    """The non-null values of ``parts`` as an array.  The lambda keeps the projection out
-    of whole-stage codegen, so that each value's code is a small method of its own (see
-    ``split_filter``)."""
-    return F.filter(F.array(*parts), lambda x: x.isNotNull())
-
-
-def _field_arrays(c: CompiledRules) -> list[tuple[str, Column]]:
-    """Per field: the labels of its failing rules, in rule order (D-7)."""
-    return [(fname, _present([F.when(r.failed, F.lit(r.label)) for r in rs])) for fname, rs in c.by_field()]
+@dataclass
+class Part:
+    """Rules that are reported by one look-up: a bit of the column ``mask`` for each rule that failed."""
+
+    mask: str
+    rules: list[CompiledRule]
+    whole: bool  # all rules of its fields are here
+
+
+def _parts(c: CompiledRules) -> list[Part]:
+    """The rules in their order, whole fields together, at most ``PART_RULES`` a part; a field with more is cut."""
+    groups: list[tuple[list[CompiledRule], bool]] = []
+    for _, rules in c.by_field():
+        if len(rules) > PART_RULES:
+            groups += [(rules[i:i + PART_RULES], False) for i in range(0, len(rules), PART_RULES)]
+        elif groups and groups[-1][1] and len(groups[-1][0]) + len(rules) <= PART_RULES:
+            groups[-1] = (groups[-1][0] + rules, True)
+        else:
+            groups.append((rules, True))
+    return [Part(f"{MASK}{i}", rules, whole) for i, (rules, whole) in enumerate(groups)]
+
+
+def _masks(c: CompiledRules, parts: list[Part]) -> list[Column]:
+    """A number for each part: which of its rules a row fails.  This is where the rules of a report are
+    evaluated, all of them compiled and in one projection (several columns read each mask, so Spark
+    does not merge it with the next)."""
+    out = []
+    for k, part in enumerate(parts):
+        mask = None
+        for i, rule in enumerate(part.rules):
+            failed = beside(rule.column) & rule.failed if len(c.rules) > FEW_RULES and not k and not i else rule.failed
+            bit = F.when(failed, F.lit(1 << i)).otherwise(F.lit(0))
+            mask = bit if mask is None else mask.bitwiseOR(bit)
+        out.append(mask.alias(part.mask))
+    return out
+
+
+def _none_failed(parts: list[Part]) -> Column:
+    return all_of([F.col(p.mask) == 0 for p in parts])
+
+
+def _answers(part: Part, max_per_field: int) -> Column:
+    """What a part reports, for the row's mask: the map ``m``, the labels ``a`` and their text ``t``.
+
+    A constant table with an entry for each mask, so a report is looked up, not assembled."""
+    table = []
+    for mask in range(1 << len(part.rules)):
+        failed = [r for i, r in enumerate(part.rules) if mask >> i & 1]
+        by_field: dict[str, list[str]] = {}
+        for r in failed:
+            by_field.setdefault(r.field, []).append(r.label)
+        labels = [r.label for r in failed]
+        limited = {f: v[:max_per_field] if max_per_field > 0 and part.whole else v for f, v in by_field.items()}
+        table.append({"m": limited, "a": labels, "t": JOINER.join(labels) if failed else None})
+    # Spark evaluates a constant expression once, when it optimises the plan.
+    constant = F.from_json(F.lit(json.dumps(table)), "array<struct<m: map<string,array<string>>, a: array<string>, t: string>>")
+    return F.get(constant, F.col(part.mask))
+
+
+def _error_map(parts: list[Part], answers: list[Column], max_per_field: int) -> Column:
+    """D-8: field -> labels of its failed rules (D-7)."""
+    maps: list[Column] = []
+    cut: dict[str, list[tuple[Part, Column]]] = {}
+    for part, answer in zip(parts, answers):
+        if part.whole:
+            maps.append(answer["m"])
+        else:
+            cut.setdefault(part.rules[0].field, []).append((part, answer))
+    for fname, pieces in cut.items():
+        labels = F.concat(*[answer["a"] for _, answer in pieces])
+        kept = F.slice(labels, 1, max_per_field) if max_per_field > 0 else labels
+        none = F.from_json(F.lit("{}"), "map<string,array<string>>")
+        maps.append(F.when(_none_failed([p for p, _ in pieces]), none).otherwise(F.create_map(F.lit(fname), kept)))
+    return F.map_concat(*maps) if len(maps) > 1 else maps[0]
 
 
 def _report(
     annotated: DataFrame,
     out_cols: list[str],
-    fields: list[str],
-    field_cols: list[str],
+    parts: list[Part],
     max_per_field: int,
     max_per_row: int,
     keep_array: bool,
-    rules_per_field: Sequence[int],
     only_when: Column | None = None,
 ) -> DataFrame:
-    """Derive the error map / text / array from per-field label arrays.
+    """Derive the error map / text / array from the masks of failed rules.
 
-    A limit that a field (or row) cannot reach with its number of rules is
-    left out of the plan: no per-row slice or branch that would never apply.
-    With ``only_when`` the report is built only for rows where it holds (NULL
-    elsewhere); CASE WHEN evaluates its branch lazily, so other rows skip it.
+    A limit that a row cannot reach with its number of rules is left out of the
+    plan.  With ``only_when`` the report is built only for rows where it holds
+    (NULL elsewhere); CASE WHEN evaluates its branch lazily, so other rows skip it.
     """
-    def gated(c: Column) -> Column:
-        return c if only_when is None else F.when(only_when, c)
-
-    entries = []
-    for fname, fc, n_rules in zip(fields, field_cols, rules_per_field):
-        arr = F.col(fc)
-        kept = F.slice(arr, 1, max_per_field) if 0 < max_per_field < n_rules else arr
-        entry = F.struct(F.lit(fname).alias("key"), kept.alias("value"))
-        entries.append(F.when(F.size(arr) > 0, entry))
-    flat = F.flatten(F.array(*[F.col(fc) for fc in field_cols]))
-    step = annotated.select(
-        *[F.col(quote(n)) for n in out_cols],
-        gated(F.map_from_entries(_present(entries))).alias(ERRORS_MAP),  # D-8
-        gated(flat).alias("__dq_flat"),
-    )
-    arr = F.col("__dq_flat")
-    n = F.size(arr)
-    if 0 < max_per_row < sum(rules_per_field):  # D-9
-        joined = F.concat_ws(JOINER, F.slice(arr, 1, max_per_row))
-        text = F.when(
-            n > max_per_row,
-            F.concat(joined, F.lit(MORE_PREFIX), (n - max_per_row).cast("string"), F.lit(MORE_SUFFIX)),
-        ).otherwise(joined)
-    else:
-        text = F.concat_ws(JOINER, arr)
-    text = gated(F.when(n == 0, F.lit(UNKNOWN_ERROR)).otherwise(text))
-    final = [F.col(quote(n_)) for n_ in out_cols] + [F.col(ERRORS_MAP), text.alias(ERRORS_TEXT)]
+    def gated(col: Column) -> Column:
+        return col if only_when is None else F.when(only_when, col)
+
+    answers = [_answers(p, max_per_field) for p in parts]
+    labels = F.concat(*[a["a"] for a in answers]) if len(answers) > 1 else answers[0]["a"]
+    text = F.concat_ws(JOINER, *[a["t"] for a in answers])  # skips NULLs
+    if 0 < max_per_row < sum(len(p.rules) for p in parts):  # D-9
+        n = F.size(labels)
+        short = F.concat(F.concat_ws(JOINER, F.slice(labels, 1, max_per_row)), F.lit(MORE_PREFIX), (n - max_per_row).cast("string"), F.lit(MORE_SUFFIX))
+        text = F.when(n > max_per_row, short).otherwise(text)
+    unknown = _none_failed(parts)
+    if len(parts) > FEW_PARTS:
+        unknown = unknown & beside(F.col(parts[0].mask))
+    text = F.when(unknown, F.lit(UNKNOWN_ERROR)).otherwise(text)
+    final = [F.col(quote(n)) for n in out_cols]
+    final += [gated(_error_map(parts, answers, max_per_field)).alias(ERRORS_MAP), gated(text).alias(ERRORS_TEXT)]
     if keep_array:  # D-10: untruncated
-        final.append(arr.alias(ERRORS_ARRAY))
-    return step.select(*final)
+        final.append(gated(labels).alias(ERRORS_ARRAY))
+    return annotated.select(*final)
 
 
 def _deterministic(df: DataFrame, c: CompiledRules) -> bool:
@@ -503,9 +562,9 @@ def validate(
         return ValidationResult(df, _empty_ko(df), c)
 
     out_cols = list(df.columns)
-    fields = [f for f, _ in c.by_field()]
-    field_cols = [f"__dq_e{i}" for i in range(len(fields))]
-    arrays = [a for _, a in _field_arrays(c)]
+    parts = _parts(c)
+    masks = _masks(c, parts)
+    none_failed = _none_failed(parts)
 
     def metrics() -> list[Column]:
         return [
@@ -527,20 +586,17 @@ def validate(
         conj = split_filter(c.rules)
         ok = c.after_row_rules().filter(conj)
         ko_rows = observed_frame.filter(~F.coalesce(conj, F.lit(False)))
-        annotated = ko_rows.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)])
+        annotated = ko_rows.select("*", *masks)
     else:
-        annotated_all = _materialize(
-            observed_frame.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)]), materialize
-        )
-        clean = all_of([F.size(F.col(n)) == 0 for n in field_cols])
+        annotated_all = _materialize(observed_frame.select("*", *masks), materialize)
+        clean = none_failed
         ok = annotated_all.filter(clean)
         annotated = annotated_all.filter(~clean)
 
     if c.helper_cols or materialize != "none":
         ok = ok.select(*[F.col(quote(n)) for n in out_cols])
-    per_field = [len(rs) for _, rs in c.by_field()]
-    ko = _report(annotated, out_cols, fields, field_cols, max_errors_per_field, max_errors_per_row, keep_array,
-                 per_field)
+    limits = (max_errors_per_field, max_errors_per_row, keep_array)
+    ko = _report(annotated, out_cols, parts, *limits)
 
     def annotate_all() -> DataFrame:
         if VALID_FLAG in out_cols:
@@ -549,12 +605,9 @@ def validate(
         if observe and annotated_all is None:
             result.observation_all = Observation(f"dqflow_validate_all_{uuid.uuid4().hex}")
             source = c.frame.observe(result.observation_all, *metrics())
-        every = annotated_all if annotated_all is not None else \
-            source.select("*", *[a.alias(n) for a, n in zip(arrays, field_cols)])
-        every = every.withColumn(VALID_FLAG, all_of([F.size(F.col(n)) == 0 for n in field_cols]))
-        return _report(every, out_cols + [VALID_FLAG], fields, field_cols,
-                       max_errors_per_field, max_errors_per_row, keep_array, per_field,
-                       only_when=~F.col(VALID_FLAG))
+        every = annotated_all if annotated_all is not None else source.select("*", *masks)
+        every = every.withColumn(VALID_FLAG, none_failed)
+        return _report(every, out_cols + [VALID_FLAG], parts, *limits, only_when=~F.col(VALID_FLAG))
 
     result = ValidationResult(ok, ko, c, annotated_all, clean, observation, annotate_all)
     return result

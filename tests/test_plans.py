@@ -137,3 +137,36 @@ def test_registered_queries_plan_hygiene(spark):
         if hits:
             bad[name] = hits
     assert not bad, bad
+
+
+def test_no_rule_lies_under_a_lambda(spark):
+    """What lies under a lambda is interpreted row by row: rules must stand beside it."""
+    import re
+
+    res = validate(read_table(spark, SF_SMALL, "lineitem"), LINE_RULES)
+    for df in (res.ok, res.ko, res.annotated()):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        under = re.findall(r"(?:forall|exists|filter|transform|aggregate)\((.*?)lambdafunction", text)
+        assert under and all(re.fullmatch(r"array\(\w+#\d+L?\), ", u) for u in under), under
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_errors_per_field": 2}, {"max_errors_per_row": 3}, {"max_errors_per_field": 1, "max_errors_per_row": 9}])
+def test_look_up_tables_report_what_failed(spark, limits):
+    """Fields with fewer rules than a table holds, with more, and several tables, against the labels put together by hand."""
+    df = spark.createDataFrame([(i % 11, i % 7, f"v{i}" if i % 5 else None) for i in range(60)], "a int, b int, c string")
+    rules = [{"field": "b", "validations": [{"type": "greaterThan", "value": k, "message": f"b;\"{k}\" über"} for k in range(2)]},
+             {"field": "a", "validations": [{"type": "greaterThan", "value": k, "message": f"a {k}"} for k in range(17)]},
+             {"field": "c", "validations": ["notNull", {"type": "maxLength", "value": 2, "message": " "}]}]
+    res = validate(df, rules, keep_array=True, **limits)
+    checks = [("b", f"b;\"{k}\" über", lambda r, k=k: r.b > k) for k in range(2)] + [("a", f"a {k}", lambda r, k=k: r.a > k) for k in range(17)]
+    checks += [("c", "c:notNull", lambda r: r.c is not None), ("c", " ", lambda r: r.c is not None and len(r.c) <= 2)]
+    rows = res.ko.collect()
+    assert len(rows) == sum(any(not ok(r) for _, _, ok in checks) for r in df.collect())
+    for r in rows:
+        failed = [(f, label) for f, label, ok in checks if not ok(r)]
+        per, most = limits.get("max_errors_per_field") or 99, limits.get("max_errors_per_row") or 99
+        want = {f: [x for g, x in failed if g == f][:per] for f, _ in failed}
+        labels = [x for _, x in failed]
+        more = f"; ... (+{len(labels) - most} more)" if len(labels) > most else ""
+        assert r.validation_errors == want and r.validation_errors_array == labels
+        assert r.validation_errors_text == "; ".join(labels[:most]) + more
