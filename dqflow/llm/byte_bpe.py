@@ -3,11 +3,12 @@
 Each task packs documents into blocks of bounded size and lists the distinct words (pre-tokens)
 of a block.  Words are dealt to shards by hash, so that equal words of all blocks meet; there,
 Spark's higher-order functions fold the ranked merges over the byte array of each distinct word,
-with the rank map as a literal of the plan.  The ids go back to the blocks, packed, and are laid
-out along each document.  Texts are shuffled once, compressed, to meet their ids.
+with the rank map as a literal of the plan.  The ids of a block's words go back to it, as sizes and
+two bytes an id, and are laid out along each document.  Texts are shuffled once, compressed, to
+meet their ids.
 
-Every word costs one merge fold for ``FOLD_WORDS`` requests or fewer, a hot word as well as a rare
-one; requests are worked off in rows of that size, so no group is ever held whole.  A block is
+All requests of a shard are worked off together, so a word is folded once, a hot word as well as a
+rare one; a shard of over ``FOLD_WORDS`` requests is cut, so no group is ever held whole.  A block is
 known by a hash of its rows; if a second reading of the input should cut it differently the job
 stops with an error instead of giving wrong ids.
 
@@ -40,16 +41,17 @@ from dqflow.llm.frames import col, with_arrow_columns
 WHOLE = 1 << 30
 #: Stands at both ends of a word while it is folded; no id, and above every id.
 EDGE = 65535
-#: An empty place of the rank map.
-FREE = 1 << 62
-#: Text bytes of a block, and words folded as one row.
+#: An empty place of the rank map.  Only the pair 0, whose places are the first of each table, could
+#: be taken for it, so these hold an entry of that pair with no id.
+FREE = 0
+#: Text bytes of a block, and requested words whose distinct ones are folded as one row.
 BLOCK_BYTES = 4 << 20
-FOLD_WORDS = 40_000
+FOLD_WORDS = 200_000
 #: Bytes of a word that is folded; the fold's work grows with the square of a word's length, so a
 #: longer word is merged by a heap where its document is laid out.
 FOLD_BYTES = 256
-#: Sizes of the two tables of the rank map (any that hold the map will do).
-TABLE_SIZES = (150001, 175003, 300007, 350003, 600011, 700001, 1200007, 1400017)
+#: Places of the rank map's two tables for each pair, at first, and by how much more if the pairs don't find theirs.
+ROOM, MORE_ROOM = 1.06, 1.15
 
 
 @functools.cache
@@ -77,20 +79,26 @@ def rank_map(path: str) -> tuple[str, tuple[int, int]]:
         for cut in range(1, len(p)):
             if (a := ids.get(p[:cut])) is not None and (b := ids.get(p[cut:])) is not None:
                 pairs[a << 16 | b] = i
-    for sizes in zip(TABLE_SIZES[::2], TABLE_SIZES[1::2], strict=True):
-        if len(pairs) < sizes[0] and (tables := _placed(pairs, sizes)):
+    room = ROOM
+    while True:
+        sizes = tuple(int(len(pairs) * room * share) + 101 | 1 for share in (1, 1.13))
+        if tables := _placed(pairs, sizes):
             return json.dumps({"a": tables[0], "b": tables[1]}, separators=(",", ":")), sizes
-    raise ValueError("the rank map does not fit the largest tables")
+        room *= MORE_ROOM
 
 
 def _placed(pairs: dict[int, int], sizes: tuple[int, int]) -> list[list[int]] | None:
     """Two tables in which each pair has one of its two places."""
-    tables = [[FREE] * sizes[0], [FREE] * sizes[1]]
+    none = pairs.get(0, EDGE)
+    tables = [[none] + [FREE] * (size - 1) for size in sizes]
     for pair, value in pairs.items():
+        if not pair:
+            continue
         entry, side = pair << 16 | value, 0
         for _ in range(500):
             at = (entry >> 16) % sizes[side]
-            entry, tables[side][at] = tables[side][at], entry
+            if at:  # the first place is taken for good
+                entry, tables[side][at] = tables[side][at], entry
             if entry == FREE:
                 break
             side = 1 - side
@@ -165,12 +173,12 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
             yield _rows(block=[block], shard=[-1], blob=[_zip(held)])
 
     def gathered(batches):
-        """Distinct words of many requests at once, and where each request's words are among them."""
-        held, size = [], 0
+        """Distinct words of a shard's requests, spelled in ids of bytes, and where each request's words are among them."""
+        held, size, now = [], 0, None
         first = np.array([pieces_of(vocabulary).index(bytes([b])) for b in range(256)], np.int32)
 
         def row():
-            every = pa.concat_arrays([w for _, _, w in held]).dictionary_encode()
+            every = pa.concat_arrays([w for _, w in held]).dictionary_encode()
             data, offsets = pretokens.ragged(every.dictionary)
             n = np.diff(offsets)
             spelled = np.full(len(data) + 2 * len(n), EDGE, np.int64)
@@ -178,21 +186,35 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
             spelled[place] = first[data]
             ends = offsets + 2 * np.arange(len(offsets))
             return _rows(
-                block=[[b for b, _, _ in held]], shard=[[s for _, s, _ in held]], sizes=[[len(w) for _, _, w in held]],
-                starts=[np.cumsum([1, *(len(w) for _, _, w in held[:-1])])], index=pa.ListArray.from_arrays(pa.array([0, len(every)], pa.int32()), every.indices),
+                shard=[now], blocks=[np.array([b for b, _ in held]).tobytes()], sizes=[np.array([len(w) for _, w in held], np.int32).tobytes()],
+                index=[every.indices.to_numpy().astype(np.int32).tobytes()],
                 words=pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(spelled))))
 
         for batch in batches:
             for block, shard, blob in _each(batch):
-                words = _unpacked(blob)
-                held.append((block, shard, words))
-                size += len(words)
-                if size >= FOLD_WORDS:
+                if held and (shard != now or size >= FOLD_WORDS):
                     yield row()
                     held, size = [], 0
+                now, words = shard, _unpacked(blob)
+                held.append((block, words))
+                size += len(words)
         if held:
             yield row()
 
+    def answered(batches):
+        """Each request with the sizes of its words and their ids."""
+        for batch in batches:
+            for i in range(batch.num_rows):
+                flat = np.asarray(batch.column("ids")[i].values)
+                edges = np.flatnonzero(flat == EDGE)
+                begin, n = edges[::2] + 1, edges[1::2] - edges[::2] - 1
+                flat = flat.astype("<u2")
+                blocks, sizes, index = (np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in (("blocks", np.int64), ("sizes", np.int32), ("index", np.int32)))
+                shard = batch.column("shard")[i].as_py()
+                for block, some in zip(blocks.tolist(), np.split(index, np.cumsum(sizes)[:-1]), strict=True):
+                    ids, size = _taken(flat, begin[some], n[some])
+                    yield _rows(block=[block], shard=[shard], blob=[_zip(len(size).to_bytes(4, "little") + size.astype("<u2").tobytes() + ids.tobytes())])
+
     def laid_out(batches):
         now, texts, answers = None, [], {}  # equal blocks are one block with several texts
         for batch in itertools.chain(batches, [None]):
@@ -208,28 +230,19 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
                 if shard < 0:
                     texts.append(batch.column("blob")[row].as_py())
                 else:
-                    words = batch.column("ids")[row].values
-                    answers[shard] = np.diff(np.asarray(words.offsets)), np.asarray(words.flatten()).astype(np.uint16)
+                    raw = _unzip(batch.column("blob")[row].as_py())
+                    n = int.from_bytes(raw[:4], "little")
+                    answers[shard] = np.frombuffer(raw, "<u2", n, 4).astype(np.int32), np.frombuffer(raw, "<u2", -1, 4 + 2 * n)
 
     literal, sizes = rank_map(vocabulary)
     tables = F.from_json(F.lit(literal), "a array<bigint>, b array<bigint>")
-    requests = rows.mapInArrow(asked, "block long, shard int, blob binary").repartition(tasks, "shard")
-    listed = requests.mapInArrow(
-        gathered, "block array<bigint>, shard array<int>, sizes array<int>, starts array<int>, index array<int>, words array<array<bigint>>")
-
-    def answered(words: Column) -> Column:
-        """Each request with the ids of its words."""
-        inner = lambda w: F.transform(F.slice(w, F.lit(2), F.size(w) - 2), lambda x: x.cast("int"))
-        request = lambda r: F.struct(
-            F.get("block", r).alias("block"), F.get("shard", r).alias("shard"), F.lit(None).cast("binary").alias("blob"),
-            F.transform(F.slice("index", F.get("starts", r), F.get("sizes", r)), lambda i: inner(F.get(words, i))).alias("ids"))
-        return F.transform(F.sequence(F.lit(0), F.size("block") - 1), request)
-
-    # The outer transforms bind the literal, and the folded words, once for a row.
-    folded = lambda t: F.transform("words", lambda w: merged(w, t, sizes))
-    each = F.get(F.transform(F.array(F.get(F.transform(F.array(tables), folded), F.lit(0))), answered), F.lit(0))
-    kept_rows = rows.mapInArrow(kept, "block long, shard int, blob binary").withColumn("ids", F.lit(None).cast("array<array<int>>"))
-    spread = listed.select(F.inline(each)).unionByName(kept_rows).repartition(tasks, "block").sortWithinPartitions("block", "shard")
+    blob = "block long, shard int, blob binary"
+    requests = rows.mapInArrow(asked, blob).repartition(tasks, "shard").sortWithinPartitions("shard")
+    listed = requests.mapInArrow(gathered, "shard int, blocks binary, sizes binary, index binary, words array<array<bigint>>")
+    # The outer transform binds the literal once for a row.
+    folded = F.transform(F.array(tables), lambda t: F.flatten(F.transform("words", lambda w: merged(w, t, sizes))))
+    answers = listed.select("shard", "blocks", "sizes", "index", F.get(folded, F.lit(0)).alias("ids")).mapInArrow(answered, blob)
+    spread = answers.unionByName(rows.mapInArrow(kept, blob)).repartition(tasks, "block").sortWithinPartitions("block", "shard")
     return spread.mapInArrow(laid_out, f"id {kind}, ids {'binary' if packed else 'array<int>'}").withColumnRenamed("id", id_column)
 
 
@@ -256,10 +269,8 @@ def _unzip(data: bytes) -> bytes:
 
 
 def _rows(**columns) -> pa.RecordBatch:
-    types = {"block": pa.int64(), "shard": pa.int32(), "blob": pa.binary(), "sizes": pa.list_(pa.int32()), "starts": pa.list_(pa.int32())}
-    if isinstance(columns["block"][0], list):
-        types |= {"block": pa.list_(pa.int64()), "shard": pa.list_(pa.int32())}
-    return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, types[k]) for k, v in columns.items()], list(columns))
+    types = {"block": pa.int64(), "shard": pa.int32()}
+    return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, types.get(k, pa.binary())) for k, v in columns.items()], list(columns))
 
 
 def _shards(words: pa.Array, shards: int) -> np.ndarray:

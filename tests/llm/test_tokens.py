@@ -1,4 +1,6 @@
 import base64
+import hashlib
+import json
 import random
 import struct
 
@@ -9,8 +11,8 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from .conftest import ODD
-from dqflow.llm import byte_bpe, pretokens, token_counts
+from .conftest import ODD, SF
+from dqflow.llm import byte_bpe, pretokens, queries, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -103,3 +105,39 @@ def test_counts_equal_the_library(spark):
 
 def test_merges_of_overlapping_pairs():
     assert token_counts._from_left(np.array([0, 1, 2, 5, 7, 8])).tolist() == [0, 2, 5, 7]
+
+
+def test_cut_shards_and_long_words(spark, library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "FOLD_WORDS", 7)
+    monkeypatch.setattr(byte_bpe, "FOLD_BYTES", 5)
+    monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", 200)
+    some = fuzz(200, 5)
+    df = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
+    assert {r.doc_id: r.ids for r in byte_bpe.encode(df, RANKS).collect()} == {k: library.encode_ordinary(t) for k, t in enumerate(some)}
+
+
+def test_rank_map_is_small_and_whole():
+    literal, sizes = byte_bpe.rank_map(RANKS)
+    tables, pieces = json.loads(literal), byte_bpe.pieces_of(RANKS)
+    assert len(literal) < 2_000_000 and [len(tables[t]) for t in "ab"] == list(sizes)
+    ids, found = {p: i for i, p in enumerate(pieces)}, 0
+    for i, p in enumerate(pieces):
+        for cut in range(1, len(p)):
+            if p[:cut] in ids and p[cut:] in ids:
+                pair = ids[p[:cut]] << 16 | ids[p[cut:]]
+                assert min(tables[t][pair % size] ^ pair << 16 for t, size in zip("ab", sizes)) == i
+                found += 1
+    assert found == sum(x >> 16 != 0 for t in "ab" for x in tables[t]) + (pieces[0] * 2 in ids)  # the pair 0
+    assert all(tables[t][0] in (byte_bpe.EDGE, ids.get(pieces[0] * 2)) for t in "ab")
+
+
+def test_registered_queries_equal_the_libraries(spark, library):
+    table = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    for r in queries.queries()["op5_byte_bpe"](spark, SF).collect():
+        ids = library.encode_ordinary(table[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(table[r.doc_id].encode()).hexdigest()
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    for r in queries.queries()["op10_token_counts"](spark, SF).collect():
+        n = len(tokenizer.encode(table[r.doc_id], add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(table[r.doc_id].encode()), n, n > 512)
