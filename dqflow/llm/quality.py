@@ -35,6 +35,7 @@ quality alone; repeated rows each give a row; an empty table gives an empty resu
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,8 @@ QUANTILE, MARGIN = 0.985, 1.1
 HELD_OUT = 5
 #: A language needs so many trusted ids to set a threshold; of fewer, no quantile says where its good text ends.
 MIN_TRUSTED = 20
+#: Characters whose n-grams a task sorts at once, whatever the length of a text or a batch.
+PIECE_CHARS = 2 << 20
 #: Text bytes of a block.
 BLOCK_BYTES = 32 << 20
 #: Trusted ids that are sent to every task; more are joined by shuffle.
@@ -75,6 +78,24 @@ def _codes(text: str, order: int) -> np.ndarray:
     return out
 
 
+def _pieces(texts: Iterable[str], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The n-grams of many texts in pieces of about ``PIECE_CHARS``, and the text's number of each; a long text is cut."""
+    held, of, size = [], [], 0
+    for k, text in enumerate(texts):
+        for first in range(0, len(text), PIECE_CHARS):
+            # A later part starts with the characters before it, which are contexts only.
+            lead = min(first, order - 1)
+            codes = _codes(text[first - lead:first + PIECE_CHARS], order)[lead:]
+            held.append(codes)
+            of.append(np.full(len(codes), k, np.int32))
+            size += len(codes)
+            if size >= PIECE_CHARS:
+                yield np.concatenate(held), np.concatenate(of)
+                held, of, size = [], [], 0
+    if held:
+        yield np.concatenate(held), np.concatenate(of)
+
+
 def _table(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
@@ -93,10 +114,10 @@ def counts(trusted: DataFrame, order: int = ORDER, text_column: str = "text", fo
 
     def counted(batches):
         for batch in batches:
-            rows = [(f, _codes(t, order)) for f, t in zip(batch.column("fold").to_pylist(), batch.column("text").to_pylist(), strict=True) if t]
-            if rows:
-                gram, place, every = np.unique(np.concatenate([c for _, c in rows]), return_inverse=True, return_counts=True)
-                of = np.repeat([f for f, _ in rows], [len(c) for _, c in rows])
+            folds = batch.column("fold").to_numpy()
+            for codes, of in _pieces((t.as_py() or "" for t in batch.column("text")), order):
+                gram, place, every = np.unique(codes, return_inverse=True, return_counts=True)
+                of = folds[of]
                 n = [every - np.bincount(place[of == f], minlength=len(gram)) for f in range(len(names))] if apart else [every]
                 yield pa.RecordBatch.from_arrays([pa.array(gram), *(pa.array(x.astype(np.int64)) for x in n)], ["gram", *names])
 
@@ -224,8 +245,8 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id
                     held = held[:0]
                 now = block
             if blob is not None:
-                for text in _unzip(blob.as_py()).column("text"):
-                    new.append(_codes(text.as_py(), order))
+                for codes, _ in _pieces((t.as_py() for t in _unzip(blob.as_py()).column("text")), order):
+                    new.append(np.unique(codes))
                     size += len(new[-1])
 
     def scored(left, right):
@@ -236,14 +257,13 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id
         out = []
         for blob in left.column("z"):
             held = _unzip(blob.as_py())
-            codes = [_codes(t.as_py(), order) for t in held.column("text")]
-            n = np.array([len(c) for c in codes])
-            grams, place = np.unique(np.concatenate(codes), return_inverse=True)
-            each = np.append(_log_probabilities(grams, gram, p, back, rare or 1.0, order)[place], 0.0)
+            total, n = np.zeros(held.num_rows), np.zeros(held.num_rows, np.int64)
+            for codes, of in _pieces((t.as_py() for t in held.column("text")), order):
+                grams, place = np.unique(codes, return_inverse=True)
+                total += np.bincount(of, _log_probabilities(grams, gram, p, back, rare or 1.0, order)[place], len(n))
+                n += np.bincount(of, minlength=len(n))
             some = n > 0
-            mean = np.full(len(n), np.nan)
-            if some.any():
-                mean[some] = np.add.reduceat(each[:-1], (np.cumsum(n) - n)[some]) / n[some]
+            mean = np.divide(total, n, out=np.full(len(n), np.nan), where=some)
             values = pa.array(np.exp(-mean), pa.float64(), mask=~some if rare else np.ones(len(n), bool))
             out.append(pa.RecordBatch.from_arrays([held.column("id"), held.column("text_hash"), held.column("lang"), values], ["id", "text_hash", "lang", "perplexity"]))
         return pa.Table.from_batches(out)
