@@ -676,6 +676,17 @@ def q_versioned(fmt: str, options: dict, expressions: tuple[str, ...], spark, sf
     return read_latest(spark, base)
 
 
+def q_versioned_compacted(spark, sf):
+    """K8, K9: a manifest that is compacted every third commit and keeps the four newest versions."""
+    base = scratch_path(spark, "versioned-compacted")
+    rows = read_table(spark, sf, "customer").select("c_custkey")
+    spec = {"name": "v", "format": "parquet", "saveMode": "overwrite", "paths": [base],
+            "versioning": {"enabled": True, "compactEvery": 3, "keepLast": 4}}
+    for k in range(7):
+        write_sink(rows.where(F.col("c_custkey") % 7 == k), spec, run_id=f"run-{k}")
+    return read_versions(spark, base)
+
+
 def q_source_checks_empty(spark, sf):
     """A source without rows exists; a path without files does not."""
     out = scratch_path(spark, "checks")
@@ -775,6 +786,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_two_queries": q_stream_two,
         "versioned_csv_latest": partial(q_versioned, "csv", {"header": True, "sep": ";"},
                                         ("c_custkey", "c_name", "c_acctbal", "c_mktsegment")),
+        "versioned_compacted": q_versioned_compacted,
         "versioned_json_latest": partial(q_versioned, "json", {},
                                          ("CAST(c_custkey AS INT) AS c_custkey", "c_name", "CAST(NULL AS DOUBLE) AS bonus")),
         "source_checks_empty": q_source_checks_empty,

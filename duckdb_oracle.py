@@ -345,6 +345,7 @@ def oracle_queries() -> dict[str, str]:
         "stream_two_queries": f"SELECT o_orderkey, v FROM orders, (SELECT unnest([1, 2]) AS v) WHERE {_all_ok(STREAM)}".replace(
             "SELECT o_orderkey, v", "SELECT o_orderkey, CAST(2 AS BIGINT) AS versions"),
         "versioned_csv_latest": "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
+        "versioned_compacted": "SELECT c_custkey, concat('run-', c_custkey % 7) AS version_id FROM customer WHERE c_custkey % 7 >= 3",
         "versioned_json_latest": "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(NULL AS DOUBLE) AS bonus FROM customer",
         "source_checks_empty": "SELECT 'all' AS name, true AS exists, CAST(1 AS BIGINT) AS files, count(*) AS rows FROM customer "
                                "UNION ALL SELECT 'none', true, 1, 0 UNION ALL SELECT 'missing', false, 0, 0",
