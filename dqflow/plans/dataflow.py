@@ -8,12 +8,19 @@ persisted).  Row counts for the run report and a validate step's metrics come
 from ``Observation``s collected by those writes (X4), not from extra jobs.
 
 Every step has exactly one input, but any earlier name may be that input,
-so a list of steps expresses a tree of tables (fan-out).
+so a list of steps expresses a tree of tables (fan-out).  ``run`` stores a
+table that feeds several branches where making it again would cost more than
+keeping it (X2, K12): below a source whose rows must be parsed (JSON, CSV,
+text, anything but Parquet and ORC), or a step of the user's own that shuffles or
+runs Python.  A validate step whose accepted and rejected rows are both wanted is such a table: it is
+evaluated once and split.  Branches over a columnar source read it again, each
+with its own pushed filters and columns, which is less than any stored copy.
 """
 
 from __future__ import annotations
 
 import logging
+import re
 import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -35,6 +42,12 @@ OK_NAME, KO_NAME = "validation_ok", "validation_ko"
 
 log = logging.getLogger("dqflow")
 
+# Sources that are cheap to read again: filters and columns reach the scan, and a count reads footers only.
+COLUMNAR_FORMATS = frozenset({"parquet", "orc"})
+BUILT_IN = frozenset(list_transforms())
+# What makes a table costly to compute again.
+_HEAVY_NODES = re.compile(r"\b(Aggregate|Join|Window|Sort|Distinct|Deduplicate|Repartition\w*|\w*Python\w*|MapIn\w+|\w*InPandas\w*|\w*InArrow\w*)\b")
+
 # Sink writes of different tables that may run at the same time.
 DEFAULT_PARALLEL_SINKS = 4
 
@@ -49,10 +62,15 @@ class FlowResult:
     parents: dict[str, str | None] = field(default_factory=dict)
     kinds: dict[str, str] = field(default_factory=dict)
     metric_tables: dict[str, tuple[str, str]] = field(default_factory=dict)  # name -> (step, "stats"|"failures")
+    scans: dict[str, DataFrame] = field(default_factory=dict)  # sources whose rows are counted from their footers
+    stored: dict[str, DataFrame | None] = field(default_factory=dict)  # tables kept for their branches (None: by the step)
 
     def release(self) -> None:
         for v in self.validations.values():
             v.release()
+        for df in self.stored.values():
+            if df is not None:
+                df.unpersist()
 
 
 @dataclass
@@ -73,8 +91,10 @@ class RunResult:
             for s in f.sinks:
                 rows.append((self.run_id, f.name, "sink", s.sink, s.path, s.version_id, s.rows))
             written = _ancestors(f, {s.input for s in f.sinks if s.rows is not None})
-            for tname, obs in f.observed.items():
-                rows_seen = int(obs.get.get("rows", 0)) if tname in written else None
+            for tname in [n for n in f.tables if n in f.observed or n in f.scans]:
+                rows_seen = None
+                if tname in written:
+                    rows_seen = f.scans[tname].count() if tname in f.scans else int(f.observed[tname].get.get("rows", 0))
                 rows.append((self.run_id, f.name, f.kinds.get(tname, "table"), tname, None, None, rows_seen))
         schema = T.StructType([
             T.StructField("run_id", T.StringType()),
@@ -176,20 +196,45 @@ def _observe(flow: FlowResult, name: str, df: DataFrame) -> DataFrame:
     return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
 
+def _readers(flow_spec: Mapping[str, Any]) -> dict[str, int]:
+    """How many steps and sinks read each table; the accepted and rejected rows of a validate step
+    count as reads of the step, by the names ``<step>_ok`` and ``<step>_ko``."""
+    readers: dict[str, int] = {}
+    last = None
+    steps = [st for st in flow_spec.get("transformations") or [] if isinstance(st, Mapping)]
+    for step in [*steps, *[{"params": {"input": sk.get("input")}} for sk in flow_spec.get("sinks") or [] if isinstance(sk, Mapping)]]:
+        name = (step.get("params") or {}).get("input")
+        name = {OK_NAME: f"{last}_ok", KO_NAME: f"{last}_ko"}.get(name, name) if last else name
+        readers[name] = readers.get(name, 0) + 1
+        if step.get("type") == "validate_fields":
+            last = step["name"]
+    return readers
+
+
+def _heavy(df: DataFrame) -> bool:
+    """Whether a table's plan, above its scans, shuffles rows or runs Python."""
+    jdf = getattr(df, "_jdf", None)  # a Spark Connect frame has no plan to ask
+    return jdf is not None and bool(_HEAVY_NODES.search(jdf.queryExecution().analyzed().toString()))
+
+
 def build_flow(
     spark: SparkSession,
     flow_spec: Mapping[str, Any],
     ctx: StepContext,
     *,
     observe_tables: bool = False,
+    share: str = "none",
 ) -> FlowResult:
     """Build the registry of lazy DataFrames for one dataflow.
 
     No job runs but those that a step itself needs: schema inference of a source, and the
     checkpoint of a validate step whose input or rules are not deterministic.
-    ``observe_tables`` attaches a row-count ``Observation`` to every source and
-    step output.  It is off by default: a metrics node between a scan and a
-    later filter stops that filter from being pushed into the scan.
+    ``observe_tables`` counts the rows of every source and step output (S9): of a columnar
+    source from its footers, when the report is made, so that filters still reach its scan; of other
+    sources and of steps by an ``Observation`` on the table.  It is off by default: the count
+    of a step's rows keeps later filters above that step.
+    ``share="auto"`` marks costly tables that feed several branches to be stored when they
+    are first computed; ``FlowResult.release`` frees them.
     """
     flow = FlowResult(flow_spec.get("name", "unnamed"), {})
     tables = flow.tables
@@ -199,13 +244,29 @@ def build_flow(
     }
 
     _check_steps(flow_spec)
+    readers = _readers(flow_spec) if share == "auto" else {}
+    costly: dict[str, bool] = {}
+
+    def shared(name: str, df: DataFrame) -> DataFrame:
+        """``df``, stored if it is costly and feeds several branches (several sinks alone share it when they write)."""
+        steps = sum((st.get("params") or {}).get("input") == name for st in flow_spec.get("transformations") or [])
+        if costly[name] and steps and readers.get(name, 0) > 1:
+            flow.stored[name], costly[name] = df.persist(StorageLevel.MEMORY_AND_DISK), False
+        return df
+
     for src in flow_spec.get("sources", []):  # S8
         name = src["name"]
         try:
             df = read_source(spark, src)
         except Exception as exc:
             raise KeyError(f"source {name!r} could not be loaded: {exc}") from exc
-        tables[name] = _observe(flow, name, df) if observe_tables else df
+        columnar = str(src.get("format")).lower() in COLUMNAR_FORMATS
+        if observe_tables and columnar:
+            flow.scans[name] = df
+        elif observe_tables:
+            df = _observe(flow, name, df)
+        costly[name] = not columnar
+        tables[name] = shared(name, df)
         flow.parents[name], flow.kinds[name] = None, "source"
         log.info("source %s: %s %s", name, src.get("format"), src.get("path"))
 
@@ -216,6 +277,11 @@ def build_flow(
                 {f"{sname}_stats", f"{sname}_failures"} & sink_inputs):
             # metrics are written: let the KO branch count them while it scans
             params = {**params, "observe": True}
+        costly[sname] = costly[input_name]
+        split = stype == "validate_fields" and all(readers.get(f"{sname}_{x}") for x in ("ok", "ko"))
+        if split and costly[sname] and "materialize" not in params:  # K12: evaluated once for both outputs
+            params = {**params, "materialize": "persist"}
+            flow.stored[sname], costly[sname] = None, False
         try:
             result = apply_transform(stype, tables[input_name], params, ctx)
         except Exception as exc:  # name the step in whatever went wrong
@@ -229,25 +295,38 @@ def build_flow(
             links = ((f"{sname}_ok", ok, input_name), (f"{sname}_ko", ko, input_name),
                      (OK_NAME, ok, f"{sname}_ok"), (KO_NAME, ko, f"{sname}_ko"))
             for alias, frame, parent in links:
-                tables[alias] = frame
+                tables[alias], costly[alias] = frame, costly[sname]
                 flow.parents[alias], flow.kinds[alias] = parent, "validation"
             if result.compiled is not None and result.compiled.rules:
                 # quality metrics as tables, built only when a sink or step reads them
                 # (always available as flow.validations[step].stats() / .failures_by_rule())
                 for alias, build in ((f"{sname}_stats", result.stats), (f"{sname}_failures", result.failures_by_rule)):
                     if alias in referenced:
-                        tables[alias] = build()
+                        tables[alias], costly[alias] = build(), True
                         flow.parents[alias], flow.kinds[alias] = input_name, "metrics"
                         flow.metric_tables[alias] = (sname, alias.rsplit("_", 1)[1])
                 if f"{sname}_all" in referenced:  # every row, flagged: one scan for both outputs
-                    tables[f"{sname}_all"] = result.annotated()
+                    tables[f"{sname}_all"], costly[f"{sname}_all"] = result.annotated(), costly[sname]
                     flow.parents[f"{sname}_all"], flow.kinds[f"{sname}_all"] = input_name, "validation"
         else:
-            tables[sname] = _observe(flow, sname, result) if observe_tables else result
+            costly[sname] = costly[sname] or stype not in BUILT_IN and _heavy(result)
+            tables[sname] = shared(sname, _observe(flow, sname, result) if observe_tables else result)
             flow.parents[sname], flow.kinds[sname] = input_name, "step"
     return flow
 
 
+def _leaders(flow: FlowResult, groups: dict[int, list[tuple[int, Mapping[str, Any]]]]) -> list[int]:
+    """For each stored table the first group of sinks below it: they run before the others, so that the table is
+    computed once and not by several jobs side by side."""
+    out: list[int] = []
+    for name in flow.stored:
+        below = {name, f"{name}_ok", f"{name}_ko"}
+        key = next((k for k, items in groups.items() if below & _ancestors(flow, {items[0][1]["input"]})), None)
+        if key is not None and key not in out:
+            out.append(key)
+    return out
+
+
 def write_flow(
     flow: FlowResult,
     sinks: list[Mapping[str, Any]],
@@ -329,6 +408,8 @@ def write_flow(
         else:
             groups.setdefault(id(flow.tables[sink["input"]]), []).append((idx, sink))
     try:
+        for key in _leaders(flow, groups):
+            write_group(groups.pop(key))
         if parallel > 1 and len(groups) > 1:
             session = next(iter(flow.tables.values())).sparkSession
             target = inheritable_thread_target(session)(write_group)  # threads keep job group, tags, properties
@@ -390,7 +471,7 @@ def run(
     ctx = StepContext(run_id=rid, run_timestamp=ts)
     results = []
     for flow_spec in flows:
-        flow = build_flow(spark, flow_spec, ctx, observe_tables=observe_tables)
+        flow = build_flow(spark, flow_spec, ctx, observe_tables=observe_tables, share=share if write else "none")
         if write:
             write_flow(flow, list(flow_spec.get("sinks", [])), rid, share=share, parallel=parallel_sinks)
         results.append(flow)
