@@ -26,6 +26,7 @@ import functools
 import heapq
 import itertools
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,8 @@ FREE = 0
 #: Text bytes of a block, and requested words whose distinct ones are folded as one row.
 BLOCK_BYTES = 4 << 20
 FOLD_WORDS = 200_000
+#: Words of a block whose ids are laid out at once (more, where one document has them).
+LAID_OUT = 100_000
 #: Bytes of a word that is folded; the fold's work grows with the square of a word's length, so a
 #: longer word is merged by a heap where its document is laid out.
 FOLD_BYTES = 256
@@ -141,9 +144,11 @@ def merged(word: Column, tables: Column, sizes: tuple[int, int]) -> Column:
     return F.aggregate(word, start, step, lambda state: state["parts"])
 
 
-def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text", packed: bool = False) -> DataFrame:
+def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text", packed: bool = False,
+           decoded: bool = False) -> DataFrame:
     """(id, ids array<int>) of each row; ``packed``: ids as little-endian unsigned 32-bit integers in
-    a binary.  ``vocabulary``: a rank file on every machine."""
+    a binary; ``decoded``: with the column that ``decode`` makes of the ids, in the same tasks.
+    ``vocabulary``: a rank file on every machine."""
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = 2 * tasks
@@ -222,8 +227,10 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
                 block, shard = (batch.column(c)[row].as_py() for c in ("block", "shard")) if batch is not None else (None, 0)
                 if block != now:
                     if texts:
-                        out = _ids_of(pa.ipc.open_stream(_unzip(texts[0])).read_next_batch(), answers, shards, vocabulary, packed)
-                        yield from itertools.repeat(out, len(texts))
+                        for out in _ids_of(pa.ipc.open_stream(_unzip(texts[0])).read_next_batch(), answers, shards, vocabulary, packed):
+                            if decoded:
+                                out = out.append_column("decoded", _decoded(out.column("ids"), vocabulary))
+                            yield from itertools.repeat(out, len(texts))
                     now, texts, answers = block, [], {}
                 if block is None:
                     break
@@ -243,7 +250,8 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
     folded = F.transform(F.array(tables), lambda t: F.flatten(F.transform("words", lambda w: merged(w, t, sizes))))
     answers = listed.select("shard", "blocks", "sizes", "index", F.get(folded, F.lit(0)).alias("ids")).mapInArrow(answered, blob)
     spread = answers.unionByName(rows.mapInArrow(kept, blob)).repartition(tasks, "block").sortWithinPartitions("block", "shard")
-    return spread.mapInArrow(laid_out, f"id {kind}, ids {'binary' if packed else 'array<int>'}").withColumnRenamed("id", id_column)
+    schema = f"id {kind}, ids {'binary' if packed else 'array<int>'}" + ", decoded binary" * decoded
+    return spread.mapInArrow(laid_out, schema).withColumnRenamed("id", id_column)
 
 
 def _each(batch: pa.RecordBatch):
@@ -340,14 +348,14 @@ def merged_long(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _ids_of(batch: pa.RecordBatch, answers: dict, shards: int, vocabulary: str, packed: bool) -> pa.RecordBatch:
-    """Ids of a block's documents from the answers (sizes, ids) of the shards to its words."""
+def _ids_of(batch: pa.RecordBatch, answers: dict, shards: int, vocabulary: str, packed: bool) -> Iterator[pa.RecordBatch]:
+    """Ids of a block's documents from the answers (sizes, ids) of the shards to its words, some documents at a time."""
     index, pieces, words = pretokens.distinct(batch.column("text").to_pylist())
     folded = np.asarray(_folded(words))
     short, long = np.flatnonzero(folded), np.flatnonzero(~folded)
     shard = _shards(words.filter(pa.array(folded)), shards) if len(short) else np.zeros(0, np.int32)
-    place = np.empty(len(words), np.int64)
-    place[np.r_[short[np.argsort(shard, kind="stable")], long]] = np.arange(len(words))
+    place = np.empty(len(words), np.int32)
+    place[np.r_[short[np.argsort(shard, kind="stable")], long]] = np.arange(len(words), dtype=np.int32)
     wanted, n = np.unique(shard, return_counts=True)
     if sorted(answers) != wanted.tolist() or any(len(answers[s][0]) != k for s, k in zip(wanted.tolist(), n.tolist(), strict=True)):
         raise RuntimeError("the input was cut into other blocks when it was read again; write it to a table first")
@@ -359,37 +367,41 @@ def _ids_of(batch: pa.RecordBatch, answers: dict, shards: int, vocabulary: str,
         found = [(np.zeros(0, np.int32), np.zeros(0, np.uint16))]
     sizes, tokens = (np.concatenate([f[k] for f in found]) for k in (0, 1))
     begin = (np.cumsum(sizes) - sizes).astype(np.int64)
-    index = place[index]
-    out, size = _taken(tokens, begin[index], sizes[index].astype(np.int64))
-    ends = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(pieces))]
-    out = out.astype("<u4")
-    if packed:
-        ids = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(out)])
-    else:
-        ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out.view(np.int32)))
-    return pa.RecordBatch.from_arrays([batch.column("id"), ids], ["id", "ids"])
+    after = np.append(0, np.cumsum(pieces))
+    rows = np.flatnonzero(np.diff(after[:-1] // LAID_OUT, prepend=-1))
+    for first, last in itertools.pairwise([*rows.tolist(), batch.num_rows]):
+        some = place[index[after[first]:after[last]]]
+        out, size = _taken(tokens, begin[some], sizes[some].astype(np.int64))
+        ends = np.append(0, np.cumsum(size))[after[first:last + 1] - after[first]]
+        out = out.astype("<u4")
+        if packed:
+            ids = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(out)])
+        else:
+            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out.view(np.int32)))
+        yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, last - first), ids], ["id", "ids"])
 
 
 def decode(df: DataFrame, vocabulary: str, ids_column: str = "ids") -> DataFrame:
     """``df`` with the binary column ``decoded``: the pieces of its ids (an array or packed), end to end."""
 
-    def make(batch):
-        pieces = pieces_of(vocabulary)
-        size = np.array([len(p) for p in pieces], np.int64)
-        data, begin = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(size) - size
-        out = []
-        for row in batch.column(ids_column):
-            if not row.is_valid:
-                ids = np.zeros(0, np.int64)
-            elif pa.types.is_binary(row.type):
-                ids = np.frombuffer(row.as_py(), "<u4")
-            elif row.values.null_count:
-                raise ValueError("an id is null")
-            else:
-                ids = np.asarray(row.values)
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(size)):
-                raise ValueError("an id is outside the vocabulary")
-            out.append(_taken(data, begin[ids], size[ids])[0].tobytes())
-        return [pa.array(out, pa.binary())]
-
-    return with_arrow_columns(df, "decoded binary", make)
+    return with_arrow_columns(df, "decoded binary", lambda batch: [_decoded(batch.column(ids_column), vocabulary)])
+
+
+def _decoded(column: pa.Array, vocabulary: str) -> pa.Array:
+    pieces = pieces_of(vocabulary)
+    size = np.array([len(p) for p in pieces], np.int64)
+    data, begin = np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(size) - size
+    out = []
+    for row in column:
+        if not row.is_valid:
+            ids = np.zeros(0, np.int64)
+        elif pa.types.is_binary(row.type):
+            ids = np.frombuffer(row.as_buffer(), "<u4")
+        elif row.values.null_count:
+            raise ValueError("an id is null")
+        else:
+            ids = np.asarray(row.values)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(size)):
+            raise ValueError("an id is outside the vocabulary")
+        out.append(_taken(data, begin[ids], size[ids])[0].tobytes())
+    return pa.array(out, pa.binary())

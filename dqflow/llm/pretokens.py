@@ -28,11 +28,12 @@ SLICE_CHARS = 1 << 20
 @functools.cache
 def classes() -> np.ndarray:
     """Class of every code point, as the tokenizer library's own Unicode tables have it."""
-    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    points = np.arange(0x110000, dtype="<u4")
+    every = points[(points < 0xD800) | (points >= 0xE000)].tobytes().decode("utf-32-le")
     table = np.full(0x110000, OTHER, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
         one = tiktoken.Encoding(pattern, pat_str=pattern, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
-        table[[ord(c) for c in one.decode(one.encode_ordinary(every))]] = kind
+        table[np.frombuffer(one.decode(one.encode_ordinary(every)).encode("utf-32-le"), np.uint32)] = kind
     return table
 
 

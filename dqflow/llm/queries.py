@@ -57,7 +57,7 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = public_tokenizers.path(MULTI_RANKS)
-    back = byte_bpe.decode(byte_bpe.encode(read_table(spark, sf, "documents"), ranks, packed=True), ranks)
+    back = byte_bpe.encode(read_table(spark, sf, "documents"), ranks, packed=True, decoded=True)
     tokens = F.floor(F.octet_length("ids") / 4).cast("long")
     return back.select("doc_id", tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
