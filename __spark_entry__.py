@@ -262,6 +262,13 @@ def q_unique_composite(spark, sf):
     return _unique_flags(conv, "conv_turn", "conv_id", "turn")
 
 
+def q_unique_fields(spark, sf):
+    """A key of two text columns, compared as a struct: no joining character can make two keys alike."""
+    docs = read_table(spark, sf, "documents").select("doc_id", "source", F.substring("text", 1, 12).alias("start"))
+    rules = [{"field": "source", "validations": [{"type": "unique", "fields": ["source", "start"]}]}]
+    return validate(docs, rules).annotated().select("doc_id", F.col("is_valid").alias("unique_ok"))
+
+
 def q_unique_lineitem(spark, sf):
     return _unique_flags(read_table(spark, sf, "lineitem"), "l_orderkey", "l_orderkey", "l_linenumber")
 
@@ -576,6 +583,48 @@ def q_stream_two(spark, sf):
     return rows.select("o_orderkey", F.lit(list_versions(spark, f"{base}/ok").count()).cast("long").alias("versions"))
 
 
+def _dated_files(spark, sf):
+    """The orders in three files by date, and a last one with a row after all others, which closes their windows."""
+    path = scratch_path(spark, "stream-in")
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", F.col("o_orderdate").cast("timestamp").alias("at"))
+    cuts = [F.lit(c).cast("timestamp") for c in ("1900-01-01", "1994-03-01", "1996-06-01", "2100-01-01")]
+    for first, last in zip(cuts, cuts[1:]):
+        orders.where((F.col("at") >= first) & (F.col("at") < last)).coalesce(1).write.mode("append").parquet(path)
+    end = orders.limit(1).withColumns({"at": F.lit("2200-01-01").cast("timestamp"), "o_custkey": F.lit(None).cast("long")})
+    end.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _awaited(query):
+    if not query.awaitTermination(timeout=900):  # availableNow ends by itself; never wait unbounded
+        query.stop()
+        raise TimeoutError("the stream did not finish")
+
+
+def q_stream_unique(spark, sf):
+    """Customers with one order in 30 days, over four micro-batches."""
+    from dqflow.streaming import Horizon, start_validated_stream
+
+    base = scratch_path(spark, "stream-unique")
+    rules = [{"field": "o_custkey", "validations": ["unique"]}, {"field": "o_totalprice", "validations": [{"type": "greaterThan", "value": 20000}]}]
+    ok, ko = ({"name": n, "format": "parquet", "saveMode": "overwrite", "paths": [f"{base}/{n}"], "versioning": True} for n in ("ok", "ko"))
+    _awaited(start_validated_stream(_dated_files(spark, sf), rules, ok, ko, checkpoint_location=f"{base}/checkpoint",
+                                    trigger={"availableNow": True}, horizon=Horizon("at", "30 days", "1 day")))
+    accepted = read_versions(spark, f"{base}/ok").select("o_orderkey", F.lit("").alias("errors"))
+    return accepted.unionByName(read_versions(spark, f"{base}/ko").select("o_orderkey", F.col("validation_errors_text").alias("errors")))
+
+
+def q_stream_totals(spark, sf):
+    """Failures per rule, held over all micro-batches."""
+    from dqflow.streaming import start_failure_totals
+
+    base = scratch_path(spark, "stream-totals")
+    sink = {"name": "totals", "format": "parquet", "saveMode": "overwrite", "paths": [f"{base}/totals"], "versioning": {"enabled": True, "keepLast": 2}}
+    _awaited(start_failure_totals(_dated_files(spark, sf).where("at < '2150-01-01'"), STREAM_RULES, sink, checkpoint_location=f"{base}/checkpoint",
+                                  trigger={"availableNow": True}))
+    return read_latest(spark, f"{base}/totals").select("rule", "failures")
+
+
 # ---------------------------------------------------------------------------
 # Sources, modes, reports
 # ---------------------------------------------------------------------------
@@ -784,6 +833,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unique_rule_nulls": q_unique_nulls,
         "unique_rule_with_row_rules": q_unique_with_row_rules,
         "stream_two_queries": q_stream_two,
+        "stream_unique": q_stream_unique,
+        "stream_totals": q_stream_totals,
+        "unique_rule_fields": q_unique_fields,
         "versioned_csv_latest": partial(q_versioned, "csv", {"header": True, "sep": ";"},
                                         ("c_custkey", "c_name", "c_acctbal", "c_mktsegment")),
         "versioned_compacted": q_versioned_compacted,

@@ -20,10 +20,19 @@
 3. Rows with a NULL key match nothing; they are spread over ``NULL_SALTS``.
 
 No key group is ever collected into one task or to the driver.
+
+``flag_stream_duplicates`` does the same for a stream: a key is duplicated if it
+occurs more than once in one event-time window.  Keys are counted per window by a
+streaming aggregate, and the rows wait in the state of a stream-stream join until the
+watermark has passed their window's end, so each row is given its final verdict
+once.  Rows of a key are spread over salts in that state; counts of duplicated keys
+alone are replicated.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,3 +93,37 @@ def flag_duplicates(
     )
     joined = big.join(marks, on=[k, salt], how="left").drop(salt)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop(k)
+
+
+@dataclass(frozen=True)
+class Horizon:
+    """How far uniqueness reaches on a stream: windows of ``window`` over the column ``event_time``, whose rows
+    come at most ``delay`` late; later ones are dropped by Spark and counted in the query's progress."""
+
+    event_time: str
+    window: str
+    delay: str
+    salts: int = 8
+
+
+def flag_stream_duplicates(stream: DataFrame, keys: list[Column], flags: list[str], horizon: Horizon) -> DataFrame:
+    """Append a boolean for each of ``keys``: the non-null key is on more than one row of the row's window."""
+    k, w, salt, time = "__dq_key", "__dq_window", "__dq_salt", "`" + horizon.event_time.replace("`", "``") + "`"
+    source = stream.withWatermark(horizon.event_time, horizon.delay)
+    rows = source.withColumn(w, F.window(F.col(time), horizon.window))
+    # A stream carries one event time; from here on it is the window.
+    rows = rows.withColumn(horizon.event_time, F.col(time) + F.expr("INTERVAL 0 SECOND"))
+    rows = rows.withColumn(salt, F.floor(F.rand(7) * horizon.salts).cast("int"))
+    for key, flag in zip(keys, flags, strict=True):
+        counts = (
+            source.select(key.alias(k), F.window(F.col(time), horizon.window).alias(w)).where(F.col(k).isNotNull())
+            .groupBy(k, w).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            .select(F.col(k).alias("right_key"), F.col(w).alias("right_window"),
+                    F.explode(F.sequence(F.lit(0), F.lit(horizon.salts - 1))).alias("right_salt"), F.lit(True).alias(flag))
+        )
+        met = (F.col(k) == F.col("right_key")) & (F.col(w) == F.col("right_window")) & (F.col(salt) == F.col("right_salt"))
+        kept = [c for c in rows.columns]
+        rows = rows.withColumn(k, key).join(counts, met, "left_outer").select(*[F.col("`" + c.replace("`", "``") + "`") for c in kept], F.coalesce(F.col(flag), F.lit(False)).alias(flag))
+    # A row without an event time lies in no window: nothing says that its key is unique.
+    timeless = stream.where(F.col(time).isNull()).withColumns({flag: F.lit(True) for flag in flags})
+    return rows.drop(w, salt).unionByName(timeless)

@@ -185,6 +185,7 @@ class CompiledRules:
     source: DataFrame | None = None  # the input
     unique: list[tuple[Column, str]] = dc_field(default_factory=list)  # (key, flag) of each table-level rule
     rows_per_salt: int = DEFAULT_ROWS_PER_SALT
+    flagged: bool = False            # the input brings the flags of its table-level rules
 
     def row_rules(self) -> list["CompiledRule"]:
         return [r for r in self.rules if r.rule != "unique"]
@@ -193,7 +194,7 @@ class CompiledRules:
         """``frame`` without the rows that fail a row rule: these are dropped at the
         scan, before any key is joined; keys are counted over the whole input."""
         rules = self.row_rules()
-        if not self.unique or not rules:
+        if not self.unique or not rules or self.flagged:
             return self.frame
         out = self.source.filter(split_filter(rules))
         for key, flag in self.unique:
@@ -209,10 +210,13 @@ def compile_rules(
     rules: Any,
     *,
     rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
+    flags: Sequence[str] | None = None,
 ) -> CompiledRules:
     """Check every block eagerly (D-12) and compile it to predicates.
 
     A field named by several blocks keeps all their rules, in order (D3).
+    ``flags`` names a column of ``df`` for each ``unique`` rule that says whether the
+    row's key is duplicated; without it the keys are counted over ``df``.
     """
     if not isinstance(rules, list):
         raise TypeError("rules are a list of rule blocks")
@@ -237,11 +241,17 @@ def compile_rules(
                 if not entry.enabled:  # E4
                     continue
                 if entry.type == "unique":  # E1: needs the whole table
-                    flag = f"__dq_dup_{len(helpers)}"
-                    frame = flag_duplicates(frame, column, flag, counted=df, rows_per_salt=rows_per_salt)
+                    key = unique_key(df, column, entry.params)
+                    if flags is not None:
+                        flag = flags[len(helpers)]
+                    elif df.isStreaming:
+                        raise InvalidValidationConfig("'unique' on a stream needs an event-time horizon; use validate_stream()")
+                    else:
+                        flag = f"__dq_dup_{len(helpers)}"
+                        frame = flag_duplicates(frame, key, flag, counted=df, rows_per_salt=rows_per_salt)
                     helpers.append(flag)
-                    unique.append((column, flag))
-                    pred = column.isNotNull() & ~F.col(flag)
+                    unique.append((key, flag))
+                    pred = key.isNotNull() & ~F.col(flag)
                 else:
                     pred = build_predicate(entry, column, dtype, ref)
             except ValidationException as exc:
@@ -252,7 +262,21 @@ def compile_rules(
     for fname, items in per_field.items():
         for rule, label, pred, column in items:
             compiled.append(CompiledRule(len(compiled), fname, rule, label, pred, column))
-    return CompiledRules(frame, compiled, list(per_field), helpers, df, unique, rows_per_salt)
+    return CompiledRules(frame, compiled, list(per_field), helpers, df, unique, rows_per_salt, flags is not None)
+
+
+def unique_key(df: DataFrame, column: Column, params: Mapping[str, Any]) -> Column:
+    """The key of a ``unique`` rule: its field, or a struct of all ``fields``; NULL if any part is NULL."""
+    names = params.get("fields")
+    if names is None:
+        return column
+    if not isinstance(names, (list, tuple)) or not names:
+        raise InvalidValidationConfig("'fields' of a unique rule is a list of column names")
+    found = [resolve_field(df, n) for n in names]
+    # -0.0 and 0.0 are one value, as they are in a key that is not part of a struct.
+    parts = [c + F.lit(0.0) if isinstance(t, (T.FloatType, T.DoubleType)) else c for c, t, _ in found]
+    whole = F.struct(*[p.alias(f"_{i}") for i, p in enumerate(parts)])
+    return F.when(all_of([c.isNotNull() for c, _, _ in found]), whole)
 
 
 def rule_predicate(df: DataFrame, field: str, entry: Any) -> Column:
@@ -531,6 +555,7 @@ def validate(
     materialize: str = "none",
     rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
     observe: bool = False,
+    flags: Sequence[str] | None = None,
 ) -> ValidationResult:
     """Split ``df`` into ``(ok, ko)`` by ``rules``; see the module docstring.
 
@@ -548,7 +573,9 @@ def validate(
     A limit <= 0 means no limit, which is the default.
 
     ``rows_per_salt`` tunes the ``unique`` rule's skew handling: a key with more
-    rows is split over ``ceil(count / rows_per_salt)`` join tasks.
+    rows is split over ``ceil(count / rows_per_salt)`` join tasks.  ``flags`` names
+    columns of ``df`` that already hold the verdicts of the ``unique`` rules, in order; they are
+    left out of the results.
     """
     if not isinstance(rules, list):
         raise TypeError("rules are a list of rule blocks")
@@ -557,11 +584,11 @@ def validate(
     for name in _ERROR_COLS:
         if name in df.columns:
             raise InvalidValidationConfig(f"input already has a column named '{name}'")
-    c = compile_rules(df, rules, rows_per_salt=rows_per_salt)
+    c = compile_rules(df, rules, rows_per_salt=rows_per_salt, flags=flags)
     if not c.rules:  # every rule disabled
         return ValidationResult(df, _empty_ko(df), c)
 
-    out_cols = list(df.columns)
+    out_cols = [n for n in df.columns if n not in (flags or ())]
     parts = _parts(c)
     masks = _masks(c, parts)
     none_failed = _none_failed(parts)

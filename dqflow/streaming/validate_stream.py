@@ -1,8 +1,13 @@
 """Validation of a streaming DataFrame.
 
 Row rules are row-local, so ``validate`` applies to a ``readStream`` frame
-unchanged: the OK and KO frames stay streaming (``isStreaming``).  The
-table-level ``unique`` rule needs the whole table and is rejected here.
+unchanged: the OK and KO frames stay streaming (``isStreaming``).  A table-level
+``unique`` rule needs a ``Horizon``: keys are then unique within windows of event
+time, and rows wait in state until the watermark has passed their window (see
+``dqflow.operators.quality``).  Without one it is rejected.
+
+``start_failure_totals`` keeps the failures per rule over all batches: one streaming
+aggregate whose state is a counter for each rule, written as a table after every batch.
 
 ``start_validated_stream`` runs the split inside ``foreachBatch``: each
 micro-batch is persisted once, split, and both halves are written with the
@@ -17,35 +22,44 @@ would append its rows again.
 from __future__ import annotations
 
 import json
-from typing import Any, Mapping
+from typing import Any, Callable, Mapping
 
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dqflow.errors import InvalidValidationConfig
 from dqflow.functions.rules import parse_entry
-from dqflow.operators.validation import ValidationResult, validate
+from dqflow.operators.quality import Horizon, flag_stream_duplicates
+from dqflow.operators.validation import ValidationResult, resolve_field, unique_key, validate
 from dqflow.sinks.writer import versioning_enabled, write_sink
 
 
-def _reject_table_rules(rules: Any) -> None:
+def _flagged(stream_df: DataFrame, rules: Any, horizon: Horizon | None) -> tuple[DataFrame, list[str] | None]:
+    """The stream with a verdict column for each of its ``unique`` rules, and their names (None: no such rule)."""
+    keys = []
     for block in rules if isinstance(rules, list) else []:
         for entry in (block.get("validations") or []) if isinstance(block, Mapping) else []:
             parsed = parse_entry(entry)
             if parsed.type == "unique" and parsed.enabled:
-                raise InvalidValidationConfig("the 'unique' rule needs the whole table; it cannot run on a stream")
+                keys.append(unique_key(stream_df, resolve_field(stream_df, block.get("field"))[0], parsed.params))
+    if not keys:
+        return stream_df, None
+    if horizon is None:
+        raise InvalidValidationConfig("the 'unique' rule needs the whole table; on a stream, give a Horizon (event time, window, delay)")
+    flags = [f"__dq_dup_{i}" for i in range(len(keys))]
+    return flag_stream_duplicates(stream_df, keys, flags, horizon), flags
 
 
-def validate_stream(stream_df: DataFrame, rules: Any, **options: Any) -> ValidationResult:
+def validate_stream(stream_df: DataFrame, rules: Any, *, horizon: Horizon | None = None, **options: Any) -> ValidationResult:
     """Split a streaming frame into streaming OK / KO frames."""
-    _reject_table_rules(rules)
+    stream_df, flags = _flagged(stream_df, rules, horizon)
     if options.get("materialize", "none") != "none":
         raise InvalidValidationConfig("a stream cannot be materialized; use start_validated_stream (per batch)")
-    return validate(stream_df, rules, **options)
+    return validate(stream_df, rules, flags=flags, **options)
 
 
 def start_validated_stream(
@@ -58,6 +72,7 @@ def start_validated_stream(
     trigger: Mapping[str, Any] | None = None,
     query_name: str | None = None,
     metrics_sink: Mapping[str, Any] | None = None,
+    horizon: Horizon | None = None,
     **options: Any,
 ) -> StreamingQuery:
     """Validate every micro-batch and write OK / KO rows to their sinks.
@@ -68,24 +83,14 @@ def start_validated_stream(
     (``batch_id, rule_index, field, rule, message, failures``), counted by the
     KO write's own scan: no extra pass over the batch.
     """
-    _reject_table_rules(rules)
-    for sink in filter(None, (ok_sink, ko_sink, metrics_sink)):
-        if str(sink.get("saveMode", "")).lower() == "append" and not versioning_enabled(sink):
-            raise InvalidValidationConfig(
-                f"sink {sink.get('name', 'unnamed')!r} appends: a replayed batch would be written twice; use versioning")
-    query_id: list[str] = []
-
-    def stream_id(spark) -> str:
-        """The id that the checkpoint keeps for its query, over all restarts."""
-        if not query_id:
-            held = spark.read.text(f"{checkpoint_location.rstrip('/')}/metadata").first()[0]
-            query_id.append(json.loads(held)["id"])
-        return query_id[0]
+    stream_df, flags = _flagged(stream_df, rules, horizon)
+    _check_sinks(ok_sink, ko_sink, metrics_sink)
+    stream_id = _stream_id(checkpoint_location)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            res = validate(batch, rules, observe=metrics_sink is not None, **options)
+            res = validate(batch, rules, observe=metrics_sink is not None, flags=flags, **options)
             run_id = f"{stream_id(batch.sparkSession)}-batch-{batch_id}"
             # OK and KO are independent jobs over the persisted batch: write them side by side.
             write = inheritable_thread_target(batch.sparkSession)(write_sink)
@@ -101,7 +106,57 @@ def start_validated_stream(
         finally:
             batch.unpersist()
 
-    writer = stream_df.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_location)
+    return _started(stream_df.writeStream.foreachBatch(each_batch), checkpoint_location, trigger, query_name)
+
+
+def start_failure_totals(
+    stream_df: DataFrame,
+    rules: Any,
+    sink: Mapping[str, Any],
+    *,
+    checkpoint_location: str,
+    trigger: Mapping[str, Any] | None = None,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Failures per rule since the stream began (``rule_index, field, rule, message, failures``).
+
+    Each batch is counted by partial aggregates into one state row with a counter for each rule, so totals
+    survive restarts with the checkpoint.  Every batch writes them anew: versioned, the latest version is
+    the newest total (``keepLast`` drops the older ones); otherwise the sink must overwrite.
+    Row rules only: what ``unique`` rejects is final after its window alone, so count it in the rejected rows written.
+    """
+    _check_sinks(sink)
+    totals = validate_stream(stream_df, rules).failures_by_rule()
+    stream_id = _stream_id(checkpoint_location)
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        write_sink(batch.coalesce(1), sink, run_id=f"{stream_id(batch.sparkSession)}-batch-{batch_id}")
+
+    return _started(totals.writeStream.outputMode("complete").foreachBatch(each_batch), checkpoint_location, trigger, query_name)
+
+
+def _check_sinks(*sinks: Mapping[str, Any] | None) -> None:
+    for sink in filter(None, sinks):
+        if str(sink.get("saveMode", "")).lower() == "append" and not versioning_enabled(sink):
+            raise InvalidValidationConfig(
+                f"sink {sink.get('name', 'unnamed')!r} appends: a replayed batch would be written twice; use versioning")
+
+
+def _stream_id(checkpoint_location: str) -> Callable[[SparkSession], str]:
+    """The id that the checkpoint keeps for its query, over all restarts; read once."""
+    held: list[str] = []
+
+    def read(spark: SparkSession) -> str:
+        if not held:
+            text = spark.read.text(f"{checkpoint_location.rstrip('/')}/metadata").first()[0]
+            held.append(json.loads(text)["id"])
+        return held[0]
+
+    return read
+
+
+def _started(writer, checkpoint_location: str, trigger: Mapping[str, Any] | None, query_name: str | None) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint_location)
     if trigger:
         writer = writer.trigger(**trigger)
     if query_name:

@@ -342,6 +342,12 @@ def oracle_queries() -> dict[str, str]:
             "SELECT id, age_text IS NOT NULL AND count(*) OVER (PARTITION BY age_text) = 1 AS unique_ok FROM contacts"),
         "unique_rule_with_row_rules": "SELECT l_orderkey, l_linenumber FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n "
                                       "FROM lineitem) WHERE n = 1 AND l_quantity < 25",
+        "stream_unique": "SELECT o_orderkey, concat_ws('; ', CASE WHEN n > 1 THEN 'o_custkey:unique' END, "
+            "CASE WHEN NOT o_totalprice > 20000 THEN 'o_totalprice:greaterThan' END) AS errors FROM (SELECT *, count(*) OVER ("
+            "PARTITION BY o_custkey, floor(epoch(o_orderdate) / (30 * 86400))) AS n FROM orders)",
+        "stream_totals": "SELECT 'greaterThan' AS rule, count(*) FILTER (NOT o_totalprice > 100000) AS failures FROM orders "
+            "UNION ALL SELECT 'inList', count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) FROM orders",
+        "unique_rule_fields": "SELECT doc_id, count(*) OVER (PARTITION BY source, substr(text, 1, 12)) = 1 AS unique_ok FROM documents",
         "stream_two_queries": f"SELECT o_orderkey, v FROM orders, (SELECT unnest([1, 2]) AS v) WHERE {_all_ok(STREAM)}".replace(
             "SELECT o_orderkey, v", "SELECT o_orderkey, CAST(2 AS BIGINT) AS versions"),
         "versioned_csv_latest": "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
