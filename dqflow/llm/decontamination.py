@@ -15,12 +15,14 @@ Words: A-Z in lower case, then ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``.
 
 Defined cases: null text has no words; an item without words is no item; rows that share an
 item id are one item of several texts; windows of an item with a null id hit, but it is not
-listed; an empty benchmark hits nothing; repeated documents each give a row.
+listed; an empty benchmark hits nothing; repeated documents each give a row; a text of any length is streamed
+whole; further columns stay as they are, columns of the operator's names give way.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -186,11 +188,10 @@ def _union(old: list[list[int]], new: list[tuple[int, int]]) -> list[list[int]]:
 def scan(df: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id",
          item_text_column: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``df`` with n_words long, hit_spans array<array<int>> ([from, to) word places), item_ids array<string>."""
-    import uuid
-
     sc = df.sparkSession.sparkContext
     ddl = "n_words long, hit_spans array<array<int>>, item_ids array<string>"
     run = uuid.uuid4().hex
+    spans_before, names_before = f"hit_spans_{run}", f"item_ids_{run}"  # no column of the input is called so
 
     def begin(batch):
         n = [len(words_of(t)) for t in batch.column(text_column).to_pylist()]
@@ -201,8 +202,8 @@ def scan(df: DataFrame, benchmark: DataFrame, text_column: str = "text", item_co
         def make(batch):
             automaton = _automaton(shared, window)
             count, spans, names = [], [], []
-            has = "hit_spans__" in batch.schema.names
-            before = zip(batch.column("hit_spans__").to_pylist(), batch.column("item_ids__").to_pylist(), strict=True) if has else None
+            has = spans_before in batch.schema.names
+            before = zip(batch.column(spans_before).to_pylist(), batch.column(names_before).to_pylist(), strict=True) if has else None
             for text in batch.column(text_column).to_pylist():
                 words = words_of(text)
                 found, items = automaton.scan(words)
@@ -220,8 +221,8 @@ def scan(df: DataFrame, benchmark: DataFrame, text_column: str = "text", item_co
     for k, items in enumerate(_blocks(benchmark, item_column, item_text_column, block_words)):
         shared = sc.broadcast((f"{run}-{k}", items))
         if not first:
-            out = out.withColumnsRenamed({"hit_spans": "hit_spans__", "item_ids": "item_ids__"})
-        out = with_arrow_columns(out, ddl, passed(shared)).drop("hit_spans__", "item_ids__")
+            out = out.withColumnsRenamed({"hit_spans": spans_before, "item_ids": names_before})
+        out = with_arrow_columns(out, ddl, passed(shared)).drop(spans_before, names_before)
         first = False
     return with_arrow_columns(df, ddl, begin) if first else out
 
@@ -244,7 +245,8 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text_column: str = "text"
                   max_span: int = 0, max_coverage: float = MAX_COVERAGE, **options) -> DataFrame:
     """``df`` without documents whose hit share exceeds ``max_coverage``; of the others, hit spans
     of more than ``max_span`` words are cut out of the text.  Columns stay as they are."""
-    found = scan(df, benchmark, text_column, window=window, **options)
+    own = {c: f"{c}_{uuid.uuid4().hex}" for c in df.columns if c.lower() in ("n_words", "hit_spans", "item_ids")}
+    found = scan(df.withColumnsRenamed(own), benchmark, text_column, window=window, **options)
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     # Evaluated once per row, in one step with the cut.
     stays = found.where(hit <= F.lit(max_coverage) * F.col("n_words"))
@@ -255,5 +257,6 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text_column: str = "text"
         long = [[s for s in each if s[1] - s[0] > max_span] for each in spans]
         return [pa.array([cut(t, s) if s else t for t, s in zip(texts, long, strict=True)], pa.string())]
 
-    done = with_arrow_columns(stays, "cut__ string", make)
-    return done.withColumn(text_column, F.col("cut__")).select(*[col(c) for c in df.columns])
+    name = f"cut_{uuid.uuid4().hex}"
+    done = with_arrow_columns(stays, f"{name} string", make)
+    return done.withColumn(text_column, F.col(name)).select(*[col(own.get(c, c)).alias(c) for c in df.columns])

@@ -4,13 +4,15 @@ Detection is one regular expression of all kinds.  A surrogate is drawn from a k
 the entity, so it cannot be reversed without the key, and has the type and format of what it
 replaces: digits for digits, letters for letters, the same separators and case; a card, which is
 one only by its check digit, keeps its network digit and a valid check digit; an address of the internet comes from a reserved
-block; mail goes to the reserved top-level domain ``example``; a name keeps title, gender and
-script.  Entities are compared in a normal form (mail in lower case, numbers as digits, names
+block; mail goes to the reserved top-level domain ``example``; an IBAN has valid check digits; a name keeps title, gender and
+script.  A name is found by its title; its words are then replaced wherever they stand in the same document as
+words of their own, with a capital, with or without a title.  Entities are compared in a normal form (mail in lower case, numbers as digits, names
 word by word), so one entity gets one surrogate in all its spellings and documents.
 
 All distinct entities of the corpus are checked against each other: a surrogate that two would
 share, or that is itself an entity of the corpus, is drawn again by all but the smallest, until
-none is left.  These tables are keyed by entity and written to the shared folder.  Only documents
+none is left; where an entity's format has few values, as in a mail address of two letters, its
+surrogate grows with each draw.  These tables are keyed by entity and written to the shared folder.  Only documents
 that may hold an entity are shuffled, to meet their surrogates; a hot entity is one row on one side of that
 join and a splittable key on the other.
 
@@ -29,7 +31,10 @@ from dqflow.session import scratch_path
 
 #: Replace it with a secret of your own; equal keys give equal surrogates.
 DEFAULT_KEY = "set-your-own-key"
-MAX_DRAWS = 40
+#: No format that does not grow has so few values that this many draws find none.
+MAX_DRAWS = 200
+#: Where a word begins or ends.
+_EDGE = r"(?<=[\p{L}\p{M}'’-])(?![\p{L}\p{M}'’-])|(?<![\p{L}\p{M}'’-])(?=[\p{L}\p{M}'’-])"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _TITLES = {
@@ -143,9 +148,9 @@ def _surrogate(key: str) -> Column:
         norm, entity = F.col("norm"), F.col("entity")
         at = lambda i: F.get(b, i % 192)
 
-        def mapped(text: Column, skip: int = 0) -> Column:
-            """Digits to digits and letters to letters, but for the first ``skip`` characters."""
-            one = lambda c, i: (F.when(i < skip, c).when(c.rlike("[0-9]"), (at(i) % 10).cast("string"))
+        def mapped(text: Column) -> Column:
+            """Digits to digits and letters to letters."""
+            one = lambda c, i: (F.when(c.rlike("[0-9]"), (at(i) % 10).cast("string"))
                                 .when(c.rlike("[a-z]"), F.char(at(i) % 26 + 97)).when(c.rlike("[A-Z]"), F.char(at(i) % 26 + 65))
                                 .when(c.rlike(r"[\p{L}\p{M}\p{N}]"), F.char(at(i) % 26 + 97)).otherwise(c))
             return F.array_join(F.transform(F.split(text, ""), one), "")
@@ -162,13 +167,15 @@ def _surrogate(key: str) -> Column:
             .otherwise(F.concat(body, (at(F.lit(191)) % 10).cast("string")))
         user, host = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
         label = F.regexp_replace(host, r"\.[^.]*$", "")
-        every = mapped(F.concat(user, F.lit("@"), label))
+        every = mapped(F.concat(user, F.call_function("repeat", F.lit("x"), F.greatest(F.col("draw") - 1, F.lit(0))), F.lit("@"), label))
+        account = F.substr(mapped(norm), F.lit(5), F.length(norm))
+        check = F.lpad((98 - _mod97(F.concat(account, F.substring(norm, 1, 2), F.lit("00")))).cast("string"), 2, "0")
         octets = [F.when(F.col("draw") < 8, at(F.lit(0)) % 15 + 240).otherwise(at(F.lit(0)) % 223 + 1), *(at(F.lit(i)) for i in (1, 2, 3))]
         out = (F.when(entity == "email", F.concat(every, F.lit(".example")))
                .when(entity == "ip", F.concat_ws(".", *[o.cast("string") for o in octets]))
-               .when(entity == "ssn", F.concat(F.lit("9"), F.substr(mapped(norm), F.lit(2), F.lit(8))))
+               .when(entity == "ssn", F.when(F.col("draw") < 8, F.concat(F.lit("9"), F.substr(mapped(norm), F.lit(2), F.lit(8)))).otherwise(mapped(norm)))
                .when(entity == "card", card).when(entity == "phone", phone)
-               .when(entity == "iban", mapped(norm, 2)))
+               .when(entity == "iban", F.concat(F.substring(norm, 1, 2), check, account)))
         for script, syllables in _SYLLABLES.items():
             parts = F.expr(_quoted(syllables))
             name = F.array_join(F.transform(F.sequence(F.lit(1), F.least(F.col("draw") + 3, F.lit(60))), lambda i: F.get(parts, (at(i * 2) * 256 + at(i * 2 + 1)) % 40)), "")  # noqa: B023
@@ -189,6 +196,12 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda n, d: n + d)
 
 
+def _mod97(text: Column) -> Column:
+    """A text of digits and capitals, letters read as 10 to 35, modulo 97."""
+    step = lambda r, c: F.when(c.rlike("[0-9]"), r * 10 + c.cast("int")).otherwise(r * 100 + F.ascii(c) - 55) % 97
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
 def _table(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
@@ -201,8 +214,9 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     settled, waiting, draw = None, entities.withColumn("draw", F.lit(0)), 0
     tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
-        # Rows are small and drawing is not: a fixed number of tasks, not as few as their bytes need.
-        drawn = _table(waiting.repartition(tasks, "entity", "norm").withColumn("surrogate", _surrogate(key)), "pii-drawn")
+        # Rows are small and drawing is not: a fixed number of tasks, not as few as their bytes need.  (By the
+        # columns themselves, Spark would take the distinct entities' own shuffle for this one.)
+        drawn = _table(waiting.repartition(tasks, F.xxhash64("norm", "entity")).withColumn("surrogate", _surrogate(key)), "pii-drawn")
         free = drawn.join(entities.select("entity", F.col("norm").alias("surrogate")), ["entity", "surrogate"], "left_anti")
         if settled is not None:
             free = free.join(settled, ["entity", "surrogate"], "left_anti")
@@ -238,10 +252,30 @@ def _rendered(parts: DataFrame, drawn: DataFrame) -> DataFrame:
     return joined.select("raw", shown.alias("surrogate"))
 
 
+def _names(hits: DataFrame, parts: DataFrame, drawn: DataFrame) -> DataFrame:
+    """(pii_id, pii_hash, pii_names): for each document with names, the surrogate of each word of them."""
+    words = parts.where("kind = 'person'").join(drawn, ["entity", "norm"]).where(F.length("norm") > 1).select("raw", "entity", "norm", "surrogate")
+    # A word that is both is the family's.
+    each = hits.where("kind = 'person'").join(words, "raw").groupBy("pii_id", "pii_hash", "norm").agg(
+        F.max_by("surrogate", F.struct(F.col("entity").startswith("family"), "surrogate")).alias("surrogate"))
+    return each.groupBy("pii_id", "pii_hash").agg(F.map_from_entries(F.collect_list(F.struct("norm", "surrogate"))).alias("pii_names"))
+
+
+def _renamed(text: Column, names: Column) -> Column:
+    """``text`` with the words of ``names`` replaced, a genitive's ending apart."""
+    def word(w: Column) -> Column:
+        base = F.regexp_replace(w, "['’]s$", "")
+        new = F.try_element_at(names, F.lower(base))
+        cased = F.when((base == F.upper(base)) & (F.length(base) > 1), F.upper(new)).otherwise(F.initcap(new))
+        return F.when(w.rlike(r"^\p{Lu}") & new.isNotNull(), F.concat(cased, F.substr(w, F.length(base) + 1))).otherwise(w)
+
+    return F.array_join(F.transform(F.split(text, _EDGE), word), "")
+
+
 def pseudonymise(df: DataFrame, key: str = DEFAULT_KEY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``df`` with surrogates in place of entities, and ``n_<kind>`` long of each kind of entity."""
     names = [f"n_{k}" for k in KINDS]
-    rows = df.select(*kept(df, *names, "pii_id", "pii_hash", "pii_found"))
+    rows = df.select(*kept(df, *names, "pii_id", "pii_hash", "pii_found", "pii_names"))
     text = col(text_column)
     keyed = rows.where(_maybe(text)).withColumns({"pii_id": col(id_column), "pii_hash": F.xxhash64(text)})
     hits = keyed.select("pii_id", "pii_hash", F.posexplode(_found(text)).alias("place", "raw")).distinct()
@@ -250,10 +284,14 @@ def pseudonymise(df: DataFrame, key: str = DEFAULT_KEY, id_column: str = "doc_id
     drawn = surrogates(parts.select("entity", "norm").distinct(), key)
     placed = hits.join(_rendered(parts, drawn), "raw", "left").withColumn("surrogate", F.coalesce("surrogate", "raw")).groupBy("pii_id", "pii_hash").agg(
         F.array_sort(F.collect_list(F.struct("place", "surrogate", "kind"))).alias("pii_found"))
+    key_of = lambda t: F.col("d.pii_id").eqNullSafe(F.col(f"{t}.pii_id")) & (F.col("d.pii_hash") == F.col(f"{t}.pii_hash"))
+    named = placed.alias("d").join(_names(hits, parts, drawn).alias("w"), key_of("w"), "left")
+    placed = named.select("d.*", "pii_names")
     # Only texts that may hold an entity are shuffled.
-    same = F.col("d.pii_id").eqNullSafe(F.col("p.pii_id")) & (F.col("d.pii_hash") == F.col("p.pii_hash"))
+    same = key_of("p")
     met = keyed.alias("d").join(placed.alias("p"), same, "left")
     between = F.split(text, DETECT, -1)
+    between = F.when(F.col("pii_names").isNull(), between).otherwise(F.transform(between, lambda t: _renamed(t, F.col("pii_names"))))
     new = F.array_join(F.zip_with(between, F.concat("p.pii_found.surrogate", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     new = F.when(F.col("p.pii_found").isNull(), text).otherwise(new)
     of_kind = lambda kind: F.coalesce(F.size(F.filter("p.pii_found", lambda x: x["kind"] == kind)), F.lit(0))

@@ -3,7 +3,8 @@
 Base spans are the whole matches of three patterns.  The method adds spans of other long strings:
 two first-order Markov chains over the characters of a string, one of random strings and one of
 ordinary identifiers, are trained from labelled samples; a string whose log-likelihood ratio
-exceeds ``RATIO`` (in all) and ``RATIO_PER_CHARACTER`` is a secret.  ``labelled_counts`` takes
+exceeds ``RATIO`` (in all) and ``RATIO_PER_CHARACTER`` is a secret.  Where a base span lies in a string, what is
+left before and after it is scored.  ``labelled_counts`` takes
 its samples from the corpus itself, over all rows: what the base patterns find is random, other
 runs of identifier characters are ordinary.  Counts are summed per task and then by pair of
 characters, so what reaches the driver is bounded by the alphabet.
@@ -17,7 +18,9 @@ same-named ones give way.
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +124,21 @@ def log_ratio(counts: np.ndarray) -> np.ndarray | None:
     return np.log(chance[1]) - np.log(chance[0])
 
 
+def _outside(runs: Iterable[tuple[int, int]], base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What base spans leave of the runs, where it is still long enough."""
+    spans = sorted((a, b) for a, _, b in base)
+    first = 0
+    for a, b in runs:
+        while first < len(spans) and spans[first][1] <= a:
+            first += 1
+        for x, y in itertools.takewhile(lambda s: s[0] < b, spans[first:]):  # noqa: B023
+            if x - a >= STRING_LENGTH:
+                yield a, x
+            a = max(a, y)
+        if b - a >= STRING_LENGTH:
+            yield a, b
+
+
 def spans_of(text: str, ratio: np.ndarray | None) -> list[tuple[int, int, int]]:
     """(start, kind, end) of all spans of a text, by start, then kind."""
     spans = [(a, kind, b) for a, kind, b, _ in base_spans(text)]
@@ -131,9 +149,7 @@ def spans_of(text: str, ratio: np.ndarray | None) -> list[tuple[int, int, int]]:
     long = end - begin >= STRING_LENGTH
     begin, end = begin[long], end[long]
     base = list(spans)
-    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
-        if any(x < b and a < y for x, _, y in base):
-            continue
+    for a, b in _outside(zip(begin.tolist(), end.tolist(), strict=True), base):
         string = symbols[a:b]
         score = ratio[np.r_[0, string[:-1]], string].sum()
         if score > RATIO and score > RATIO_PER_CHARACTER * (b - a):

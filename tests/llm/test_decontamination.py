@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from dqflow.llm import decontamination as dc
 
 
@@ -71,3 +73,14 @@ def test_spans_are_cut_and_covered_documents_go(spark):
     assert got[1] == rows[0][1].replace(passage, "") and got[3] == rows[2][1] and got[4] is None
     kept = dc.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), bench, max_span=10, max_coverage=1.0)
     assert {r.doc_id: r.text for r in kept.collect()} == dict(rows)
+
+
+def test_columns_of_any_name(spark):
+    """Several blocks, and input columns named like anything the operator makes."""
+    docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven", "x")], "doc_id long, text string, hit_spans__ string")
+    docs = docs.withColumns({c: F.lit("x") for c in ("item_ids__", "cut__", "n_words", "hit_spans", "item_ids")})
+    items = spark.createDataFrame([("a", "one two three"), ("b", "nine ten eleven")], "item_id string, text string")
+    r = dc.scan(docs, items, block_words=2).first()
+    assert r.item_ids == ["a", "b"] and r.hit_spans == [[0, 3], [8, 11]] and r["hit_spans__"] == "x"
+    kept = dc.decontaminate(docs, items, block_words=2, max_coverage=0.9)
+    assert kept.columns == docs.columns and set(kept.drop("doc_id", "text").first()) == {"x"} and "four" in kept.first().text

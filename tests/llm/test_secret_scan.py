@@ -60,3 +60,47 @@ def test_odd_rows(spark, odd, empty):
     got = ss.scan(odd, ratio).collect()
     assert len(got) == len(ODD) and all(r.secret_spans == [] for r in got)
     assert ss.scan(empty, None).count() == 0 and not ss.labelled_counts(empty).any()
+
+
+def test_strings_beside_base_spans_are_scored():
+    counts = np.zeros((2, ss.SYMBOLS, ss.SYMBOLS))
+    counts[1] += 9
+    counts[0, :, :5] = 999  # ordinary strings hold few characters
+    ratio = ss.log_ratio(counts)
+    key, hexes = "Zq8Xw7Vu6Ts5Rr4Pp3", "0123456789abcdef" * 2
+    for text in (f"{key}/{hexes}/{key}", f"a {key}-{hexes} b", f"{hexes}_{key}", f"{key}-token=abcdefg", f"{key[:9]}/{hexes}/{key[:9]}"):
+        base = [(a, k, b) for a, k, b, _ in ss.base_spans(text)]
+        inside = [False] * len(text)
+        for a, _, b in base:
+            inside[a:b] = [True] * (b - a)
+        want, at = list(base), 0
+        for i in range(len(text) + 1):  # runs of the alphabet without base spans
+            if i == len(text) or inside[i] or text[i] not in ss.ALPHABET:
+                string = text[at:i]
+                if len(string) >= ss.STRING_LENGTH:
+                    symbols = [ss.ALPHABET.index(c) + 1 for c in string]
+                    score = sum(ratio[x, y] for x, y in zip([0, *symbols], symbols))
+                    if score > ss.RATIO and score > ss.RATIO_PER_CHARACTER * len(string):
+                        want.append((at, 3, i))
+                at = i + 1
+        assert ss.spans_of(text, ratio) == sorted(want) and (len(want) > len(base)) == (key in text)
+
+
+def test_registered_query(spark):
+    """Base spans and their digest from the contract's patterns; added spans recomputed with the query's own counts."""
+    import hashlib
+
+    from .conftest import SF
+    from dqflow.llm import queries
+
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    ratio = ss.log_ratio(ss.labelled_counts(documents))
+    texts = {r.doc_id: r.text or "" for r in documents.collect()}
+    done = queries.queries()["op2_secret_scan"](spark, SF)
+    assert done.columns[:6] == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    for r in done.collect():
+        base = plain(texts[r.doc_id])
+        listed = lambda spans: ",".join(f"{ss.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == i for _, k, _ in base) for i in range(3)]
+        assert r.base_sha256 == hashlib.sha256(listed(base).encode()).hexdigest()
+        assert r.spans == listed(ss.spans_of(texts[r.doc_id], ratio))
