@@ -1,0 +1,71 @@
+"""The registered queries themselves, digests and joins of their columns included, and the pipeline over odd and empty tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from .conftest import ODD, SF
+from .test_fingerprints import expected as fingerprints
+from .test_simhash import plain_components
+from .test_substring_dedup import expected as without_repeats
+from dqflow.llm import queries
+from dqflow.llm import substring_dedup as sd
+
+
+@pytest.fixture(scope="module")
+def rows(documents):
+    return [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+
+
+def test_op1(spark, rows):
+    done = queries.queries()["op1_substring_dedup"](spark, SF)
+    assert done.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted(map(tuple, done.collect())) == without_repeats(rows, sd.LENGTH)
+
+
+def test_op4(spark, rows):
+    done = queries.queries()["op4_simhash"](spark, SF)
+    assert done.columns[:3] == ["doc_id", "fingerprint", "component_id"]
+    assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in done.collect()) == [(k, f"{p:016x}", c) for k, p, c in plain_components(rows)]
+
+
+def test_op7(spark, rows):
+    done = queries.queries()["op7_quality"](spark, SF).collect()
+    assert sorted(r.doc_id for r in done) == sorted(k for k, _ in rows)
+    assert all(r.keep == (r.perplexity is None or r.perplexity <= r.threshold) for r in done)
+
+
+def test_op9(spark, rows):
+    done = queries.queries()["op9_multiset_fingerprint"](spark, SF)
+    assert done.columns[:7] == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    assert sorted((str(r[0]), *r[1:5], round(r[5], 9), round(r[6], 9)) for r in done.collect()) == fingerprints(rows)
+
+
+def tables(spark, path, documents, labels, benchmark):
+    """Every column may be null, rows repeat, and the tables have columns of names that the operators use."""
+    docs = spark.createDataFrame(documents, "doc_id long, text string").withColumns({
+        "lang": F.lit(None).cast("string"), "source": F.lit("s"), "n_chars": F.length("text").cast("long"), "hash": F.lit("x"), "n_words": F.lit(None).cast("long")})
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(benchmark, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return docs
+
+
+def test_pipeline_over_odd_rows(spark, tmp_path):
+    labels = [(1, 1, 0), (1, 1, 0), (2, None, 0), (None, 1, 0), (5, 0, 1), (6, 1, None)]
+    docs = tables(spark, str(tmp_path), ODD, labels, [(1, None), (None, "no such words here"), (2, ""), (2, "")])
+    stage = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, make in cp.STAGES[:-1]:
+        stage = make(spark, stage, str(tmp_path)).cache()
+        assert stage.columns == docs.columns, name
+    # Nothing is judged (no language has enough trusted documents), hit or personal: one of each group of near copies stays, as it was.
+    kept = sorted((str(r.doc_id), r.text or "") for r in stage.collect())
+    want = {c for _, _, c in plain_components(ODD)}
+    assert {k for k, _ in kept} == want and set(kept) <= {(str(k), t or "") for k, t in ODD}
+    done = cp.run(spark, str(tmp_path)).collect()
+    assert sorted(str(r.doc_id) for r in done) == sorted(k for k, _ in kept) and all(r.n_tokens == len(r.ids) for r in done)
+
+
+def test_pipeline_over_empty_tables(spark, tmp_path):
+    tables(spark, str(tmp_path), [], [], [])
+    assert cp.run(spark, str(tmp_path)).count() == 0
