@@ -394,10 +394,10 @@ def demo_document(sf: str, out: str | None = None) -> dict:
         {"field": "c_acctbal", "validations": [{"type": "nonNegative", "message": "balance must be >= 0"}]},
         {"field": "email", "validations": ["email"]},
         {"field": "c_nationkey", "validations": [{"type": "between", "min": 0, "max": 20}]},
-        {"field": "process_timestamp", "validations": ["notNull"]},
+        {"field": "seen_at", "validations": ["notNull"]},
     ]
     chain = [
-        ("stamp", "add_fields", {"addFields": [{"name": "process_timestamp", "function": "current_timestamp"}]}),
+        ("stamp", "add_fields", {"addFields": [{"name": "seen_at", "function": "current_timestamp"}]}),
         ("no_auto", "filter_rows", {"condition": "c_mktsegment <> 'AUTOMOBILE'"}),
         ("slim", "drop_columns", {"columns": ["c_mktsegment"]}),
         ("email", "derive_column", {"column": "email", "expression":
@@ -405,7 +405,7 @@ def demo_document(sf: str, out: str | None = None) -> dict:
         ("bucket", "derive_column", {"column": "bucket", "expression":
             "CASE WHEN c_acctbal >= 5000 THEN 'high' WHEN c_acctbal >= 0 THEN 'mid' ELSE 'negative' END"}),
         ("rename", "rename_columns", {"mappings": {"c_custkey": "id", "c_name": "name"}}),
-        ("core", "select_columns", {"columns": ["id", "name", "email", "bucket", "c_acctbal", "c_nationkey", "process_timestamp"]}),
+        ("core", "select_columns", {"columns": ["id", "name", "email", "bucket", "c_acctbal", "c_nationkey", "seen_at"]}),
         ("check", "validate_fields", {"validations": check}),
     ]
     inputs = ["customers", *[name for name, _, _ in chain]]
@@ -456,7 +456,7 @@ def q_dataflow_ko(spark, sf):
 
 def q_dataflow_ok(spark, sf):
     flow = build_flow(spark, demo_document(sf)["dataflows"][0], StepContext(run_id="q"))
-    return flow.tables["validation_ok"].select("id", "bucket", F.col("process_timestamp").isNotNull().alias("has_ts"))
+    return flow.tables["validation_ok"].select("id", "bucket", F.col("seen_at").isNotNull().alias("has_ts"))
 
 
 def q_dataflow_written(spark, sf):
