@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import SparkSession
 
@@ -67,7 +68,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return checkpoint_dir(spark)
 
 
+_SCRATCH: "weakref.WeakKeyDictionary[SparkSession, list[str]]" = weakref.WeakKeyDictionary()
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/dqflow-{purpose}-{uuid.uuid4().hex}"
+    path = f"{base}/dqflow-{purpose}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this session has made and tell how many; call it when no result
+    that was built from them will be read any more (a lazy result reads them when it runs)."""
+    paths, gone = _SCRATCH.pop(spark, []), 0
+    for path in paths:
+        there = spark._jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True))
+    return gone

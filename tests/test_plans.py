@@ -170,3 +170,29 @@ def test_look_up_tables_report_what_failed(spark, limits):
         more = f"; ... (+{len(labels) - most} more)" if len(labels) > most else ""
         assert r.validation_errors == want and r.validation_errors_array == labels
         assert r.validation_errors_text == "; ".join(labels[:most]) + more
+
+
+def test_few_duplicated_keys_leave_the_rows_where_they_are(spark):
+    """The set of duplicated keys is measured before the rows are planned: a small one is broadcast, and no row is shuffled."""
+    rows = spark.range(40_000, numPartitions=4).selectExpr("CASE WHEN id % 1000 = 0 THEN 7 ELSE id END AS k", "repeat('x', 500) AS payload")
+    res = validate(rows, [{"field": "k", "validations": ["unique"]}])
+    for df, n in ((res.ok, 39_959), (res.ko, 41)):
+        assert len(df.collect()) == n
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+        shuffled = [line for line in final.splitlines() if " Exchange hashpartitioning" in line]
+        assert shuffled and not any("payload" in line or "__dq_salt" in line for line in shuffled)
+
+
+def test_scratch_is_cleared(spark):
+    import os
+
+    from dqflow.session import clear_scratch, scratch_path
+
+    other = spark.newSession()  # what other sessions made stays
+    path, kept = scratch_path(other, "a"), scratch_path(spark, "b")
+    for p in (path, kept):
+        spark.range(3).write.parquet(p)
+    assert clear_scratch(other) == 1 and clear_scratch(other) == 0
+    local = lambda p: p.removeprefix("file:")
+    assert not os.path.exists(local(path)) and os.path.exists(local(kept))
