@@ -226,6 +226,25 @@ def test_hot_key_is_spread_over_join_tasks(spark):
     assert flagged.filter("dup").count() == n_hot + n_rest
 
 
+def test_two_hundred_hot_keys_are_all_spread(spark):
+    """Every key above the share is split, however many there are."""
+    n_keys, n_each = 200, 300
+    rows = spark.range(n_keys * n_each + 5000, numPartitions=8).selectExpr("id", f"CASE WHEN id < {n_keys * n_each} THEN id % {n_keys} ELSE id END AS k")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        flagged = flag_duplicates(rows, F.col("k"), "dup", rows_per_salt=30)
+        per_task = flagged.where("dup").groupBy("k", F.spark_partition_id().alias("p")).count()
+        most = per_task.groupBy("k").agg(F.max("count").alias("most"), F.sum("count").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(most) == n_keys and all(r.n == n_each for r in most)
+    assert max(r.most for r in most) <= 5 * 30  # a few salts of a key may meet in a task, never all ten
+
+
 def test_unique_float_keys_signed_zero_and_nan(spark):
     df = spark.createDataFrame([(1, 0.0), (2, -0.0), (3, float("nan")), (4, float("nan")), (5, 1.5)], "id int, k double")
     for per_salt in (1, 100):
