@@ -55,7 +55,7 @@ HELD_OUT = 5
 #: A language needs so many trusted ids to set a threshold; of fewer, no quantile says where its good text ends.
 MIN_TRUSTED = 20
 #: Characters whose n-grams a task sorts at once, whatever the length of a text or a batch.
-PIECE_CHARS = 2 << 20
+PIECE_CHARS = 1 << 20
 #: Text bytes of a block.
 BLOCK_BYTES = 32 << 20
 #: Trusted ids that are sent to every task; more are joined by shuffle.
@@ -237,7 +237,7 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id
         held, new, size, now = np.zeros(0, np.int64), [], 0, None
         rows_ = (x for batch in batches for x in zip(batch.column("block").to_pylist(), batch.column("z"), strict=True))
         for block, blob in itertools.chain(rows_, [(None, None)]):
-            if block != now or size > 4 << 20:
+            if block != now or size > 2 << 20:
                 held, new, size = np.unique(np.concatenate([held, *new])), [], 0
                 if block != now and now is not None:
                     grams = _asked(held, order)
