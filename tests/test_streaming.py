@@ -149,3 +149,20 @@ def test_composite_keys(spark):
     assert validate(zeros, [{"field": "d", "validations": [{"type": "unique", "fields": ["d", "i"]}]}]).ok.count() == 0
     with pytest.raises(InvalidValidationConfig):
         validate(df, [{"field": "p", "validations": [{"type": "unique", "fields": []}]}])
+
+
+def test_rows_waiting_for_their_window_lie_outside_the_heap(spark, tmp_path):
+    """A stream with a horizon keeps its state in RocksDB; the session's own settings stay, and a provider it names is taken."""
+    base, key = str(tmp_path), "spark.sql.streaming.stateStore.providerClass"
+    stream, before = _events(spark, f"{base}/in"), spark.conf.get(key, None)
+    own = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    for name, given, want in (("a", None, "RocksDBStateStoreProvider"), ("b", own, own)):
+        if given:
+            spark.conf.set(key, given)
+        try:
+            start_validated_stream(stream, [{"field": "key", "validations": ["unique"]}], *_sinks(f"{base}/{name}"), checkpoint_location=f"{base}/{name}/ckpt",
+                                   trigger={"availableNow": True}, horizon=Horizon("at", "1 hour", "5 minutes", salts=2)).awaitTermination()
+            assert spark.conf.get(key, None) == (given or before)
+        finally:
+            spark.conf.unset(key)
+        assert want in (tmp_path / name / "ckpt" / "offsets" / "0").read_text()
