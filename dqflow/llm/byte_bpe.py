@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqflow.llm import pretokens
-from dqflow.llm.frames import col, with_arrow_columns
+from dqflow.llm.frames import col, in_task, with_arrow_columns
 
 #: Beyond the length of any word.
 WHOLE = 1 << 30
@@ -244,14 +244,14 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
     literal, sizes = rank_map(vocabulary)
     tables = F.from_json(F.lit(literal), "a array<bigint>, b array<bigint>")
     blob = "block long, shard int, blob binary"
-    requests = rows.mapInArrow(asked, blob).repartition(tasks, "shard").sortWithinPartitions("shard")
-    listed = requests.mapInArrow(gathered, "shard int, blocks binary, sizes binary, index binary, words array<array<bigint>>")
+    requests = rows.mapInArrow(in_task(asked), blob).repartition(tasks, "shard").sortWithinPartitions("shard")
+    listed = requests.mapInArrow(in_task(gathered), "shard int, blocks binary, sizes binary, index binary, words array<array<bigint>>")
     # The outer transform binds the literal once for a row.
     folded = F.transform(F.array(tables), lambda t: F.flatten(F.transform("words", lambda w: merged(w, t, sizes))))
-    answers = listed.select("shard", "blocks", "sizes", "index", F.get(folded, F.lit(0)).alias("ids")).mapInArrow(answered, blob)
-    spread = answers.unionByName(rows.mapInArrow(kept, blob)).repartition(tasks, "block").sortWithinPartitions("block", "shard")
+    answers = listed.select("shard", "blocks", "sizes", "index", F.get(folded, F.lit(0)).alias("ids")).mapInArrow(in_task(answered), blob)
+    spread = answers.unionByName(rows.mapInArrow(in_task(kept), blob)).repartition(tasks, "block").sortWithinPartitions("block", "shard")
     schema = f"id {kind}, ids {'binary' if packed else 'array<int>'}" + ", decoded binary" * decoded
-    return spread.mapInArrow(laid_out, schema).withColumnRenamed("id", id_column)
+    return spread.mapInArrow(in_task(laid_out), schema).withColumnRenamed("id", id_column)
 
 
 def _each(batch: pa.RecordBatch):

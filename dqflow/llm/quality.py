@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dqflow.llm.frames import col, quoted
+from dqflow.llm.frames import col, give_back, in_task, quoted
 from dqflow.session import scratch_path
 
 ORDER = 5
@@ -55,7 +55,9 @@ HELD_OUT = 5
 #: A language needs so many trusted ids to set a threshold; of fewer, no quantile says where its good text ends.
 MIN_TRUSTED = 20
 #: Characters whose n-grams a task sorts at once, whatever the length of a text or a batch.
-PIECE_CHARS = 1 << 20
+PIECE_CHARS = 1 << 18
+#: Rows that a task hands over at once: Spark holds each Arrow batch whole beside its heap.
+BATCH_ROWS = 1 << 16
 #: Text bytes of a block.
 BLOCK_BYTES = 32 << 20
 #: Trusted ids that are sent to every task; more are joined by shuffle.
@@ -96,6 +98,13 @@ def _pieces(texts: Iterable[str], order: int) -> Iterator[tuple[np.ndarray, np.n
         yield np.concatenate(held), np.concatenate(of)
 
 
+def _batches(**columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of equally long columns, ``BATCH_ROWS`` at a time."""
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
+    for first in range(0, whole.num_rows, BATCH_ROWS):
+        yield whole.slice(first, BATCH_ROWS)
+
+
 def _table(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
@@ -119,10 +128,10 @@ def counts(trusted: DataFrame, order: int = ORDER, text_column: str = "text", fo
                 gram, place, every = np.unique(codes, return_inverse=True, return_counts=True)
                 of = folds[of]
                 n = [every - np.bincount(place[of == f], minlength=len(gram)) for f in range(len(names))] if apart else [every]
-                yield pa.RecordBatch.from_arrays([pa.array(gram), *(pa.array(x.astype(np.int64)) for x in n)], ["gram", *names])
+                yield from _batches(gram=gram, **dict(zip(names, n, strict=True)))
 
     rows = trusted.select((fold if apart else F.lit(0)).alias("fold"), col(text_column).alias("text"))
-    found = rows.mapInArrow(counted, "gram long, " + ", ".join(f"{n} long" for n in names))
+    found = rows.mapInArrow(in_task(counted), "gram long, " + ", ".join(f"{n} long" for n in names))
     return found.groupBy("gram").agg(*[F.sum(n).alias(n) for n in names])
 
 
@@ -231,7 +240,7 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id
                 yield pa.RecordBatch.from_arrays([pa.array([block[order_[a]]], pa.int32()), pa.array([_zip(part)], pa.binary())], ["block", "z"])
 
     # Read twice, for the n-grams of each block and to be scored: one shuffle, reused.
-    texts = rows.mapInArrow(packed, "block int, z binary").repartition(tasks, "block")
+    texts = rows.mapInArrow(in_task(packed), "block int, z binary").repartition(tasks, "block")
 
     def listed(batches):
         held, new, size, now = np.zeros(0, np.int64), [], 0, None
@@ -241,7 +250,7 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id
                 held, new, size = np.unique(np.concatenate([held, *new])), [], 0
                 if block != now and now is not None:
                     grams = _asked(held, order)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), now, np.int32)), pa.array(grams)], ["block", "gram"])
+                    yield from _batches(block=np.full(len(grams), now, np.int32), gram=grams)
                     held = held[:0]
                 now = block
             if blob is not None:
@@ -266,9 +275,10 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id
             mean = np.divide(total, n, out=np.full(len(n), np.nan), where=some)
             values = pa.array(np.exp(-mean), pa.float64(), mask=~some if rare else np.ones(len(n), bool))
             out.append(pa.RecordBatch.from_arrays([held.column("id"), held.column("text_hash"), held.column("lang"), values], ["id", "text_hash", "lang", "perplexity"]))
+        give_back()
         return pa.Table.from_batches(out)
 
-    asked = texts.sortWithinPartitions("block").mapInArrow(listed, "block int, gram long")
+    asked = texts.sortWithinPartitions("block").mapInArrow(in_task(listed), "block int, gram long")
     own = lambda c: F.get(F.array(*[c + f for f in each]), F.col("block") % folds).alias(c)
     answers = asked.join(known, "gram").select("block", "gram", own("p"), own("back")).where("p IS NOT NULL OR back IS NOT NULL")
     met = texts.groupBy("block").cogroup(answers.groupBy("block"))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dqflow.llm.components import components
-from dqflow.llm.frames import col, with_arrow_columns
+from dqflow.llm.frames import col, in_task, with_arrow_columns
 from dqflow.session import scratch_path
 
 SHINGLE_WORDS = 3
@@ -197,8 +197,8 @@ def links(distinct: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[k] for f in found]).view(np.int64)) for k in (0, 1)], ["a", "b"])
 
-    spread = distinct.select("simhash").mapInArrow(dealt, "part long, simhash long").repartition("part").sortWithinPartitions("part")
-    return spread.mapInArrow(swept, "a long, b long")
+    spread = distinct.select("simhash").mapInArrow(in_task(dealt), "part long, simhash long").repartition("part").sortWithinPartitions("part")
+    return spread.mapInArrow(in_task(swept), "a long, b long")
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text",

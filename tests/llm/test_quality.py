@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from .conftest import ODD, SF
+from dqflow.llm import frames
 from dqflow.llm import quality as ql
 
 
@@ -126,3 +127,28 @@ def test_every_trusted_document_is_scored_unseen(spark):
     # Languages with too few trusted documents, or none, keep theirs.
     assert {k for k, x in rows.items() if not x.keep} == {102}
     assert all(math.isinf(x.threshold) for x in rows.values() if x.lang not in ("en", "sw"))
+
+
+def test_tasks_hand_over_bounded_batches_and_give_memory_back(spark, tmp_path, monkeypatch):
+    """No Arrow batch is as large as a piece or a block, and a task releases what it held when it ends."""
+    got = list(ql._batches(gram=np.arange(2 * ql.BATCH_ROWS + 5), n0=np.ones(2 * ql.BATCH_ROWS + 5, np.int64)))
+    assert [b.num_rows for b in got] == [ql.BATCH_ROWS, ql.BATCH_ROWS, 5] and got[2].column("gram").to_pylist()[-1] == 2 * ql.BATCH_ROWS + 4
+    assert list(ql._batches(gram=np.zeros(0, np.int64))) == []
+    calls = []
+    monkeypatch.setattr(frames, "give_back", lambda: calls.append(1))
+    task = frames.in_task(lambda batches: (b for b in batches))
+    assert list(task(iter("ab"))) == ["a", "b"] and calls == [1]
+    with pytest.raises(ValueError):
+        list(frames.in_task(lambda batches: map(int, batches))(iter("x")))
+    assert calls == [1, 1]
+    monkeypatch.undo()
+    frames.give_back()
+
+
+def test_counts_do_not_depend_on_the_sizes_of_pieces_and_batches(spark, monkeypatch):
+    texts = spark.createDataFrame([(i, "abcab" * (i % 7) + str(i)) for i in range(40)], "doc_id long, text string")
+    whole = sorted(map(tuple, ql.counts(texts, 3).collect()))
+    got = spark.createDataFrame([], "gram long, n long")
+    for first in range(0, 40, 9):
+        got = got.unionByName(ql.counts(texts.where(f"doc_id >= {first} AND doc_id < {first + 9}"), 3))
+    assert sorted(map(tuple, got.groupBy("gram").agg(F.sum("n")).collect())) == whole
