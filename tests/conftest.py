@@ -18,3 +18,10 @@ def spark():
     s = build_session("local[4]", app_name="dqflow-tests", **{"spark.sql.shuffle.partitions": "8"})
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_frames_stay_cached(spark):
+    """Frames that a module's tests cache are no concern of the next module."""
+    yield
+    spark.catalog.clearCache()
