@@ -2,10 +2,11 @@
 
 Each task packs documents into blocks of bounded size and lists the distinct words (pre-tokens)
 of a block.  Words are dealt to shards by hash, so that equal words of all blocks meet; there,
-Spark's higher-order functions fold the ranked merges over the byte array of each distinct word,
-with the rank map as a literal of the plan.  The ids of a block's words go back to it, as sizes and
-two bytes an id, and are laid out along each document.  Texts are shuffled once, compressed, to
-meet their ids.
+Spark's higher-order functions fold the ranked merges over the byte array of each distinct word.
+The rank map is a row that a task makes of the rank file, broadcast to the folding tasks: as a
+literal it would be in every description of the plan that the driver makes and keeps, and in every
+task.  The ids of a block's words go back to it, as sizes and two bytes an id, and are laid out along
+each document.  Texts are shuffled once, compressed, to meet their ids.
 
 All requests of a shard are worked off together, so a word is folded once, a hot word as well as a
 rare one; a shard of over ``FOLD_WORDS`` requests is cut, so no group is ever held whole.  A block is
@@ -241,14 +242,19 @@ def encode(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
                     n = int.from_bytes(raw[:4], "little")
                     answers[shard] = np.frombuffer(raw, "<u2", n, 4).astype(np.int32), np.frombuffer(raw, "<u2", -1, 4 + 2 * n)
 
-    literal, sizes = rank_map(vocabulary)
-    tables = F.from_json(F.lit(literal), "a array<bigint>, b array<bigint>")
+    def ranked(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([rank_map(vocabulary)[0]])], ["ranks"])
+
+    tables = spark.range(0, 1, 1, 1).mapInArrow(in_task(ranked), "ranks string")
+    tables = tables.select(F.from_json("ranks", "a array<bigint>, b array<bigint>").alias("ranks")).select("ranks.a", "ranks.b")
+    sizes = rank_map(vocabulary)[1]
     blob = "block long, shard int, blob binary"
     requests = rows.mapInArrow(in_task(asked), blob).repartition(tasks, "shard").sortWithinPartitions("shard")
     listed = requests.mapInArrow(in_task(gathered), "shard int, blocks binary, sizes binary, index binary, words array<array<bigint>>")
-    # The outer transform binds the literal once for a row.
-    folded = F.transform(F.array(tables), lambda t: F.flatten(F.transform("words", lambda w: merged(w, t, sizes))))
-    answers = listed.select("shard", "blocks", "sizes", "index", F.get(folded, F.lit(0)).alias("ids")).mapInArrow(in_task(answered), blob)
+    # The outer transform binds the tables once for a row.
+    folded = F.transform(F.array(F.struct("a", "b")), lambda t: F.flatten(F.transform("words", lambda w: merged(w, t, sizes))))
+    answers = listed.crossJoin(F.broadcast(tables)).select("shard", "blocks", "sizes", "index", F.get(folded, F.lit(0)).alias("ids")).mapInArrow(in_task(answered), blob)
     spread = answers.unionByName(rows.mapInArrow(in_task(kept), blob)).repartition(tasks, "block").sortWithinPartitions("block", "shard")
     schema = f"id {kind}, ids {'binary' if packed else 'array<int>'}" + ", decoded binary" * decoded
     return spread.mapInArrow(in_task(laid_out), schema).withColumnRenamed("id", id_column)

@@ -116,6 +116,11 @@ def test_cut_shards_and_long_words(spark, library, monkeypatch):
     assert {r.doc_id: r.ids for r in byte_bpe.encode(df, RANKS).collect()} == {k: library.encode_ordinary(t) for k, t in enumerate(some)}
 
 
+def test_rank_map_is_not_in_the_plan(odd, capsys):
+    byte_bpe.encode(odd, RANKS).explain(True)
+    assert 100 < len(capsys.readouterr().out) < 100_000
+
+
 def test_rank_map_is_small_and_whole():
     literal, sizes = byte_bpe.rank_map(RANKS)
     tables, pieces = json.loads(literal), byte_bpe.pieces_of(RANKS)
