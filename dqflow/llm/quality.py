@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dqflow.llm.frames import col, give_back, in_task, quoted
+from dqflow.llm.frames import col, give_back, in_task, quoted, small_batches
 from dqflow.session import scratch_path
 
 ORDER = 5
@@ -60,6 +60,10 @@ PIECE_CHARS = 1 << 18
 BATCH_ROWS = 1 << 16
 #: Text bytes of a block.
 BLOCK_BYTES = 32 << 20
+#: Bytes that a task deals into blocks at once, however small the batches that Spark sends.
+PACK_BYTES = 16 << 20
+#: N-grams of a block that wait to be merged with its distinct ones.
+MERGE = 1 << 20
 #: Trusted ids that are sent to every task; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 START = 1
@@ -105,6 +109,19 @@ def _batches(**columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield whole.slice(first, BATCH_ROWS)
 
 
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in batches of about ``PACK_BYTES``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= PACK_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _table(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
@@ -204,12 +221,12 @@ def _log_probabilities(codes: np.ndarray, gram: np.ndarray, p: np.ndarray, back:
         key = codes[left] & ((1 << BITS * k) - 1)
         at, hit = place(key | k << TAG)
         hit &= ~np.isnan(p[at]) if len(gram) else False
-        out[left[hit]] = weight[left[hit]] + np.log(p[at[hit]])
+        out[left[hit]] = weight[left[hit]] + np.log(p[at[hit]], dtype=np.float64)
         left, key = left[~hit], key[~hit]
         if k > 1:  # an unseen n-gram after a seen context pays the context's weight
             at, hit = place(key >> BITS | (k - 1) << TAG)
             hit &= ~np.isnan(back[at]) if len(gram) else False
-            weight[left[hit]] += np.log(back[at[hit]])
+            weight[left[hit]] += np.log(back[at[hit]], dtype=np.float64)
     out[left] = weight[left] + np.log(unseen)
     return out
 
@@ -230,7 +247,7 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id
     rows = rows.withColumn("block", (F.col("fold") + folds * F.pmod(F.xxhash64("id", "text_hash"), blocks)).cast("int")).drop("fold")
 
     def packed(batches):
-        for batch in batches:
+        for batch in _gathered(batches):
             block = batch.column("block").to_numpy()
             order_ = np.argsort(block, kind="stable")
             cuts = np.flatnonzero(np.diff(block[order_], prepend=-1))
@@ -246,7 +263,7 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id
         held, new, size, now = np.zeros(0, np.int64), [], 0, None
         rows_ = (x for batch in batches for x in zip(batch.column("block").to_pylist(), batch.column("z"), strict=True))
         for block, blob in itertools.chain(rows_, [(None, None)]):
-            if block != now or size > 2 << 20:
+            if block != now or size > MERGE:
                 held, new, size = np.unique(np.concatenate([held, *new])), [], 0
                 if block != now and now is not None:
                     grams = _asked(held, order)
@@ -258,11 +275,11 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id
                     new.append(np.unique(codes))
                     size += len(new[-1])
 
-    def scored(left, right):
+    def of_block(left, right):
         gram, p, back = (right.column(c).to_numpy() for c in ("gram", "p", "back"))
         rare = unseen[left.column("block")[0].as_py() % folds]
         by = np.argsort(gram)
-        gram, p, back = gram[by], p[by].astype(np.float64), back[by].astype(np.float64)
+        gram, p, back = gram[by], p[by], back[by]
         out = []
         for blob in left.column("z"):
             held = _unzip(blob.as_py())
@@ -274,10 +291,17 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id
             some = n > 0
             mean = np.divide(total, n, out=np.full(len(n), np.nan), where=some)
             values = pa.array(np.exp(-mean), pa.float64(), mask=~some if rare else np.ones(len(n), bool))
-            out.append(pa.RecordBatch.from_arrays([held.column("id"), held.column("text_hash"), held.column("lang"), values], ["id", "text_hash", "lang", "perplexity"]))
-        give_back()
+            # Copies: a slice of the block's rows would hold their texts as well.
+            kept = [c.take(pa.array(np.arange(len(c)))) for c in map(held.column, ("id", "text_hash", "lang"))]
+            out.append(pa.RecordBatch.from_arrays([*kept, values], ["id", "text_hash", "lang", "perplexity"]))
         return pa.Table.from_batches(out)
 
+    def scored(left, right):
+        try:
+            return of_block(left, right)
+        finally:
+            give_back()  # only now does nothing refer to what the block needed
+
     asked = texts.sortWithinPartitions("block").mapInArrow(in_task(listed), "block int, gram long")
     own = lambda c: F.get(F.array(*[c + f for f in each]), F.col("block") % folds).alias(c)
     answers = asked.join(known, "gram").select("block", "gram", own("p"), own("back")).where("p IS NOT NULL OR back IS NOT NULL")
@@ -311,8 +335,9 @@ def classify(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_c
         good = F.broadcast(good)
     trusted = df.join(good, col(id_column) == good["id"], "left_semi")
     fold = _fold(col(id_column), F.xxhash64(F.coalesce(col(text_column), F.lit(""))))
-    known, unseen = model(counts(trusted, order, text_column, fold), order)
-    rows = _table(perplexities(df, known, unseen, id_column, text_column, lang_column, order), "kn-scores")
+    with small_batches(df.sparkSession):
+        known, unseen = model(counts(trusted, order, text_column, fold), order)
+        rows = _table(perplexities(df, known, unseen, id_column, text_column, lang_column, order), "kn-scores")
     held = rows.join(good, col(id_column) == good["id"], "left_semi").where("perplexity is not null")
     by_lang = held.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10000).alias("own"))
     ids = held.select("lang", col(id_column).alias("id")).distinct().groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))

@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +153,30 @@ def test_counts_do_not_depend_on_the_sizes_of_pieces_and_batches(spark, monkeypa
     for first in range(0, 40, 9):
         got = got.unionByName(ql.counts(texts.where(f"doc_id >= {first} AND doc_id < {first + 9}"), 3))
     assert sorted(map(tuple, got.groupBy("gram").agg(F.sum("n")).collect())) == whole
+
+
+def test_long_texts_come_to_python_in_small_batches(spark):
+    """Spark's own batches of 10,000 rows would be of 64 MB; a session's own number stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 16 << 10).alias("text"))
+    seen = rows.mapInArrow(lambda batches: (b.select(["text"]).from_arrays([[b.nbytes], [b.num_rows]], ["bytes", "rows"]) for b in batches), "bytes long, rows long")
+    with frames.small_batches(spark):
+        got = seen.collect()
+    assert spark.conf.get(key, None) is None
+    assert sum(r["rows"] for r in got) == 4000 and max(r["bytes"] for r in got) < 2 * frames.ARROW_BYTES
+    with pytest.raises(ValueError), frames.small_batches(spark):
+        raise ValueError
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "1m")
+    try:
+        with frames.small_batches(spark):
+            assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_a_task_deals_small_batches_into_blocks_together():
+    """Else smaller batches would make more and smaller parts of each block, which compress worse."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * (1 << 20)] * 3)], ["text"])
+    got = list(ql._gathered(iter([batch] * 11)))
+    assert [b.num_rows for b in got] == [18, 15] and list(ql._gathered(iter([]))) == []
