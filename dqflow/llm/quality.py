@@ -291,9 +291,7 @@ def perplexities(df: DataFrame, known: DataFrame, unseen: list[float | None], id
             some = n > 0
             mean = np.divide(total, n, out=np.full(len(n), np.nan), where=some)
             values = pa.array(np.exp(-mean), pa.float64(), mask=~some if rare else np.ones(len(n), bool))
-            # Copies: a slice of the block's rows would hold their texts as well.
-            kept = [c.take(pa.array(np.arange(len(c)))) for c in map(held.column, ("id", "text_hash", "lang"))]
-            out.append(pa.RecordBatch.from_arrays([*kept, values], ["id", "text_hash", "lang", "perplexity"]))
+            out.append(pa.RecordBatch.from_arrays([*map(_apart, map(held.column, ("id", "text_hash", "lang"))), values], ["id", "text_hash", "lang", "perplexity"]))
         return pa.Table.from_batches(out)
 
     def scored(left, right):
@@ -320,6 +318,11 @@ def _unzip(blob: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_next_batch()
 
 
+def _apart(column: pa.Array) -> pa.Array:
+    """A copy in memory of its own: a column that was read holds the memory of all columns read with it."""
+    return column.take(pa.array(np.arange(len(column))))
+
+
 def trusted_ids(labels: DataFrame, id_column: str = "doc_id", label_column: str = "quality", toxic_column: str = "toxic") -> DataFrame:
     good = col(label_column) == 1
     if toxic_column in labels.columns:

@@ -180,3 +180,13 @@ def test_a_task_deals_small_batches_into_blocks_together():
     batch = pa.RecordBatch.from_arrays([pa.array(["x" * (1 << 20)] * 3)], ["text"])
     got = list(ql._gathered(iter([batch] * 11)))
     assert [b.num_rows for b in got] == [18, 15] and list(ql._gathered(iter([]))) == []
+
+
+def test_scores_hold_no_texts():
+    """Columns of a block that was read share its memory; those that go with the scores have their own."""
+    held = ql._unzip(ql._zip(pa.RecordBatch.from_pydict({"id": [1, None, 3], "text": ["a" * 1000, "b", "c"], "lang": ["en", None, "de"]})))
+    for name in ("id", "lang"):
+        own = ql._apart(held.column(name))
+        assert own.to_pylist() == held.column(name).to_pylist()
+        assert not {b.address for b in own.buffers() if b} & {b.address for b in held.column(name).buffers() if b}
+    assert ql._apart(pa.array([], pa.int64())).to_pylist() == []
